@@ -1,0 +1,148 @@
+"""Registered queries: splits, weights, evaluation metrics, models, anchors, basket, drift, QA."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quotelens.operators import metrics as M
+from quotelens.operators import splits as S
+from quotelens.plans.oracle import eval_ctes, features_ctes, metrics_sql, split_ctes, wrap
+from quotelens.plans.pipeline import evaluate
+from quotelens.plans.registry import SPEC, engineered, panel, register
+
+T = SPEC.target_column
+FEAT = features_ctes()
+SPLIT_SQL = FEAT + ",\n" + split_ctes()
+EVAL_SQL = SPLIT_SQL + ",\n" + eval_ctes()
+EXPLICIT = {"train_end_date": "1999-06-30", "validation_end_date": "2000-06-30"}
+
+_EVAL_CACHE: dict = {}
+
+
+def evaluation(spark, sf_dir):
+    """The segment-mean evaluation run over the quote panel (memoised per session and folder)."""
+    key = (id(spark), sf_dir)
+    if key not in _EVAL_CACHE:
+        _EVAL_CACHE[key] = evaluate(panel(spark, sf_dir), SPEC)
+    return _EVAL_CACHE[key]
+
+
+# ---------------------------------------------------------------- splits (T*)
+@register("time_split", wrap("SELECT quote_id, _split FROM labelled", "quote_id:i, _split:s", SPLIT_SQL))
+def time_split(spark, sf_dir):
+    """Fraction split by exact date order statistics; ties go to the earlier part."""
+    eng, _ = engineered(spark, sf_dir)
+    return S.time_split(eng, SPEC).select("quote_id", S.SPLIT)
+
+
+@register("time_split_dates", wrap("SELECT quote_id, _split FROM labelled", "quote_id:i, _split:s",
+                                   FEAT + ",\n" + split_ctes("1999-06-30", "2000-06-30")))
+def time_split_dates(spark, sf_dir):
+    """Split at explicit cut-off dates."""
+    eng, _ = engineered(spark, sf_dir)
+    return S.time_split(eng, SPEC.with_(**EXPLICIT)).select("quote_id", S.SPLIT)
+
+
+@register("split_metadata", wrap(
+    "SELECT _split, count(*) AS rows, CAST(min(quote_date) AS DATE) AS date_min, "
+    "CAST(max(quote_date) AS DATE) AS date_max FROM labelled GROUP BY 1",
+    "_split:s, rows:i, date_min:date, date_max:date", SPLIT_SQL))
+def split_metadata(spark, sf_dir):
+    """Rows and date range per part (T4)."""
+    eng, _ = engineered(spark, sf_dir)
+    return S.split_metadata(S.time_split(eng, SPEC), SPEC)
+
+
+@register("train_lookback", wrap("SELECT quote_id, _split FROM lb", "quote_id:i, _split:s", EVAL_SQL))
+def train_lookback(spark, sf_dir):
+    """Train rows within 4 months of the last train date; other parts kept (T5)."""
+    return evaluation(spark, sf_dir).split.select("quote_id", S.SPLIT)
+
+
+@register("sample_weight", wrap(
+    "SELECT quote_id, coalesce(claim_count_3y, 0.0) AS sample_weight FROM quotes",
+    "quote_id:i, sample_weight:d", FEAT))
+def sample_weight(spark, sf_dir):
+    """Portfolio weight with NULL as 0 and a guard on negatives (T6), weight = claim count."""
+    return S.sample_weight(panel(spark, sf_dir), SPEC.with_(weight_column="claim_count_3y")).select(
+        "quote_id", "sample_weight")
+
+
+@register("recency_weight", wrap("SELECT quote_id, training_weight FROM trw_n", "quote_id:i, training_weight:d",
+                                 EVAL_SQL))
+def recency_weight(spark, sf_dir):
+    """0.5 ** (age days / 60) as of the last train date, over the mean positive weight."""
+    ev = evaluation(spark, sf_dir)
+    train = ev.split.where(F.col(S.SPLIT) == "train")
+    cutoff = train.agg(F.max("quote_date").alias("c")).first().c
+    return S.recency_weight(train, SPEC, as_of=cutoff).select("quote_id", "training_weight")
+
+
+MD_COLS = ("quote_id:i, quote_date:ts, channel:s, region:s, vehicle_segment:s, coverage_type:s, driver_age:d, "
+           "vehicle_age:d, claim_count_3y:d, sum_insured:d, own_premium:d, converted:i, "
+           "comp_a_premium:d, comp_b_premium:d, comp_c_premium:d, comp_d_premium:d, comp_e_premium:d, "
+           f"avg_top_3_competitor_premium:d, avg_top_5_competitor_premium:d, competitor_count:i, "
+           "competitor_panel_signature:s, top_n_competitor_signature:s, market_price_index:d, "
+           "rank_own_premium:d, _split:s")
+
+
+@register("market_data", wrap("SELECT * FROM lb", MD_COLS, EVAL_SQL))
+def market_data(spark, sf_dir):
+    """Role and market columns of all parts labelled by split."""
+    ev = evaluation(spark, sf_dir)
+    md = S.market_data(ev.split, SPEC, ev.meta)
+    return md.select(*[c.split(":")[0] for c in MD_COLS.split(", ")])
+
+
+# ---------------------------------------------------------------- metrics (E*)
+PF = "quote_id:i, quote_date:ts, _split:s, prediction:d, residual:d, absolute_error:d, absolute_percentage_error:d"
+
+
+@register("prediction_frame", wrap(
+    "SELECT quote_id, quote_date, _split, prediction, tgt - prediction AS residual, "
+    "abs(tgt - prediction) AS absolute_error, abs(tgt - prediction) / NULLIF(tgt, 0) * 100 "
+    "AS absolute_percentage_error, tgt AS " + T + " FROM pred", PF + f", {T}:d", EVAL_SQL))
+def prediction_frame(spark, sf_dir):
+    """Prediction frame of the three parts."""
+    ev = evaluation(spark, sf_dir)
+    return M.prediction_frame(ev.scored, SPEC, T)
+
+
+METRICS = "d2:d, r2:d, rmse:d, rmsle:d, mae:d, mape:d, mean_bias:d, mean_bias_pct:d, gini:d, n:i"
+
+
+@register("metrics_by_split", wrap("SELECT * FROM " + metrics_sql("pred", ["_split"]),
+                                   "_split:s, " + METRICS, EVAL_SQL))
+def metrics_by_split(spark, sf_dir):
+    """E1-E10 per split."""
+    ev = evaluation(spark, sf_dir)
+    return M.regression_metrics(ev.scored, T, "prediction", by=[S.SPLIT], tiebreak="quote_id")
+
+
+@register("regression_metrics", wrap(
+    "SELECT * FROM " + metrics_sql("(SELECT * FROM pred WHERE _split = 'test')", []), METRICS, EVAL_SQL))
+def regression_metrics(spark, sf_dir):
+    """RMSE, MAE, MAPE, bias, bias %, RMSLE, D2, R2, Gini, n on the test part."""
+    ev = evaluation(spark, sf_dir)
+    return M.regression_metrics(ev.scored.where(F.col(S.SPLIT) == "test"), T, "prediction", tiebreak="quote_id")
+
+
+@register("gini", wrap("SELECT _split, gini FROM " + metrics_sql("pred", ["_split"]), "_split:s, gini:d", EVAL_SQL))
+def gini(spark, sf_dir):
+    """Normalised Gini per split, ties by quote id."""
+    ev = evaluation(spark, sf_dir)
+    return M.gini(ev.scored, T, "prediction", by=[S.SPLIT], tiebreak="quote_id")
+
+
+@register("lift_table", wrap("""
+SELECT b + 1 AS quantile, count(*) AS n, round(avg(prediction), 4) AS mean_predicted, round(avg(tgt), 4) AS mean_actual,
+  round(avg(tgt) / (SELECT avg(tgt) FROM t), 4) AS lift, round(avg(prediction) / NULLIF(avg(tgt), 0), 4) AS pred_actual_ratio
+FROM (SELECT t.*, least(9, (SELECT count(*) FROM unnest(e.edges[2:10]) x(v) WHERE v <= t.prediction)) AS b
+      FROM t, (SELECT quantile_cont(prediction, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS q,
+                      list_prepend(min(prediction), q) AS edges FROM t) e) z
+GROUP BY b""", "quantile:i, n:i, mean_predicted:d, mean_actual:d, lift:d, pred_actual_ratio:d",
+    EVAL_SQL + ",\nt AS (SELECT * FROM pred WHERE _split = 'test')"))
+def lift_table(spark, sf_dir):
+    """Decile lift table of the test part."""
+    ev = evaluation(spark, sf_dir)
+    return M.lift_table(ev.scored.where(F.col(S.SPLIT) == "test"), T, "prediction")
