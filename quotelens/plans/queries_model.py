@@ -146,3 +146,194 @@ def lift_table(spark, sf_dir):
     """Decile lift table of the test part."""
     ev = evaluation(spark, sf_dir)
     return M.lift_table(ev.scored.where(F.col(S.SPLIT) == "test"), T, "prediction")
+
+
+# ---------------------------------------------------------------- rolling anchors (H*)
+from quotelens.operators import anchors as A  # noqa: E402
+from quotelens.operators import basket as B  # noqa: E402
+from quotelens.plans.pipeline import ANCHOR_CELLS  # noqa: E402
+
+HIST_SQL = FEAT + """,
+rows AS (SELECT *, date_trunc('month', quote_date) AS period FROM feat WHERE quote_date IS NOT NULL),
+periods AS (SELECT DISTINCT period FROM rows),
+contrib AS (
+  SELECT p.period, r.vehicle_segment, r.coverage_type, r.tgt, r.quote_date,
+    pow(0.5, greatest(floor((epoch_us(p.period) - epoch_us(r.quote_date)) / 86400000000.0), 0) / 60.0) AS w
+  FROM rows r JOIN periods p ON r.quote_date >= p.period - INTERVAL 4 MONTH AND r.quote_date < p.period
+  WHERE r.tgt IS NOT NULL),
+pp AS (SELECT period, count(*) AS n, min(quote_date) AS st, max(quote_date) AS cu, sum(w * tgt) / sum(w) AS gm
+       FROM contrib GROUP BY period HAVING count(*) >= 200),
+pc AS (SELECT period, vehicle_segment, coverage_type, sum(w * tgt) / sum(w) AS cm FROM contrib GROUP BY ALL),
+hist0 AS (
+  SELECT r.*, CASE WHEN pp.gm IS NOT NULL THEN coalesce(pc.cm, pp.gm) END AS market_anchor,
+    pp.st AS anchor_training_start, pp.cu AS anchor_training_cutoff, pp.n AS anchor_training_rows
+  FROM rows r LEFT JOIN pp ON pp.period = r.period
+  LEFT JOIN pc ON pc.period = r.period AND pc.vehicle_segment IS NOT DISTINCT FROM r.vehicle_segment
+              AND pc.coverage_type IS NOT DISTINCT FROM r.coverage_type),
+hist AS (
+  SELECT *, (CASE WHEN own_premium IS NOT NULL THEN greatest(own_premium, 1e-6) END) / (CASE WHEN market_anchor IS NOT NULL THEN greatest(market_anchor, 1e-6) END) AS relative_price_ratio,
+    ln((CASE WHEN own_premium IS NOT NULL THEN greatest(own_premium, 1e-6) END) / (CASE WHEN market_anchor IS NOT NULL THEN greatest(market_anchor, 1e-6) END)) AS log_relative_price,
+    (CASE WHEN own_premium IS NOT NULL THEN greatest(own_premium, 1e-6) END) - (CASE WHEN market_anchor IS NOT NULL THEN greatest(market_anchor, 1e-6) END) AS price_gap_to_market_anchor
+  FROM hist0)"""
+
+_HIST_CACHE: dict = {}
+
+
+def historical(spark, sf_dir):
+    key = (id(spark), sf_dir)
+    if key not in _HIST_CACHE:
+        eng, _ = engineered(spark, sf_dir)
+        _HIST_CACHE[key] = A.historical_features(eng, SPEC, cells=list(ANCHOR_CELLS))
+    return _HIST_CACHE[key]
+
+
+HA = ("quote_id:i, market_anchor:d, relative_price_ratio:d, log_relative_price:d, price_gap_to_market_anchor:d, "
+      "anchor_training_start:ts, anchor_training_cutoff:ts, anchor_training_rows:d")
+
+
+@register("historical_anchor_segmean", wrap(
+    "SELECT " + ", ".join(c.split(":")[0] for c in HA.split(", ")) + " FROM hist", HA, HIST_SQL))
+def historical_anchor_segmean(spark, sf_dir):
+    """Rolling-origin anchors, 4-month look-back, warm-up unscored (H1, H3), segment-mean model."""
+    return historical(spark, sf_dir).select(*[c.split(":")[0] for c in HA.split(", ")])
+
+
+@register("relative_price", wrap(
+    "SELECT quote_id, relative_price_ratio, log_relative_price, price_gap_to_market_anchor FROM hist",
+    "quote_id:i, relative_price_ratio:d, log_relative_price:d, price_gap_to_market_anchor:d", HIST_SQL))
+def relative_price(spark, sf_dir):
+    """Own price relative to the anchor, floored at 1e-6 (H3)."""
+    return historical(spark, sf_dir).select("quote_id", "relative_price_ratio", "log_relative_price",
+                                            "price_gap_to_market_anchor")
+
+
+HW = "quote_month:date, anchor_training_start:ts, anchor_training_cutoff:ts, anchor_training_rows:d, rows_scored:i"
+
+
+@register("historical_windows", wrap(
+    "SELECT CAST(period AS DATE) AS quote_month, min(anchor_training_start) AS anchor_training_start, "
+    "max(anchor_training_cutoff) AS anchor_training_cutoff, max(anchor_training_rows) AS anchor_training_rows, "
+    "count(*) AS rows_scored FROM hist WHERE market_anchor IS NOT NULL GROUP BY 1", HW, HIST_SQL))
+def historical_windows(spark, sf_dir):
+    """Training window provenance per scored month (H2)."""
+    return A.historical_windows(historical(spark, sf_dir), SPEC)
+
+
+HO = ("quote_id:i, quote_date:ts, channel:s, region:s, vehicle_segment:s, coverage_type:s, driver_age:d, "
+      "vehicle_age:d, claim_count_3y:d, sum_insured:d, own_premium:d, converted:i, "
+      f"{T}:d, market_anchor:d, relative_price_ratio:d, log_relative_price:d, price_gap_to_market_anchor:d, "
+      "anchor_training_start:ts, anchor_training_cutoff:ts, anchor_training_rows:d, anchor_method:s, "
+      "anchor_is_frozen_for_optimization:b, anchor_model_backend:s")
+
+
+@register("handoff_columns", wrap(
+    "SELECT * REPLACE (tgt AS " + T + "), 'rolling_origin_finite_lookback' AS anchor_method, "
+    "TRUE AS anchor_is_frozen_for_optimization, 'segment_mean' AS anchor_model_backend FROM hist", HO, HIST_SQL))
+def handoff_columns(spark, sf_dir):
+    """Hand-off projection with provenance flags (H4)."""
+    return historical(spark, sf_dir)
+
+
+@register("historical_summary", wrap(
+    "SELECT count(*) AS rows_total, count(market_anchor) AS rows_scored, "
+    "count(*) FILTER (WHERE market_anchor IS NULL) AS rows_warmup_unscored, "
+    "count(DISTINCT CASE WHEN market_anchor IS NOT NULL THEN anchor_training_cutoff END) AS periods_scored FROM hist",
+    "rows_total:i, rows_scored:i, rows_warmup_unscored:i, periods_scored:i", HIST_SQL))
+def historical_summary(spark, sf_dir):
+    """Rows total / scored / warm-up and months scored (H5)."""
+    return A.historical_summary(historical(spark, sf_dir))
+
+
+@register("historical_anchor_glm")
+def historical_anchor_glm(spark, sf_dir):
+    """Rolling-origin anchors with a gamma GLM refit per month (H1 with Spark ML)."""
+    eng, meta = engineered(spark, sf_dir)
+    from quotelens.operators.features import select_model_features
+    feats, cat, num = select_model_features(eng, SPEC, meta)
+    return A.historical_features(eng, SPEC, kind="glm_gamma", features=feats, categorical=cat, numeric=num)
+
+
+# ---------------------------------------------------------------- scoring (C*)
+SC = ("quote_id:i, quote_date:ts, market_anchor:d, own_premium:d, relative_price_ratio:d, log_relative_price:d, "
+      "price_gap_to_market_anchor:d, anchor_training_cutoff:s, prediction_horizon_days:i")
+
+
+@register("score_projection", wrap("""
+SELECT q.quote_id, q.quote_date, greatest(coalesce(c.cell_mean, (SELECT gm FROM gmean)), 1e-6) AS market_anchor,
+  (CASE WHEN q.own_premium IS NOT NULL THEN greatest(q.own_premium, 1e-6) END) AS own_premium,
+  (CASE WHEN q.own_premium IS NOT NULL THEN greatest(q.own_premium, 1e-6) END) / greatest(coalesce(c.cell_mean, (SELECT gm FROM gmean)), 1e-6) AS relative_price_ratio,
+  ln((CASE WHEN q.own_premium IS NOT NULL THEN greatest(q.own_premium, 1e-6) END) / greatest(coalesce(c.cell_mean, (SELECT gm FROM gmean)), 1e-6)) AS log_relative_price,
+  (CASE WHEN q.own_premium IS NOT NULL THEN greatest(q.own_premium, 1e-6) END) - greatest(coalesce(c.cell_mean, (SELECT gm FROM gmean)), 1e-6) AS price_gap_to_market_anchor,
+  strftime((SELECT max(quote_date) FROM trw_n), '%Y-%m-%d %H:%M:%S') AS anchor_training_cutoff,
+  CAST(floor((epoch_us(q.quote_date) - epoch_us((SELECT max(quote_date) FROM trw_n))) / 86400000000.0) AS BIGINT)
+    AS prediction_horizon_days
+FROM quotes q LEFT JOIN cellm c ON q.vehicle_segment IS NOT DISTINCT FROM c.vehicle_segment
+  AND q.coverage_type IS NOT DISTINCT FROM c.coverage_type""", SC, EVAL_SQL))
+def score_projection(spark, sf_dir):
+    """Batch scoring of raw quotes with the frozen anchor model; horizon from its cutoff."""
+    ev = evaluation(spark, sf_dir)
+    out = A.score_anchor(panel(spark, sf_dir), SPEC, ev.model)
+    return out.select(*[c.split(":")[0] for c in SC.split(", ")])
+
+
+# ---------------------------------------------------------------- basket (B*)
+NUMS = ("driver_age", "vehicle_age", "claim_count_3y", "sum_insured")
+CATS = ("channel", "region", "vehicle_segment", "coverage_type")
+LEVELS_SQL = EVAL_SQL + ",\ntr AS (SELECT * FROM lb WHERE _split = 'train'),\nlv AS (" + " UNION ALL ".join(
+    [f"SELECT '{c}' AS \"column\", list(DISTINCT {c} ORDER BY {c}) AS vals FROM tr WHERE {c} IS NOT NULL" for c in CATS]
+    + [f"SELECT '{c}', list_transform(list_sort(list_distinct([round_even(quantile_cont({c}, 0.25), 1), "
+       f"round_even(quantile_cont({c}, 0.5), 1), round_even(quantile_cont({c}, 0.75), 1)])), lambda x: CAST(x AS VARCHAR)) "
+       f"FROM tr" for c in NUMS]) + ")"
+
+
+@register("basket_levels", wrap(
+    "SELECT \"column\", CAST(i - 1 AS BIGINT) AS position, vals[i] AS level FROM lv, "
+    "LATERAL (SELECT unnest(range(1, len(vals) + 1)) AS i)", "column:s, position:i, level:s", LEVELS_SQL))
+def basket_levels(spark, sf_dir):
+    """Basket levels: categorical values and rounded quartiles of the train part (B1, B2)."""
+    ev = evaluation(spark, sf_dir)
+    train = ev.split.where(F.col(S.SPLIT) == "train")
+    return B.levels_frame(train, list(CATS), list(NUMS))
+
+
+_dims = list(CATS) + list(NUMS)
+_basket_sel = []
+_stride = "1"
+for _c in reversed(_dims):
+    _size = f"(SELECT len(vals) FROM lv WHERE \"column\" = '{_c}')"
+    _digit = f"CAST((basket_id // ({_stride})) % {_size} AS BIGINT)"
+    _val = f"(SELECT vals FROM lv WHERE \"column\" = '{_c}')[{_digit} + 1]"
+    _basket_sel.append(f"{_val} AS {_c}" if _c in CATS else f"CAST({_val} AS DOUBLE) AS {_c}")
+    _stride = f"{_stride} * {_size}"
+_total = " * ".join(f"(SELECT len(vals) FROM lv WHERE \"column\" = '{c}')" for c in _dims)
+BASKET_SQL = LEVELS_SQL + f""",
+ids AS (SELECT range AS basket_id FROM range(0, (SELECT {_total}))
+        ORDER BY md5('42|' || CAST(range AS VARCHAR)), range LIMIT 2000),
+basket AS (SELECT basket_id, {", ".join(reversed(_basket_sel))} FROM ids)"""
+
+
+@register("reference_basket", wrap(
+    "SELECT * FROM basket", "basket_id:i, " + ", ".join(f"{c}:s" for c in CATS) + ", "
+    + ", ".join(f"{c}:d" for c in NUMS), BASKET_SQL))
+def reference_basket(spark, sf_dir):
+    """Cross product of levels, 2,000 profiles kept by md5 order."""
+    ev = evaluation(spark, sf_dir)
+    train = ev.split.where(F.col(S.SPLIT) == "train")
+    return B.reference_basket(train, list(CATS), list(NUMS))
+
+
+@register("basket_index_segmean", wrap("""
+SELECT CAST(m AS DATE) AS quote_month, avg(p) AS mean_prediction, quantile_cont(p, 0.25) AS p25_prediction,
+  quantile_cont(p, 0.75) AS p75_prediction, count(*) AS n_profiles
+FROM (SELECT m.m, greatest(coalesce(c.cell_mean, (SELECT gm FROM gmean)), 0) AS p
+      FROM basket b CROSS JOIN (SELECT unnest(generate_series(date_trunc('month', min(quote_date)),
+                                date_trunc('month', max(quote_date)), INTERVAL 1 MONTH)) AS m FROM lb) m
+      LEFT JOIN cellm c ON b.vehicle_segment IS NOT DISTINCT FROM c.vehicle_segment
+        AND b.coverage_type IS NOT DISTINCT FROM c.coverage_type) z GROUP BY 1""",
+    "quote_month:date, mean_prediction:d, p25_prediction:d, p75_prediction:d, n_profiles:i", BASKET_SQL))
+def basket_index_segmean(spark, sf_dir):
+    """Fixed-basket index per month under the segment-mean anchor."""
+    ev = evaluation(spark, sf_dir)
+    train = ev.split.where(F.col(S.SPLIT) == "train")
+    basket = B.reference_basket(train, list(CATS), list(NUMS))
+    return B.basket_index(basket, ev.model, ev.split, SPEC.date_column)
