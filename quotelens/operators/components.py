@@ -60,12 +60,17 @@ def market_columns(df: DataFrame, spec: PanelSpec, comps: list[str]) -> dict:
     return cols
 
 
-def engineer_market_features(df: DataFrame, spec: PanelSpec) -> tuple[DataFrame, FeatureMeta]:
+def engineer_market_features(df: DataFrame, spec: PanelSpec,
+                             materialize_rows: bool = True) -> tuple[DataFrame, FeatureMeta]:
     comps = spec.resolve_competitors(df.columns)
     t = spec.target
     out = df.withColumns({c: R.masked(c) for c in comps})
     comp_cols = market_columns(out, spec, comps)
     out = out.withColumns(comp_cols)
+    if materialize_rows:
+        # the scalar aggregates below would otherwise recompute the input plan
+        from quotelens.session import materialize
+        out = materialize(out)
     mkt = list(comp_cols)
 
     if spec.add_competitor_distribution:

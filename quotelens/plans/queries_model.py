@@ -337,3 +337,163 @@ def basket_index_segmean(spark, sf_dir):
     train = ev.split.where(F.col(S.SPLIT) == "train")
     basket = B.reference_basket(train, list(CATS), list(NUMS))
     return B.basket_index(basket, ev.model, ev.split, SPEC.date_column)
+
+
+# ---------------------------------------------------------------- drift and monitoring (O*)
+from quotelens.operators import contract as C  # noqa: E402
+from quotelens.operators import drift as D  # noqa: E402
+
+CURRENT_FROM = "2000-01-01"
+CAT_F = ["channel", "region", "vehicle_segment", "coverage_type"]
+NUM_F = ["driver_age", "vehicle_age", "claim_count_3y", "sum_insured", "quote_year", "quote_month",
+         "quote_quarter", "quote_weekofyear", "quote_dayofweek", "quote_time_days", "quote_month_sin",
+         "quote_month_cos", "quote_dayofweek_sin", "quote_dayofweek_cos"]
+
+
+def sides(spark, sf_dir):
+    """Engineered quotes split into reference (before 2000) and current (from 2000) data."""
+    eng, _ = engineered(spark, sf_dir)
+    cut = S.ts_lit(CURRENT_FROM)
+    return eng.where(F.col("quote_date") < cut), eng.where(F.col("quote_date") >= cut)
+
+
+def _drift_sql(cat, num):
+    num_vals = ", ".join(f"CAST({c} AS DOUBLE)" for c in num)
+    return FEAT + f""",
+dd AS (SELECT *, quote_month_num AS quote_month, sin(2 * pi() * quote_month_num / 12) AS quote_month_sin,
+         cos(2 * pi() * quote_month_num / 12) AS quote_month_cos, sin(2 * pi() * quote_dayofweek / 7) AS quote_dayofweek_sin,
+         cos(2 * pi() * quote_dayofweek / 7) AS quote_dayofweek_cos,
+         CASE WHEN quote_date < TIMESTAMP '{CURRENT_FROM}' THEN 'ref' ELSE 'cur' END AS side
+       FROM feat),
+nl AS (SELECT side, f.feature, f.x FROM dd, LATERAL (SELECT unnest({num!r}) AS feature, unnest([{num_vals}]) AS x) f
+       WHERE f.x IS NOT NULL AND NOT isnan(f.x)),
+cl AS (SELECT side, f.feature, coalesce(f.v, '__missing__') AS label FROM dd,
+       LATERAL (SELECT unnest({cat!r}) AS feature, unnest([{", ".join(f"CAST({c} AS VARCHAR)" for c in cat)}]) AS v) f),
+ed AS (SELECT feature, list_sort(list_distinct(quantile_cont(x, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0])))
+              AS edges, count(DISTINCT x) AS nuniq FROM nl WHERE side = 'ref' GROUP BY feature),
+nb AS (SELECT nl.side, nl.feature, CAST(len(list_filter(ed.edges[2:len(ed.edges) - 1], lambda e: e < nl.x)) AS VARCHAR) AS label
+       FROM nl JOIN ed USING (feature)
+       WHERE ed.nuniq > 2 AND len(ed.edges) >= 3 AND nl.x >= ed.edges[1] AND nl.x <= ed.edges[len(ed.edges)]),
+nt AS (SELECT nl.side, nl.feature, CAST(nl.x AS VARCHAR) AS label FROM nl JOIN ed USING (feature)
+       WHERE ed.nuniq <= 2 OR len(ed.edges) < 3),
+allv AS (SELECT * FROM nb UNION ALL SELECT * FROM nt UNION ALL SELECT * FROM cl),
+sh AS (SELECT side, feature, label, count(*) / sum(count(*)) OVER (PARTITION BY side, feature) AS share
+       FROM allv GROUP BY side, feature, label),
+ee AS (SELECT * FROM sh WHERE side = 'ref'), aa AS (SELECT * FROM sh WHERE side = 'cur'),
+psi AS (SELECT coalesce(ee.feature, aa.feature) AS feature,
+          sum((greatest(coalesce(aa.share, 0), 1e-6) - greatest(coalesce(ee.share, 0), 1e-6))
+              * ln(greatest(coalesce(aa.share, 0), 1e-6) / greatest(coalesce(ee.share, 0), 1e-6))) AS psi
+        FROM ee FULL OUTER JOIN aa ON ee.feature = aa.feature AND ee.label = aa.label GROUP BY 1),
+names AS (SELECT * FROM (VALUES {", ".join(f"('{c}', 'categorical')" for c in cat)}{", " if cat and num else ""}{", ".join(f"('{c}', 'numeric')" for c in num)}) v(feature, type)),
+dt AS (SELECT names.feature, names.type, coalesce(psi.psi, 0.0) AS psi FROM names LEFT JOIN psi USING (feature))"""
+
+
+@register("drift_table", wrap(
+    "SELECT feature, type, psi, CASE WHEN psi >= 0.2 THEN 'review' ELSE 'ok' END AS status, "
+    "printf('PSI %.4f', psi) AS detail FROM dt", "feature:s, type:s, psi:d, status:s, detail:s",
+    _drift_sql(CAT_F, NUM_F)))
+def drift_table(spark, sf_dir):
+    """PSI of every model feature, reference (pre-2000) vs current quotes, with review status."""
+    ref, cur = sides(spark, sf_dir)
+    return D.drift_table(ref, cur, CAT_F + NUM_F, set(CAT_F), SPEC.psi_threshold)
+
+
+@register("psi_categorical", wrap("SELECT feature, psi FROM dt", "feature:s, psi:d", _drift_sql(["region"], [])))
+def psi_categorical(spark, sf_dir):
+    """Categorical PSI of region, NULL as its own label (O2)."""
+    ref, cur = sides(spark, sf_dir)
+    return D.drift_psi(ref, cur, [], ["region"]).select("feature", "psi")
+
+
+@register("psi_numeric", wrap("SELECT feature, psi FROM dt", "feature:s, psi:d", _drift_sql([], ["sum_insured"])))
+def psi_numeric(spark, sf_dir):
+    """Numeric PSI of sum insured over reference deciles, out-of-range values dropped (O3)."""
+    ref, cur = sides(spark, sf_dir)
+    return D.drift_psi(ref, cur, ["sum_insured"], []).select("feature", "psi")
+
+
+@register("psi_distribution", wrap("""
+SELECT coalesce(ee.label, aa.label) AS label, ee.share AS expected_share, aa.share AS actual_share,
+  (greatest(coalesce(aa.share, 0), 1e-6) - greatest(coalesce(ee.share, 0), 1e-6))
+    * ln(greatest(coalesce(aa.share, 0), 1e-6) / greatest(coalesce(ee.share, 0), 1e-6)) AS contribution
+FROM ee FULL OUTER JOIN aa ON ee.label = aa.label""",
+    "label:s, expected_share:d, actual_share:d, contribution:d", _drift_sql(["vehicle_segment"], [])))
+def psi_distribution(spark, sf_dir):
+    """Per-label PSI terms of two share distributions (O1), vehicle segment."""
+    ref, cur = sides(spark, sf_dir)
+    e = D._shares(ref.select(F.coalesce("vehicle_segment", F.lit(D.MISSING)).alias("v")), [], "v")
+    a = D._shares(cur.select(F.coalesce("vehicle_segment", F.lit(D.MISSING)).alias("v")), [], "v")
+    j = e.select("label", F.col("share").alias("expected_share")).join(
+        a.select("label", F.col("share").alias("actual_share")), "label", "full_outer")
+    ev = F.greatest(F.coalesce("expected_share", F.lit(0.0)), F.lit(D.EPS))
+    av = F.greatest(F.coalesce("actual_share", F.lit(0.0)), F.lit(D.EPS))
+    return j.withColumn("contribution", (av - ev) * F.log(av / ev))
+
+
+@register("coverage_drops", wrap("""
+SELECT b.competitor, b.r AS baseline_rate, c.r AS current_rate, b.r - c.r AS coverage_drop
+FROM (SELECT competitor, avg(CASE WHEN premium > 0 THEN 1.0 ELSE 0.0 END) AS r FROM lq WHERE side = 'ref' GROUP BY 1) b
+JOIN (SELECT competitor, avg(CASE WHEN premium > 0 THEN 1.0 ELSE 0.0 END) AS r FROM lq WHERE side = 'cur' GROUP BY 1) c
+USING (competitor)""", "competitor:s, baseline_rate:d, current_rate:d, coverage_drop:d",
+    FEAT + f""",
+lq AS (SELECT CASE WHEN quote_date < TIMESTAMP '{CURRENT_FROM}' THEN 'ref' ELSE 'cur' END AS side, c.competitor, c.premium
+       FROM quotes, LATERAL (SELECT unnest(['comp_a_premium', 'comp_b_premium', 'comp_c_premium', 'comp_d_premium',
+       'comp_e_premium']) AS competitor, unnest([comp_a_premium, comp_b_premium, comp_c_premium, comp_d_premium,
+       comp_e_premium]) AS premium) c)"""))
+def coverage_drops(spark, sf_dir):
+    """Quote-rate drop per competitor, reference vs current raw quotes."""
+    q = panel(spark, sf_dir)
+    cut = S.ts_lit(CURRENT_FROM)
+    ref, cur = q.where(F.col("quote_date") < cut), q.where(F.col("quote_date") >= cut)
+    return D.coverage_drops(C.competitor_quote_rates(ref, SPEC), C.competitor_quote_rates(cur, SPEC))
+
+
+@register("market_health", wrap(f"""
+SELECT count(*) FILTER (WHERE {" AND ".join(f"{c} IS NOT NULL" for c in ["comp_a_premium", "comp_b_premium", "comp_c_premium", "comp_d_premium", "comp_e_premium"])}) / count(*) AS complete_panel_rate,
+  count(*) FILTER (WHERE ({" + ".join(f"CASE WHEN {c} IS NOT NULL THEN 1 ELSE 0 END" for c in ["comp_a_premium", "comp_b_premium", "comp_c_premium", "comp_d_premium", "comp_e_premium"])}) >= 3) / count(*) AS target_available_rate,
+  (SELECT mean_bias_pct FROM {metrics_sql("cp", [])}) AS mean_anchor_bias_pct,
+  CAST(floor((epoch_us(max(quote_date)) - epoch_us((SELECT max(quote_date) FROM trw_n))) / 86400000000.0) AS BIGINT)
+    AS prediction_horizon_days
+FROM quotes WHERE quote_date >= TIMESTAMP '{CURRENT_FROM}'""",
+    "complete_panel_rate:d, target_available_rate:d, mean_anchor_bias_pct:d, prediction_horizon_days:i",
+    EVAL_SQL + f""",
+cp AS (SELECT f.*, coalesce(c.cell_mean, (SELECT gm FROM gmean)) AS prediction FROM feat f
+       LEFT JOIN cellm c ON f.vehicle_segment IS NOT DISTINCT FROM c.vehicle_segment
+        AND f.coverage_type IS NOT DISTINCT FROM c.coverage_type
+       WHERE f.quote_date >= TIMESTAMP '{CURRENT_FROM}')"""))
+def market_health(spark, sf_dir):
+    """Complete-panel and target-available rates, anchor bias % and horizon of current quotes."""
+    from quotelens.operators.models import predict
+    ev = evaluation(spark, sf_dir)
+    q = panel(spark, sf_dir)
+    cut = S.ts_lit(CURRENT_FROM)
+    cur_raw = q.where(F.col("quote_date") >= cut)
+    prof = C.quality_profile(cur_raw, SPEC)
+    _, cur = sides(spark, sf_dir)
+    perf = M.regression_metrics(predict(ev.model, cur), T, "prediction", with_gini=False)
+    horizon = D.prediction_horizon(cur_raw, "quote_date", ev.model.training_cutoff).first()[0]
+    bias = perf.first().mean_bias_pct
+    return prof.select(
+        (F.col("rows_with_complete_competitor_panel") / F.greatest(F.col("rows"), F.lit(1))).alias("complete_panel_rate"),
+        (F.col("rows_with_enough_competitors") / F.greatest(F.col("rows"), F.lit(1))).alias("target_available_rate"),
+        F.lit(bias).cast("double").alias("mean_anchor_bias_pct"),
+        F.lit(horizon).cast("long").alias("prediction_horizon_days"))
+
+
+@register("refresh_reasons")
+def refresh_reasons(spark, sf_dir):
+    """Retraining triggers: drift, horizon, coverage drops, D2/RMSE/Gini/MAPE changes."""
+    from quotelens.operators.models import predict
+    ev = evaluation(spark, sf_dir)
+    ref, cur = sides(spark, sf_dir)
+    drift = D.drift_table(ref, cur, CAT_F + NUM_F, set(CAT_F), SPEC.psi_threshold)
+    q = panel(spark, sf_dir)
+    cut = S.ts_lit(CURRENT_FROM)
+    drops = D.coverage_drops(C.competitor_quote_rates(q.where(F.col("quote_date") < cut), SPEC),
+                             C.competitor_quote_rates(q.where(F.col("quote_date") >= cut), SPEC))
+    horizon = D.prediction_horizon(q.where(F.col("quote_date") >= cut), "quote_date",
+                                   ev.model.training_cutoff).first()[0]
+    base = M.regression_metrics(ev.scored.where(F.col(S.SPLIT) == "test"), T, "prediction",
+                                tiebreak="quote_id").first().asDict()
+    now = M.regression_metrics(predict(ev.model, cur), T, "prediction", tiebreak="quote_id").first().asDict()
+    return D.refresh_reasons(drift, horizon, drops, base, now, SPEC)

@@ -53,3 +53,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def stage_path(spark: SparkSession, name: str) -> str:
     """Path for a written stage table under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), "stages", name)
+
+
+def materialize(df):
+    """Cut lineage: persist, write a reliable checkpoint in the shared folder, release the cache.
+
+    Persisting first means the checkpoint job reads the cached rows instead
+    of recomputing the plan; the returned frame reads the checkpoint files.
+    """
+    from pyspark import StorageLevel
+    checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
