@@ -34,7 +34,10 @@ def normalize(df: DataFrame) -> DataFrame:
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(F.nanvl(c.cast("double"), F.lit(None).cast("double")), 6)
+            # round(v * 1e6) / 1e6 on the binary double, as DuckDB and Python round, so exact
+            # decimal ties (means of cent values) land on the same side in both engines
+            x = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+            c = F.round(x * F.lit(1e6), 0) / F.lit(1e6)
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType, T.LongType)):
             c = c.cast("long")
         cols.append(c.alias(f.name))
