@@ -206,3 +206,136 @@ def load_model(spark, path: str) -> PriceModel:
     else:
         model.pipeline = PipelineModel.load(os.path.join(path, "pipeline"))
     return model
+
+
+def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """Deterministic sample of at most n rows: smallest xxhash64(seed, key) (a distributed top-k)."""
+    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(n)
+
+
+def permutation_importance(model: PriceModel, validation: DataFrame, key: str, repeats: int = 5,
+                           sample_size: int = 5000, seed: int = 42) -> DataFrame:
+    """Mean and std (population) of the drop in R2 when one feature is permuted, per feature.
+
+    The sample is capped (the operator's definition); each permutation pairs the
+    sample's rows in one hash order with the feature's values in another, all
+    (feature, repeat) cases are scored in ONE transform over their union.
+    """
+    from pyspark.sql import Window
+    target = model.target
+    sample = sample_rows(validation.where(F.col(target).isNotNull()), key, sample_size, seed)
+    sample = sample.persist(StorageLevel.MEMORY_AND_DISK)  # bounded by sample_size
+    if True:
+        base = predict(model, sample, "__p").agg(_r2(F.col(target), F.col("__p")).alias("r2")).first().r2
+        cases = []
+        for f in model.features:
+            for r in range(repeats):
+                rows = sample.withColumn("__rn", F.row_number().over(
+                    Window.orderBy(F.xxhash64(F.lit(seed + r), F.col(key)), F.col(key)))).drop(f)
+                vals = sample.select(F.col(key).alias("__k"), F.col(f)).withColumn("__rn", F.row_number().over(
+                    Window.orderBy(F.xxhash64(F.lit(seed + 1000 + r), F.lit(f), F.col("__k")), F.col("__k"))))
+                cases.append(rows.join(vals.drop("__k"), "__rn").drop("__rn")
+                             .withColumns({"__feature": F.lit(f), "__repeat": F.lit(r)}))
+        union = cases[0]
+        for c in cases[1:]:
+            union = union.unionByName(c)
+        scored = predict(model, union, "__p")
+        per = scored.groupBy("__feature", "__repeat").agg(_r2(F.col(target), F.col("__p")).alias("r2"))
+        return (per.groupBy(F.col("__feature").alias("feature"))
+                .agg(F.avg(F.lit(base) - F.col("r2")).alias("importance_mean"),
+                     F.stddev_pop(F.lit(base) - F.col("r2")).alias("importance_std"))
+                .orderBy(F.desc("importance_mean")))
+
+
+def _r2(y, p):
+    sse = F.sum(F.pow(y - p, 2))
+    sst = F.sum(F.pow(y, 2)) - F.pow(F.sum(y), 2) / F.count(y)
+    return F.when(sst > 0, 1 - sse / sst).otherwise(F.lit(0.0))
+
+
+def competitor_eligibility(split: DataFrame, comps: list[str], skip_missing: float = 0.40) -> DataFrame:
+    """Per competitor: train missing rate, rows quoted per part, and whether a model is trained."""
+    parts = split.groupBy().agg(*[
+        x for c in comps for x in (
+            F.avg(F.when(F.col("_split") == "train", F.col(c).isNull().cast("double"))).alias(f"{c}__miss"),
+            F.count_if((F.col("_split") == "train") & F.col(c).isNotNull()).alias(f"{c}__train"),
+            F.count_if((F.col("_split") == "validation") & F.col(c).isNotNull()).alias(f"{c}__validation"),
+            F.count_if((F.col("_split") == "test") & F.col(c).isNotNull()).alias(f"{c}__test"))])
+    stacked = parts.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("competitor"), F.col(f"{c}__miss").alias("missing_rate_train"),
+                 F.col(f"{c}__train").alias("n_train"), F.col(f"{c}__validation").alias("n_validation"),
+                 F.col(f"{c}__test").alias("n_test")) for c in comps])).alias("s")).select("s.*")
+    ok = ((F.col("missing_rate_train") <= skip_missing) & (F.col("n_train") >= 20)
+          & (F.col("n_validation") >= 10) & (F.col("n_test") >= 10))
+    return stacked.withColumn("eligible", ok)
+
+
+def competitor_models(split: DataFrame, comps: list[str], features, categorical, numeric, date_column: str,
+                      kind: str = "glm_gamma", skip_missing: float = 0.40, params: dict | None = None) -> DataFrame:
+    """One model per eligible competitor on the rows where it quoted; unweighted metrics per part."""
+    from quotelens.operators.metrics import regression_metrics
+    from quotelens.operators.splits import recency_weight
+    from quotelens.spec import PanelSpec
+    elig = [r.competitor for r in competitor_eligibility(split, comps, skip_missing).where("eligible").collect()]
+    out = None
+    for c in elig:
+        rows = split.where(F.col(c).isNotNull())
+        train = rows.where(F.col("_split") == "train")
+        cutoff = train.agg(F.max(date_column).alias("m")).first().m
+        spec = PanelSpec(date_column=date_column)
+        train_w = recency_weight(train, spec, as_of=cutoff)
+        m = fit_price_model(train_w, c, features, categorical, numeric, kind=kind, weight="training_weight",
+                            params=params, date_column=date_column)
+        met = regression_metrics(predict(m, rows, "__pc"), c, "__pc", by=["_split"]).withColumn(
+            "competitor", F.lit(c))
+        out = met if out is None else out.unionByName(met)
+    if out is None:
+        return split.sparkSession.createDataFrame([], "competitor string")
+    return out
+
+
+def production_window(df: DataFrame, target: str, date_column: str, lookback_months: int) -> DataFrame:
+    """Rows of the latest look-back window (cutoff = max date over all rows) with a target."""
+    from quotelens.functions.nullsafe import minus_months
+    from quotelens.operators.splits import ts_lit
+    cutoff = df.agg(F.max(date_column).alias("c")).first().c
+    start = minus_months(ts_lit(cutoff), lookback_months)
+    d = F.col(date_column)
+    return df.where((d >= start) & (d <= ts_lit(cutoff)) & F.col(target).isNotNull())
+
+
+def time_validated_search(train: DataFrame, validation: DataFrame, target: str, features, categorical, numeric,
+                          kind: str, grid: list[dict], metric: str = "mape", weight: str | None = None,
+                          date_column: str | None = None) -> DataFrame:
+    """Fit each parameter set on train, score the time-ordered validation part: trial table
+    (trial, params JSON, metric value); d2/gini are maximised, the others minimised."""
+    import json
+    from quotelens.operators.metrics import regression_metrics
+    spark = train.sparkSession
+    rows = []
+    for i, params in enumerate(grid):
+        m = fit_price_model(train, target, features, categorical, numeric, kind=kind, weight=weight,
+                            params=params, date_column=date_column)
+        met = regression_metrics(predict(m, validation, "__ps"), target, "__ps").first().asDict()
+        rows.append((i, json.dumps(params, sort_keys=True), float(met[metric]) if met[metric] is not None else None))
+    return spark.createDataFrame(rows, "trial int, params string, value double").withColumn(
+        "metric", F.lit(metric)).withColumn("direction", F.lit("maximize" if metric in ("d2", "gini") else "minimize"))
+
+
+def best_trial(trials: DataFrame) -> DataFrame:
+    """Best trial by its direction (M10) and running best over trials."""
+    from pyspark.sql import Window
+    d = trials.first().direction if trials.limit(1).count() else "minimize"
+    order = F.desc("value") if d == "maximize" else F.asc("value")
+    w = Window.orderBy("trial").rowsBetween(Window.unboundedPreceding, 0)
+    running = (F.max("value") if d == "maximize" else F.min("value")).over(w)
+    return trials.withColumn("running_best", running).withColumn(
+        "is_best", F.row_number().over(Window.orderBy(order, "trial")) == 1)
+
+
+def apply_params(kind: str, params: dict, base: dict | None = None) -> dict:
+    """Tuned parameters written over the configured ones, on a copy."""
+    out = dict(DEFAULT_PARAMS.get(kind, {}))
+    out.update(base or {})
+    out.update(params or {})
+    return out

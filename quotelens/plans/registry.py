@@ -71,3 +71,4 @@ def load_all() -> None:
     from quotelens.plans import queries_core  # noqa: F401
     from quotelens.plans import queries_model  # noqa: F401
     from quotelens.plans import queries_views  # noqa: F401
+    from quotelens.plans import queries_ml  # noqa: F401
