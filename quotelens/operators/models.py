@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 import os
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -54,10 +54,7 @@ class PriceModel:
     global_mean: float | None = None
 
     def meta(self) -> dict:
-        d = asdict(self)
-        d.pop("pipeline", None)
-        d.pop("cells", None)
-        return d
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("pipeline", "cells")}
 
 
 def _modes(df: DataFrame, categorical: list[str]) -> dict[str, str | None]:

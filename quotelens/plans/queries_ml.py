@@ -286,3 +286,104 @@ def time_validated_search(spark, sf_dir):
         ev.features, ev.categorical, ev.numeric, "glm_gamma", SEARCH_GRID, "mape", weight="training_weight",
         date_column=SPEC.date_column)
     return ML.best_trial(trials)
+
+
+# ---------------------------------------------------------------- sources, sinks, artifacts (S*, G*)
+import uuid  # noqa: E402
+
+from quotelens.operators import views as V  # noqa: E402
+from quotelens.plans.oracle import quotes_cte  # noqa: E402
+from quotelens.plans.queries_core import QCOLS  # noqa: E402
+from quotelens.session import stage_path  # noqa: E402
+from quotelens.sources import io as IO  # noqa: E402
+from quotelens.sources import manifest as G  # noqa: E402
+
+
+def _stage(spark, name):
+    return stage_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("scan_csv", wrap("SELECT * FROM quotes", QCOLS, quotes_cte()))
+def scan_csv(spark, sf_dir):
+    """CSV round trip of the quote panel: write with header, read back with inferred schema."""
+    path = _stage(spark, "quotes") + ".csv"
+    IO.write_table(panel(spark, sf_dir), path, fmt="csv")
+    return IO.load_dataset(spark, path)
+
+
+@register("sink_roundtrip", wrap(
+    "SELECT quote_id, CAST(qmonth AS DATE) AS quote_month, tgt AS " + T + " FROM feat "
+    "WHERE qmonth >= TIMESTAMP '2000-01-01'", f"quote_id:i, quote_month:date, {T}:d", FEAT))
+def sink_roundtrip(spark, sf_dir):
+    """Market table written as parquet partitioned by month, read back with a pruned month filter."""
+    eng, _ = engineered(spark, sf_dir)
+    path = _stage(spark, "market")
+    IO.write_table(V.add_month(eng, SPEC.date_column).select("quote_id", V.MONTH, T), path,
+                   partition_by=[V.MONTH])
+    return IO.load_dataset(spark, path).where(F.col(V.MONTH) >= F.lit("2000-01-01").cast("date"))
+
+
+@register("handoff_export", wrap(
+    "SELECT quote_id, quote_date, _split, prediction FROM pred WHERE quote_date >= TIMESTAMP '1997-01-01' "
+    "AND quote_date <= TIMESTAMP '2000-12-31' AND region IN ('EUROPE', 'ASIA') AND _split IN ('train', 'validation')",
+    "quote_id:i, quote_date:ts, _split:s, prediction:d", EVAL_SQL))
+def handoff_export(spark, sf_dir):
+    """Filtered view exported as CSV and read back (V1 + S7)."""
+    ev = evaluation(spark, sf_dir)
+    f = V.apply_filters(ev.scored, SPEC.date_column, "1997-01-01", "2000-12-31", {"region": ["EUROPE", "ASIA"]},
+                        ["train", "validation"]).select("quote_id", "quote_date", "_split", "prediction")
+    path = _stage(spark, "handoff") + ".csv"
+    IO.export_filtered(f, path)
+    return IO.load_dataset(spark, path, "quote_id long, quote_date timestamp_ntz, _split string, prediction double")
+
+
+@register("score_anchor")
+def score_anchor(spark, sf_dir):
+    """Frozen anchor model saved, hashed, loaded and used to batch-score raw quotes."""
+    from quotelens.operators.anchors import model_digest, score_anchor as score
+    ev = evaluation(spark, sf_dir)
+    path = _stage(spark, "model")
+    ML.save_model(ev.model, path)
+    digest = model_digest(spark, path)
+    loaded = ML.load_model(spark, path)
+    return score(panel(spark, sf_dir), SPEC, loaded, digest)
+
+
+def _artifacts(spark, sf_dir):
+    ev = evaluation(spark, sf_dir)
+    root = _stage(spark, "run")
+    arts = {"model": root + "/model", "market_data": root + "/market_data", "quality": root + "/data_quality"}
+    ML.save_model(ev.model, arts["model"])
+    IO.write_table(ev.scored.select("quote_id", "quote_date", "_split", T, "prediction"), arts["market_data"])
+    IO.write_records(C.quality_profile(panel(spark, sf_dir), SPEC), arts["quality"])
+    return arts
+
+
+@register("artifact_manifest")
+def artifact_manifest(spark, sf_dir):
+    """Manifest of run artifacts: sha-256 and bytes per artifact, config hash."""
+    arts = _artifacts(spark, sf_dir)
+    return G.artifact_manifest(spark, arts, {"spec": repr(SPEC)}).drop("path")
+
+
+@register("manifest_verify")
+def manifest_verify(spark, sf_dir):
+    """Listed vs recomputed hashes: verified / mismatch / missing."""
+    arts = _artifacts(spark, sf_dir)
+    listed = G.artifact_manifest(spark, arts).persist()
+    listed.count()
+    IO.write_table(panel(spark, sf_dir).limit(0), arts["market_data"])  # stale artifact replaced
+    return G.verify_manifest(spark, listed, arts).select("artifact", "status")
+
+
+@register("stream_score")
+def stream_score(spark, sf_dir):
+    """Quote files scored incrementally by a Structured Streaming job with a checkpoint (C1 on a stream)."""
+    from quotelens.streaming.score_stream import score_stream
+    ev = evaluation(spark, sf_dir)
+    src, out = _stage(spark, "stream-in"), _stage(spark, "stream-out")
+    q = panel(spark, sf_dir)
+    IO.write_table(q, src)
+    query = score_stream(spark, src, q.schema, SPEC, ev.model, out, _stage(spark, "stream-ckpt"))
+    query.awaitTermination()
+    return spark.read.parquet(out)
