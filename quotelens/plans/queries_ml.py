@@ -387,3 +387,96 @@ def stream_score(spark, sf_dir):
     query = score_stream(spark, src, q.schema, SPEC, ev.model, out, _stage(spark, "stream-ckpt"))
     query.awaitTermination()
     return spark.read.parquet(out)
+
+
+# ---------------------------------------------------------------- remaining inventory items
+@register("model_features", wrap(
+    "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{c}', '{k}')" for i, (c, k) in enumerate(
+        [(c, "categorical") for c in ("channel", "region", "vehicle_segment", "coverage_type")]
+        + [(c, "numeric") for c in ("driver_age", "vehicle_age", "claim_count_3y", "sum_insured", "quote_year",
+                                    "quote_month", "quote_quarter", "quote_weekofyear", "quote_dayofweek",
+                                    "quote_time_days", "quote_month_sin", "quote_month_cos", "quote_dayofweek_sin",
+                                    "quote_dayofweek_cos")])) + ") v(position, feature, kind)",
+    "position:i, feature:s, kind:s"))
+def model_features(spark, sf_dir):
+    """Model features after leakage exclusions, in order."""
+    from quotelens.operators.features import select_model_features
+    eng, meta = engineered(spark, sf_dir)
+    feats, cat, _ = select_model_features(eng, SPEC, meta)
+    return spark.createDataFrame([(i, f, "categorical" if f in cat else "numeric") for i, f in enumerate(feats)],
+                                 "position long, feature string, kind string")
+
+
+@register("impute_encode")
+def impute_encode(spark, sf_dir):
+    """Imputation values learnt by the fitted preprocessing: numeric medians, categorical levels (M1)."""
+    ev = _glm(spark, sf_dir)
+    stages = ev.model.pipeline.stages
+    rows = []
+    for st in stages:
+        name = type(st).__name__
+        if name == "ImputerModel":
+            sur = st.surrogateDF.first().asDict()
+            rows += [(k.replace("__num_", ""), "median", str(v)) for k, v in sur.items()]
+        if name == "StringIndexerModel":
+            for col, labels in zip(st.getInputCols(), st.labelsArray):
+                rows += [(col.replace("__cat_", ""), "level", lab) for lab in labels]
+    return spark.createDataFrame(rows, "feature string, kind string, value string")
+
+
+@register("basket_index")
+def basket_index(spark, sf_dir):
+    """Fixed-basket price index per month scored with the gamma GLM."""
+    from quotelens.operators import basket as B
+    from quotelens.plans.queries_model import CATS, NUMS
+    ev = _glm(spark, sf_dir)
+    train = ev.split.where(F.col("_split") == "train")
+    basket = B.reference_basket(train, list(CATS), list(NUMS))
+    return B.basket_index(basket, ev.model, ev.split, SPEC.date_column)
+
+
+def _per_competitor_predictions(spark, sf_dir):
+    from quotelens.operators.splits import recency_weight
+    from quotelens.plans.pipeline import ANCHOR_CELLS
+    ev = evaluation(spark, sf_dir)
+    out = ev.scored
+    for c in ev.meta.competitor_columns:
+        train = ev.split.where((F.col("_split") == "train") & F.col(c).isNotNull())
+        cutoff = train.agg(F.max("quote_date").alias("m")).first().m
+        m = ML.fit_price_model(recency_weight(train, SPEC, as_of=cutoff), c, [], list(ANCHOR_CELLS), [],
+                               kind="segment_mean", weight="training_weight", cells=list(ANCHOR_CELLS))
+        out = ML.predict(m, out, f"pred_{c}")
+    preds = [f"pred_{c}" for c in ev.meta.competitor_columns]
+    s = F.sort_array(F.array(*[F.col(p) for p in preds]))
+    return V.add_month(out.withColumn("derived_top3", (F.get(s, 0) + F.get(s, 1) + F.get(s, 2)) / 3.0),
+                       SPEC.date_column)
+
+
+_PC = ",\n".join(
+    f"""c_{c} AS (SELECT vehicle_segment, coverage_type, sum(w * {c}) / sum(w) AS cm FROM (
+      SELECT *, pow(0.5, greatest(floor((epoch_us((SELECT max(quote_date) FROM lb WHERE _split = 'train'
+        AND {c} IS NOT NULL)) - epoch_us(quote_date)) / 86400000000.0), 0) / 60.0) AS w
+      FROM lb WHERE _split = 'train' AND {c} IS NOT NULL) GROUP BY 1, 2),
+g_{c} AS (SELECT sum(w * {c}) / sum(w) AS gm FROM (
+      SELECT *, pow(0.5, greatest(floor((epoch_us((SELECT max(quote_date) FROM lb WHERE _split = 'train'
+        AND {c} IS NOT NULL)) - epoch_us(quote_date)) / 86400000000.0), 0) / 60.0) AS w
+      FROM lb WHERE _split = 'train' AND {c} IS NOT NULL))""" for c in COMPS)
+_JOINS = " ".join(
+    f"LEFT JOIN c_{c} ON p.vehicle_segment IS NOT DISTINCT FROM c_{c}.vehicle_segment AND p.coverage_type "
+    f"IS NOT DISTINCT FROM c_{c}.coverage_type" for c in COMPS)
+_PREDS = "[" + ", ".join(f"coalesce(c_{c}.cm, (SELECT gm FROM g_{c}))" for c in COMPS) + "]"
+
+
+@register("derived_top3", wrap(
+    "SELECT CAST(qmonth AS DATE) AS quote_month, _split, avg(derived_top3) AS mean_derived_top3, "
+    "avg(prediction) AS mean_prediction, avg(tgt) AS mean_actual FROM (SELECT p.*, (list_sort(" + _PREDS
+    + ")[1] + list_sort(" + _PREDS + ")[2] + list_sort(" + _PREDS + ")[3]) / 3.0 AS derived_top3 FROM pred p "
+    + _JOINS + ") GROUP BY 1, 2",
+    "quote_month:date, _split:s, mean_derived_top3:d, mean_prediction:d, mean_actual:d",
+    EVAL_SQL + ",\n" + _PC))
+def derived_top3(spark, sf_dir):
+    """Top-3 mean derived from per-competitor anchors vs the aggregate anchor vs actual, by month."""
+    d = _per_competitor_predictions(spark, sf_dir)
+    return d.groupBy(V.MONTH, "_split").agg(
+        F.avg("derived_top3").alias("mean_derived_top3"), F.avg("prediction").alias("mean_prediction"),
+        F.avg(T).alias("mean_actual"))
