@@ -383,7 +383,8 @@ ee AS (SELECT * FROM sh WHERE side = 'ref'), aa AS (SELECT * FROM sh WHERE side
 psi AS (SELECT coalesce(ee.feature, aa.feature) AS feature,
           sum((greatest(coalesce(aa.share, 0), 1e-6) - greatest(coalesce(ee.share, 0), 1e-6))
               * ln(greatest(coalesce(aa.share, 0), 1e-6) / greatest(coalesce(ee.share, 0), 1e-6))) AS psi
-        FROM ee FULL OUTER JOIN aa ON ee.feature = aa.feature AND ee.label = aa.label GROUP BY 1),
+        FROM ee FULL OUTER JOIN aa ON ee.feature = aa.feature AND ee.label = aa.label
+        WHERE coalesce(ee.feature, aa.feature) IN (SELECT feature FROM aa) GROUP BY 1),
 names AS (SELECT * FROM (VALUES {", ".join(f"('{c}', 'categorical')" for c in cat)}{", " if cat and num else ""}{", ".join(f"('{c}', 'numeric')" for c in num)}) v(feature, type)),
 dt AS (SELECT names.feature, names.type, coalesce(psi.psi, 0.0) AS psi FROM names LEFT JOIN psi USING (feature))"""
 
