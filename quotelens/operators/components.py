@@ -70,7 +70,7 @@ def engineer_market_features(df: DataFrame, spec: PanelSpec,
     if materialize_rows:
         # the scalar aggregates below would otherwise recompute the input plan
         from quotelens.session import materialize
-        out = materialize(out)
+        out = materialize(out, "market-rows")
     mkt = list(comp_cols)
 
     if spec.add_competitor_distribution:

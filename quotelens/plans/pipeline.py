@@ -36,6 +36,12 @@ class Evaluation:
 def evaluate(panel: DataFrame, spec: PanelSpec, kind: str = "segment_mean",
              params: dict | None = None, cells=ANCHOR_CELLS) -> Evaluation:
     eng, meta = engineer_market_features(panel, spec)
+    return evaluate_engineered(eng, meta, spec, kind, params, cells)
+
+
+def evaluate_engineered(eng: DataFrame, meta: FeatureMeta, spec: PanelSpec, kind: str = "segment_mean",
+                        params: dict | None = None, cells=ANCHOR_CELLS) -> Evaluation:
+    """Split, look-back, recency-weighted fit on train, predictions for all parts."""
     split = train_lookback(time_split(eng, spec), spec)
     feats, cat, num = select_model_features(eng, spec, meta)
     train = split.where(F.col(SPLIT) == "train")

@@ -161,10 +161,11 @@ def demand_improvement(spark, sf_dir):
 
 # ---------------------------------------------------------------- Spark ML models (M*)
 def _glm(spark, sf_dir, kind="glm_gamma"):
-    from quotelens.plans.pipeline import evaluate
+    from quotelens.plans.pipeline import evaluate_engineered
     key = ("_ml", kind, id(spark), sf_dir)
     if key not in _ML:
-        _ML[key] = evaluate(panel(spark, sf_dir), SPEC, kind=kind)
+        eng, meta = engineered(spark, sf_dir)
+        _ML[key] = evaluate_engineered(eng, meta, SPEC, kind=kind)
     return _ML[key]
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quotelens.operators import metrics as M
 from quotelens.operators import splits as S
 from quotelens.plans.oracle import eval_ctes, features_ctes, metrics_sql, split_ctes, wrap
-from quotelens.plans.pipeline import evaluate
+from quotelens.plans.pipeline import evaluate_engineered
 from quotelens.plans.registry import SPEC, engineered, panel, register
 
 T = SPEC.target_column
@@ -23,7 +23,8 @@ def evaluation(spark, sf_dir):
     """The segment-mean evaluation run over the quote panel (memoised per session and folder)."""
     key = (id(spark), sf_dir)
     if key not in _EVAL_CACHE:
-        _EVAL_CACHE[key] = evaluate(panel(spark, sf_dir), SPEC)
+        eng, meta = engineered(spark, sf_dir)
+        _EVAL_CACHE[key] = evaluate_engineered(eng, meta, SPEC)
     return _EVAL_CACHE[key]
 
 

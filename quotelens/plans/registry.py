@@ -61,9 +61,19 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_panel(spark, sf_dir)
 
 
+_STAGES: dict = {}
+
+
 def engineered(spark: SparkSession, sf_dir: str, spec: PanelSpec = SPEC):
+    """The engineered market table, written once per session and data folder as a parquet
+    stage table and read back by every query that needs it."""
     from quotelens.operators.components import engineer_market_features
-    return engineer_market_features(panel(spark, sf_dir), spec)
+    from quotelens.session import materialize
+    key = (id(spark), sf_dir, spec)
+    if key not in _STAGES:
+        eng, meta = engineer_market_features(panel(spark, sf_dir), spec)
+        _STAGES[key] = (materialize(eng, "market"), meta)
+    return _STAGES[key]
 
 
 def load_all() -> None:

@@ -55,15 +55,19 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "stages", name)
 
 
-def materialize(df):
-    """Cut lineage: persist, write a reliable checkpoint in the shared folder, release the cache.
+def materialize(df, name: str = "stage", partition_by: list[str] | None = None):
+    """Cut lineage with a written parquet stage table in the shared checkpoint folder.
 
-    Persisting first means the checkpoint job reads the cached rows instead
-    of recomputing the plan; the returned frame reads the checkpoint files.
+    Unlike an RDD checkpoint, reads of the stage table keep parquet column
+    pruning, filter push-down and (with ``partition_by``) partition pruning, and
+    the table survives lost executors: a failed downstream task re-reads files
+    instead of recomputing the upstream plan.
     """
-    from pyspark import StorageLevel
-    checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    import uuid
+    spark = df.sparkSession
+    path = stage_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.parquet(path)
