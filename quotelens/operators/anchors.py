@@ -90,27 +90,35 @@ def rolling_model_anchor(df: DataFrame, spec: PanelSpec, features: list[str], ca
     eligible = [r[0] for r in present.join(windows, PERIOD).where(F.col("count") >= spec.min_train_rows)
                 .select(PERIOD).collect()]
 
-    def fit_month(p):
+    import uuid
+    from quotelens.session import stage_path
+    spark = df.sparkSession
+    root = stage_path(spark, f"anchors-{uuid.uuid4().hex[:12]}")
+    cols = rows.columns
+
+    def fit_month(i_p):
+        i, p = i_p
         lo = ts_lit(p) - F.make_ym_interval(F.lit(0), F.lit(spec.lookback_months))
         train = rows.where((d >= lo) & (d < ts_lit(p)) & F.col(spec.target_column).isNotNull())
         train_w = recency_weight(train, spec, as_of=p)
         model = fit_price_model(train_w, spec.target_column, features, categorical, numeric, kind=kind,
                                 weight="training_weight", params=params, date_column=spec.date_column)
         month_rows = rows.where(F.col(PERIOD) == ts_lit(p))
-        return predict(model, month_rows, "market_anchor").withColumns({
+        scored = predict(model, month_rows, "market_anchor").select(*cols, "market_anchor").withColumns({
             "anchor_training_start": ts_lit(model.training_start),
             "anchor_training_cutoff": ts_lit(model.training_cutoff),
             "anchor_training_rows": F.lit(model.training_rows).cast("double"),
         })
+        # one folder per month: a small plan per job, and a retried month rewrites only its folder
+        scored.write.mode("overwrite").parquet(f"{root}/month={i}")
 
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        parts = list(pool.map(fit_month, sorted(eligible)))
-    done = None
-    for part in parts:
-        done = part if done is None else done.unionByName(part)
-    scored_keys = done.select(PERIOD).distinct() if done is not None else None
-    rest = rows if scored_keys is None else rows.join(maybe_broadcast(scored_keys), PERIOD, "left_anti")
+        list(pool.map(fit_month, enumerate(sorted(eligible))))
+    done = spark.read.parquet(root).drop("month") if eligible else None
+    scored_keys = F.broadcast(spark.createDataFrame([(p,) for p in eligible], f"{PERIOD} timestamp_ntz")) \
+        if eligible else None
+    rest = rows if scored_keys is None else rows.join(scored_keys, PERIOD, "left_anti")
     rest = rest.withColumns({"market_anchor": F.lit(None).cast("double"),
                              "anchor_training_start": F.lit(None).cast("timestamp_ntz"),
                              "anchor_training_cutoff": F.lit(None).cast("timestamp_ntz"),
