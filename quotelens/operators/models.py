@@ -30,7 +30,7 @@ from quotelens.operators.joins import attach_group_values
 ESTIMATORS = ("glm_gamma", "gbt_log", "rf", "segment_mean")
 
 DEFAULT_PARAMS = {
-    "glm_gamma": {"maxIter": 50, "regParam": 0.0},
+    "glm_gamma": {"maxIter": 50, "regParam": 1e-4},  # tiny ridge: one-hot + calendar columns are collinear
     "gbt_log": {"maxIter": 60, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 1.0},
     "rf": {"numTrees": 60, "maxDepth": 8},
     "segment_mean": {},
