@@ -27,7 +27,7 @@ def _partials(group_names: list[str], c: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         cur_key = None
-        state = None  # [pid, seq, S, A, B]
+        state = None  # [pid, seq, S, A, B, AB, first_a, first_b, n]
         seq = 0
         for pdf in batches:
             if pdf.empty:
@@ -51,7 +51,7 @@ def _partials(group_names: list[str], c: float):
                     if state is not None:
                         out.append((*cur_key, *state))
                     cur_key = key
-                    state = [pid, seq, 0.0, 0.0, 0.0]
+                    state = [pid, seq, 0.0, 0.0, 0.0, 0.0, float(a_all[s]), float(b_all[s]), 0]
                     seq += 1
                 a = a_all[s:e]
                 b = b_all[s:e]
@@ -59,16 +59,19 @@ def _partials(group_names: list[str], c: float):
                 state[2] += float(np.sum(a * (before + c * b)))
                 state[3] += float(np.sum(a))
                 state[4] += float(np.sum(b))
+                state[5] += float(np.sum(a * b))
+                state[8] += int(e - s)
         if state is not None:
             out.append((*cur_key, *state))
-        cols = [*group_names, "pid", "seq", "S", "A", "B"]
+        cols = [*group_names, "pid", "seq", "S", "A", "B", "AB", "first_a", "first_b", "n"]
         yield pd.DataFrame(out, columns=cols)
     return run
 
 
 def ordered_cross_sum(df: DataFrame, groups: list[str], order: list[Column], a: Column, b: Column,
                       c: float = 1.0, partitions: int | None = None) -> dict[tuple, dict]:
-    """Per group: {'S': ..., 'A': sum a, 'B': sum b} (see module doc)."""
+    """Per group: S (see module doc), A = sum a, B = sum b, AB = sum a*b, the first row's
+    (a, b) in the order, and the row count n."""
     spark = df.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
@@ -80,14 +83,18 @@ def ordered_cross_sum(df: DataFrame, groups: list[str], order: list[Column], a:
               .withColumn("__pid", F.spark_partition_id()))
     group_fields = [f for f in sel.schema.fields if f.name in groups]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in group_fields]
-                       + ["pid int", "seq int", "S double", "A double", "B double"])
+                       + ["pid int", "seq int", "S double", "A double", "B double", "AB double",
+                          "first_a double", "first_b double", "n long"])
     parts = ranged.select(*groups, "__a", "__b", "__pid").mapInPandas(_partials(groups, c), schema)
     rows = sorted(parts.collect(), key=lambda r: (r.pid, r.seq))
     result: dict[tuple, dict] = {}
     for r in rows:
         key = tuple(r[g] for g in groups)
-        acc = result.setdefault(key, {"S": 0.0, "A": 0.0, "B": 0.0})
+        acc = result.setdefault(key, {"S": 0.0, "A": 0.0, "B": 0.0, "AB": 0.0, "n": 0,
+                                      "first_a": r.first_a, "first_b": r.first_b})
         acc["S"] += r.S + r.A * acc["B"]
         acc["A"] += r.A
         acc["B"] += r.B
+        acc["AB"] += r.AB
+        acc["n"] += r.n
     return result

@@ -86,22 +86,19 @@ def regression_metrics(df: DataFrame, actual: str, pred: str, weight: str | None
 
 
 def _concentration(df: DataFrame, by: list[str], score: Column, tie: Column, y: Column, w: Column) -> dict:
-    """Per group 1 - 2 * trapezoid area of (cum weight share, cum loss share), (0,0) excluded."""
-    loss = y * w
-    cross = ordered_cross_sum(df, by, [score, tie], w, loss, c=1.0)
-    firsts = {tuple(r[g] for g in by): (r.fw, r.fl) for r in df.groupBy(*by).agg(
-        F.min_by(F.struct(w.alias("w"), loss.alias("l")), F.struct(score, tie)).alias("f"))
-        .select(*by, F.col("f.w").alias("fw"), F.col("f.l").alias("fl")).collect()}
-    sums = {tuple(r[g] for g in by): r.swl for r in
-            df.groupBy(*by).agg(F.sum(w * loss).alias("swl")).collect()}
+    """Per group 1 - 2 * trapezoid area of (cum weight share, cum loss share), (0,0) excluded.
+
+    With C_i the cumulative loss up to row i, the area is
+    (2 * sum w_i C_i - sum w_i l_i - w_1 l_1) / (2 W L); all terms come from one ordered pass.
+    """
+    cross = ordered_cross_sum(df, by, [score, tie], w, y * w, c=1.0)
     out = {}
     for key, acc in cross.items():
         W, L = acc["A"], acc["B"]
-        fw, fl = firsts[key]
         if W == 0 or L == 0:
             out[key] = None
             continue
-        area = (2 * acc["S"] - sums[key] - fw * fl) / (2 * W * L)
+        area = (2 * acc["S"] - acc["AB"] - acc["first_a"] * acc["first_b"]) / (2 * W * L)
         out[key] = 1 - 2 * area
     return out
 
@@ -113,18 +110,25 @@ def gini(df: DataFrame, actual: str, pred: str, weight: str | None = None,
     Ties in the score are broken by ``tiebreak`` (an id column) when given,
     else by the monotonically increasing row id of the input.
     """
+    from pyspark import StorageLevel
     by = list(by)
+    y, p = F.col(actual).cast("double"), F.col(pred).cast("double")
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
     base = usable_rows(df, actual, pred)
     if tiebreak is None:
         base = base.withColumn("__tie", F.monotonically_increasing_id())
         tiebreak = "__tie"
-    y, p = F.col(actual).cast("double"), F.col(pred).cast("double")
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    tie = F.col(tiebreak)
-    raw = _concentration(base, by, p, tie, y, w)
-    perfect = _concentration(base, by, y, tie, y, w)
-    stats = {tuple(r[g] for g in by): (r.n, r.sy) for r in
-             base.groupBy(*by).agg(F.count("*").alias("n"), F.sum(y).alias("sy")).collect()}
+    # two orderings read the same rows: keep only the needed columns, once
+    base = base.select(*by, y.alias("__y"), p.alias("__p"), w.alias("__w"),
+                       F.col(tiebreak).alias("__t")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yy, pp, ww, tie = F.col("__y"), F.col("__p"), F.col("__w"), F.col("__t")
+        raw = _concentration(base, by, pp, tie, yy, ww)
+        perfect = _concentration(base, by, yy, tie, yy, ww)
+        stats = {tuple(r[g] for g in by): (r.n, r.sy) for r in
+                 base.groupBy(*by).agg(F.count("*").alias("n"), F.sum("__y").alias("sy")).collect()}
+    finally:
+        base.unpersist()
     rows = []
     for key, (n, sy) in stats.items():
         r, pf = raw.get(key), perfect.get(key)
@@ -132,12 +136,11 @@ def gini(df: DataFrame, actual: str, pred: str, weight: str | None = None,
         if n >= 2 and sy != 0 and r is not None and pf is not None and abs(pf) > 1e-12:
             val = round(r / pf, 6)
         rows.append((*key, val))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields if f.name in by]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in by]
                        + ["gini double"])
-    spark = df.sparkSession
     if not rows and not by:
         rows = [(None,)]
-    return spark.createDataFrame(rows, schema)
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def lift_table(df: DataFrame, actual: str, pred: str, n_quantiles: int = 10,
