@@ -91,9 +91,13 @@ def _narrow(values: DataFrame, ranks: list[int], n: int, lo: float, hi: float,
     return result
 
 
-def order_statistics(df: DataFrame, expr: Column | str, ranks: list[int],
-                     buckets: int = DEFAULT_BUCKETS) -> tuple[dict[int, float], int]:
-    """k-th smallest non-null values (1-based ranks) of ``expr`` and the count n."""
+def order_statistics(df: DataFrame, expr: Column | str, ranks, buckets: int = DEFAULT_BUCKETS
+                     ) -> tuple[dict[int, float], int]:
+    """k-th smallest non-null values of ``expr`` (1-based ranks) and the count n.
+
+    ``ranks`` is a list, or a function of n returning one (so callers that need
+    n to choose ranks pay for one first aggregate only).
+    """
     x = F.col(expr) if isinstance(expr, str) else expr
     values = df.select(x.cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
     values = values.persist(StorageLevel.MEMORY_AND_DISK)
@@ -102,9 +106,10 @@ def order_statistics(df: DataFrame, expr: Column | str, ranks: list[int],
         n = int(agg.n)
         if n == 0:
             return {}, 0
-        wanted = sorted({min(max(int(r), 1), n) for r in ranks})
+        wanted_in = ranks(n) if callable(ranks) else ranks
+        wanted = sorted({min(max(int(r), 1), n) for r in wanted_in})
         found = _narrow(values, wanted, n, float(agg.lo), float(agg.hi), buckets)
-        return {r: found[min(max(int(r), 1), n)] for r in ranks}, n
+        return {r: found[min(max(int(r), 1), n)] for r in wanted_in}, n
     finally:
         values.unpersist()
 
@@ -122,20 +127,16 @@ def _positions(probs: list[float], n: int) -> list[tuple[int, int, float]]:
 def quantiles(df: DataFrame, expr: Column | str, probs: list[float],
               mode: str = "exact", accuracy: int = 100_000) -> list[float | None]:
     """Linear-interpolated quantiles of a column (NULLs ignored)."""
+    x = F.col(expr) if isinstance(expr, str) else expr
     if mode == "approx":
-        x = F.col(expr) if isinstance(expr, str) else expr
         row = df.select(F.percentile_approx(x.cast("double"), list(probs), accuracy).alias("q")).first()
         return list(row.q) if row.q is not None else [None] * len(probs)
-    # the count is taken inside order_statistics; ranks need it first
-    x = F.col(expr) if isinstance(expr, str) else expr
-    n = df.where(x.isNotNull() & ~F.isnan(x.cast("double"))).count()
+    stats, n = order_statistics(
+        df, x, lambda n: sorted({r for lo, hi, _ in _positions(probs, n) for r in (lo, hi)}))
     if n == 0:
         return [None] * len(probs)
-    pos = _positions(probs, n)
-    ranks = sorted({r for lo, hi, _ in pos for r in (lo, hi)})
-    stats, _ = order_statistics(df, x, ranks)
     out = []
-    for lo, hi, frac in pos:
+    for lo, hi, frac in _positions(probs, n):
         a, b = stats[lo], stats[hi]
         out.append(a + (b - a) * frac if frac else a)
     return out

@@ -65,14 +65,13 @@ _STAGES: dict = {}
 
 
 def engineered(spark: SparkSession, sf_dir: str, spec: PanelSpec = SPEC):
-    """The engineered market table, written once per session and data folder as a parquet
-    stage table and read back by every query that needs it."""
+    """The engineered market table, built once per session and data folder. Its row-wise
+    stage is a parquet stage table (written inside ``engineer_market_features``); what sits
+    on top is a projection and a size-checked broadcast join of segment means."""
     from quotelens.operators.components import engineer_market_features
-    from quotelens.session import materialize
     key = (id(spark), sf_dir, spec)
     if key not in _STAGES:
-        eng, meta = engineer_market_features(panel(spark, sf_dir), spec)
-        _STAGES[key] = (materialize(eng, "market"), meta)
+        _STAGES[key] = engineer_market_features(panel(spark, sf_dir), spec)
     return _STAGES[key]
 
 
