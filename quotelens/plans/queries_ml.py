@@ -481,3 +481,19 @@ def derived_top3(spark, sf_dir):
     return d.groupBy(V.MONTH, "_split").agg(
         F.avg("derived_top3").alias("mean_derived_top3"), F.avg("prediction").alias("mean_prediction"),
         F.avg(T).alias("mean_actual"))
+
+
+@register("current_performance", wrap(
+    "SELECT * FROM " + metrics_sql("cp", []), "d2:d, r2:d, rmse:d, rmsle:d, mae:d, mape:d, mean_bias:d, "
+    "mean_bias_pct:d, gini:d, n:i",
+    EVAL_SQL + """,
+cp AS (SELECT f.*, coalesce(c.cell_mean, (SELECT gm FROM gmean)) AS prediction FROM feat f
+       LEFT JOIN cellm c ON f.vehicle_segment IS NOT DISTINCT FROM c.vehicle_segment
+        AND f.coverage_type IS NOT DISTINCT FROM c.coverage_type
+       WHERE f.quote_date >= TIMESTAMP '2000-01-01')"""))
+def current_performance(spark, sf_dir):
+    """Accuracy of the frozen anchor on current (from 2000) quotes that have a target."""
+    from quotelens.plans.queries_model import sides
+    ev = evaluation(spark, sf_dir)
+    _, cur = sides(spark, sf_dir)
+    return M.regression_metrics(ML.predict(ev.model, cur), T, "prediction", tiebreak="quote_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quotelens.operators import views as V
 from quotelens.plans.oracle import COMPS, wrap
-from quotelens.plans.queries_model import EVAL_SQL, HIST_SQL, evaluation, historical
+from quotelens.plans.queries_model import BASKET_SQL, EVAL_SQL, HIST_SQL, evaluation, historical
 from quotelens.plans.registry import SPEC, register
 
 T = SPEC.target_column
@@ -444,7 +444,18 @@ def conversion_by_band(spark, sf_dir):
                             {"conversion_rate": F.avg("converted"), "n": F.count("*")}, min_rows=20)
 
 
-@register("index_vs_raw")
+@register("index_vs_raw", wrap("""
+SELECT i.quote_month, i.mean_prediction, i.p25_prediction, i.p75_prediction, i.n_profiles, r.raw_mean_target
+FROM (SELECT CAST(m AS DATE) AS quote_month, avg(p) AS mean_prediction, quantile_cont(p, 0.25) AS p25_prediction,
+        quantile_cont(p, 0.75) AS p75_prediction, count(*) AS n_profiles
+      FROM (SELECT m.m, greatest(coalesce(c.cell_mean, (SELECT gm FROM gmean)), 0) AS p
+            FROM basket b CROSS JOIN (SELECT unnest(generate_series(date_trunc('month', min(quote_date)),
+                                      date_trunc('month', max(quote_date)), INTERVAL 1 MONTH)) AS m FROM lb) m
+            LEFT JOIN cellm c ON b.vehicle_segment IS NOT DISTINCT FROM c.vehicle_segment
+              AND b.coverage_type IS NOT DISTINCT FROM c.coverage_type) z GROUP BY 1) i
+LEFT JOIN (SELECT CAST(qmonth AS DATE) AS quote_month, avg(tgt) AS raw_mean_target FROM pred GROUP BY 1) r
+  USING (quote_month)""", "quote_month:date, mean_prediction:d, p25_prediction:d, p75_prediction:d, n_profiles:i, "
+    "raw_mean_target:d", BASKET_SQL))
 def index_vs_raw(spark, sf_dir):
     """Basket index joined to the raw monthly mean target (V9)."""
     from quotelens.plans.queries_model import basket_index_segmean
