@@ -36,18 +36,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_LOCAL_DIRS: dict = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and stage tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; otherwise (local
-    runs and tests only) creates a fresh folder and records it in the session.
+    Uses ``spark.checkpoint.dir`` when the cluster names one (or the context's
+    checkpoint folder when one was set). Only when neither exists (local runs,
+    tests) a fresh local folder is created and registered with the context;
+    core settings cannot be changed on a running session, so it is remembered
+    here instead.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="quotelens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+        key = sc.applicationId
+        if key not in _LOCAL_DIRS:
+            _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="quotelens-ckpt-")
+        configured = _LOCAL_DIRS[key]
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured
 
 
