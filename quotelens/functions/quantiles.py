@@ -28,64 +28,63 @@ DIRECT_READ_ROWS = 20_000
 
 def _narrow(values: DataFrame, ranks: list[int], n: int, lo: float, hi: float,
             buckets: int) -> dict[int, float]:
-    """values: one non-null double column ``x``; ranks are 1-based."""
-    # state per rank: (lo, hi, rows below lo)
-    state = {r: (lo, hi, 0) for r in ranks}
+    """values: one non-null double column ``x``; ranks are 1-based.
+
+    Each candidate range carries its row count from the previous pass, so a
+    pass is either one histogram job (ranges still large) or one read of the
+    rows of all small ranges together (bounded by DIRECT_READ_ROWS per range).
+    """
+    # state per rank: (lo, hi, rows below lo, rows in [lo, hi])
+    state = {r: (lo, hi, 0, n) for r in ranks}
     result: dict[int, float] = {}
+    x = F.col("x")
     for _ in range(64):
-        active = {r: s for r, s in state.items() if r not in result}
+        active = {r: st for r, st in state.items() if r not in result}
         if not active:
             break
-        ranges = sorted({(s[0], s[1], s[2]) for s in active.values()})
-        for j, (a, b, _) in enumerate(ranges):
+        for r, (a, b, _, _) in active.items():
             if a == b:
-                for r, s in active.items():
-                    if (s[0], s[1]) == (a, b):
-                        result[r] = a
-        ranges = [rg for rg in ranges if rg[0] != rg[1]]
-        if not ranges:
-            continue
-        # small ranges: read their rows directly (bounded by DIRECT_READ_ROWS each)
-        counts = values.select(*[
-            F.count_if((F.col("x") >= a) & (F.col("x") <= b)).alias(f"c{j}")
-            for j, (a, b, _) in enumerate(ranges)
-        ]).first()
-        hist_ranges = []
-        for j, (a, b, below) in enumerate(ranges):
-            cnt = counts[f"c{j}"]
-            if cnt <= DIRECT_READ_ROWS:
-                xs = [row.x for row in values.where((F.col("x") >= a) & (F.col("x") <= b))
-                      .orderBy("x").collect()]
-                for r, s in active.items():
-                    if (s[0], s[1], s[2]) == (a, b, below):
-                        result[r] = xs[r - below - 1]
-            else:
-                hist_ranges.append((a, b, below))
-        if not hist_ranges:
+                result[r] = a
+        active = {r: st for r, st in active.items() if r not in result}
+        if not active:
+            break
+        ranges = sorted(set(active.values()))
+        small = [rg for rg in ranges if rg[3] <= DIRECT_READ_ROWS]
+        large = [rg for rg in ranges if rg[3] > DIRECT_READ_ROWS]
+        if small:
+            cond = None
+            for a, b, _, _ in small:
+                c = (x >= a) & (x <= b)
+                cond = c if cond is None else cond | c
+            xs = sorted(row.x for row in values.where(cond).collect())
+            for a, b, below, _ in small:
+                inside = [v for v in xs if a <= v <= b]
+                for r, st in active.items():
+                    if st[:3] == (a, b, below):
+                        result[r] = inside[r - below - 1]
+        if not large:
             continue
         tagged = []
-        for j, (a, b, _) in enumerate(hist_ranges):
+        for j, (a, b, _, _) in enumerate(large):
             width = (b - a) / buckets
-            bucket = F.least(F.floor((F.col("x") - F.lit(a)) / F.lit(width)).cast("long"),
-                             F.lit(buckets - 1))
-            tagged.append(F.when((F.col("x") >= a) & (F.col("x") <= b),
-                                 F.struct(F.lit(j).alias("j"), bucket.alias("b"))))
-        hist = (values.select(F.col("x"), F.explode(F.array_compact(F.array(*tagged))).alias("t"))
+            bucket = F.least(F.floor((x - F.lit(a)) / F.lit(width)).cast("long"), F.lit(buckets - 1))
+            tagged.append(F.when((x >= a) & (x <= b), F.struct(F.lit(j).alias("j"), bucket.alias("b"))))
+        hist = (values.select(x, F.explode(F.array_compact(F.array(*tagged))).alias("t"))
                 .groupBy(F.col("t.j").alias("j"), F.col("t.b").alias("b"))
                 .agg(F.count("*").alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
                 .collect())
         by_range: dict[int, list] = {}
         for row in hist:
             by_range.setdefault(row.j, []).append(row)
-        for j, (a, b, below) in enumerate(hist_ranges):
+        for j, rg in enumerate(large):
             bins = sorted(by_range.get(j, []), key=lambda r: r.b)
-            for r, s in active.items():
-                if (s[0], s[1], s[2]) != (a, b, below):
+            for r, st in active.items():
+                if st != rg:
                     continue
-                acc = below
+                acc = rg[2]
                 for bn in bins:
                     if acc + bn.c >= r:
-                        state[r] = (bn.mn, bn.mx, acc)
+                        state[r] = (bn.mn, bn.mx, acc, bn.c)
                         break
                     acc += bn.c
     return result
