@@ -28,68 +28,99 @@ DIRECT_READ_ROWS = 20_000
 
 def _narrow(values: DataFrame, ranks: list[int], n: int, lo: float, hi: float,
             buckets: int) -> dict[int, float]:
-    """values: one non-null double column ``x``; ranks are 1-based.
+    """values: one non-null double column ``x``; ranks are 1-based."""
+    found = _narrow_keyed(values.withColumn("k", F.lit("0")), {"0": ranks}, {"0": (n, lo, hi)}, buckets)
+    return {r: v for (_, r), v in found.items()}
 
-    Each candidate range carries its row count from the previous pass, so a
-    pass is either one histogram job (ranges still large) or one read of the
-    rows of all small ranges together (bounded by DIRECT_READ_ROWS per range).
+
+def _narrow_keyed(values: DataFrame, wanted: dict, init: dict, buckets: int) -> dict:
+    """Histogram narrowing for many groups at once.
+
+    ``values``: columns ``k`` (group key, text) and non-null double ``x``;
+    ``wanted``: key -> 1-based ranks; ``init``: key -> (n, min, max). Each pass
+    joins the values with the small table of open ranges (key, id, lo, hi) on the
+    key (a broadcast hash join; its size is keys x ranks) and then either
+    histograms the rows of the large ranges (one grouped job) or reads the rows of
+    the small ones (bounded by DIRECT_READ_ROWS each). Each range carries its row
+    count from the previous pass.
     """
-    # state per rank: (lo, hi, rows below lo, rows in [lo, hi])
-    state = {r: (lo, hi, 0, n) for r in ranks}
-    result: dict[int, float] = {}
+    spark = values.sparkSession
+    state = {(k, r): (init[k][1], init[k][2], 0, init[k][0]) for k, rs in wanted.items() for r in rs}
+    result: dict = {}
     x = F.col("x")
     for _ in range(64):
-        active = {r: st for r, st in state.items() if r not in result}
-        if not active:
-            break
-        for r, (a, b, _, _) in active.items():
+        active = {kr: st for kr, st in state.items() if kr not in result}
+        for kr, (a, b, _, _) in active.items():
             if a == b:
-                result[r] = a
-        active = {r: st for r, st in active.items() if r not in result}
+                result[kr] = a
+        active = {kr: st for kr, st in active.items() if kr not in result}
         if not active:
             break
-        ranges = sorted(set(active.values()))
-        small = [rg for rg in ranges if rg[3] <= DIRECT_READ_ROWS]
-        large = [rg for rg in ranges if rg[3] > DIRECT_READ_ROWS]
+        ranges = sorted({(kr[0], *st) for kr, st in active.items()}, key=lambda t: (str(t[0]), t[1:]))
+        small = [(j, rg) for j, rg in enumerate(ranges) if rg[4] <= DIRECT_READ_ROWS]
+        large = [(j, rg) for j, rg in enumerate(ranges) if rg[4] > DIRECT_READ_ROWS]
+
+        def joined(items):
+            table = spark.createDataFrame([(str(k), j, float(a), float(b), (b - a) / buckets)
+                                           for j, (k, a, b, _, _) in items],
+                                          "k string, j int, a double, b double, w double")
+            return values.join(F.broadcast(table), "k").where((x >= F.col("a")) & (x <= F.col("b")))
+
         if small:
-            cond = None
-            for a, b, _, _ in small:
-                c = (x >= a) & (x <= b)
-                cond = c if cond is None else cond | c
-            xs = sorted(row.x for row in values.where(cond).collect())
-            for a, b, below, _ in small:
-                inside = [v for v in xs if a <= v <= b]
-                for r, st in active.items():
-                    if st[:3] == (a, b, below):
-                        result[r] = inside[r - below - 1]
+            rows = joined(small).select("j", "x").collect()
+            per: dict[int, list] = {}
+            for r in rows:
+                per.setdefault(r.j, []).append(r.x)
+            for j, (k, a, b, below, _) in small:
+                inside = sorted(per.get(j, []))
+                for (kk, r), st in active.items():
+                    if kk == k and st[:3] == (a, b, below):
+                        result[(kk, r)] = inside[r - below - 1]
         if not large:
             continue
-        tagged = []
-        for j, (a, b, _, _) in enumerate(large):
-            width = (b - a) / buckets
-            bucket = F.least(F.floor((x - F.lit(a)) / F.lit(width)).cast("long"), F.lit(buckets - 1))
-            tagged.append(F.when((x >= a) & (x <= b), F.struct(F.lit(j).alias("j"), bucket.alias("b"))))
-        hist = (values.select(x, F.explode(F.array_compact(F.array(*tagged))).alias("t"))
-                .groupBy(F.col("t.j").alias("j"), F.col("t.b").alias("b"))
-                .agg(F.count("*").alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                .collect())
+        bucket = F.least(F.floor((x - F.col("a")) / F.col("w")).cast("long"), F.lit(buckets - 1))
+        hist = (joined(large).groupBy("j", bucket.alias("b"))
+                .agg(F.count("*").alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect())
         by_range: dict[int, list] = {}
         for row in hist:
             by_range.setdefault(row.j, []).append(row)
-        for j, rg in enumerate(large):
+        for j, (k, *rg) in large:
             bins = sorted(by_range.get(j, []), key=lambda r: r.b)
-            for r, st in active.items():
-                if st != rg:
+            for (kk, r), st in active.items():
+                if kk != k or list(st) != rg:
                     continue
                 acc = rg[2]
                 for bn in bins:
                     if acc + bn.c >= r:
-                        state[r] = (bn.mn, bn.mx, acc, bn.c)
+                        state[(kk, r)] = (bn.mn, bn.mx, acc, bn.c)
                         break
                     acc += bn.c
     return result
 
 
+def grouped_quantiles(long: DataFrame, key: str, value: str, probs: list[float]) -> dict:
+    """Exact linear quantiles of ``value`` per ``key`` (few keys, e.g. features), all keys
+    served by the same passes; memory bounded per task whatever the distinct values."""
+    from pyspark import StorageLevel
+    values = (long.select(F.col(key).cast("string").alias("k"), F.col(value).cast("double").alias("x"))
+              .where(F.col("x").isNotNull() & ~F.isnan("x")).persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        init = {r.k: (int(r.n), float(r.lo), float(r.hi)) for r in values.groupBy("k").agg(
+            F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
+        wanted = {k: sorted({q for lo, hi, _ in _positions(probs, n) for q in (lo, hi)}) for k, (n, _, _) in init.items()}
+        found = _narrow_keyed(values, wanted, init, DEFAULT_BUCKETS)
+    finally:
+        values.unpersist()
+    out = {}
+    for k, (n, _, _) in init.items():
+        qs = []
+        for lo, hi, frac in _positions(probs, n):
+            a, b = found[(k, lo)], found[(k, hi)]
+            qs.append(a + (b - a) * frac if frac else a)
+        out[k] = qs
+    return out
+
+
 def order_statistics(df: DataFrame, expr: Column | str, ranks, buckets: int = DEFAULT_BUCKETS
                      ) -> tuple[dict[int, float], int]:
     """k-th smallest non-null values of ``expr`` (1-based ranks) and the count n.

@@ -123,8 +123,11 @@ def segment_aggressiveness(df: DataFrame, target: str, segs: list[str],
     One partial+final aggregate per segment, joined back null-safely; the join
     broadcasts the segment table only when its counted size is small.
     """
+    from quotelens.session import materialize
     overall = df.agg(F.avg(target).alias("m")).first().m
-    seg = df.groupBy(*segs).agg(F.avg(target).alias("__seg_mean"))
+    # one row per segment, written once: later reads see its real (file) size for the
+    # broadcast check instead of re-aggregating the rows in every downstream query
+    seg = materialize(df.groupBy(*segs).agg(F.avg(target).alias("__seg_mean")), "segments")
     joined = attach_group_values(df, seg, segs)
     if overall is None:
         return joined.withColumn(name, F.lit(None).cast("double")).drop("__seg_mean")
