@@ -71,7 +71,7 @@ def rolling_segment_anchor(df: DataFrame, spec: PanelSpec, cells: list[str]) ->
 
 def rolling_model_anchor(df: DataFrame, spec: PanelSpec, features: list[str], categorical: list[str],
                          numeric: list[str], kind: str = "glm_gamma", params: dict | None = None,
-                         workers: int = 4) -> DataFrame:
+                         workers: int = 8) -> DataFrame:
     """Rolling anchors with a Spark ML estimator: one fit per month on its window.
 
     The month list is read once (one row per month); window sizes come from one
