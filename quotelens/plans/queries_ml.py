@@ -371,8 +371,7 @@ def artifact_manifest(spark, sf_dir):
 def manifest_verify(spark, sf_dir):
     """Listed vs recomputed hashes: verified / mismatch / missing."""
     arts = _artifacts(spark, sf_dir)
-    listed = G.artifact_manifest(spark, arts).persist()
-    listed.count()
+    listed = G.read_manifest(spark, G.write_manifest(G.artifact_manifest(spark, arts), _stage(spark, "manifest")))
     IO.write_table(panel(spark, sf_dir).limit(0), arts["market_data"])  # stale artifact replaced
     return G.verify_manifest(spark, listed, arts).select("artifact", "status")
 

@@ -50,3 +50,14 @@ def require_verified(spark: SparkSession, manifest: DataFrame, name: str, path:
     status = verify_manifest(spark, manifest.where(F.col("artifact") == name), {name: path}).first()
     if status is None or status.status != "verified":
         raise ValueError(f"Artifact integrity check failed for {name}: {path}")
+
+
+def write_manifest(manifest: DataFrame, path: str) -> str:
+    """Freeze the listed hashes as a JSON record (a cached frame would be re-computed when an
+    artifact path is overwritten, silently re-listing the new content)."""
+    manifest.coalesce(1).write.mode("overwrite").json(path)
+    return path
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("artifact string, path string, sha256 string, bytes long, config_sha256 string").json(path)
