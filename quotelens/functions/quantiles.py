@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 4096
-DIRECT_READ_ROWS = 20_000
+DIRECT_READ_ROWS = 20_000      # a range this small is read directly...
+DIRECT_READ_TOTAL = 200_000    # ...as long as one pass reads at most this many rows in all
 
 
 def _narrow(values: DataFrame, ranks: list[int], n: int, lo: float, hi: float,
@@ -57,8 +58,13 @@ def _narrow_keyed(values: DataFrame, wanted: dict, init: dict, buckets: int) ->
         if not active:
             break
         ranges = sorted({(kr[0], *st) for kr, st in active.items()}, key=lambda t: (str(t[0]), t[1:]))
-        small = [(j, rg) for j, rg in enumerate(ranges) if rg[4] <= DIRECT_READ_ROWS]
-        large = [(j, rg) for j, rg in enumerate(ranges) if rg[4] > DIRECT_READ_ROWS]
+        small, large, budget = [], [], DIRECT_READ_TOTAL
+        for j, rg in enumerate(ranges):
+            if rg[4] <= DIRECT_READ_ROWS and rg[4] <= budget:
+                small.append((j, rg))
+                budget -= rg[4]
+            else:
+                large.append((j, rg))
 
         def joined(items):
             table = spark.createDataFrame([(str(k), j, float(a), float(b), (b - a) / buckets)

@@ -56,3 +56,17 @@ def test_missing_features_raise(spark):
                         cells=["region"])
     with pytest.raises(ValueError):
         predict(m, df.select("id", "driver_age"))
+
+
+def test_order_statistics_exact_when_direct_reads_are_capped(spark, monkeypatch):
+    import quotelens.functions.quantiles as Qm
+    monkeypatch.setattr(Qm, "DIRECT_READ_ROWS", 50)
+    monkeypatch.setattr(Qm, "DIRECT_READ_TOTAL", 60)
+    monkeypatch.setattr(Qm, "DEFAULT_BUCKETS", 8)
+    rnd = random.Random(3)
+    vals = [float(rnd.randint(0, 400)) / 7 for _ in range(5000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    s = sorted(vals)
+    ranks = [1, 250, 2500, 2501, 4999, 5000]
+    got, _ = Qm.order_statistics(df, "x", ranks, buckets=8)
+    assert all(got[r] == s[r - 1] for r in ranks)
