@@ -53,3 +53,13 @@ def test_stream_scoring_scores_every_file_row(spark, tmp_path):
     assert scored.count() == 20
     assert scored.where(F.col("market_anchor").isNull()).count() == 0
     assert os.path.isdir(str(tmp_path / "ckpt"))
+
+
+def test_record_sink_writes_nan_as_null_and_iso_times(spark, tmp_path):
+    import json
+    df = spark.createDataFrame([(float("nan"), dt.datetime(2025, 3, 1, 12, 30), "a")],
+                               "d2 double, at timestamp_ntz, name string")
+    path = IO.write_records(df, str(tmp_path / "rec"))
+    part = [f for f in os.listdir(path) if f.endswith(".json")][0]
+    rec = json.loads(open(os.path.join(path, part)).readline())
+    assert rec == {"d2": None, "at": "2025-03-01T12:30:00", "name": "a"}
