@@ -482,7 +482,41 @@ def market_health(spark, sf_dir):
         F.lit(horizon).cast("long").alias("prediction_horizon_days"))
 
 
-@register("refresh_reasons")
+def _refresh_sql():
+    drift = _drift_sql(CAT_F, NUM_F)[len(FEAT):]
+    comps = ["comp_a_premium", "comp_b_premium", "comp_c_premium", "comp_d_premium", "comp_e_premium"]
+    return EVAL_SQL + drift + f""",
+lq AS (SELECT CASE WHEN quote_date < TIMESTAMP '{CURRENT_FROM}' THEN 'ref' ELSE 'cur' END AS side, c.competitor, c.premium
+       FROM quotes, LATERAL (SELECT unnest({comps!r}) AS competitor, unnest([{", ".join(comps)}]) AS premium) c),
+drops AS (SELECT b.competitor, b.r - c.r AS d FROM
+          (SELECT competitor, avg(CASE WHEN premium > 0 THEN 1.0 ELSE 0.0 END) AS r FROM lq WHERE side = 'ref' GROUP BY 1) b
+          JOIN (SELECT competitor, avg(CASE WHEN premium > 0 THEN 1.0 ELSE 0.0 END) AS r FROM lq WHERE side = 'cur' GROUP BY 1) c
+          USING (competitor)),
+hz AS (SELECT CAST(floor((epoch_us(max(quote_date)) - epoch_us((SELECT max(quote_date) FROM trw_n))) / 86400000000.0)
+              AS BIGINT) AS h FROM quotes WHERE quote_date >= TIMESTAMP '{CURRENT_FROM}'),
+cp AS (SELECT f.*, coalesce(c.cell_mean, (SELECT gm FROM gmean)) AS prediction FROM feat f
+       LEFT JOIN cellm c ON f.vehicle_segment IS NOT DISTINCT FROM c.vehicle_segment
+        AND f.coverage_type IS NOT DISTINCT FROM c.coverage_type
+       WHERE f.quote_date >= TIMESTAMP '{CURRENT_FROM}'),
+mb AS (SELECT * FROM {metrics_sql("(SELECT * FROM pred WHERE _split = 'test')", [])}),
+mc AS (SELECT * FROM {metrics_sql("cp", [])}),
+reasons AS (
+  SELECT 'drift' AS "trigger", printf('%d features exceed drift thresholds or are missing', n) AS reason
+  FROM (SELECT count(*) AS n FROM dt WHERE psi >= 0.2) WHERE n > 0
+  UNION ALL SELECT 'horizon', printf('Prediction horizon is %d days; maximum is 90', h) FROM hz WHERE h > 90
+  UNION ALL SELECT 'coverage', 'Competitor quote coverage dropped materially: '
+      || string_agg(printf('%s (%.1f%%)', competitor, d * 100), ', ' ORDER BY competitor)
+    FROM drops WHERE d >= 0.1 HAVING count(*) > 0
+  UNION ALL SELECT 'd2', CASE WHEN mb.d2 IS NULL OR mc.d2 IS NULL
+      THEN 'D² unavailable in baseline or current metrics; cannot evaluate drift'
+      ELSE printf('D² dropped by %.4f', mb.d2 - mc.d2) END FROM mb, mc
+    WHERE mb.d2 IS NULL OR mc.d2 IS NULL OR mb.d2 - mc.d2 >= 0.05
+  UNION ALL SELECT 'rmse', printf('RMSE increased by %.2f', mc.rmse - mb.rmse) FROM mb, mc WHERE mc.rmse - mb.rmse >= 15
+  UNION ALL SELECT 'gini', printf('Gini dropped by %.4f', mb.gini - mc.gini) FROM mb, mc WHERE mb.gini - mc.gini >= 0.05
+  UNION ALL SELECT 'mape', printf('MAPE increased by %.2f%%', mc.mape - mb.mape) FROM mb, mc WHERE mc.mape - mb.mape >= 3)"""
+
+
+@register("refresh_reasons", wrap("SELECT * FROM reasons", "trigger:s, reason:s", _refresh_sql()))
 def refresh_reasons(spark, sf_dir):
     """Retraining triggers: drift, horizon, coverage drops, D2/RMSE/Gini/MAPE changes."""
     from quotelens.operators.models import predict
