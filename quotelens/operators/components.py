@@ -124,10 +124,13 @@ def segment_aggressiveness(df: DataFrame, target: str, segs: list[str],
     broadcasts the segment table only when its counted size is small.
     """
     from quotelens.session import materialize
-    overall = df.agg(F.avg(target).alias("m")).first().m
-    # one row per segment, written once: later reads see its real (file) size for the
-    # broadcast check instead of re-aggregating the rows in every downstream query
-    seg = materialize(df.groupBy(*segs).agg(F.avg(target).alias("__seg_mean")), "segments")
+    # one row per segment (sum, count), written once: later reads see its real (file) size for
+    # the broadcast check, and the global mean comes from this small table, not another scan
+    seg = materialize(df.groupBy(*segs).agg(F.sum(target).alias("__s"), F.count(target).alias("__c")),
+                      "segments")
+    tot = seg.agg(F.sum("__s").alias("s"), F.sum("__c").alias("c")).first()
+    overall = tot.s / tot.c if tot.c else None
+    seg = seg.select(*segs, safe_div(F.col("__s"), F.col("__c")).alias("__seg_mean"))
     joined = attach_group_values(df, seg, segs)
     if overall is None:
         return joined.withColumn(name, F.lit(None).cast("double")).drop("__seg_mean")
