@@ -24,3 +24,18 @@ def test_recency_weight_newer_weighs_more(spark):
     w = [r.training_weight for r in recency_weight(df, PanelSpec(date_column="quote_date")).orderBy("quote_date")
          .collect()]
     assert w[1] > w[0]
+
+
+def test_rows_on_a_cut_date_go_to_the_earlier_part(spark):
+    # 20 rows: dates 0..9 twice each; 20% test/validation cut at the 12th and 16th rows by date
+    rows = [(i, dt.datetime(2025, 1, 1) + dt.timedelta(days=i // 2), float(i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, quote_date timestamp_ntz, y double")
+    s = time_split(df, PanelSpec(date_column="quote_date", validation_fraction=0.2, test_fraction=0.2,
+                                 target=TargetSpec(name="y")))
+    parts = {r.id: r._split for r in s.collect()}
+    # the 12th row (id 11) falls on day 5 together with id 10: both are train
+    assert parts[10] == parts[11] == "train"
+    by_day = {}
+    for i, p in parts.items():
+        by_day.setdefault(i // 2, set()).add(p)
+    assert all(len(v) == 1 for v in by_day.values())
