@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelens.functions.quantiles import group_quantile, quantiles
+from quotelens.functions.quantiles import group_quantile
 from quotelens.functions.temporal import temporal_columns
 from quotelens.operators.models import PriceModel, predict
 
@@ -25,25 +25,32 @@ MAX_LEVELS = 100_000
 
 def basket_levels(df: DataFrame, categorical: list[str], numeric: list[str]) -> dict[str, list]:
     """Sorted distinct non-null levels per categorical; distinct p25/p50/p75 (1 decimal,
-    half-even) per numeric."""
+    half-even) per numeric. One aggregate checks every categorical's level count, one more
+    collects the (bounded) levels, and one keyed narrowing serves all numeric quartiles."""
+    from quotelens.functions.quantiles import grouped_quantiles
     levels: dict[str, list] = {}
-    for c in categorical:
-        if c not in df.columns:
-            continue
-        vals = df.where(F.col(c).isNotNull()).select(F.col(c).cast("string").alias("v")).distinct()
-        n = vals.limit(MAX_LEVELS + 1).count()
-        if n > MAX_LEVELS:
-            raise ValueError(f"{c} has more than {MAX_LEVELS} levels; not a basket dimension")
-        levels[c] = sorted(r.v for r in vals.collect())
-    for c in numeric:
-        if c not in df.columns:
-            continue
-        qs = quantiles(df, c, [0.25, 0.5, 0.75])
-        if any(q is None for q in qs):
-            continue
-        rounded = df.sparkSession.createDataFrame([(float(q),) for q in qs], "q double").select(
-            F.bround("q", 1).alias("q")).collect()
-        levels[c] = sorted({r.q for r in rounded})
+    cats = [c for c in categorical if c in df.columns]
+    if cats:
+        counts = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cats]).first()
+        too_many = [c for c in cats if counts[c] > MAX_LEVELS]
+        if too_many:
+            raise ValueError(f"{too_many} have more than {MAX_LEVELS} levels; not basket dimensions")
+        got = df.agg(*[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(c) for c in cats]).first()
+        for c in cats:
+            levels[c] = list(got[c])
+    nums = [c for c in numeric if c in df.columns]
+    if nums:
+        long = df.select(*[F.col(c).cast("double").alias(c) for c in nums]).unpivot([], nums, "feature", "x")
+        qs = grouped_quantiles(long, "feature", "x", [0.25, 0.5, 0.75])
+        rounded = {}
+        if qs:
+            rows = df.sparkSession.createDataFrame([(f, float(q)) for f, v in qs.items() for q in v],
+                                                   "feature string, q double")
+            for r in rows.select("feature", F.bround("q", 1).alias("q")).collect():
+                rounded.setdefault(r.feature, set()).add(r.q)
+        for c in nums:
+            if c in rounded:
+                levels[c] = sorted(rounded[c])
     return levels
 
 
