@@ -29,3 +29,75 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quotelens.llm.substring_dedup import remove_repeats
     out = remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@register("op3_near_dedup")
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quotelens.llm.hyperminhash import link_documents
+    return link_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op2_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quotelens.llm.langid import identify
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def tokenizer_file(name: str) -> str:
+    """Path of a public vocabulary file (the operators take any path)."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+@register("op4_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quotelens.llm.packing import pack_documents
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@register("op5_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quotelens.llm.unigram import count_tokens, zipf_vocabulary
+    return count_tokens(table(spark, sf_dir, "documents"), zipf_vocabulary(tokenizer_file("piece_bpe_32k.model")))
+
+
+@register("op6_source_mixing")
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quotelens.llm.mixing import mix_sources
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op8_secret_scan")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owners are the sources; a repository is a source's part in one language."""
+    from quotelens.llm import secrets as S
+    docs = table(spark, sf_dir, "documents")
+    found = S.scan_secrets(docs, repo=F.concat_ws("/", "source", "lang"), owner=F.col("source"))
+    base = F.filter("spans", lambda s: s["kind"] < S.BASE_KINDS)
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    live = F.size(F.filter("spans", lambda s: s["verdict"] == "owner_specific")).cast("long")
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        F.sha2(S.digest(base), 256).alias("base_sha256"), S.digest(F.col("spans")).alias("spans"), live.alias("n_owner_specific"))
+
+
+@register("op9_fingerprints")
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quotelens.llm import orderminhash as O
+    out = O.edited_pairs(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+                      O.as_text(F.col("prints")).alias("fingerprint"), O.as_text(F.col("edited_prints")).alias("edited_fingerprint"),
+                      O.likeness(F.col("prints"), F.col("edited_prints")).alias("near_edited"),
+                      O.likeness(F.col("prints"), F.col("next_prints")).alias("near_next"))
+
+
+@register("op7_nearest_neighbours")
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quotelens.llm.ann import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@register("op10_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quotelens.llm.boilerplate import main_texts
+    out = main_texts(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

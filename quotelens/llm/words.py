@@ -114,3 +114,13 @@ def rolling(values: np.ndarray, starts: np.ndarray, k: int, base: int) -> np.nda
     back = pow(base, -1, 1 << 64)
     inverse = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, back, np.uint64)]))
     return mix((prefix[starts + k] - prefix[starts]) * inverse[starts])
+
+
+def per_process(key, make):
+    """What ``make`` returns, once for each Python worker (task functions are unpickled for each task)."""
+    import sys
+    import types
+    home = sys.modules.setdefault("_pipeline_worker_values", types.ModuleType("_pipeline_worker_values")).__dict__
+    if key not in home:
+        home[key] = make()
+    return home[key]
