@@ -37,7 +37,7 @@ HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/@]*@)?(?:www\.)?([^/:?#]+)"
 def suffix_ranks(token: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
     """Rank of each suffix by its first ``depth`` tokens (a power of two), by prefix doubling.
 
-    ``left``: tokens to the end of the page; a shorter suffix is ranked by what it has."""
+    ``left``: tokens to the end of the page's region; a shorter suffix is ranked by what it has."""
     rank, width = token.astype(np.int64), 1
     while width < depth:
         second = np.zeros(len(rank), np.int64)
@@ -88,10 +88,10 @@ def extract(table: pa.Table) -> pa.Table:
             loose += [not contained] * n
         first.append(len(words))
     ids = np.array([code.setdefault(w, len(code)) for w in words], np.int64)
-    row_end = np.repeat(first[1:], np.diff(first))
     wanted, loose = np.array(wanted, bool), np.array(loose, bool)
     if len(ids):
-        left = row_end - np.arange(len(ids))
+        ends = np.union1d(first[1:], np.flatnonzero(np.diff(wanted)) + 1)  # of stretches of one region: no substring spans two
+        left = ends[np.searchsorted(ends, np.arange(len(ids)), "right")] - np.arange(len(ids))
         wanted &= ~boilerplate(ids, np.array(page, np.int64), left, np.array(outside, bool) & ~loose, loose)
     keep = wanted.tolist()
     texts = [" ".join(w for w, k in zip(words[a:b], keep[a:b]) if k) for a, b in zip(first[:-1], first[1:])]

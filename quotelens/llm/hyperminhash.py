@@ -252,3 +252,15 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     component = F.expr("if(id is null, null, coalesce(component, id))")
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
                       F.expr("id is null or coalesce(component, id) = id").alias("kept"))
+
+
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that ``link_documents`` keeps, all columns; of rows that repeat both id and text one stays."""
+    kept = link_documents(docs, id_col, text_col, **options).where("kept").select(F.col(id_col).alias("_id")).distinct()
+    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+    same = docs.groupBy(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash")).agg(F.count("*").alias("n")).where("n > 1")
+    same = materialize(same.select("_id", "_hash"), "repeated")
+    if same.isEmpty():
+        return rows
+    again = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash"))
+    return rows.join(same, again, "left_anti").unionByName(rows.join(same, again, "left_semi").dropDuplicates([id_col, text_col]))

@@ -73,7 +73,7 @@ def count_grams(batches):
 
 def compile_trees(langs: list[str], kept: list[pa.Table]) -> dict:
     """Frozen trees as one table: cost[language][state * symbols + symbol] in bits, and the state of each context."""
-    seen = np.unique(kept[0].column("gram").to_numpy() & 255)
+    seen = np.unique(np.append(kept[0].column("gram").to_numpy() & 255, 0))  # 0 stands before each text
     symbols = len(seen) + 1  # the last one: every byte that no learned text holds
     code = np.full(256, len(seen), np.int32)
     code[seen] = np.arange(len(seen))
@@ -130,7 +130,7 @@ def learn(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> di
             counted = counted.join(top, context == F.col("kept"), "left_semi")
         table = counted.select("lang", "gram", "n").toArrow().sort_by([("lang", "ascending"), ("gram", "ascending")])
         if not order:
-            symbols = len(set((table.column("gram").to_numpy() & 255).tolist())) + 1
+            symbols = len({0, *(table.column("gram").to_numpy() & 255).tolist()}) + 1
         kept.append(table)
     return compile_trees(langs, kept)
 
@@ -167,12 +167,12 @@ def has_letter(texts) -> np.ndarray:
     return out
 
 
-def predict_function(shared):
+def predict_function(shared, text: str, drop: bool):
     def predict(batches):
         trees = shared.value if shared is not None else None
         for whole in batches:
-            for batch in slices(whole, "text"):
-                texts, n = batch.column("text"), batch.num_rows
+            for batch in slices(whole, text):
+                texts, n = batch.column(text), batch.num_rows
                 lang, score, bits = np.full(n, UNDECIDED, object), np.zeros(n), np.zeros(n)
                 if trees:
                     cost = code_lengths(texts, trees)
@@ -182,18 +182,29 @@ def predict_function(shared):
                     size = np.diff(utf8_buffer(texts)[1])
                     lang = np.where(good, np.array(trees["langs"], object)[best], UNDECIDED)
                     score, bits = np.where(good, posterior, 0.0), np.where(good, least / np.maximum(size, 1), 0.0)
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names if c != "text"),
-                                                  pa.array(lang.tolist(), pa.string()), pa.array(score), pa.array(bits)],
-                                                 names=[*(c for c in batch.schema.names if c != "text"), "lang_pred", "score", "bits_per_byte"])
+                names = [c for c in batch.schema.names if not (drop and c == text)]
+                yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(lang.tolist(), pa.string()), pa.array(score), pa.array(bits)],
+                                                 names=[*names, "lang_pred", "score", "bits_per_byte"])
     return predict
 
 
 def predict(rows: DataFrame, trees: dict | None, keep: dict[str, Column], text_col: str = "text") -> DataFrame:
-    """The columns of ``keep`` with lang_pred, score and bits_per_byte for every row."""
+    """The columns of ``keep`` with lang_pred, score and bits_per_byte for every row. The text is
+    kept only if ``keep`` has it, under the name ``_text``."""
     shared = rows.sparkSession.sparkContext.broadcast(trees) if trees else None
-    base = rows.select(*(c.alias(name) for name, c in keep.items()), F.col(text_col).alias("text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema if f.name != "text")
-    return base.mapInArrow(predict_function(shared), f"{fields}, lang_pred string, score double, bits_per_byte double")
+    base = rows.select(*(c.alias(name) for name, c in ({"_text": F.col(text_col)} | keep).items()))
+    drop = "_text" not in keep
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema if not (drop and f.name == "_text"))
+    return base.mapInArrow(predict_function(shared, "_text", drop), f"{fields}, lang_pred string, score double, bits_per_byte double")
+
+
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text has a language at all and whose posterior reaches ``min_score``; all columns stay."""
+    trees = learn(docs.where(~held_out(id_col)), text_col, lang_col)
+    names = {"_text" if c == text_col else f"c{i}": c for i, c in enumerate(docs.columns)}
+    judged = predict(docs, trees, {name: F.col(f"`{c}`") for name, c in names.items()}, text_col)
+    good = judged.where((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= min_score))
+    return good.select(*(F.col(name).alias(c) for name, c in names.items()))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

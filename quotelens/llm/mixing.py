@@ -89,3 +89,15 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return (joined.withColumn("extra", extra)
             .select(F.col("id").alias(id_col), "text_hash", "size", "source", "source_size", "target", "epochs", "extra",
                     (F.col("epochs") * F.col("size") + F.col("extra")).alias("taken")))
+
+
+def draw(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` as ``mix`` takes them: one row for each epoch, and one for a document drawn in part or whole.
+
+    Documents are never cut here, so a source may exceed its budget by a part of one document.
+    Rows that share id and text get the same number of copies."""
+    copies = (mix.groupBy(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"))
+              .agg(F.max(F.col("epochs") + (F.col("extra") > 0).cast("int")).alias("_copies")).where("_copies > 0"))
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_hash"))
+    once = docs.join(copies, same)
+    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies").cast("long")))).select(*docs.columns)
