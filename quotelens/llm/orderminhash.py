@@ -103,16 +103,16 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def next_rows(keys: DataFrame, order: list[Column]) -> DataFrame:
-    """Adds next_id and next_h: the following row's in the order, the first row's after the last."""
+    """Adds next_k and next_h: the following row's keys in the order, the first row's after the last."""
     parts = ranged(keys, *order)
     inside = Window.partitionBy("part").orderBy(*order)
-    local = parts.select("*", F.lead(F.struct("id", "h")).over(inside).alias("after"), F.row_number().over(inside).alias("place"))
+    local = parts.select("*", F.lead(F.struct("k", "h")).over(inside).alias("after"), F.row_number().over(inside).alias("place"))
     across = Window.orderBy("part")
-    heads = local.where("place = 1").select("part", F.struct("id", "h").alias("head"))
+    heads = local.where("place = 1").select("part", F.struct("k", "h").alias("head"))
     first = F.first("head").over(across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     following = heads.select("part", F.coalesce(F.lead("head").over(across), first).alias("head"))
     found = F.when(F.col("after").isNotNull(), F.col("after")).otherwise(F.col("head"))
-    return local.join(following, "part").withColumn("found", found).select(*keys.columns, F.col("found.id").alias("next_id"), F.col("found.h").alias("next_h"))
+    return local.join(following, "part").withColumn("found", found).select(*keys.columns, F.col("found.k").alias("next_k"), F.col("found.h").alias("next_h"))
 
 
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = 3) -> DataFrame:
@@ -123,15 +123,17 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Rows that share id and text follow one another. Rows are keyed by id and a text hash: texts
     are shuffled once by it, and the next row's prefix is sent to it."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("h"), fingerprint(text).alias("prints"))
-    keys = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), F.length(text).alias("n")).groupBy("id", "h").agg(F.first("n").alias("n"), F.count("*").alias("copies"))
+    ident = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit(""))  # null ids have a key of their own
+    rows = docs.select(F.col(id_col).alias("id"), ident.alias("k"), F.xxhash64(text).alias("h"), text.alias("text"), fingerprint(text).alias("prints"))
+    keys = (docs.select(F.col(id_col).alias("id"), ident.alias("k"), F.xxhash64(text).alias("h"), F.length(text).alias("n"))
+            .groupBy("k", "h").agg(F.first("id").alias("id"), F.first("n").alias("n"), F.count("*").alias("copies")))
     wanted = materialize(next_rows(keys, [F.col("id").desc_nulls_last(), F.col("h")]), "next")
-    asks = wanted.select(F.col("id").alias("by_id"), F.col("h").alias("by_h"), "copies", F.expr(f"cast(n div {share} as int)").alias("take"), "next_id", "next_h")
-    heads = (rows.join(asks, F.col("id").eqNullSafe(F.col("next_id")) & (F.col("h") == F.col("next_h")))
-             .select("by_id", "by_h", "copies", "take", F.expr("left(text, take)").alias("head"), F.col("prints").alias("next_prints"))
-             .dropDuplicates(["by_id", "by_h"]))
-    joined = rows.join(heads, F.col("id").eqNullSafe(F.col("by_id")) & (F.col("h") == F.col("by_h")))
-    copy = F.row_number().over(Window.partitionBy("id", "h").orderBy("h"))
+    asks = wanted.select(F.col("k").alias("by_k"), F.col("h").alias("by_h"), "copies", F.expr(f"cast(n div {share} as int)").alias("take"), "next_k", "next_h")
+    heads = (rows.join(asks, (F.col("k") == F.col("next_k")) & (F.col("h") == F.col("next_h")))
+             .select("by_k", "by_h", "copies", "take", F.expr("left(text, take)").alias("head"), F.col("prints").alias("next_prints"))
+             .dropDuplicates(["by_k", "by_h"]))
+    joined = rows.join(heads, (F.col("k") == F.col("by_k")) & (F.col("h") == F.col("by_h")))
+    copy = F.row_number().over(Window.partitionBy("k", "h").orderBy("h"))  # the join's own partitions: no exchange
     joined = joined.withColumn("again", F.when(F.col("copies") > 1, copy).otherwise(F.lit(1)) < F.col("copies"))
     edited = F.concat(F.expr("left(text, length(text) - take)"), F.when(F.col("again"), F.expr("left(text, take)")).otherwise(F.col("head")))
     after = F.when(F.col("again"), F.col("prints")).otherwise(F.col("next_prints"))
