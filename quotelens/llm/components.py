@@ -32,17 +32,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
             .unionByName(found.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one smaller end that is no larger end itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) of every node with a link to another; component: its least reachable node.
 
     Rows with a null end or equal ends are no links. An empty table gives an empty result."""
-    edges = materialize(links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct(), "links")
-    before = None
-    while True:
+    edges = materialize(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links")
+    while not _are_stars(edges):
         edges = materialize(_small_star(_large_star(edges)), "star")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

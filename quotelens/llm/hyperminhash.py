@@ -8,13 +8,19 @@ registers; a register keeps, of the least hash in its bucket, the count of leadi
    third of all rows: it is a partial aggregate, never a pair).
 2. Bands of ``BAND`` compressed registers; documents that agree on a band meet there. At
    similarity 0.75 all 42 bands miss with probability (1 - 0.75**3)**42 < 1e-9.
-3. Within a band, every member is paired with the band's smallest member only. Pairs pass if the
-   collision-corrected Jaccard estimate lies no more than 5 standard errors below the threshold,
-   and are confirmed on the full sets, exactly, in integers.
-4. Connected components of the confirmed links. Bands whose members are not all in one component
-   by then are compared in blocks of ``BLOCK`` members: the sketches are matched as arrays, and
-   only pairs of different components that pass the estimate come out, to be confirmed likewise.
-   So no pair of a band stays untested unless its ends are linked already.
+3. Sketches that meet are compared as arrays, all bands of a batch at once. Two documents may be
+   near if the collision-corrected Jaccard estimate of their sketches lies no more than 5 standard
+   errors below the threshold. No pair comes out of this step: each document only names the
+   representative of the documents of its band that may be near, directly or through others.
+   Connected components of these names are *families*; near documents share one.
+4. Families get their full sets and are compared within themselves: sketches first, then exact
+   intersections, in integers, of packed bits over the shingles that at least two members hold.
+   Documents that are linked already are not compared again, and only the links of a spanning
+   forest come out. Connected components of these links are the result.
+
+Large bands and families are cut into blocks of ``BLOCK`` members, and every two blocks meet in a
+task of their own, so no group is unbounded and none is skipped; rows and shuffles grow with
+documents, not with pairs.
 
 Defined results: null, empty or blank texts have the empty set and are linked with nothing; texts
 of fewer words than a shingle are one shingle; a row with a null id has no component and is kept;
@@ -40,8 +46,8 @@ EMPTY = 0xFFFF
 BAND = 3
 BANDS = REGISTERS // BAND
 BLOCK = 1024
-#: Bytes of sets that one verification task compares with one document.
-VERIFY_BYTES = 16_000_000
+#: Pairs of sketches or bit rows that are compared at once.
+AT_ONCE = 50_000
 SLICE_BYTES = 8_000_000
 
 
@@ -99,7 +105,7 @@ def signature_function(k: int):
                 regs = registers(row, h, batch.num_rows)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("id"), pa.array(n, pa.int64()),
-                    pa.array([xxhash.xxh3_128_hexdigest(raw[8 * (e - c):8 * e]) if c else None for c, e in zip(n.tolist(), end.tolist())], pa.string()),
+                    pa.array([xxhash.xxh3_128_digest(raw[8 * (e - c):8 * e]) if c else None for c, e in zip(n.tolist(), end.tolist())], pa.binary()),
                     pa.array([r.tobytes() if c else None for r, c in zip(regs, n.tolist())], pa.binary())],
                     names=["id", "n_shingles", "set_key", "regs"])
     return signatures
@@ -112,10 +118,10 @@ def sets_function(k: int):
                 row, h = shingles(batch.column("text"), k)
                 n = np.bincount(row, minlength=batch.num_rows)
                 end, raw = np.cumsum(n), h.tobytes()
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("id"),
-                    pa.array([raw[8 * (e - c):8 * e] for c, e in zip(n.tolist(), end.tolist())], pa.binary())],
-                    names=["id", "members"])
+                members = [raw[8 * (e - c):8 * e] for c, e in zip(n.tolist(), end.tolist())]
+                own = [xxhash.xxh3_128_digest(m) == key for m, key in zip(members, batch.column("set_key").to_pylist())]
+                out = pa.RecordBatch.from_arrays([batch.column("id"), batch.column("family"), pa.array(members, pa.binary())], names=["id", "family", "members"])
+                yield out.filter(pa.array(own))  # of rows that repeat the id, those with the class's set
     return sets
 
 
@@ -138,117 +144,205 @@ def band_keys(batches):
                                           pa.array(key[which, band])], names=["id", "n_shingles", "band"])
 
 
-def passes(a: np.ndarray, b: np.ndarray, n_a, n_b, percent: int) -> np.ndarray:
-    """Whether the corrected estimate of two sketches is no more than 5 standard errors below the threshold."""
-    t = percent / 100
-    filled = ((a != EMPTY) | (b != EMPTY)).sum(axis=-1)
-    equal = ((a == b) & (a != EMPTY)).sum(axis=-1)
-    ratio = n_a / n_b
-    chance = 0.169919487159739 * 2.0 ** -MANTISSA * 4 * ratio / (1 + ratio) ** 2  # accidental match of a register
-    estimate = (equal - filled * chance) / np.maximum(filled, 1)
-    return (estimate >= t - 5 * np.sqrt(t * (1 - t) / np.maximum(filled, 1))) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
-
-
-def estimate_function(percent: int):
-    def estimated(batches):
-        for batch in batches:
-            n_a, n_b = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("n_a", "n_b"))
-            if batch.num_rows:
-                good = passes(matrix(batch.column("regs_a")), matrix(batch.column("regs_b")), n_a, n_b, percent)
-                yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good)) for c in ("a", "b", "n_a", "n_b")], names=["a", "b", "n_a", "n_b"])
-    return estimated
-
-
-def block_function(percent: int):
-    def compare(t: pa.Table) -> pa.Table:
-        """Pairs of one block pair that differ in component and pass the estimate."""
-        regs = matrix(t.column("regs"))
-        n = t.column("n_shingles").to_numpy().astype(np.float64)
-        node, label, block = (t.column(c).to_numpy() for c in ("id", "label", "block"))
-        left, right = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        out = []
-        inside = np.flatnonzero(block == right)
-        for x in np.flatnonzero(block == left):
-            other = inside[(label[inside] != label[x]) & ((node[inside] > node[x]) if left == right else True)]
-            if len(other):
-                good = other[passes(regs[x], regs[other], n[x], n[other], percent)]
-                out += [(node[x], node[y], int(n[x]), int(n[y])) for y in good]
-        a, b, n_a, n_b = (list(c) for c in zip(*out)) if out else ([], [], [], [])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n_a": pa.array(n_a, pa.int64()), "n_b": pa.array(n_b, pa.int64())})
-    return compare
-
-
-def verify_function(percent: int):
-    def verify(pairs: pa.Table, one: pa.Table) -> pa.Table:
-        if not pairs.num_rows or not one.num_rows:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        mine = np.frombuffer(one.column("own")[0].as_py(), np.uint64)
-        a, b = [], []
-        for x, y, body in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), pairs.column("members").to_pylist()):
-            other = np.frombuffer(body, np.uint64)
-            common = len(np.intersect1d(mine, other, assume_unique=True))
-            if 100 * common >= percent * (len(mine) + len(other) - common):
-                a.append(x)
-                b.append(y)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-    return verify
-
-
-def confirm(pairs: DataFrame, base: DataFrame, k: int, percent: int) -> DataFrame:
-    """The (a, b) whose full sets reach the threshold. A much-paired document's partners are dealt
-    to several tasks by bytes of sets; its own set is sent to each."""
-    load = (pairs.groupBy("a").agg(F.ceil(F.sum(F.greatest("n_a", "n_b")) * 8 / VERIFY_BYTES).cast("long").alias("parts"))
-            .withColumnRenamed("a", "pivot"))
-    dealt = (pairs.join(load, F.col("a") == F.col("pivot"))
-             .select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part")))
-    needed = pairs.select(F.col("a").alias("need")).unionByName(pairs.select(F.col("b").alias("need"))).distinct()
-    texts = base.join(needed, F.col("id") == F.col("need"), "left_semi")
-    sets = materialize(texts.mapInArrow(sets_function(k), "id long, members binary").dropDuplicates(["id"]), "sets")
-    partners = dealt.join(sets, F.col("b") == F.col("id")).select("a", "part", "b", "members")
-    own = (dealt.select(F.col("a").alias("pivot"), F.col("part").alias("pivot_part")).distinct()
-           .join(sets, F.col("pivot") == F.col("id")).select("pivot", "pivot_part", F.col("members").alias("own")))
-    return partners.groupBy("a", "part").cogroup(own.groupBy("pivot", "pivot_part")).applyInArrow(verify_function(percent), "a long, b long")
+class Sketches:
+    """Sketches of a batch, prepared for comparing rows by number."""
+
+    def __init__(self, regs: np.ndarray, n: np.ndarray, percent: int):
+        empty = regs == EMPTY
+        self.regs, self.other = regs, np.where(empty, np.uint16(EMPTY - 1), regs)  # two empty registers never agree
+        self.used = np.packbits(~empty, axis=1).view(np.uint64)
+        self.n, self.percent = n.astype(np.float64), percent
+
+    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the sets of rows a and b may reach the threshold, by their sizes and their sketches.
+
+        The filled registers hold a sample, without replacement, of the union (at similarity t its
+        size is (n_a + n_b) / (1 + t)), so their error is hypergeometric: nearly none for texts with
+        fewer shingles than registers. A pair passes within 5 standard errors (and one register),
+        and never needs to be lower than if all unsampled shingles were shared."""
+        t, n_a, n_b = self.percent / 100, self.n[a], self.n[b]
+        out = 100 * np.minimum(n_a, n_b) >= self.percent * np.maximum(n_a, n_b)
+        for i in range(0, len(a), AT_ONCE):
+            at = i + np.flatnonzero(out[i:i + AT_ONCE])
+            x, y = a[at], b[at]
+            equal = np.count_nonzero(self.regs[x] == self.other[y], axis=1)
+            filled = np.maximum(np.bitwise_count(self.used[x] | self.used[y]).sum(axis=1), 1)
+            ratio = n_a[at] / n_b[at]
+            chance = 0.169919487159739 * 2.0 ** -MANTISSA * 4 * ratio / (1 + ratio) ** 2  # accidental match of a register
+            estimate = (equal - filled * chance) / filled
+            union = np.maximum((n_a[at] + n_b[at]) / (1 + t), filled)
+            error = np.sqrt(t * (1 - t) / filled * (union - filled) / np.maximum(union - 1, 1))
+            out[at] = estimate >= np.maximum(t - 5 * error - 1 / filled, (t * union - (union - filled)) / filled - 0.01)
+        return out
+
+
+def pairs_by_distance(group: np.ndarray, wanted):
+    """(a, b) row numbers of all pairs of equal ``group`` (sorted) that ``wanted`` holds for: neighbours first,
+    then next but one, and so on; all groups of the batch take part in each step."""
+    left, distance = np.arange(len(group)), 1
+    while len(left):
+        left = left[left + distance < len(group)]
+        left = left[group[left] == group[left + distance]]
+        good = wanted(left, left + distance)
+        if good.any():
+            yield left[good], left[good] + distance
+        distance += 1
+
+
+class Forest:
+    """Union of row numbers; a root is the least row of its tree."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def union(self, a: np.ndarray, b: np.ndarray) -> None:
+        while True:
+            x, y = self.root[a], self.root[b]
+            apart = x != y
+            if not apart.any():
+                return
+            a, b = a[apart], b[apart]
+            np.minimum.at(self.root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+            while True:
+                up = self.root[self.root]
+                if (up == self.root).all():
+                    break
+                self.root = up
+
+
+def edge_batch(ids: np.ndarray, forest: Forest) -> pa.RecordBatch:
+    """(a, b) of every row that is not a root: its id and its root's."""
+    at = np.flatnonzero(forest.root != np.arange(len(ids)))
+    return pa.RecordBatch.from_arrays([pa.array(ids[at], pa.int64()), pa.array(ids[forest.root[at]], pa.int64())], names=["a", "b"])
+
+
+def whole_groups(batches, key):
+    """Tables that hold each group of equal ``key`` (an array of a table; rows come sorted by it) whole."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        k = key(table)
+        change = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
+        if len(change):
+            yield table.slice(0, change[-1]), k[:change[-1]]
+            table = table.slice(change[-1])
+        rest = table
+    if rest is not None and rest.num_rows:
+        yield rest, key(rest)
+
+
+def numbers(table, *columns) -> np.ndarray:
+    return np.stack([table.column(c).to_numpy().astype(np.int64) for c in columns], axis=1)
+
+
+def group_numbers(key: np.ndarray) -> np.ndarray:
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]).any(axis=1)
+    return np.cumsum(new)
+
+
+def shared_bands(batches):
+    """Rows of the bands that at least two rows share; rows come sorted by band."""
+    last = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        band = table.column("band").to_numpy()
+        after = np.append(band[1:] == band[:-1], False)
+        before = np.concatenate([[False], after[:-1]])
+        if last is not None:
+            row, joined = last
+            before[0] = row.column("band")[0].as_py() == band[0]
+            if joined or before[0]:
+                yield from row.to_batches()
+        if len(band) > 1:
+            yield from table.slice(0, len(band) - 1).filter(pa.array((after | before)[:-1])).to_batches()
+        last = (table.slice(len(band) - 1), bool(before[-1]))
+    if last is not None and last[1]:
+        yield from last[0].to_batches()
+
+
+def family_function(percent: int):
+    def families(batches):
+        """Edges between the documents of a band, or of two of its blocks, that may be near."""
+        for table, key in whole_groups(batches, lambda t: numbers(t, "band", "i", "j")):
+            sketches = Sketches(matrix(table.column("regs")), table.column("n_shingles").to_numpy(), percent)
+            ids, block, cross = table.column("id").to_numpy(), table.column("block").to_numpy(), key[:, 1] != key[:, 2]
+            forest = Forest(len(ids))
+            apart = lambda a, b: (forest.root[a] != forest.root[b]) & (~cross[a] | (block[a] != block[b]))
+            for a, b in pairs_by_distance(group_numbers(key), lambda a, b: np.ones(len(a), bool)):
+                some = apart(a, b)
+                a, b = a[some], b[some]
+                good = sketches.near(a, b)
+                forest.union(a[good], b[good])
+            yield edge_batch(ids, forest)
+    return families
+
+
+def link_function(percent: int):
+    def link(table: pa.Table) -> pa.Table:
+        """Links of one family, or of two of its blocks: exact on full sets."""
+        ids, block = table.column("id").to_numpy(), table.column("block").to_numpy()
+        cross = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("members").to_pylist()]
+        n = np.array([len(x) for x in sets], np.int64)
+        row, flat = np.repeat(np.arange(len(sets)), n), np.concatenate(sets)
+        sketches = Sketches(registers(row, flat, len(sets)), n, percent)
+        _, word, times = np.unique(flat, return_inverse=True, return_counts=True)
+        common = times > 1
+        place = (np.cumsum(common) - 1)[word]
+        bits = np.zeros((len(sets), -(-max(int(common.sum()), 1) // 64)), np.uint64)
+        for i, (lo, hi) in enumerate(zip(np.cumsum(n) - n, np.cumsum(n))):
+            own = place[lo:hi][common[word[lo:hi]]]
+            np.bitwise_or.at(bits[i], own >> 6, np.uint64(1) << (own & 63).astype(np.uint64))
+        forest = Forest(len(sets))
+        step = max(1, 4_000_000 // bits.shape[1])
+        for a, b in pairs_by_distance(np.zeros(len(sets), np.int64), lambda a, b: np.ones(len(a), bool)):
+            some = (forest.root[a] != forest.root[b]) & ((block[a] != block[b]) if cross else True)
+            a, b = a[some], b[some]
+            good = sketches.near(a, b)
+            a, b = a[good], b[good]
+            for i in range(0, len(a), step):
+                x, y = a[i:i + step], b[i:i + step]
+                both = np.bitwise_count(bits[x] & bits[y]).sum(axis=1, dtype=np.int64)
+                near = 100 * both >= percent * (n[x] + n[y] - both)
+                forest.union(x[near], y[near])
+        return pa.Table.from_batches([edge_batch(ids, forest)])
+    return link
+
+
+def dealt(members: DataFrame, group: str) -> DataFrame:
+    """Members of groups with their block and the two blocks (i, j) of each task that they take part in."""
+    sizes = members.groupBy(group).agg(F.count("*").alias("size")).where(F.col("size") > BLOCK)
+    large = materialize(sizes.select(F.col(group).alias("large"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "large")
+    placed = (members.join(large, F.col(group) == F.col("large"), "left").drop("large")
+              .withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
+    each = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return each.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "blocks")
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 75) -> DataFrame:
     """id, n_shingles, component_id, kept for every row of ``docs``."""
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sig = materialize(base.mapInArrow(signature_function(shingle), "id long, n_shingles long, set_key string, regs binary"), "sketches")
+    sig = materialize(base.mapInArrow(signature_function(shingle), "id long, n_shingles long, set_key binary, regs binary"), "sketches")
     class_of = materialize(sig.where("set_key is not null and id is not null").groupBy("set_key").agg(F.min("id").alias("rep")), "classes")
     reps = (sig.join(class_of, (sig.set_key == class_of.set_key) & (sig.id == class_of.rep), "left_semi")
             .select("id", "n_shingles", "regs"))
     reps = materialize(reps, "representatives")
     bands = reps.mapInArrow(band_keys, "id long, n_shingles long, band long")
-    groups = bands.groupBy("band").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.min_by("n_shingles", "id").alias("n_least")).where("least < most")
-    shared = materialize(bands.join(groups.select("band", "least", "n_least"), "band"), "bands")
-    star = (shared.where(f"id <> least and 100 * least(n_shingles, n_least) >= {percent} * greatest(n_shingles, n_least)")
-            .select(F.col("least").alias("a"), F.col("id").alias("b"), F.col("n_least").alias("n_a"), F.col("n_shingles").alias("n_b")).distinct())
-    regs = reps.select("id", "regs")
-    sketched = (star.join(regs.toDF("ia", "regs_a"), F.col("a") == F.col("ia")).join(regs.toDF("ib", "regs_b"), F.col("b") == F.col("ib"))
-                .select("a", "b", "n_a", "n_b", "regs_a", "regs_b"))
-    pairs = materialize(sketched.mapInArrow(estimate_function(percent), "a long, b long, n_a long, n_b long"), "pairs")
-    links = materialize(confirm(pairs, base, shingle, percent), "confirmed")
-    found = materialize(components(links, "a", "b"), "components")
-
-    labelled = (shared.join(found, F.col("id") == F.col("node"), "left")
-                .select("band", "id", "n_shingles", F.coalesce("component", "id").alias("label")))
-    open_bands = (labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size"))
-                  .where("x < y").select("band", F.ceil(F.col("size") / BLOCK).cast("long").alias("blocks")))
-    rest = (labelled.join(open_bands, "band").join(regs.toDF("ir", "regs"), F.col("id") == F.col("ir"))
-            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-            .select("band", "id", "n_shingles", "label", "block", "regs",
-                    F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
-    more = rest.groupBy("band", "i", "j").applyInArrow(block_function(percent), "a long, b long, n_a long, n_b long")
-    more = materialize(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                                   F.expr("if(a < b, n_a, n_b)").alias("n_a"), F.expr("if(a < b, n_b, n_a)").alias("n_b"))
-                       .distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-    if not more.isEmpty():
-        links = links.unionByName(confirm(more, base, shingle, percent))
-        found = materialize(components(links, "a", "b"), "components")
+    shared = materialize(bands.repartition("band").sortWithinPartitions("band").mapInArrow(shared_bands, "id long, n_shingles long, band long"), "bands")
+    met = dealt(shared, "band").join(reps.select(F.col("id").alias("rep"), "regs"), F.col("id") == F.col("rep")).drop("rep")
+    together = met.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    families = components(together.mapInArrow(family_function(percent), "a long, b long"), "a", "b")
+    families = families.join(class_of, F.col("node") == F.col("rep")).select("node", F.col("component").alias("family"), "set_key")
+    families = materialize(families, "families")
+    texts = base.join(families, F.col("id") == F.col("node")).select("id", "text", "family", "set_key")
+    members = materialize(texts.mapInArrow(sets_function(shingle), "id long, family long, members binary"), "members")
+    links = dealt(members, "family").groupBy("family", "i", "j").applyInArrow(link_function(percent), "a long, b long")
+    found = components(links, "a", "b")
     classes = (class_of.join(found, F.col("rep") == F.col("node"), "left")
                .select(F.col("set_key").alias("key"), F.coalesce("component", "rep").alias("component")))
-    out = sig.join(classes, F.col("set_key") == F.col("key"), "left")
+    out = sig.select("id", "n_shingles", "set_key").join(classes, F.col("set_key") == F.col("key"), "left")
     component = F.expr("if(id is null, null, coalesce(component, id))")
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
                       F.expr("id is null or coalesce(component, id) = id").alias("kept"))

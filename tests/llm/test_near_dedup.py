@@ -52,7 +52,7 @@ def test_matches_brute_force_with_edge_rows(spark):
     assert len({c for _, c in want.values()}) < len(want) - 20
 
 
-def test_bands_left_open_are_compared_in_blocks(spark, monkeypatch):
+def test_large_bands_and_families_are_compared_in_blocks(spark, monkeypatch):
     """Texts that share a long passage meet in bands without being near their smallest member."""
     monkeypatch.setattr(H, "BLOCK", 4)
     passage = " ".join(f"p{i}" for i in range(60))
