@@ -13,6 +13,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+DAY_MICROS = 86_400_000_000
+
+
 def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -40,9 +43,16 @@ def floor_at(c, minimum: float = 1e-6) -> Column:
 
 def elapsed_days(later, earlier) -> Column:
     """Whole 24-hour periods from ``earlier`` to ``later`` (floored, may be negative)."""
-    a = F.unix_micros(col_(later).cast("timestamp"))
-    b = F.unix_micros(col_(earlier).cast("timestamp"))
-    return F.floor((a - b) / F.lit(86_400_000_000)).cast("long")
+    return F.floor((ntz_micros(later) - ntz_micros(earlier)) / F.lit(DAY_MICROS)).cast("long")
+
+
+def ntz_micros(c) -> Column:
+    """Microseconds since 1970-01-01 of a wall-clock time, from its parts: no session time zone takes part,
+    so a day has 24 hours across a clock change too."""
+    t = col_(c).cast("timestamp_ntz")
+    days = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    seconds = F.extract(F.lit("SECOND"), t) * F.lit(1_000_000)
+    return days * F.lit(DAY_MICROS) + F.hour(t) * F.lit(3_600_000_000) + F.minute(t) * F.lit(60_000_000) + seconds.cast("long")
 
 
 def minus_months(ts, months: int) -> Column:

@@ -3,12 +3,12 @@
 ``order_statistics`` finds the k-th smallest values of a column by histogram
 narrowing: each pass buckets the rows that fall inside the current candidate
 range into at most ``buckets`` equal-width bins (one ``groupBy`` with map-side
-partial aggregation, result bounded by ``buckets`` x ranks rows), keeps the bin
-that holds the wanted rank, and shrinks the range to that bin's actual
+partial aggregation), finds the bin of each wanted rank by running sums over
+the bucket table on the cluster, and shrinks the range to that bin's actual
 min/max. It stops when a bin holds one distinct value, or few enough rows to
-be read directly. Memory is bounded everywhere, a value shared by a third of
-all rows ends the search at once, and no partition or task ever holds a whole
-group.
+be sorted in one task. Only the chosen bins (one row for each rank) reach the
+driver, a value shared by a third of all rows ends the search at once, and no
+task ever holds a whole group.
 
 Quantiles use linear interpolation between order statistics (position
 ``p * (n - 1)``), the numpy/DuckDB ``quantile_cont`` convention.
@@ -19,12 +19,11 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 4096
-DIRECT_READ_ROWS = 20_000      # a range this small is read directly...
-DIRECT_READ_TOTAL = 200_000    # ...as long as one pass reads at most this many rows in all
+SORTED_ROWS = 20_000  # a range of so few rows is sorted in one task
 
 
 def _narrow(values: DataFrame, ranks: list[int], n: int, lo: float, hi: float,
@@ -34,74 +33,82 @@ def _narrow(values: DataFrame, ranks: list[int], n: int, lo: float, hi: float,
     return {r: v for (_, r), v in found.items()}
 
 
+def _in_ranges(values: DataFrame, items: list[tuple]) -> DataFrame:
+    """Values with their open range (j, a, b, w). The ranges of a key do not overlap.
+
+    Ranges of a single key are found by comparing with their sorted lower edges; for many keys the
+    ranges (keys x ranks rows, a known number) are joined on the key."""
+    x = F.col("x")
+    if len({k for _, (k, *_), _ in items}) == 1:
+        ordered = sorted((a, b, w, j) for j, (_, a, b, _, _), w in items)
+        place = sum((F.when(x >= F.lit(o[0]), 1).otherwise(0) for o in ordered), F.lit(0))
+        pick = lambda i, kind: F.get(F.array(*[F.lit(o[i]).cast(kind) for o in ordered]), F.col("place") - 1)
+        found = values.where(F.col("k") == str(items[0][1][0])).withColumn("place", place).withColumns({"a": pick(0, "double"), "b": pick(1, "double"), "w": pick(2, "double"), "j": pick(3, "int")})
+        return found.where(F.col("b").isNotNull() & (x <= F.col("b"))).select("j", "x", "a", "w")
+    table = values.sparkSession.createDataFrame([(str(k), j, float(a), float(b), float(w)) for j, (k, a, b, _, _), w in items],
+                                                "k string, j int, a double, b double, w double")
+    side = F.broadcast(table) if len(items) <= 100_000 else table
+    return values.join(side, "k").where((x >= F.col("a")) & (x <= F.col("b"))).select("j", "x", "a", "w")
+
+
 def _narrow_keyed(values: DataFrame, wanted: dict, init: dict, buckets: int) -> dict:
     """Histogram narrowing for many groups at once.
 
     ``values``: columns ``k`` (group key, text) and non-null double ``x``;
-    ``wanted``: key -> 1-based ranks; ``init``: key -> (n, min, max). Each pass
-    joins the values with the small table of open ranges (key, id, lo, hi) on the
-    key (a broadcast hash join; its size is keys x ranks) and then either
-    histograms the rows of the large ranges (one grouped job) or reads the rows of
-    the small ones (bounded by DIRECT_READ_ROWS each). Each range carries its row
-    count from the previous pass.
+    ``wanted``: key -> 1-based ranks; ``init``: key -> (n, min, max). A pass counts the rows of each
+    open range by bucket and picks, from running sums over the bucket table, the bucket of each
+    wanted rank; ranges of at most SORTED_ROWS rows are sorted on the cluster instead. One row for
+    each wanted rank comes back. The least and the greatest value of a range fall into different
+    buckets, so every pass narrows it and the search ends.
     """
     spark = values.sparkSession
     state = {(k, r): (init[k][1], init[k][2], 0, init[k][0]) for k, rs in wanted.items() for r in rs}
     result: dict = {}
-    x = F.col("x")
-    for _ in range(64):
-        active = {kr: st for kr, st in state.items() if kr not in result}
-        for kr, (a, b, _, _) in active.items():
+    while True:
+        for kr, (a, b, _, _) in state.items():
             if a == b:
-                result[kr] = a
-        active = {kr: st for kr, st in active.items() if kr not in result}
+                result.setdefault(kr, a)
+        active = {kr: st for kr, st in state.items() if kr not in result}
         if not active:
-            break
+            return result
         ranges = sorted({(kr[0], *st) for kr, st in active.items()}, key=lambda t: (str(t[0]), t[1:]))
-        small, large, budget = [], [], DIRECT_READ_TOTAL
-        for j, rg in enumerate(ranges):
-            if rg[4] <= DIRECT_READ_ROWS and rg[4] <= budget:
-                small.append((j, rg))
-                budget -= rg[4]
-            else:
-                large.append((j, rg))
-
-        def joined(items):
-            table = spark.createDataFrame([(str(k), j, float(a), float(b), (b - a) / buckets)
-                                           for j, (k, a, b, _, _) in items],
-                                          "k string, j int, a double, b double, w double")
-            return values.join(F.broadcast(table), "k").where((x >= F.col("a")) & (x <= F.col("b")))
-
+        number = {rg: j for j, rg in enumerate(ranges)}
+        items = [(j, rg, rg[2] / buckets - rg[1] / buckets) for rg, j in number.items()]
+        small = [i for i in items if i[1][4] <= SORTED_ROWS or i[2] == 0]
+        large = [i for i in items if not (i[1][4] <= SORTED_ROWS or i[2] == 0)]
+        asked = spark.createDataFrame([(number[(k, *st)], r, r - st[2]) for (k, r), st in active.items()], "j int, r long, place long")
+        by_number = {(number[(k, *st)], r): (k, r) for (k, r), st in active.items()}
         if small:
-            rows = joined(small).select("j", "x").collect()
-            per: dict[int, list] = {}
-            for r in rows:
-                per.setdefault(r.j, []).append(r.x)
-            for j, (k, a, b, below, _) in small:
-                inside = sorted(per.get(j, []))
-                for (kk, r), st in active.items():
-                    if kk == k and st[:3] == (a, b, below):
-                        result[(kk, r)] = inside[r - below - 1]
-        if not large:
-            continue
-        bucket = F.least(F.floor((x - F.col("a")) / F.col("w")).cast("long"), F.lit(buckets - 1))
-        hist = (joined(large).groupBy("j", bucket.alias("b"))
-                .agg(F.count("*").alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect())
-        by_range: dict[int, list] = {}
-        for row in hist:
-            by_range.setdefault(row.j, []).append(row)
-        for j, (k, *rg) in large:
-            bins = sorted(by_range.get(j, []), key=lambda r: r.b)
-            for (kk, r), st in active.items():
-                if kk != k or list(st) != rg:
-                    continue
-                acc = rg[2]
-                for bn in bins:
-                    if acc + bn.c >= r:
-                        state[(kk, r)] = (bn.mn, bn.mx, acc, bn.c)
-                        break
-                    acc += bn.c
-    return result
+            place = F.row_number().over(Window.partitionBy("j").orderBy("x"))
+            placed = _in_ranges(values, small).withColumn("place", place.cast("long"))
+            for row in placed.join(F.broadcast(asked), ["j", "place"]).select("j", "r", "x").collect():
+                result[by_number[row.j, row.r]] = row.x
+        if large:
+            inside = _in_ranges(values, large)
+            bucket = F.least(F.floor((F.col("x") - F.col("a")) / F.col("w")).cast("double"), F.lit(float(buckets - 1))).cast("int")
+            hist = inside.groupBy("j", bucket.alias("bucket")).agg(F.count("*").alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
+            upto = F.sum("c").over(Window.partitionBy("j").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
+            found = (hist.withColumn("upto", upto).join(F.broadcast(asked), "j")
+                     .where((F.col("place") <= F.col("upto")) & (F.col("place") > F.col("upto") - F.col("c"))))
+            for row in found.select("j", "r", "mn", "mx", "upto", "c").collect():
+                kr = by_number[row.j, row.r]
+                state[kr] = (row.mn, row.mx, state[kr][2] + row.upto - row.c, row.c)
+
+
+def kth_smallest(df: DataFrame, column: str, k: int):
+    """The k-th smallest (1-based) value of a column in its own type, by range partitions: only the
+    partition that holds it is ranked."""
+    from quotelens.session import materialize
+    values = df.select(F.col(column).alias("x")).where(F.col("x").isNotNull())
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = materialize(values.repartitionByRange(n, "x").withColumn("part", F.spark_partition_id()), "ranked")
+    before = 0
+    for row in parts.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect():
+        if before + row.n >= k:
+            place = F.row_number().over(Window.orderBy("x"))
+            return parts.where(F.col("part") == row.part).select("x", place.alias("place")).where(F.col("place") == k - before).first().x
+        before += row.n
+    return None
 
 
 def grouped_quantiles(long: DataFrame, key: str, value: str, probs: list[float]) -> dict:

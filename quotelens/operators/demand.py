@@ -13,16 +13,20 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelens.functions.quantiles import order_statistics
+from quotelens.functions.nullsafe import ntz_micros
+from quotelens.functions.quantiles import kth_smallest, order_statistics
 from quotelens.operators.metrics import binary_metrics
+from quotelens.operators.models import category_levels, fill_statement
 from quotelens.spec import PanelSpec
 
 PART = "_demand_part"
+IMPROVEMENT = ("status string, incremental_log_loss_improvement double, incremental_brier_improvement double, "
+               "passes_incremental_signal_check boolean")
 
 
 def usable_rows(df: DataFrame, spec: PanelSpec, anchor: str = "market_anchor") -> DataFrame:
@@ -46,7 +50,7 @@ def readiness(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 def chronological_cut(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """Label rows train/test: the first int(n * (1 - f)) rows by (date, id) are train."""
-    d = F.unix_micros(F.col(spec.date_column).cast("timestamp"))
+    d = ntz_micros(spec.date_column)
     ident = F.col(spec.id_columns[0])
     n = df.count()
     cut = int(n * (1 - spec.demand_test_fraction))
@@ -59,20 +63,15 @@ def chronological_cut(df: DataFrame, spec: PanelSpec) -> DataFrame:
     below = df.where(d < F.lit(cut_date)).count()
     need = cut - below  # rows of the cut date that still belong to train (>= 1)
     on_day = df.where(d == F.lit(cut_date))
-    id_stats, _ = order_statistics(on_day, ident, [need])
-    cut_id = id_stats[need]
-    train = (d < F.lit(cut_date)) | ((d == F.lit(cut_date)) & (ident.cast("double") <= F.lit(cut_id)))
+    cut_id = kth_smallest(on_day, spec.id_columns[0], need)  # in the id's own type: text, or longs beyond 2**53
+    train = (d < F.lit(cut_date)) | ((d == F.lit(cut_date)) & (ident <= F.lit(cut_id)))
     return df.withColumn(PART, F.when(train, "train").otherwise("test"))
 
 
-def _pipeline(numeric: list[str], categorical: list[str], train: DataFrame, n_train: int) -> Pipeline:
-    modes = train.agg(*[F.mode(c).alias(c) for c in categorical]).first() if categorical else {}
-    fills = ", ".join(f"coalesce(CAST(`{c}` AS STRING), '{str(modes[c]).replace(chr(39), '')}') AS `__c_{c}`"
-                      for c in categorical)
-    nums = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `__n_{c}`" for c in numeric)
-    stages = [SQLTransformer(statement="SELECT " + ", ".join(x for x in ("*", fills, nums) if x) + " FROM __THIS__")]
+def _pipeline(numeric: list[str], categorical: list[str], train: DataFrame, total_weight: float) -> Pipeline:
+    modes = {c: mode for c, (mode, _) in category_levels(train, categorical).items()}
+    stages = [SQLTransformer(statement=fill_statement(train, categorical, numeric, modes, "__c_", "__i_"))]
     imp = [f"__i_{c}" for c in numeric]
-    stages.append(Imputer(strategy="median", inputCols=[f"__n_{c}" for c in numeric], outputCols=imp))
     stages.append(VectorAssembler(inputCols=imp, outputCol="__num_vec"))
     stages.append(StandardScaler(inputCol="__num_vec", outputCol="__num_std", withMean=True, withStd=True))
     vec = ["__num_std"]
@@ -83,9 +82,9 @@ def _pipeline(numeric: list[str], categorical: list[str], train: DataFrame, n_tr
         stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=False, handleInvalid="keep"))
         vec += ohe
     stages.append(VectorAssembler(inputCols=vec, outputCol="__features"))
-    # L2 with C = 1 on summed log loss == regParam 1/n on the mean log loss
+    # L2 with C = 1 on the summed weighted log loss == regParam 1/sum(w) on its weighted mean
     stages.append(LogisticRegression(featuresCol="__features", labelCol="__conv", maxIter=1000,
-                                     regParam=1.0 / max(n_train, 1), elasticNetParam=0.0, standardization=False,
+                                     regParam=1.0 / max(total_weight, 1e-12), elasticNetParam=0.0, standardization=False,
                                      probabilityCol="__prob", rawPredictionCol="__raw", predictionCol="__pred"))
     return Pipeline(stages=stages)
 
@@ -95,8 +94,8 @@ def fit_and_score(train: DataFrame, test: DataFrame, numeric: list[str], categor
     """Fit one logistic model and return test rows with ``p_convert``."""
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = train.count()
-        pipe = _pipeline(numeric, categorical, train, n)
+        total = train.agg(F.sum(F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w")).first().w
+        pipe = _pipeline(numeric, categorical, train, float(total or 0.0))
         if weight:
             pipe.getStages()[-1].setWeightCol(weight)
         model = pipe.fit(train)
@@ -112,8 +111,9 @@ def demand_diagnostic(hist: DataFrame, spec: PanelSpec) -> tuple[DataFrame, Data
     ready = readiness(rows, spec).first()
     spark = hist.sparkSession
     if ready.status != "ready":
-        empty = spark.createDataFrame([], "model string, log_loss double")
-        return empty, spark.createDataFrame([(ready.status, int(ready.rows))], "status string, rows long")
+        none = spark.createDataFrame([], "__conv double, p_convert double")
+        empty = binary_metrics(none, "__conv", "p_convert").withColumn("model", F.lit("")).where("false")
+        return empty, spark.createDataFrame([(ready.status, None, None, None)], IMPROVEMENT)
     cut = chronological_cut(rows, spec)
     train = cut.where(F.col(PART) == "train")
     test = cut.where(F.col(PART) == "test")
@@ -126,10 +126,13 @@ def demand_diagnostic(hist: DataFrame, spec: PanelSpec) -> tuple[DataFrame, Data
         m = binary_metrics(scored.select("__conv", "p_convert"), "__conv", "p_convert").withColumn("model", F.lit(name))
         out = m if out is None else out.unionByName(m)
     out = out.persist()
-    b = out.where(F.col("model") == "baseline").first()
-    e = out.where(F.col("model") == "with_market_anchor").first()
-    improvement = spark.createDataFrame(
-        [("diagnostic_only", b.log_loss - e.log_loss, b.brier - e.brier, bool(e.log_loss < b.log_loss))],
-        "status string, incremental_log_loss_improvement double, incremental_brier_improvement double, "
-        "passes_incremental_signal_check boolean")
-    return out, improvement
+    return out, improvement_of(out)
+
+
+def improvement_of(metrics: DataFrame) -> DataFrame:
+    """Gain of the second model over the first from a metrics table (model, log_loss, brier)."""
+    side = lambda name: metrics.where(F.col("model") == name).select(F.col("log_loss"), F.col("brier"))
+    pair = side("baseline").toDF("l0", "b0").withColumn("k", F.lit(1)).join(side("with_market_anchor").toDF("l1", "b1").withColumn("k", F.lit(1)), "k")
+    return pair.select(F.lit("diagnostic_only").alias("status"), (F.col("l0") - F.col("l1")).alias("incremental_log_loss_improvement"),
+                       (F.col("b0") - F.col("b1")).alias("incremental_brier_improvement"),
+                       (F.col("l1") < F.col("l0")).alias("passes_incremental_signal_check"))

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelens.functions.nullsafe import elapsed_days, minus_months
+from quotelens.functions.nullsafe import elapsed_days, minus_months, ntz_micros
 from quotelens.functions.quantiles import order_statistics
 from quotelens.spec import PanelSpec
 
@@ -28,21 +28,13 @@ def ts_lit(value) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
-def _micros(c: Column) -> Column:
-    return F.unix_micros(c.cast("timestamp"))
-
-
-def _from_micros(m: float) -> dt.datetime:
-    return dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=int(m))
-
-
 def time_split(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """Label usable rows (target and date not null) train / validation / test in ``_split``."""
     d = F.col(spec.date_column)
     working = df.where(F.col(spec.target_column).isNotNull() & d.isNotNull())
     if spec.train_end_date or spec.validation_end_date:
         if not (spec.train_end_date and spec.validation_end_date):
-            raise ValueError("Both train_end_date and validation_end_date are required together")
+            raise ValueError("An explicit split needs train_end_date as well as validation_end_date")
         cut1, cut2 = ts_lit(spec.train_end_date), ts_lit(spec.validation_end_date)
         labelled = working.withColumn(
             SPLIT, F.when(d <= cut1, "train").when(d <= cut2, "validation").otherwise("test"))
@@ -50,16 +42,16 @@ def time_split(df: DataFrame, spec: PanelSpec) -> DataFrame:
         return labelled
     n = working.count()
     if n < 10:
-        raise ValueError("At least 10 rows with valid dates and target values are required")
+        raise ValueError(f"A time split needs 10 or more dated rows with a target, got {n}")
     test_size = max(1, int(round(n * spec.test_fraction)))
     val_size = max(1, int(round(n * spec.validation_fraction)))
     train_end = n - val_size - test_size
     val_end = n - test_size
     if train_end < 1:
-        raise ValueError("Time split produced an empty train, validation, or test partition.")
-    stats, _ = order_statistics(working, _micros(d), [train_end, val_end])
+        raise ValueError("The split fractions leave no training rows")
+    stats, _ = order_statistics(working, ntz_micros(d), [train_end, val_end])
     cut1, cut2 = stats[train_end], stats[val_end]
-    m = _micros(d)
+    m = ntz_micros(d)
     labelled = working.withColumn(
         SPLIT, F.when(m <= F.lit(int(cut1)), "train")
         .when(m <= F.lit(int(cut2)), "validation").otherwise("test"))
@@ -70,8 +62,7 @@ def time_split(df: DataFrame, spec: PanelSpec) -> DataFrame:
 def _check_parts(labelled: DataFrame) -> None:
     counts = {r[SPLIT]: r["count"] for r in labelled.groupBy(SPLIT).count().collect()}
     if min(counts.get(s, 0) for s in SPLITS) == 0:
-        raise ValueError("Time split produced an empty train, validation, or test partition. "
-                         "Adjust split fractions or explicit cut-off dates.")
+        raise ValueError(f"A part of the time split has no rows ({counts}); change the fractions or the cut-off dates")
 
 
 def split_metadata(split: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -84,15 +75,21 @@ def split_metadata(split: DataFrame, spec: PanelSpec) -> DataFrame:
 
 def train_lookback(split: DataFrame, spec: PanelSpec) -> DataFrame:
     """Keep train rows dated >= max(train date) - k months; other parts unchanged."""
+    kept, meta = lookback_window(split, spec)
+    if meta["rows"] < spec.min_train_rows:
+        raise ValueError(f"The training look-back keeps {meta['rows']} rows; min_train_rows is {spec.min_train_rows}")
+    return kept
+
+
+def lookback_window(split: DataFrame, spec: PanelSpec) -> tuple[DataFrame, dict]:
+    """Rows after the look-back, and its start, its end and the train rows before and after it."""
     d = F.col(spec.date_column)
-    cutoff = split.where(F.col(SPLIT) == "train").agg(F.max(d).alias("c")).first().c
+    train = split.where(F.col(SPLIT) == "train")
+    cutoff = train.agg(F.max(d).alias("c")).first().c
     start = minus_months(ts_lit(cutoff), spec.lookback_months)
+    row = train.agg(F.count("*").alias("before"), F.count_if(d >= start).alias("after"), F.first(start).alias("start")).first()
     kept = split.where((F.col(SPLIT) != "train") | (d >= start))
-    n_train = kept.where(F.col(SPLIT) == "train").count()
-    if n_train < spec.min_train_rows:
-        raise ValueError("Evaluation training lookback has fewer eligible rows than min_train_rows: "
-                         f"{n_train} < {spec.min_train_rows}")
-    return kept
+    return kept, {"start": row.start, "end": cutoff, "rows_before": row.before, "rows": row.after}
 
 
 def sample_weight(df: DataFrame, spec: PanelSpec, name: str = "sample_weight") -> DataFrame:
@@ -103,7 +100,7 @@ def sample_weight(df: DataFrame, spec: PanelSpec, name: str = "sample_weight") -
     col = F.coalesce(F.col(w).try_cast("double"), F.lit(0.0))
     chk = df.agg(F.count_if(col < 0).alias("neg"), F.count_if(col > 0).alias("pos")).first()
     if chk.neg or not chk.pos:
-        raise ValueError("Model weights must be non-negative with at least one positive value")
+        raise ValueError(f"Weights in {w!r} must not be negative, and one must be positive")
     return df.withColumn(name, col)
 
 
@@ -123,13 +120,14 @@ def recency_weight(df: DataFrame, spec: PanelSpec, as_of=None, name: str = "trai
     out = out.withColumn("__raw_w", raw)
     mean_pos = out.agg(F.avg(F.when(F.col("__raw_w") > 0, F.col("__raw_w"))).alias("m")).first().m
     if not mean_pos or mean_pos <= 0:
-        raise ValueError("Combined training weights must contain a positive value")
+        raise ValueError("No training weight is above zero after recency weighting")
     return out.withColumn(name, F.col("__raw_w") / F.lit(mean_pos)).drop("__base_w", "__raw_w")
 
 
 def market_data(split: DataFrame, spec: PanelSpec, meta) -> DataFrame:
-    """Role and market-component columns of all parts, labelled by ``_split``."""
+    """Role, market-component and temporal columns of all parts, labelled by ``_split``."""
     roles = [*spec.id_columns, spec.date_column, *spec.categorical_columns, *spec.numeric_columns]
     roles += [c for c in (spec.own_premium_column, spec.conversion_column, spec.weight_column) if c]
-    keep = list(dict.fromkeys(roles + list(meta.competitor_columns) + list(meta.market_component_columns)))
+    keep = list(dict.fromkeys(roles + list(meta.competitor_columns) + list(meta.market_component_columns)
+                              + list(meta.temporal_columns)))
     return split.select(*[c for c in keep if c in split.columns], SPLIT)

@@ -15,22 +15,36 @@ from pyspark.sql import functions as F
 
 
 def file_hashes(spark: SparkSession, root: str) -> DataFrame:
-    """(path, sha256, bytes) of every file below ``root``."""
+    """(name, sha256, bytes) of every file at or below ``root``; name: the path after the root."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-             .select("path", F.sha2(F.col("content"), 256).alias("sha256"), F.col("length").alias("bytes")))
-    return files
+             .where(~F.col("path").rlike(r"/(_SUCCESS|\.[^/]*\.crc)$")))
+    last = root.rstrip("/").rsplit("/", 1)[-1]
+    name = F.element_at(F.split("path", F.lit("/\\Q" + last + "\\E"), 2), -1)
+    return files.select(name.alias("name"), F.sha2(F.col("content"), 256).alias("sha256"), F.col("length").alias("bytes"))
+
+
+def folder_digest(spark: SparkSession, root: str) -> DataFrame:
+    """One row (sha256, bytes): a digest of the digests of up to 256 groups of (name, content hash), so a
+    renamed, swapped, changed or lost file shows, and no task holds the list of all files."""
+    files = file_hashes(spark, root).withColumn("line", F.concat_ws(":", "name", "sha256"))
+    groups = files.groupBy(F.substring(F.md5("name"), 1, 2).alias("g")).agg(
+        F.sha2(F.array_join(F.array_sort(F.collect_list("line")), "\n"), 256).alias("h"), F.sum("bytes").alias("bytes"))
+    return groups.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "g", "h"))), "\n"), 256).alias("sha256"),
+                      F.coalesce(F.sum("bytes"), F.lit(0)).cast("long").alias("bytes"))
+
+
+def _exists(spark: SparkSession, root: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def artifact_manifest(spark: SparkSession, artifacts: dict[str, str], config: dict | None = None) -> DataFrame:
-    """One row per artifact: name, path, sha256 (of the file, or over the sorted file digests of a
-    folder), bytes, config sha256."""
+    """One row per artifact: name, path, sha256 over its files' names and contents, bytes, config
+    sha256. An artifact that is not there has NULL hash and bytes."""
     cfg = hashlib.sha256(json.dumps(config or {}, sort_keys=True, default=str).encode()).hexdigest()
-    parts = []
-    for name, root in artifacts.items():
-        h = file_hashes(spark, root).where(~F.col("path").rlike(r"/(_SUCCESS|\.[^/]*\.crc)$"))
-        parts.append(h.agg(
-            F.sha2(F.array_join(F.array_sort(F.collect_list("sha256")), ""), 256).alias("sha256"),
-            F.sum("bytes").alias("bytes")).withColumns({"artifact": F.lit(name), "path": F.lit(root)}))
+    gone = spark.createDataFrame([(None, None)], "sha256 string, bytes long")
+    parts = [(folder_digest(spark, root) if _exists(spark, root) else gone).withColumns({"artifact": F.lit(name), "path": F.lit(root)})
+             for name, root in artifacts.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -38,7 +52,7 @@ def artifact_manifest(spark: SparkSession, artifacts: dict[str, str], config: di
 
 
 def verify_manifest(spark: SparkSession, manifest: DataFrame, artifacts: dict[str, str]) -> DataFrame:
-    """artifact, status: verified / mismatch / missing (left join of listed vs recomputed)."""
+    """artifact, status: verified / mismatch / missing (listed hashes against the files as they are)."""
     current = artifact_manifest(spark, artifacts).select("artifact", F.col("sha256").alias("current_sha256"))
     j = manifest.select("artifact", "sha256").join(current, "artifact", "left")
     return j.withColumn("status", F.when(F.col("current_sha256").isNull(), "missing")
@@ -49,7 +63,7 @@ def require_verified(spark: SparkSession, manifest: DataFrame, name: str, path:
     """Consuming path: hard error unless the artifact's current hash equals the listed one."""
     status = verify_manifest(spark, manifest.where(F.col("artifact") == name), {name: path}).first()
     if status is None or status.status != "verified":
-        raise ValueError(f"Artifact integrity check failed for {name}: {path}")
+        raise ValueError(f"{name} at {path} is {status.status if status else 'not listed'}: refused")
 
 
 def write_manifest(manifest: DataFrame, path: str) -> str:
