@@ -16,8 +16,6 @@ unscored (warm-up).
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +24,17 @@ from quotelens.functions.temporal import temporal_columns
 from quotelens.operators.joins import attach_group_values, maybe_broadcast
 from quotelens.operators.models import PriceModel, check_features, fit_price_model, predict
 from quotelens.operators.splits import recency_weight, ts_lit
+from quotelens.session import materialize
 from quotelens.spec import PanelSpec
 
 PERIOD = "__score_period"
 METHOD = "rolling_origin_finite_lookback"
+#: Fixed columns of the hand-off table after the roles, in order.
+HANDOFF_COLUMNS = (
+    "market_anchor", "relative_price_ratio", "log_relative_price", "price_gap_to_market_anchor",
+    "anchor_training_start", "anchor_training_cutoff", "anchor_training_rows",
+    "anchor_method", "anchor_is_frozen_for_optimization", "anchor_model_backend",
+)
 
 
 def _periodize(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -56,13 +61,17 @@ def rolling_segment_anchor(df: DataFrame, spec: PanelSpec, cells: list[str]) ->
     if spec.weight_column:
         raise ValueError("rolling_segment_anchor takes recency weights only; use rolling_model_anchor")
     contrib = contrib.withColumn("__w", w)
-    per_period = contrib.groupBy(PERIOD).agg(
-        F.count("*").cast("double").alias("anchor_training_rows"),
-        F.min("__d").alias("anchor_training_start"), F.max("__d").alias("anchor_training_cutoff"),
-        (F.sum(F.col("__w") * F.col("__y")) / F.sum("__w")).alias("__gm"))
-    per_period = per_period.where(F.col("anchor_training_rows") >= spec.min_train_rows)
-    per_cell = contrib.groupBy(PERIOD, *cells).agg(
-        (F.sum(F.col("__w") * F.col("__y")) / F.sum("__w")).alias("__cm"))
+    # one small table of (month, cell) sums, written: the month sums come from it, and the joins below are
+    # planned by its real size
+    sums = materialize(contrib.groupBy(PERIOD, *cells).agg(
+        F.sum(F.col("__w") * F.col("__y")).alias("__wy"), F.sum("__w").alias("__ws"), F.count("*").alias("__n"),
+        F.min("__d").alias("__lo"), F.max("__d").alias("__hi")), "anchor-cells")
+    per_period = sums.groupBy(PERIOD).agg(
+        F.sum("__n").cast("double").alias("anchor_training_rows"),
+        F.min("__lo").alias("anchor_training_start"), F.max("__hi").alias("anchor_training_cutoff"),
+        (F.sum("__wy") / F.sum("__ws")).alias("__gm"))
+    per_period = materialize(per_period.where(F.col("anchor_training_rows") >= spec.min_train_rows), "anchor-months")
+    per_cell = sums.select(PERIOD, *cells, (F.col("__wy") / F.col("__ws")).alias("__cm"))
     scored = rows.join(maybe_broadcast(per_period), PERIOD, "left")
     scored = attach_group_values(scored, per_cell, [PERIOD, *cells])
     anchor = F.when(F.col("__gm").isNotNull(), F.coalesce(F.col("__cm"), F.col("__gm")))
@@ -143,15 +152,10 @@ def handoff(df: DataFrame, spec: PanelSpec, backend: str) -> DataFrame:
     flags = {"anchor_method": F.lit(METHOD), "anchor_is_frozen_for_optimization": F.lit(True),
              "anchor_model_backend": F.lit(backend)}
     df = df.withColumns(flags)
-    own = spec.own_premium_column
-    keep = list(dict.fromkeys(
-        [*spec.id_columns, spec.date_column, *spec.categorical_columns, *spec.numeric_columns]
-        + [c for c in (own, spec.conversion_column, spec.weight_column) if c]
-        + [spec.target_column, "market_anchor", "relative_price_ratio", "log_relative_price",
-           "price_gap_to_market_anchor", "anchor_training_start", "anchor_training_cutoff",
-           "anchor_training_rows", "anchor_method", "anchor_is_frozen_for_optimization",
-           "anchor_model_backend"]))
-    return df.select(*[c for c in keep if c in df.columns])
+    roles = (*spec.id_columns, spec.date_column, *spec.categorical_columns, *spec.numeric_columns,
+             spec.own_premium_column, spec.conversion_column, spec.weight_column, spec.target_column)
+    present = set(df.columns)
+    return df.select(*dict.fromkeys(c for c in roles + HANDOFF_COLUMNS if c in present))
 
 
 def historical_features(df: DataFrame, spec: PanelSpec, cells: list[str] | None = None,
@@ -167,13 +171,13 @@ def historical_features(df: DataFrame, spec: PanelSpec, cells: list[str] | None
     return handoff(scored, spec, kind)
 
 
-def historical_summary(hist: DataFrame) -> DataFrame:
-    """rows_total, rows_scored, rows_warmup_unscored, periods_scored (H5)."""
+def historical_summary(hist: DataFrame, date_column: str) -> DataFrame:
+    """rows_total, rows_scored, rows_warmup_unscored, periods_scored: months with a scored row (H5)."""
     return hist.agg(
         F.count("*").alias("rows_total"),
         F.count("market_anchor").alias("rows_scored"),
         F.count_if(F.col("market_anchor").isNull()).alias("rows_warmup_unscored"),
-        F.count_distinct(F.when(F.col("market_anchor").isNotNull(), F.col("anchor_training_cutoff")))
+        F.count_distinct(F.when(F.col("market_anchor").isNotNull(), F.trunc(date_column, "month")))
         .alias("periods_scored"))
 
 
@@ -189,27 +193,25 @@ def historical_windows(hist: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def model_digest(spark, path: str) -> str:
-    """sha-256 over the sorted per-file sha-256 digests of a saved model folder."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-             .select(F.sha2(F.col("content"), 256).alias("h")))
-    hashes = sorted(r.h for r in files.collect())
-    return hashlib.sha256("".join(hashes).encode()).hexdigest()
+    """sha-256 over names and contents of a saved model folder's files."""
+    from quotelens.sources.manifest import folder_digest
+    return folder_digest(spark, path).first().sha256
 
 
 def score_anchor(df: DataFrame, spec: PanelSpec, model: PriceModel, model_sha256: str | None = None) -> DataFrame:
     """Batch score new quotes with a frozen anchor model."""
     d = spec.date_column
     if d not in df.columns:
-        raise ValueError(f"Scoring input is missing date column: {d}")
+        raise ValueError(f"No column {d!r} in the quotes to score")
     frame = df.withColumn(d, F.col(d).try_cast("timestamp_ntz"))
     bad = frame.where(F.col(d).isNull()).limit(1).count()
     if bad:
-        raise ValueError("Scoring input contains invalid quote dates")
+        raise ValueError("Some quotes to score have no valid date")
     frame = frame.withColumns({c: F.col(c).try_cast("double") for c in spec.numeric_columns if c in df.columns})
     frame = frame.withColumns({c: F.col(c).cast("string") for c in spec.categorical_columns if c in df.columns})
     frame = frame.withColumns(temporal_columns(F.col(d)))
     check_features(model, frame)
-    scored = predict(model, frame, "__pred").withColumn("market_anchor", F.greatest(F.col("__pred"), F.lit(1e-6)))
+    scored = predict(model, frame, "__pred").withColumn("market_anchor", floor_at("__pred"))
     keep = [c for c in [*spec.id_columns, d] if c in frame.columns]
     cols = [*keep, "market_anchor"]
     own = spec.own_premium_column

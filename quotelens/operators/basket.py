@@ -1,96 +1,65 @@
 """Fixed reference basket and its monthly price index.
 
-The basket's levels are small tables (distinct values per categorical,
-quartiles per numeric). The full product is never materialised by a join:
-profile i of the product is decoded from ``spark.range(size)`` by mixed radix
-over the level arrays, and when the product is larger than ``max_size`` the
-profiles with the smallest md5(seed|i) are kept (a distributed top-k).
+The basket's levels are one small table (column, position, level): distinct
+values per categorical, rounded quartiles per numeric. Profile i of the full
+product is decoded from ``spark.range(size)`` by mixed radix; each digit is
+looked up by a join with its column's levels, which are written first so that
+the joins are planned by their real size. Every profile of the product is kept.
 The index scores the basket at every month by ``explode(sequence(...))``,
 predicts once and aggregates per month.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from math import prod
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotelens.functions.quantiles import group_quantile
+from quotelens.functions.nullsafe import floor_at
+from quotelens.functions.quantiles import group_quantile, grouped_quantiles
 from quotelens.functions.temporal import temporal_columns
 from quotelens.operators.models import PriceModel, predict
+from quotelens.session import materialize
 
-MAX_LEVELS = 100_000
 
-
-def basket_levels(df: DataFrame, categorical: list[str], numeric: list[str]) -> dict[str, list]:
-    """Sorted distinct non-null levels per categorical; distinct p25/p50/p75 (1 decimal,
-    half-even) per numeric. One aggregate checks every categorical's level count, one more
-    collects the (bounded) levels, and one keyed narrowing serves all numeric quartiles."""
-    from quotelens.functions.quantiles import grouped_quantiles
-    levels: dict[str, list] = {}
+def levels_frame(df: DataFrame, categorical: list[str], numeric: list[str]) -> DataFrame:
+    """Basket levels (column, position, level as text): sorted distinct non-null values per categorical;
+    distinct p25/p50/p75 (1 decimal, half-even) per numeric."""
+    spark = df.sparkSession
+    out = spark.createDataFrame([], "column string, position int, level string")
     cats = [c for c in categorical if c in df.columns]
     if cats:
-        counts = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cats]).first()
-        too_many = [c for c in cats if counts[c] > MAX_LEVELS]
-        if too_many:
-            raise ValueError(f"{too_many} have more than {MAX_LEVELS} levels; not basket dimensions")
-        got = df.agg(*[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(c) for c in cats]).first()
-        for c in cats:
-            levels[c] = list(got[c])
+        long = df.select(*[F.col(c).cast("string").alias(c) for c in cats]).unpivot([], cats, "column", "level")
+        place = F.row_number().over(Window.partitionBy("column").orderBy("level")) - 1
+        out = out.unionByName(long.where(F.col("level").isNotNull()).distinct().withColumn("position", place))
     nums = [c for c in numeric if c in df.columns]
     if nums:
-        long = df.select(*[F.col(c).cast("double").alias(c) for c in nums]).unpivot([], nums, "feature", "x")
-        qs = grouped_quantiles(long, "feature", "x", [0.25, 0.5, 0.75])
-        rounded = {}
-        if qs:
-            rows = df.sparkSession.createDataFrame([(f, float(q)) for f, v in qs.items() for q in v],
-                                                   "feature string, q double")
-            for r in rows.select("feature", F.bround("q", 1).alias("q")).collect():
-                rounded.setdefault(r.feature, set()).add(r.q)
-        for c in nums:
-            if c in rounded:
-                levels[c] = sorted(rounded[c])
-    return levels
-
-
-def levels_frame(df: DataFrame, categorical: list[str], numeric: list[str]) -> DataFrame:
-    """Long table of basket levels: (column, position, level as text)."""
-    levels = basket_levels(df, categorical, numeric)
-    rows = [(c, i, str(v)) for c, vals in levels.items() for i, v in enumerate(vals)]
-    return df.sparkSession.createDataFrame(rows, "column string, position int, level string")
+        long = df.select(*[F.col(c).cast("double").alias(c) for c in nums]).unpivot([], nums, "column", "x")
+        found = [(c, float(q)) for c, qs in grouped_quantiles(long, "column", "x", [0.25, 0.5, 0.75]).items() for q in qs]
+        rounded = spark.createDataFrame(found, "column string, q double").select("column", F.bround("q", 1).alias("q")).distinct()
+        place = F.row_number().over(Window.partitionBy("column").orderBy("q")) - 1
+        out = out.unionByName(rounded.select("column", place.alias("position"), F.col("q").cast("string").alias("level")))
+    return out
 
 
-def reference_basket(df: DataFrame, categorical: list[str], numeric: list[str],
-                     max_size: int = 2000, seed: int = 42) -> DataFrame:
-    levels = basket_levels(df, categorical, numeric)
+def reference_basket(df: DataFrame, categorical: list[str], numeric: list[str]) -> DataFrame:
+    """The whole cross product of the levels, one row per profile."""
     spark = df.sparkSession
-    keys = list(levels)
-    if not keys:
-        return spark.createDataFrame([], "basket_id long")
-    sizes = [len(levels[k]) for k in keys]
-    total = reduce(lambda a, b: a * b, sizes, 1)
-    ids = spark.range(total).withColumnRenamed("id", "basket_id")
-    if total > max_size:
-        ids = ids.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("basket_id").cast("string"))),
-                          "basket_id").limit(max_size)
-    cols = []
-    stride = 1
-    for k, size in reversed(list(zip(keys, sizes))):
-        digit = (F.floor(F.col("basket_id") / F.lit(stride)) % F.lit(size)).cast("int")
-        is_num = k in numeric and k not in categorical
-        arr = F.array(*[F.lit(v) for v in levels[k]])
-        cols.append(F.get(arr, digit).alias(k) if not is_num else F.get(arr, digit).cast("double").alias(k))
-        stride *= size
-    return ids.select("basket_id", *reversed(cols))
-
-
-def month_range(df: DataFrame, date_column: str) -> DataFrame:
-    """One row per calendar month between the first and last date."""
-    b = df.agg(F.min(date_column).alias("lo"), F.max(date_column).alias("hi"))
-    return b.select(F.explode(F.sequence(F.date_trunc("month", "lo").cast("timestamp_ntz"),
-                                         F.date_trunc("month", "hi").cast("timestamp_ntz"),
-                                         F.make_ym_interval(F.lit(0), F.lit(1)))).alias("quote_month"))
+    levels = materialize(levels_frame(df, categorical, numeric), "levels")
+    sizes = {r["column"]: r["count"] for r in levels.groupBy("column").count().collect()}
+    keys = [c for c in dict.fromkeys([*categorical, *numeric]) if c in sizes]
+    total = prod(sizes[k] for k in keys) if keys else 0
+    if total >= 1 << 63:
+        raise ValueError(f"The product of {sizes} levels has more profiles than a long can number")
+    out, stride = spark.range(total).withColumnRenamed("id", "basket_id"), total
+    for k in keys:
+        stride //= sizes[k]
+        digit = F.expr(f"cast((basket_id div {stride}) % {sizes[k]} as int)")
+        value = F.col("level").cast("double") if k in numeric and k not in categorical else F.col("level")
+        own = levels.where(F.col("column") == k).select(F.col("position").alias("__digit"), value.alias(k))
+        out = out.withColumn("__digit", digit).join(own, "__digit").drop("__digit")
+    return out.select("basket_id", *keys)
 
 
 def basket_index(basket: DataFrame, model: PriceModel, dated: DataFrame, date_column: str,
@@ -102,7 +71,7 @@ def basket_index(basket: DataFrame, model: PriceModel, dated: DataFrame, date_co
     months = F.sequence(lo_m, hi_m, F.make_ym_interval(F.lit(0), F.lit(1)))
     monthly = basket.withColumn(date_column, F.explode(months))
     monthly = monthly.withColumns(temporal_columns(F.col(date_column)))
-    scored = predict(model, monthly, "__p").withColumn("__p", F.greatest(F.col("__p"), F.lit(0.0)))
+    scored = predict(model, monthly, "__p").withColumn("__p", floor_at("__p", 0.0))
     return scored.groupBy(F.to_date(date_column).alias("quote_month")).agg(
         F.avg("__p").alias("mean_prediction"),
         group_quantile(F.col("__p"), 0.25, mode).alias("p25_prediction"),

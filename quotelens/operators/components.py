@@ -113,6 +113,8 @@ def engineer_market_features(df: DataFrame, spec: PanelSpec,
         market_component_columns=sorted(set(mkt)),
         temporal_columns=temporal,
     )
+    from quotelens.operators.features import leakage_warnings
+    meta.leakage_warnings = leakage_warnings(out, spec, comps)
     return out, meta
 
 

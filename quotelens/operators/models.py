@@ -1,13 +1,13 @@
 """Price models on Spark ML.
 
-Preprocessing (M1): numeric median imputation (``Imputer``), categorical mode
-imputation (a ``SQLTransformer`` with the modes found at fit time), string
+Preprocessing (M1): exact-median and mode imputation (a ``SQLTransformer`` with the
+values found at fit time; of equally frequent levels the smallest), string
 indexing with unseen/missing-at-score-time levels kept in an extra bucket,
 one-hot for the GLM, ``VectorAssembler``.
 
 Estimators (M2/M4): ``glm_gamma`` (gamma GLM, log link: the exact gamma loss),
 ``gbt_log`` (boosted trees on ln(target), back-transformed with the weighted
-mean of exp(residual)), ``rf`` (random forest on the raw target), and
+mean of exp(residual)), ``gbt_log1p`` (squared error on ln(1 + target)), ``rf`` (random forest on the raw target), and
 ``segment_mean`` (recency-weighted mean per risk cell, a closed-form stand-in
 whose results can be checked in SQL). All take a weight column.
 """
@@ -20,18 +20,20 @@ from dataclasses import dataclass, field, fields
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotelens.functions.quantiles import grouped_quantiles
 from quotelens.operators.joins import attach_group_values
 
-ESTIMATORS = ("glm_gamma", "gbt_log", "rf", "segment_mean")
+ESTIMATORS = ("glm_gamma", "gbt_log", "gbt_log1p", "rf", "segment_mean")
 
 DEFAULT_PARAMS = {
     "glm_gamma": {"maxIter": 50, "regParam": 1e-4},  # tiny ridge: one-hot + calendar columns are collinear
     "gbt_log": {"maxIter": 60, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 1.0},
+    "gbt_log1p": {"maxIter": 60, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 1.0},
     "rf": {"numTrees": 60, "maxDepth": 8},
     "segment_mean": {},
 }
@@ -57,31 +59,42 @@ class PriceModel:
         return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("pipeline", "cells")}
 
 
-def _modes(df: DataFrame, categorical: list[str]) -> dict[str, str | None]:
+def category_levels(df: DataFrame, categorical: list[str]) -> dict[str, tuple[str | None, int]]:
+    """Most frequent level (of equally frequent ones the smallest) and number of levels per column;
+    one grouped count over all columns."""
     if not categorical:
         return {}
-    row = df.agg(*[F.mode(F.col(c)).alias(c) for c in categorical]).first()
-    return {c: row[c] for c in categorical}
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in categorical]).unpivot([], categorical, "c", "v")
+    counts = long.where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count("*").alias("n"))
+    found = counts.groupBy("c").agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("mode"), F.count("*").alias("levels"))
+    return {c: (None, 0) for c in categorical} | {r.c: (r.mode, r.levels) for r in found.collect()}
 
 
 def _sql_str(v: str) -> str:
     return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def fill_statement(train: DataFrame, categorical: list[str], numeric: list[str], modes: dict,
+                   cat_prefix: str, num_prefix: str) -> str:
+    """SQLTransformer text that fills missing values: the mode for categories, the exact median for
+    numbers (0 for a column without values)."""
+    medians = {}
+    if numeric:
+        long = train.select(*[F.col(c).cast("double").alias(c) for c in numeric]).unpivot([], list(numeric), "c", "v")
+        medians = {c: q[0] for c, q in grouped_quantiles(long, "c", "v", [0.5]).items()}
+    fills = [f"coalesce(CAST(`{c}` AS STRING), {_sql_str(modes[c]) if modes[c] is not None else 'NULL'}) AS `{cat_prefix}{c}`" for c in categorical]
+    fills += [f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), {float(medians.get(c, 0.0))!r}D) AS `{num_prefix}{c}`" for c in numeric]
+    return f"SELECT {', '.join(['*', *fills])} FROM __THIS__"
+
+
 def build_pipeline(kind: str, train: DataFrame, categorical: list[str], numeric: list[str],
-                   label: str, weight: str | None, params: dict | None = None) -> Pipeline:
+                   label: str, weight: str | None, params: dict | None = None,
+                   validation_indicator: str | None = None) -> Pipeline:
     params = {**DEFAULT_PARAMS.get(kind, {}), **(params or {})}
-    stages = []
-    modes = _modes(train, categorical)
-    fills = ", ".join(
-        f"coalesce(CAST(`{c}` AS STRING), {_sql_str(modes[c]) if modes[c] is not None else 'NULL'}) AS `__cat_{c}`"
-        for c in categorical)
-    numcast = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `__num_{c}`" for c in numeric)
-    sel = ", ".join(x for x in ("*", fills, numcast) if x)
-    stages.append(SQLTransformer(statement=f"SELECT {sel} FROM __THIS__"))
+    levels = category_levels(train, categorical)
+    modes = {c: mode for c, (mode, _) in levels.items()}
     imp_out = [f"__imp_{c}" for c in numeric]
-    if numeric:
-        stages.append(Imputer(strategy="median", inputCols=[f"__num_{c}" for c in numeric], outputCols=imp_out))
+    stages = [SQLTransformer(statement=fill_statement(train, categorical, numeric, modes, "__cat_", "__imp_"))]
     idx_out = [f"__idx_{c}" for c in categorical]
     if categorical:
         stages.append(StringIndexer(inputCols=[f"__cat_{c}" for c in categorical], outputCols=idx_out,
@@ -97,12 +110,16 @@ def build_pipeline(kind: str, train: DataFrame, categorical: list[str], numeric:
     common = {"featuresCol": "__features", "labelCol": label, "predictionCol": "__raw_prediction"}
     if weight:
         common["weightCol"] = weight
+    # a tree needs a bin for each level and one for unseen ones
+    bins = max([64, *(n + 2 for _, n in levels.values())])
     if kind == "glm_gamma":
         est = GeneralizedLinearRegression(family="gamma", link="log", **common, **params)
-    elif kind == "gbt_log":
-        est = GBTRegressor(seed=42, maxBins=64, **common, **params)
+    elif kind in ("gbt_log", "gbt_log1p"):
+        est = GBTRegressor(seed=42, maxBins=bins, **common, **params)
+        if validation_indicator:
+            est = est.setValidationIndicatorCol(validation_indicator)  # stops when the held-out error no longer falls
     elif kind == "rf":
-        est = RandomForestRegressor(seed=42, maxBins=64, **common, **params)
+        est = RandomForestRegressor(seed=42, maxBins=bins, **common, **params)
     else:
         raise ValueError(f"Unknown estimator kind {kind!r}; one of {ESTIMATORS}")
     stages.append(est)
@@ -112,8 +129,10 @@ def build_pipeline(kind: str, train: DataFrame, categorical: list[str], numeric:
 def fit_price_model(train: DataFrame, target: str, features: list[str], categorical: list[str],
                     numeric: list[str], kind: str = "glm_gamma", weight: str | None = None,
                     params: dict | None = None, cells: list[str] | None = None,
-                    date_column: str | None = None) -> PriceModel:
-    """Fit on rows with a non-null target (positive for the gamma/log models)."""
+                    date_column: str | None = None, validation_indicator: str | None = None) -> PriceModel:
+    """Fit on rows with a non-null target (positive for the gamma/log models).
+
+    ``validation_indicator``: boolean column of rows that only decide when boosting stops."""
     from quotelens.session import checkpoint_dir
     checkpoint_dir(train.sparkSession)
     data = train.where(F.col(target).isNotNull())
@@ -133,17 +152,22 @@ def fit_price_model(train: DataFrame, target: str, features: list[str], categori
         keys = list(cells if cells is not None else categorical)
         model.params["cells"] = keys
         model.global_mean = data.agg((F.sum(w * F.col(target)) / F.sum(w)).alias("m")).first().m
-        model.cells = (data.groupBy(*keys).agg((F.sum(w * F.col(target)) / F.sum(w)).alias("__cell_mean"))
-                       .checkpoint() if keys else None)
+        from quotelens.session import materialize
+        # written, so that the joins of ``predict`` are planned by its real size
+        model.cells = (materialize(data.groupBy(*keys).agg((F.sum(w * F.col(target)) / F.sum(w)).alias("__cell_mean")), "cells")
+                       if keys else None)
         return model
     label = target
     fit_df = data
     if kind == "gbt_log":
         fit_df = data.withColumn("__log_label", F.log(F.col(target)))
         label = "__log_label"
+    elif kind == "gbt_log1p":  # squared error on ln(1 + target), predictions floored at 0
+        fit_df = data.withColumn("__log_label", F.log1p(F.greatest(F.col(target), F.lit(0.0))))
+        label = "__log_label"
     fit_df = fit_df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model.pipeline = build_pipeline(kind, fit_df, categorical, numeric, label, weight, params).fit(fit_df)
+        model.pipeline = build_pipeline(kind, fit_df, categorical, numeric, label, weight, params, validation_indicator).fit(fit_df)
         if kind == "gbt_log":
             scored = model.pipeline.transform(fit_df)
             r = scored.agg((F.sum(w * F.exp(F.col("__log_label") - F.col("__raw_prediction"))) / F.sum(w))
@@ -175,6 +199,8 @@ def predict(model: PriceModel, df: DataFrame, out: str = "prediction") -> DataFr
     pred = F.col("__raw_prediction")
     if model.kind == "gbt_log":
         pred = F.exp(pred) * F.lit(model.scale)
+    elif model.kind == "gbt_log1p":
+        pred = F.greatest(F.expm1(pred), F.lit(0.0))
     return scored.select(*cols, pred.alias(out))
 
 
@@ -205,43 +231,45 @@ def load_model(spark, path: str) -> PriceModel:
     return model
 
 
-def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """Deterministic sample of at most n rows: smallest xxhash64(seed, key) (a distributed top-k)."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(n)
+IMPORTANCE_BLOCK = 50_000
 
 
-def permutation_importance(model: PriceModel, validation: DataFrame, key: str, repeats: int = 5,
-                           sample_size: int = 5000, seed: int = 42) -> DataFrame:
-    """Mean and std (population) of the drop in R2 when one feature is permuted, per feature.
+def permutation_importance(model: PriceModel, validation: DataFrame, key: str, repeats: int = 5) -> DataFrame:
+    """Mean and population std of the drop in R2 when one feature is permuted, over all rows with a target.
 
-    The sample is capped (the operator's definition); each permutation pairs the
-    sample's rows in one hash order with the feature's values in another, all
-    (feature, repeat) cases are scored in ONE transform over their union.
+    Rows fall into blocks of about IMPORTANCE_BLOCK by a hash of the key, so a block is a random part of
+    the table. Within a block a row takes the feature value of the row that has its place in another order:
+    rows are ordered by md5(repeat|key), values by md5(repeat|feature|key). All (feature, repeat) cases
+    are one plan: one explode, one join on (feature, repeat, block, place), one transform.
     """
     from pyspark.sql import Window
+
+    from quotelens.session import materialize
     target = model.target
-    sample = sample_rows(validation.where(F.col(target).isNotNull()), key, sample_size, seed)
-    sample = sample.persist(StorageLevel.MEMORY_AND_DISK)  # bounded by sample_size
-    if True:
-        base = predict(model, sample, "__p").agg(_r2(F.col(target), F.col("__p")).alias("r2")).first().r2
-        cases = []
-        for f in model.features:
-            for r in range(repeats):
-                rows = sample.withColumn("__rn", F.row_number().over(
-                    Window.orderBy(F.xxhash64(F.lit(seed + r), F.col(key)), F.col(key)))).drop(f)
-                vals = sample.select(F.col(key).alias("__k"), F.col(f)).withColumn("__rn", F.row_number().over(
-                    Window.orderBy(F.xxhash64(F.lit(seed + 1000 + r), F.lit(f), F.col("__k")), F.col("__k"))))
-                cases.append(rows.join(vals.drop("__k"), "__rn").drop("__rn")
-                             .withColumns({"__feature": F.lit(f), "__repeat": F.lit(r)}))
-        union = cases[0]
-        for c in cases[1:]:
-            union = union.unionByName(c)
-        scored = predict(model, union, "__p")
-        per = scored.groupBy("__feature", "__repeat").agg(_r2(F.col(target), F.col("__p")).alias("r2"))
-        return (per.groupBy(F.col("__feature").alias("feature"))
-                .agg(F.avg(F.lit(base) - F.col("r2")).alias("importance_mean"),
-                     F.stddev_pop(F.lit(base) - F.col("r2")).alias("importance_std"))
-                .orderBy(F.desc("importance_mean")))
+    rows = validation.where(F.col(target).isNotNull())
+    need = list(dict.fromkeys([key, target, *model.features]))
+    rows = materialize(rows.select(*need), "importance")
+    n = rows.count()
+    blocks = max(1, -(-n // IMPORTANCE_BLOCK))
+    text = F.col(key).cast("string")
+    rows = rows.withColumn("__block", F.pmod(F.xxhash64(text), F.lit(blocks)))
+    base = predict(model, rows, "__p").agg(_r2(F.col(target), F.col("__p")).alias("r2")).first().r2
+    each = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("__repeat")
+    placed = (rows.select("*", each).withColumn("__place", F.row_number().over(Window.partitionBy("__repeat", "__block").orderBy(
+        F.md5(F.concat_ws("|", "__repeat", text)), F.col(key)))))
+    numeric = {f: rows.schema[f].dataType.simpleString() for f in model.features}
+    values = (rows.select(F.col(key).alias("__key"), text.alias("__text"), "__block", *[F.col(f).cast("string").alias(f) for f in model.features])
+              .unpivot(["__key", "__text", "__block"], list(model.features), "__feature", "__value").select("*", each)
+              .withColumn("__place", F.row_number().over(Window.partitionBy("__feature", "__repeat", "__block").orderBy(
+                  F.md5(F.concat_ws("|", "__repeat", "__feature", "__text")), F.col("__key"))))
+              .drop("__key", "__text"))
+    cases = placed.join(values, ["__repeat", "__block", "__place"])
+    changed = cases.withColumns({f: F.when(F.col("__feature") == f, F.col("__value").cast(t)).otherwise(F.col(f)) for f, t in numeric.items()})
+    per = predict(model, changed, "__p").groupBy("__feature", "__repeat").agg(_r2(F.col(target), F.col("__p")).alias("r2"))
+    drop = F.lit(base) - F.col("r2")
+    return (per.groupBy(F.col("__feature").alias("feature"))
+            .agg(F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std"))
+            .orderBy(F.desc("importance_mean"), "feature"))
 
 
 def _r2(y, p):
@@ -267,24 +295,28 @@ def competitor_eligibility(split: DataFrame, comps: list[str], skip_missing: flo
     return stacked.withColumn("eligible", ok)
 
 
-def competitor_models(split: DataFrame, comps: list[str], features, categorical, numeric, date_column: str,
-                      kind: str = "glm_gamma", skip_missing: float = 0.40, params: dict | None = None) -> DataFrame:
-    """One model per eligible competitor on the rows where it quoted; unweighted metrics per part."""
+def competitor_models(split: DataFrame, comps: list[str], features, categorical, numeric, spec,
+                      kind: str = "glm_gamma", params: dict | None = None, save_to: str | None = None) -> DataFrame:
+    """One model per eligible competitor on the rows where it quoted; unweighted metrics per part.
+
+    ``save_to``: folder that gets each competitor's model and its predictions of all parts."""
     from quotelens.operators.metrics import regression_metrics
     from quotelens.operators.splits import recency_weight
-    from quotelens.spec import PanelSpec
-    elig = [r.competitor for r in competitor_eligibility(split, comps, skip_missing).where("eligible").collect()]
+    date_column, key = spec.date_column, spec.id_columns[0]
+    elig = [r.competitor for r in competitor_eligibility(split, comps, spec.competitor_skip_missing_threshold).where("eligible").collect()]
     out = None
     for c in elig:
         rows = split.where(F.col(c).isNotNull())
         train = rows.where(F.col("_split") == "train")
         cutoff = train.agg(F.max(date_column).alias("m")).first().m
-        spec = PanelSpec(date_column=date_column)
         train_w = recency_weight(train, spec, as_of=cutoff)
         m = fit_price_model(train_w, c, features, categorical, numeric, kind=kind, weight="training_weight",
                             params=params, date_column=date_column)
-        met = regression_metrics(predict(m, rows, "__pc"), c, "__pc", by=["_split"]).withColumn(
-            "competitor", F.lit(c))
+        scored = predict(m, rows, "__pc")
+        if save_to:
+            save_model(m, f"{save_to}/{c}/model")
+            scored.select(key, date_column, "_split", F.col(c).alias("actual"), F.col("__pc").alias("prediction")).write.mode("overwrite").parquet(f"{save_to}/{c}/predictions")
+        met = regression_metrics(scored, c, "__pc", by=["_split"], tiebreak=key).withColumn("competitor", F.lit(c))
         out = met if out is None else out.unionByName(met)
     if out is None:
         return split.sparkSession.createDataFrame([], "competitor string")
@@ -303,7 +335,7 @@ def production_window(df: DataFrame, target: str, date_column: str, lookback_mon
 
 def time_validated_search(train: DataFrame, validation: DataFrame, target: str, features, categorical, numeric,
                           kind: str, grid: list[dict], metric: str = "mape", weight: str | None = None,
-                          date_column: str | None = None) -> DataFrame:
+                          date_column: str | None = None, key: str | None = None) -> DataFrame:
     """Fit each parameter set on train, score the time-ordered validation part: trial table
     (trial, params JSON, metric value); d2/gini are maximised, the others minimised."""
     import json
@@ -313,7 +345,7 @@ def time_validated_search(train: DataFrame, validation: DataFrame, target: str,
     for i, params in enumerate(grid):
         m = fit_price_model(train, target, features, categorical, numeric, kind=kind, weight=weight,
                             params=params, date_column=date_column)
-        met = regression_metrics(predict(m, validation, "__ps"), target, "__ps").first().asDict()
+        met = regression_metrics(predict(m, validation, "__ps"), target, "__ps", tiebreak=key).first().asDict()
         rows.append((i, json.dumps(params, sort_keys=True), float(met[metric]) if met[metric] is not None else None))
     return spark.createDataFrame(rows, "trial int, params string, value double").withColumn(
         "metric", F.lit(metric)).withColumn("direction", F.lit("maximize" if metric in ("d2", "gini") else "minimize"))

@@ -20,6 +20,7 @@ def thresholds(spec: PanelSpec) -> list[tuple[str, str, float, bool]]:
     t = spec.target
     return [
         ("data_contract_valid", ">", 0.0, True),
+        ("time_based_split", "==", 1.0, True),
         ("validation_d2_threshold", ">=", spec.d2_min, True),
         ("validation_rmse_threshold", "<=", spec.rmse_max, True),
         ("test_d2_threshold", ">=", spec.d2_min, True),
@@ -32,47 +33,69 @@ def thresholds(spec: PanelSpec) -> list[tuple[str, str, float, bool]]:
         ("incomplete_panel_target_bias", "abs<=", spec.mean_bias_pct_max, False),
         ("premium_comparability_fields_complete", "==", 0.0, True),
         ("rolling_origin_historical_anchors", ">", 0.0, True),
-        ("runtime_budget", "<=", float(spec.max_runtime_seconds), True),
+        ("model_export_available", ">", 0.0, True),
+        ("runtime_budget", "<", 1.0, True),
+        ("leakage_review", "==", 0.0, False),
         ("standalone_demand_signal", ">", 0.0, False),
     ]
 
 
-def measures(metrics_by_split: DataFrame, panel_summary: DataFrame, profile: DataFrame,
-             comparability: DataFrame, hist_summary: DataFrame) -> DataFrame:
-    """Long (check, value) table from the one-row/three-row summaries."""
-    m = metrics_by_split
+def _of_split(metrics: DataFrame, split: str, columns: dict[str, str]) -> DataFrame:
+    """(check, value) rows from the metrics row of one split."""
+    row = metrics.where(F.col("_split") == split).select(*[F.col(c).cast("double").alias(check) for check, c in columns.items()])
+    return row.unpivot([], list(columns), "check", "value")
+
+
+def _one(df: DataFrame, check: str, value) -> DataFrame:
+    return df.select(F.lit(check).alias("check"), value.cast("double").alias("value"))
+
+
+def measures(metrics_by_split: DataFrame, panel_summary: DataFrame, profile: DataFrame, comparability: DataFrame,
+             hist_summary: DataFrame, split_dates: DataFrame | None = None, leakage: DataFrame | None = None,
+             exported: int | None = None, runtime_seconds: float | None = None, max_runtime_seconds: float | None = None,
+             improvement: DataFrame | None = None) -> DataFrame:
+    """Long (check, value) table from small summaries; a summary that is not given leaves its check unmeasured.
+
+    ``split_dates``: rows of ``split_metadata``; 1 if each part ends before the next begins.
+    ``leakage``: findings, counted. ``exported``: saved models. The runtime counts whole budgets used."""
+    spark = metrics_by_split.sparkSession
     parts = [
-        profile.select(F.lit("data_contract_valid").alias("check"),
-                       F.col("rows_eligible_for_target").cast("double").alias("value")),
-        m.where(F.col("_split") == "validation").select(F.lit("validation_d2_threshold").alias("check"),
-                                                         F.col("d2").alias("value")),
-        m.where(F.col("_split") == "validation").select(F.lit("validation_rmse_threshold"), F.col("rmse")),
-        m.where(F.col("_split") == "test").select(F.lit("test_d2_threshold"), F.col("d2")),
-        m.where(F.col("_split") == "test").select(F.lit("test_rmse_threshold"), F.col("rmse")),
-        m.where(F.col("_split") == "validation").select(F.lit("validation_mape_threshold"), F.col("mape")),
-        m.where(F.col("_split") == "validation").select(F.lit("validation_gini_threshold"), F.col("gini")),
-        m.where(F.col("_split") == "validation").select(F.lit("validation_bias_threshold"), F.col("mean_bias_pct")),
-        panel_summary.select(F.lit("monthly_competitor_coverage"), F.col("minimum_monthly_competitor_coverage")),
-        panel_summary.select(F.lit("monthly_target_eligibility"), F.col("minimum_monthly_target_eligibility")),
-        panel_summary.select(F.lit("incomplete_panel_target_bias"),
-                             F.col("incomplete_vs_complete_target_bias_pct")),
-        comparability.agg(F.lit("premium_comparability_fields_complete"),
-                          F.coalesce(F.sum("missing"), F.lit(0)).cast("double")),
-        hist_summary.select(F.lit("rolling_origin_historical_anchors"), F.col("rows_scored").cast("double")),
+        _of_split(metrics_by_split, "validation", {
+            "validation_d2_threshold": "d2", "validation_rmse_threshold": "rmse", "validation_mape_threshold": "mape",
+            "validation_gini_threshold": "gini", "validation_bias_threshold": "mean_bias_pct"}),
+        _of_split(metrics_by_split, "test", {"test_d2_threshold": "d2", "test_rmse_threshold": "rmse"}),
+        _one(profile, "data_contract_valid", F.col("rows_eligible_for_target")),
+        _one(panel_summary, "monthly_competitor_coverage", F.col("minimum_monthly_competitor_coverage")),
+        _one(panel_summary, "monthly_target_eligibility", F.col("minimum_monthly_target_eligibility")),
+        _one(panel_summary, "incomplete_panel_target_bias", F.col("incomplete_vs_complete_target_bias_pct")),
+        _one(comparability.agg(F.coalesce(F.sum("missing"), F.lit(0)).alias("m")), "premium_comparability_fields_complete", F.col("m")),
+        _one(hist_summary, "rolling_origin_historical_anchors", F.col("rows_scored")),
     ]
+    if split_dates is not None:
+        edge = lambda part, column: F.max(F.when(F.col("_split") == part, F.col(column)))
+        ordered = (edge("train", "date_max") <= edge("validation", "date_min")) & (edge("validation", "date_max") <= edge("test", "date_min"))
+        parts.append(_one(split_dates.agg(F.coalesce(ordered, F.lit(False)).cast("int").alias("m")), "time_based_split", F.col("m")))
+    if leakage is not None:
+        parts.append(_one(leakage.agg(F.count("*").alias("m")), "leakage_review", F.col("m")))
+    if improvement is not None:
+        parts.append(_one(improvement, "standalone_demand_signal", F.col("passes_incremental_signal_check").cast("int")))
+    scalars = [("model_export_available", float(exported))] if exported is not None else []
+    if runtime_seconds is not None and max_runtime_seconds:
+        scalars.append(("runtime_budget", float(runtime_seconds // max_runtime_seconds)))
+    parts.append(spark.createDataFrame(scalars, "check string, value double"))
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p.toDF("check", "value"))
+        out = out.unionByName(p)
     return out
 
 
 def checklist(measured: DataFrame, spec: PanelSpec) -> DataFrame:
-    """check, value, threshold, blocking, passed (a missing value fails)."""
+    """check, value, threshold, blocking, passed for every gate; one without a value fails."""
     spark = measured.sparkSession
     th = spark.createDataFrame(thresholds(spec), "check string, op string, threshold double, blocking boolean")
-    j = measured.join(F.broadcast(th), "check")
+    j = th.join(measured, "check", "left")
     v, t, op = F.col("value"), F.col("threshold"), F.col("op")
-    passed = (F.when(op == ">", v > t).when(op == ">=", v >= t).when(op == "<=", v <= t)
+    passed = (F.when(op == ">", v > t).when(op == ">=", v >= t).when(op == "<=", v <= t).when(op == "<", v < t)
               .when(op == "abs<=", F.abs(v) <= t).when(op == "==", v == t))
     return j.select("check", "value", "threshold", "blocking", F.coalesce(passed, F.lit(False)).alias("passed"))
 

@@ -12,7 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotelens.functions.nullsafe import safe_div
 from quotelens.functions.quantiles import group_quantile, quantiles
 
 MONTH = "quote_month"
@@ -42,17 +41,24 @@ def apply_filters(df: DataFrame, date_column: str, date_from=None, date_to=None,
 
 def segment_columns(df: DataFrame, exclude: set[str], priority: list[str] | None = None,
                     max_levels: int = 30) -> DataFrame:
-    """V3: string columns or 2..max_levels distinct values, minus excluded roles; ordered by
-    priority list, then cardinality. One aggregate of exact distinct counts."""
+    """V3: text columns of any cardinality and other columns of 2..max_levels distinct values, minus
+    excluded roles; ordered by priority list, then cardinality.
+
+    Approximate counts (fixed memory) screen out the columns of far more values; the rest is
+    counted exactly over (column, value) pairs."""
     cands = [f for f in df.schema.fields if f.name not in exclude]
-    agg = df.agg(*[F.count_distinct(F.col(f.name)).alias(f.name) for f in cands]).first()
+    text = {f.name for f in cands if f.dataType.simpleString() == "string"}
+    rough = df.agg(*[F.approx_count_distinct(F.col(f"`{f.name}`")).alias(f.name) for f in cands]).first()
+    near = [f.name for f in cands if f.name in text or rough[f.name] <= 2 * max_levels]
+    pairs = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in near]).unpivot([], near, "column", "value")
+    counts = pairs.where(F.col("value").isNotNull()).distinct().groupBy("column").count()
+    exact = {r["column"]: r["count"] for r in counts.collect()}
     prio = {c: i for i, c in enumerate(priority or [])}
     rows = []
-    for f in cands:
-        n = agg[f.name]
-        is_str = f.dataType.simpleString() == "string"
-        if (is_str and n <= max_levels) or (2 <= n <= max_levels):
-            rows.append((f.name, int(n), prio.get(f.name, len(prio))))
+    for c in near:
+        n = exact.get(c, 0)
+        if c in text or 2 <= n <= max_levels:
+            rows.append((c, int(n), prio.get(c, len(prio))))
     rows.sort(key=lambda r: (r[2], r[1], r[0]))
     spark = df.sparkSession
     return spark.createDataFrame([(c, n, i + 1) for i, (c, n, _) in enumerate(rows)],
@@ -78,13 +84,16 @@ def share_by(df: DataFrame, keys: list[str], value: str, pct_round: int = 1) ->
     return counts.withColumn("share_pct", F.round(F.col("count") / total * 100, pct_round))
 
 
+def heat_map(df: DataFrame, row: str, column: str, value: str) -> DataFrame:
+    """Mean of ``value`` per (row, column) in long form, for whatever levels the data hold."""
+    return df.groupBy(row, column).agg(F.avg(value).alias(f"mean_{value}"))
+
+
 def equal_width_bins(df: DataFrame, col: str, bins: int, extra: dict[str, Column]) -> DataFrame:
     """Equal-width right-closed bins over [min, max] (lowest edge widened by 0.1 % of the
     range, as interval cutting does); bin midpoint and aggregates per bin."""
     b = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    if b.lo is None:
-        return df.sparkSession.createDataFrame([], "bin int, bin_mid double")
-    lo, hi = float(b.lo), float(b.hi)
+    lo, hi = (float(b.lo), float(b.hi)) if b.lo is not None else (0.0, 1.0)  # no value: the same columns without rows
     if hi == lo:
         lo, hi = lo - 0.001 * abs(lo) if lo else -0.001, hi + 0.001 * abs(hi) if hi else 0.001
         edges = [lo + i * (hi - lo) / bins for i in range(bins + 1)]
@@ -102,12 +111,14 @@ def equal_width_bins(df: DataFrame, col: str, bins: int, extra: dict[str, Column
 
 def quantile_bands(df: DataFrame, col: str, q: int, extra: dict[str, Column], min_rows: int = 0) -> DataFrame:
     """Quantile bands of ``col`` (exact edges, duplicate edges dropped), right-closed with the
-    lowest edge included; aggregates per band."""
-    n = df.where(F.col(col).isNotNull()).count()
-    if n < min_rows or n == 0:
-        return df.sparkSession.createDataFrame([], "band int")
-    edges = sorted(set(quantiles(df, col, [i / q for i in range(q + 1)])))
+    lowest edge included; aggregates per band. At most as many bands as distinct values; with fewer
+    than ``min_rows`` values the same columns without rows."""
     x = F.col(col)
+    n = df.where(x.isNotNull()).count()
+    if n < max(min_rows, 1):
+        return df.where("false").groupBy(F.lit(0).alias("band")).agg(*[v.alias(k) for k, v in extra.items()])
+    q = min(q, df.where(x.isNotNull()).select(x).distinct().limit(q).count())
+    edges = sorted(set(quantiles(df, col, [i / q for i in range(q + 1)])))
     idx = reduce(lambda a, e: a + F.when(F.lit(e) < x, 1).otherwise(0), edges[1:-1], F.lit(0))
     return (df.where(x.isNotNull() & (x >= edges[0]) & (x <= edges[-1]))
             .groupBy(idx.alias("band")).agg(*[v.alias(k) for k, v in extra.items()]))
@@ -130,14 +141,4 @@ def box_stats(df: DataFrame, keys: list[str], value: str, mode: str = "exact") -
     spark = df.sparkSession
     qdf = spark.createDataFrame([(k, *v3) for k, v3 in qs.items()], "__key string, q1 double, median double, q3 double")
     ext = ext.withColumn("__key", F.to_json(F.struct(*[F.col(k) for k in keys])))
-    return ext.join(F.broadcast(qdf), "__key").select(*keys, "min", "q1", "median", "q3", "max")
-
-
-def positioning(df: DataFrame, keys: list[str], own: str, target: str) -> DataFrame:
-    """Mean own, mean market (round 3), ratio and action (>1.10 reduce, <0.90 opportunity)."""
-    g = df.groupBy(*keys).agg(F.avg(own).alias("mean_own"), F.avg(target).alias("mean_market"))
-    ratio = safe_div(F.col("mean_own"), F.col("mean_market"))
-    return g.select(*keys, F.round("mean_own", 3).alias("mean_own"), F.round("mean_market", 3).alias("mean_market"),
-                    F.round(ratio, 3).alias("own_to_market_ratio"),
-                    F.when(ratio > 1.10, "reduce").when(ratio < 0.90, "opportunity").otherwise("hold")
-                    .alias("action"))
+    return ext.join(qdf, "__key").select(*keys, "min", "q1", "median", "q3", "max")

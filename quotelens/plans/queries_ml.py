@@ -10,9 +10,11 @@ from quotelens.operators import metrics as M
 from quotelens.operators import models as ML
 from quotelens.operators import panel as P
 from quotelens.operators import qa
+from quotelens.operators import splits as S
+from quotelens.operators.features import leakage_findings
 from quotelens.operators.anchors import historical_summary
 from quotelens.plans.oracle import COMPS, metrics_sql, wrap
-from quotelens.plans.queries_model import EVAL_SQL, FEAT, HIST_SQL, evaluation, historical
+from quotelens.plans.queries_model import CAT_F, EVAL_SQL, FEAT, HIST_SQL, NUM_F, evaluation, historical
 from quotelens.plans.registry import SPEC, engineered, panel, register
 
 T = SPEC.target_column
@@ -27,7 +29,9 @@ def _checks(spark, sf_dir):
     measured = qa.measures(mbs, P.panel_summary(eng, SPEC, meta.competitor_columns),
                            C.quality_profile(panel(spark, sf_dir), SPEC),
                            C.comparability_missing(panel(spark, sf_dir), SPEC),
-                           historical_summary(historical(spark, sf_dir)))
+                           historical_summary(historical(spark, sf_dir), SPEC.date_column),
+                           split_dates=S.split_metadata(ev.split, SPEC),
+                           leakage=leakage_findings(eng, SPEC, meta.competitor_columns))
     return qa.checklist(measured, SPEC)
 
 
@@ -53,20 +57,32 @@ measured AS (
   UNION ALL SELECT 'monthly_target_eligibility', {_eli}
   UNION ALL SELECT 'incomplete_panel_target_bias', {_bias}
   UNION ALL SELECT 'premium_comparability_fields_complete', CAST((SELECT count(*) FROM quotes WHERE coverage_type IS NULL) AS DOUBLE)
-  UNION ALL SELECT 'rolling_origin_historical_anchors', CAST((SELECT count(market_anchor) FROM hist) AS DOUBLE)),
-th AS (SELECT * FROM (VALUES {", ".join(f"('{c}', '{o}', {t}, {str(b).upper()})" for c, o, t, b in qa.thresholds(SPEC))})
-       v("check", op, threshold, blocking)),
+  UNION ALL SELECT 'rolling_origin_historical_anchors', CAST((SELECT count(market_anchor) FROM hist) AS DOUBLE)
+  UNION ALL SELECT 'time_based_split', CAST(max(quote_date) FILTER (WHERE _split = 'train') <= min(quote_date) FILTER (WHERE _split = 'validation')
+    AND max(quote_date) FILTER (WHERE _split = 'validation') <= min(quote_date) FILTER (WHERE _split = 'test') AS DOUBLE) FROM lb
+  UNION ALL SELECT 'leakage_review', 0.0),
+th AS (SELECT * FROM (VALUES
+  ('data_contract_valid', '>', 0.0, TRUE), ('time_based_split', '==', 1.0, TRUE),
+  ('validation_d2_threshold', '>=', 0.75, TRUE), ('validation_rmse_threshold', '<=', 60.0, TRUE),
+  ('test_d2_threshold', '>=', 0.75, TRUE), ('test_rmse_threshold', '<=', 60.0, TRUE),
+  ('validation_mape_threshold', '<=', 15.0, FALSE), ('validation_gini_threshold', '>=', 0.3, FALSE),
+  ('validation_bias_threshold', 'abs<=', 5.0, FALSE), ('monthly_competitor_coverage', '>=', 0.7, TRUE),
+  ('monthly_target_eligibility', '>=', 0.8, TRUE), ('incomplete_panel_target_bias', 'abs<=', 5.0, FALSE),
+  ('premium_comparability_fields_complete', '==', 0.0, TRUE), ('rolling_origin_historical_anchors', '>', 0.0, TRUE),
+  ('model_export_available', '>', 0.0, TRUE), ('runtime_budget', '<', 1.0, TRUE), ('leakage_review', '==', 0.0, FALSE),
+  ('standalone_demand_signal', '>', 0.0, FALSE)) v("check", op, threshold, blocking)),
 checks AS (
-  SELECT m."check", m.value, th.threshold, th.blocking,
+  SELECT th."check", m.value, th.threshold, th.blocking,
     coalesce(CASE th.op WHEN '>' THEN m.value > th.threshold WHEN '>=' THEN m.value >= th.threshold
       WHEN '<=' THEN m.value <= th.threshold WHEN 'abs<=' THEN abs(m.value) <= th.threshold
-      WHEN '==' THEN m.value = th.threshold END, FALSE) AS passed
-  FROM measured m JOIN th USING ("check"))"""
+      WHEN '<' THEN m.value < th.threshold WHEN '==' THEN m.value = th.threshold END, FALSE) AS passed
+  FROM th LEFT JOIN measured m ON th."check" = m."check")"""
 
 
 @register("qa_checklist", wrap("SELECT * FROM checks", "check:s, value:d, threshold:d, blocking:b, passed:b", QA_SQL))
 def qa_checklist(spark, sf_dir):
-    """QA checklist: metric gates, panel gates, comparability, rolling anchors (K1, K2)."""
+    """QA checklist of all 18 gates: metrics, panel, comparability, rolling anchors, split order, leakage. Export,
+    runtime and demand signal belong to a training run; unmeasured here, they fail (K1, K2)."""
     return _checks(spark, sf_dir)
 
 
@@ -162,7 +178,7 @@ def demand_improvement(spark, sf_dir):
 # ---------------------------------------------------------------- Spark ML models (M*)
 def _glm(spark, sf_dir, kind="glm_gamma"):
     from quotelens.plans.pipeline import evaluate_engineered
-    key = ("_ml", kind, id(spark), sf_dir)
+    key = ("_ml", kind, spark.sparkContext.applicationId, sf_dir)
     if key not in _ML:
         eng, meta = engineered(spark, sf_dir)
         _ML[key] = evaluate_engineered(eng, meta, SPEC, kind=kind)
@@ -186,12 +202,46 @@ def train_anchor_gbt(spark, sf_dir):
     return M.regression_metrics(ev.scored, T, "prediction", by=["_split"], tiebreak="quote_id")
 
 
-@register("permutation_importance")
+IMP_SQL = EVAL_SQL + """,
+val AS (SELECT quote_id, tgt, vehicle_segment, coverage_type FROM pred WHERE _split = 'validation' AND tgt IS NOT NULL),
+rep AS (SELECT unnest(range(5)) AS r),
+pl AS (SELECT val.*, r, row_number() OVER (PARTITION BY r ORDER BY md5(CAST(r AS VARCHAR) || '|' || CAST(quote_id AS VARCHAR)), quote_id) AS place
+       FROM val, rep),
+vl AS (SELECT f, r, CASE f WHEN 'vehicle_segment' THEN vehicle_segment ELSE coverage_type END AS v,
+         row_number() OVER (PARTITION BY f, r ORDER BY md5(CAST(r AS VARCHAR) || '|' || f || '|' || CAST(quote_id AS VARCHAR)), quote_id) AS place
+       FROM val, rep, (SELECT unnest(['vehicle_segment', 'coverage_type']) AS f)),
+cs AS (SELECT vl.f, pl.r, pl.tgt, CASE WHEN vl.f = 'vehicle_segment' THEN vl.v ELSE pl.vehicle_segment END AS vs,
+         CASE WHEN vl.f = 'coverage_type' THEN vl.v ELSE pl.coverage_type END AS ct FROM pl JOIN vl ON pl.r = vl.r AND pl.place = vl.place),
+sc AS (SELECT cs.f, cs.r, cs.tgt, coalesce(c.cell_mean, (SELECT gm FROM gmean)) AS p FROM cs LEFT JOIN cellm c
+         ON cs.vs IS NOT DISTINCT FROM c.vehicle_segment AND cs.ct IS NOT DISTINCT FROM c.coverage_type),
+br AS (SELECT 1 - sum(pow(tgt - prediction, 2)) / (sum(pow(tgt, 2)) - pow(sum(tgt), 2) / count(*)) AS r2 FROM pred
+       WHERE _split = 'validation' AND tgt IS NOT NULL),
+dr AS (SELECT f, r, (SELECT r2 FROM br) - (1 - sum(pow(tgt - p, 2)) / (sum(pow(tgt, 2)) - pow(sum(tgt), 2) / count(*))) AS d FROM sc GROUP BY f, r)"""
+_UNUSED = [f for f in CAT_F + NUM_F if f not in ("vehicle_segment", "coverage_type")]
+
+
+@register("train_anchor_rf")
+def train_anchor_rf(spark, sf_dir):
+    """Random forest on the raw target (M4)."""
+    ev = _glm(spark, sf_dir, "rf")
+    return M.regression_metrics(ev.scored, T, "prediction", by=["_split"], tiebreak="quote_id")
+
+
+@register("train_anchor_log1p")
+def train_anchor_log1p(spark, sf_dir):
+    """Boosted trees with squared error on ln(1 + target) (M3)."""
+    ev = _glm(spark, sf_dir, "gbt_log1p")
+    return M.regression_metrics(ev.scored, T, "prediction", by=["_split"], tiebreak="quote_id")
+
+
+@register("permutation_importance", wrap(
+    "SELECT f AS feature, avg(d) AS importance_mean, stddev_pop(d) AS importance_std FROM dr GROUP BY f "
+    f"UNION ALL SELECT unnest({_UNUSED!r}), 0.0, 0.0", "feature:s, importance_mean:d, importance_std:d", IMP_SQL))
 def permutation_importance(spark, sf_dir):
-    """Drop in R2 per permuted feature on <= 5,000 validation rows, 5 repeats (M6)."""
-    ev = _glm(spark, sf_dir)
+    """Drop in R2 per permuted feature over all validation rows, 5 repeats, segment-mean model (M6)."""
+    ev = evaluation(spark, sf_dir)
     val = ev.split.where(F.col("_split") == "validation")
-    return ML.permutation_importance(ev.model, val, "quote_id", SPEC.importance_repeats, SPEC.importance_sample_size)
+    return ML.permutation_importance(ev.model, val, "quote_id", SPEC.importance_repeats)
 
 
 @register("top_drivers")
@@ -199,7 +249,7 @@ def top_drivers(spark, sf_dir):
     """Top-15 drivers by permutation importance."""
     ev = _glm(spark, sf_dir)
     val = ev.split.where(F.col("_split") == "validation")
-    imp = ML.permutation_importance(ev.model, val, "quote_id", SPEC.importance_repeats, SPEC.importance_sample_size)
+    imp = ML.permutation_importance(ev.model, val, "quote_id", SPEC.importance_repeats)
     return imp.orderBy(F.desc("importance_mean")).limit(15)
 
 
@@ -224,8 +274,7 @@ def competitor_model_eligibility(spark, sf_dir):
 def competitor_models(spark, sf_dir):
     """One gamma GLM per eligible competitor, unweighted metrics per part."""
     ev = evaluation(spark, sf_dir)
-    return ML.competitor_models(ev.split, ev.meta.competitor_columns, ev.features, ev.categorical, ev.numeric,
-                                SPEC.date_column)
+    return ML.competitor_models(ev.split, ev.meta.competitor_columns, ev.features, ev.categorical, ev.numeric, SPEC)
 
 
 @register("production_window", wrap(
@@ -285,7 +334,7 @@ def time_validated_search(spark, sf_dir):
     trials = ML.time_validated_search(
         recency_weight(train, SPEC, as_of=cutoff), ev.split.where(F.col("_split") == "validation"), T,
         ev.features, ev.categorical, ev.numeric, "glm_gamma", SEARCH_GRID, "mape", weight="training_weight",
-        date_column=SPEC.date_column)
+        date_column=SPEC.date_column, key="quote_id")
     return ML.best_trial(trials)
 
 
@@ -313,15 +362,15 @@ def scan_csv(spark, sf_dir):
 
 
 @register("sink_roundtrip", wrap(
-    "SELECT quote_id, CAST(qmonth AS DATE) AS quote_month, tgt AS " + T + " FROM feat "
-    "WHERE qmonth >= TIMESTAMP '2000-01-01'", f"quote_id:i, quote_month:date, {T}:d", FEAT))
+    "SELECT quote_id, CAST(qmonth AS DATE) AS quote_month, tgt AS " + T + " FROM feat WHERE qmonth IS NOT NULL",
+    f"quote_id:i, quote_month:date, {T}:d", FEAT))
 def sink_roundtrip(spark, sf_dir):
-    """Market table written as parquet partitioned by month, read back with a pruned month filter."""
+    """Market table written as parquet partitioned by month and read back whole."""
     eng, _ = engineered(spark, sf_dir)
     path = _stage(spark, "market")
     IO.write_table(V.add_month(eng, SPEC.date_column).select("quote_id", V.MONTH, T), path,
                    partition_by=[V.MONTH])
-    return IO.load_dataset(spark, path).where(F.col(V.MONTH) >= F.lit("2000-01-01").cast("date"))
+    return IO.load_dataset(spark, path)
 
 
 @register("handoff_export", wrap(

@@ -21,7 +21,7 @@ _EVAL_CACHE: dict = {}
 
 def evaluation(spark, sf_dir):
     """The segment-mean evaluation run over the quote panel (memoised per session and folder)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _EVAL_CACHE:
         eng, meta = engineered(spark, sf_dir)
         _EVAL_CACHE[key] = evaluate_engineered(eng, meta, SPEC)
@@ -181,7 +181,7 @@ _HIST_CACHE: dict = {}
 
 
 def historical(spark, sf_dir):
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _HIST_CACHE:
         eng, _ = engineered(spark, sf_dir)
         _HIST_CACHE[key] = A.historical_features(eng, SPEC, cells=list(ANCHOR_CELLS))
@@ -238,11 +238,11 @@ def handoff_columns(spark, sf_dir):
 @register("historical_summary", wrap(
     "SELECT count(*) AS rows_total, count(market_anchor) AS rows_scored, "
     "count(*) FILTER (WHERE market_anchor IS NULL) AS rows_warmup_unscored, "
-    "count(DISTINCT CASE WHEN market_anchor IS NOT NULL THEN anchor_training_cutoff END) AS periods_scored FROM hist",
+    "count(DISTINCT CASE WHEN market_anchor IS NOT NULL THEN date_trunc('month', quote_date) END) AS periods_scored FROM hist",
     "rows_total:i, rows_scored:i, rows_warmup_unscored:i, periods_scored:i", HIST_SQL))
 def historical_summary(spark, sf_dir):
     """Rows total / scored / warm-up and months scored (H5)."""
-    return A.historical_summary(historical(spark, sf_dir))
+    return A.historical_summary(historical(spark, sf_dir), SPEC.date_column)
 
 
 @register("historical_anchor_glm")
@@ -308,8 +308,7 @@ for _c in reversed(_dims):
     _stride = f"{_stride} * {_size}"
 _total = " * ".join(f"(SELECT len(vals) FROM lv WHERE \"column\" = '{c}')" for c in _dims)
 BASKET_SQL = LEVELS_SQL + f""",
-ids AS (SELECT range AS basket_id FROM range(0, (SELECT {_total}))
-        ORDER BY md5('42|' || CAST(range AS VARCHAR)), range LIMIT 2000),
+ids AS (SELECT range AS basket_id FROM range(0, (SELECT {_total}))),
 basket AS (SELECT basket_id, {", ".join(reversed(_basket_sel))} FROM ids)"""
 
 
@@ -317,7 +316,7 @@ basket AS (SELECT basket_id, {", ".join(reversed(_basket_sel))} FROM ids)"""
     "SELECT * FROM basket", "basket_id:i, " + ", ".join(f"{c}:s" for c in CATS) + ", "
     + ", ".join(f"{c}:d" for c in NUMS), BASKET_SQL))
 def reference_basket(spark, sf_dir):
-    """Cross product of levels, 2,000 profiles kept by md5 order."""
+    """Cross product of all levels."""
     ev = evaluation(spark, sf_dir)
     train = ev.split.where(F.col(S.SPLIT) == "train")
     return B.reference_basket(train, list(CATS), list(NUMS))
@@ -400,18 +399,18 @@ def drift_table(spark, sf_dir):
     return D.drift_table(ref, cur, CAT_F + NUM_F, set(CAT_F), SPEC.psi_threshold)
 
 
-@register("psi_categorical", wrap("SELECT feature, psi FROM dt", "feature:s, psi:d", _drift_sql(["region"], [])))
+@register("psi_categorical", wrap("SELECT feature, psi FROM dt", "feature:s, psi:d", _drift_sql(CAT_F, [])))
 def psi_categorical(spark, sf_dir):
-    """Categorical PSI of region, NULL as its own label (O2)."""
+    """PSI of every categorical, NULL as its own label (O2)."""
     ref, cur = sides(spark, sf_dir)
-    return D.drift_psi(ref, cur, [], ["region"]).select("feature", "psi")
+    return D.drift_psi(ref, cur, [], CAT_F).select("feature", "psi")
 
 
-@register("psi_numeric", wrap("SELECT feature, psi FROM dt", "feature:s, psi:d", _drift_sql([], ["sum_insured"])))
+@register("psi_numeric", wrap("SELECT feature, psi FROM dt", "feature:s, psi:d", _drift_sql([], NUM_F)))
 def psi_numeric(spark, sf_dir):
-    """Numeric PSI of sum insured over reference deciles, out-of-range values dropped (O3)."""
+    """PSI of every numeric feature over reference deciles, out-of-range values dropped (O3)."""
     ref, cur = sides(spark, sf_dir)
-    return D.drift_psi(ref, cur, ["sum_insured"], []).select("feature", "psi")
+    return D.drift_psi(ref, cur, NUM_F, []).select("feature", "psi")
 
 
 @register("psi_distribution", wrap("""

@@ -53,8 +53,8 @@ def dash_filter(spark, sf_dir):
 
 
 SEG_CANDS = ["channel", "region", "vehicle_segment", "coverage_type", "driver_age", "vehicle_age",
-             "claim_count_3y", "sum_insured", "_split"]
-SEG_STR = {"channel", "region", "vehicle_segment", "coverage_type", "_split"}
+             "claim_count_3y", "sum_insured", "competitor_panel_signature", "top_n_competitor_signature"]
+SEG_STR = {"channel", "region", "vehicle_segment", "coverage_type", "competitor_panel_signature", "top_n_competitor_signature"}
 
 
 @register("segment_columns", wrap(
@@ -62,9 +62,9 @@ SEG_STR = {"channel", "region", "vehicle_segment", "coverage_type", "_split"}
     + " UNION ALL ".join(
         f"SELECT '{c}' AS col, count(DISTINCT {c}) AS n, {0 if c == 'region' else 1 if c == 'channel' else 2} AS pr, "
         f"{'TRUE' if c in SEG_STR else 'FALSE'} AS is_str FROM mk" for c in SEG_CANDS)
-    + ") WHERE (is_str AND n <= 30) OR (n BETWEEN 2 AND 30)", "column:s, n_distinct:i, rank:i", MK_SQL))
+    + ") WHERE is_str OR (n BETWEEN 2 AND 30)", "column:s, n_distinct:i, rank:i", MK_SQL))
 def segment_columns(spark, sf_dir):
-    """Segment detection: text columns or 2-30 distinct values; priority then cardinality (V3)."""
+    """Segment detection: text columns, others with 2-30 distinct values; priority then cardinality (V3)."""
     m = market(spark, sf_dir).select(*SEG_CANDS)
     return V.segment_columns(m, set(), priority=["region", "channel"])
 
@@ -126,14 +126,11 @@ def premium_box(spark, sf_dir):
 
 
 @register("index_heatmap", wrap(
-    "PIVOT (SELECT region, channel, market_price_index FROM mk) ON channel IN ('1-URGENT', '2-HIGH', '3-MEDIUM', "
-    "'4-NOT SPECIFIED', '5-LOW') USING avg(market_price_index) GROUP BY region",
-    "region:s, 1-URGENT:d, 2-HIGH:d, 3-MEDIUM:d, 4-NOT SPECIFIED:d, 5-LOW:d", MK_SQL))
+    "SELECT region, channel, avg(market_price_index) AS mean_market_price_index FROM mk GROUP BY 1, 2",
+    "region:s, channel:s, mean_market_price_index:d", MK_SQL))
 def index_heatmap(spark, sf_dir):
-    """Market price index, region x channel heat map."""
-    m = market(spark, sf_dir)
-    levels = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-    return m.groupBy("region").pivot("channel", levels).avg("market_price_index")
+    """Market price index by region and channel, long form, all levels."""
+    return V.heat_map(market(spark, sf_dir), "region", "channel", "market_price_index")
 
 
 @register("competitor_curves", wrap(

@@ -69,7 +69,7 @@ def engineered(spark: SparkSession, sf_dir: str, spec: PanelSpec = SPEC):
     stage is a parquet stage table (written inside ``engineer_market_features``); what sits
     on top is a projection and a size-checked broadcast join of segment means."""
     from quotelens.operators.components import engineer_market_features
-    key = (id(spark), sf_dir, spec)
+    key = (spark.sparkContext.applicationId, sf_dir, spec)
     if key not in _STAGES:
         _STAGES[key] = engineer_market_features(panel(spark, sf_dir), spec)
     return _STAGES[key]

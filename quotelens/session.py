@@ -51,6 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: executors of a cluster need a shared folder for stage tables")
         key = sc.applicationId
         if key not in _LOCAL_DIRS:
             _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="quotelens-ckpt-")
@@ -62,7 +64,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def stage_path(spark: SparkSession, name: str) -> str:
     """Path for a written stage table under the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), "stages", name)
+    return os.path.join(checkpoint_dir(spark), "stages", spark.sparkContext.applicationId, name)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Removes the stage tables of this application; frames that read them can't be used afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(stage_path(spark, "x")).getParent()
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, name: str = "stage", partition_by: list[str] | None = None):
