@@ -124,13 +124,14 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     are shuffled once by it, and the next row's prefix is sent to it."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     ident = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit(""))  # null ids have a key of their own
-    rows = docs.select(F.col(id_col).alias("id"), ident.alias("k"), F.xxhash64(text).alias("h"), text.alias("text"), fingerprint(text).alias("prints"))
+    # both joins below read the same four columns, so that one exchange of texts serves them
+    rows = docs.select(ident.alias("k"), F.xxhash64(text).alias("h"), text.alias("text"), fingerprint(text).alias("prints"))
     keys = (docs.select(F.col(id_col).alias("id"), ident.alias("k"), F.xxhash64(text).alias("h"), F.length(text).alias("n"))
             .groupBy("k", "h").agg(F.first("id").alias("id"), F.first("n").alias("n"), F.count("*").alias("copies")))
     wanted = materialize(next_rows(keys, [F.col("id").desc_nulls_last(), F.col("h")]), "next")
-    asks = wanted.select(F.col("k").alias("by_k"), F.col("h").alias("by_h"), "copies", F.expr(f"cast(n div {share} as int)").alias("take"), "next_k", "next_h")
+    asks = wanted.select("id", F.col("k").alias("by_k"), F.col("h").alias("by_h"), "copies", F.expr(f"cast(n div {share} as int)").alias("take"), "next_k", "next_h")
     heads = (rows.join(asks, (F.col("k") == F.col("next_k")) & (F.col("h") == F.col("next_h")))
-             .select("by_k", "by_h", "copies", "take", F.expr("left(text, take)").alias("head"), F.col("prints").alias("next_prints"))
+             .select("id", "by_k", "by_h", "copies", "take", F.expr("left(text, take)").alias("head"), F.col("prints").alias("next_prints"))
              .dropDuplicates(["by_k", "by_h"]))
     joined = rows.join(heads, (F.col("k") == F.col("by_k")) & (F.col("h") == F.col("by_h")))
     copy = F.row_number().over(Window.partitionBy("k", "h").orderBy("h"))  # the join's own partitions: no exchange
