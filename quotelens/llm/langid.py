@@ -29,7 +29,7 @@ from quotelens.llm.words import byte_table, utf8_buffer
 
 ORDER = 3
 #: Size bound of the compiled probability table.
-TABLE_BYTES = 48_000_000
+TABLE_BYTES = 24_000_000
 UNDECIDED = "und"
 
 
