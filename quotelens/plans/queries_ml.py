@@ -303,22 +303,24 @@ def production_refit(spark, sf_dir):
     return ML.predict(model, eng).select("quote_id", "quote_date", T, "prediction")
 
 
+_CAL = ["quote_year", "quote_month", "quote_quarter", "quote_weekofyear", "quote_dayofweek", "quote_time_days", "quote_month_sin",
+        "quote_month_cos", "quote_dayofweek_sin", "quote_dayofweek_cos"]
+_CAL_SQL = (", quote_year, quote_month_num AS quote_month, quote_quarter, quote_weekofyear, quote_dayofweek, quote_time_days, "
+            "sin(2 * pi() * quote_month_num / 12) AS quote_month_sin, cos(2 * pi() * quote_month_num / 12) AS quote_month_cos, "
+            "sin(2 * pi() * quote_dayofweek / 7) AS quote_dayofweek_sin, cos(2 * pi() * quote_dayofweek / 7) AS quote_dayofweek_cos")
 REF = ("quote_id:i, quote_date:ts, " + T + ":d, channel:s, region:s, vehicle_segment:s, coverage_type:s, driver_age:d, "
-       "vehicle_age:d, claim_count_3y:d, sum_insured:d, prediction:d, residual:d, absolute_error:d")
+       "vehicle_age:d, claim_count_3y:d, sum_insured:d, " + ", ".join(f"{c}:{'d' if c.endswith(('sin', 'cos')) else 'i'}" for c in _CAL)
+       + ", prediction:d, residual:d, absolute_error:d")
 
 
 @register("reference_features", wrap(
     "SELECT quote_id, quote_date, tgt AS " + T + ", channel, region, vehicle_segment, coverage_type, driver_age, "
-    "vehicle_age, claim_count_3y, sum_insured, prediction, tgt - prediction AS residual, abs(tgt - prediction) AS "
+    "vehicle_age, claim_count_3y, sum_insured" + _CAL_SQL + ", prediction, tgt - prediction AS residual, abs(tgt - prediction) AS "
     "absolute_error FROM pred WHERE _split = 'test'", REF, EVAL_SQL))
 def reference_features(spark, sf_dir):
-    """Drift reference: test rows with features, prediction, residual, absolute error (M9)."""
-    ev = evaluation(spark, sf_dir)
-    t = ev.scored.where(F.col("_split") == "test")
-    res = F.col(T) - F.col("prediction")
-    return t.select("quote_id", "quote_date", T, "channel", "region", "vehicle_segment", "coverage_type",
-                    "driver_age", "vehicle_age", "claim_count_3y", "sum_insured", "prediction",
-                    res.alias("residual"), F.abs(res).alias("absolute_error"))
+    """Drift reference: test rows with all features, prediction, residual, absolute error (M9)."""
+    from quotelens.plans.runs import reference_features as frame
+    return frame(evaluation(spark, sf_dir), SPEC)
 
 
 SEARCH_GRID = [{"regParam": r} for r in (0.0, 0.001, 0.01, 0.1)]
@@ -439,38 +441,43 @@ def stream_score(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- remaining inventory items
+_PRESENT = ", ".join(f"count({'quote_date' if c.startswith('quote_') else c}) AS {c}" for c in CAT_F + NUM_F)
+
+
 @register("model_features", wrap(
-    "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{c}', '{k}')" for i, (c, k) in enumerate(
-        [(c, "categorical") for c in ("channel", "region", "vehicle_segment", "coverage_type")]
-        + [(c, "numeric") for c in ("driver_age", "vehicle_age", "claim_count_3y", "sum_insured", "quote_year",
-                                    "quote_month", "quote_quarter", "quote_weekofyear", "quote_dayofweek",
-                                    "quote_time_days", "quote_month_sin", "quote_month_cos", "quote_dayofweek_sin",
-                                    "quote_dayofweek_cos")])) + ") v(position, feature, kind)",
-    "position:i, feature:s, kind:s"))
+    "SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS position, feature, CASE WHEN feature IN ('" + "', '".join(CAT_F) + "') THEN 'categorical' "
+    f"ELSE 'numeric' END AS kind, n_present FROM (UNPIVOT (SELECT {_PRESENT} FROM feat) ON {', '.join(CAT_F + NUM_F)} INTO NAME feature VALUE n_present)",
+    "position:i, feature:s, kind:s, n_present:i", FEAT))
 def model_features(spark, sf_dir):
-    """Model features after leakage exclusions, in order."""
+    """Model features after leakage exclusions, in order, with the rows that have each."""
     from quotelens.operators.features import select_model_features
     eng, meta = engineered(spark, sf_dir)
     feats, cat, _ = select_model_features(eng, SPEC, meta)
-    return spark.createDataFrame([(i, f, "categorical" if f in cat else "numeric") for i, f in enumerate(feats)],
-                                 "position long, feature string, kind string")
+    present = eng.agg(*[F.count(f).alias(f) for f in feats]).unpivot([], feats, "feature", "n_present")
+    places = spark.createDataFrame([(i, f, "categorical" if f in cat else "numeric") for i, f in enumerate(feats)],
+                                   "position long, feature string, kind string")
+    return places.join(present, "feature").select("position", "feature", "kind", "n_present")
+
 
+_TR = "(SELECT * FROM lb WHERE _split = 'train' AND tgt IS NOT NULL AND tgt > 0)"
 
-@register("impute_encode")
+
+@register("impute_encode", wrap(
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, quantile_cont({c}, 0.5) AS median, NULL AS mode, CAST(0 AS BIGINT) AS levels FROM {_TR} t"
+                       for c in ("driver_age", "vehicle_age", "claim_count_3y", "sum_insured"))
+    + "".join(f" UNION ALL SELECT '{c}', NULL, (SELECT {c} FROM {_TR} u WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1), "
+              f"count(DISTINCT {c}) FROM {_TR} t" for c in CAT_F),
+    "feature:s, median:d, mode:s, levels:i", EVAL_SQL))
 def impute_encode(spark, sf_dir):
-    """Imputation values learnt by the fitted preprocessing: numeric medians, categorical levels (M1)."""
-    ev = _glm(spark, sf_dir)
-    stages = ev.model.pipeline.stages
-    rows = []
-    for st in stages:
-        name = type(st).__name__
-        if name == "ImputerModel":
-            sur = st.surrogateDF.first().asDict()
-            rows += [(k.replace("__num_", ""), "median", str(v)) for k, v in sur.items()]
-        if name == "StringIndexerModel":
-            for col, labels in zip(st.getInputCols(), st.labelsArray):
-                rows += [(col.replace("__cat_", ""), "level", lab) for lab in labels]
-    return spark.createDataFrame(rows, "feature string, kind string, value string")
+    """What the preprocessing learns from the train part: exact medians, most frequent levels, level counts (M1)."""
+    from quotelens.functions.quantiles import grouped_quantiles
+    ev = evaluation(spark, sf_dir)
+    train = ev.split.where((F.col("_split") == "train") & (F.col(T) > 0))
+    plain = ["driver_age", "vehicle_age", "claim_count_3y", "sum_insured"]
+    long = train.select(*[F.col(c).cast("double").alias(c) for c in plain]).unpivot([], plain, "c", "v")
+    rows = [(c, q[0], None, 0) for c, q in grouped_quantiles(long, "c", "v", [0.5]).items()]
+    rows += [(c, None, mode, n) for c, (mode, n) in ML.category_levels(train, CAT_F).items()]
+    return spark.createDataFrame(rows, "feature string, median double, mode string, levels long")
 
 
 @register("basket_index")
