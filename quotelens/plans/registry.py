@@ -75,6 +75,13 @@ def engineered(spark: SparkSession, sf_dir: str, spec: PanelSpec = SPEC):
     return _STAGES[key]
 
 
+def clear_caches() -> None:
+    """Forgets what the queries share, so that the next one pays for all it needs."""
+    from quotelens.plans import queries_ml, queries_model
+    for cache in (_STAGES, queries_model._EVAL_CACHE, queries_model._HIST_CACHE, queries_ml._ML):
+        cache.clear()
+
+
 def load_all() -> None:
     """Import the modules that register queries."""
     from quotelens.plans import queries_core  # noqa: F401
