@@ -46,12 +46,11 @@ def budgets(sizes: DataFrame, weights: tuple[int, ...], max_epochs: int) -> Data
     ranked = materialize(ranked.withColumn("weight", weight), "sources")
     cap = F.col("source_size") * max_epochs
     total = ranked.agg(F.sum("source_size")).first()[0] or 0
-    level, before = 0.0, None
-    while level != before:
-        before = level
-        above = cap < F.col("weight") * F.lit(level)
-        spent, weight = ranked.agg(F.sum(F.when(above, cap).otherwise(0)), F.sum(F.when(above, 0).otherwise(F.col("weight")))).first()
-        level = (total - spent) / weight if weight else level
+    level, state, before = 0.0, None, ()
+    while state != before:  # whole numbers, so the rounds end when no further source is above
+        before, above = state, cap < F.col("weight") * F.lit(level)
+        state = tuple(ranked.agg(F.sum(F.when(above, cap).otherwise(0)), F.sum(F.when(above, 0).otherwise(F.col("weight")))).first())
+        level = max(level, (total - state[0]) / state[1]) if state[1] else level
     return ranked.withColumn("target", F.least(cap.cast("double"), F.col("weight") * F.lit(level)))
 
 
