@@ -336,7 +336,9 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     families = components(together.mapInArrow(family_function(percent), "a long, b long"), "a", "b")
     families = families.join(class_of, F.col("node") == F.col("rep")).select("node", F.col("component").alias("family"), "set_key")
     families = materialize(families, "families")
-    texts = base.join(families, F.col("id") == F.col("node")).select("id", "text", "family", "set_key")
+    # a merge join at every size: families grow with the documents, so a plan that broadcasts them while they are few
+    # would say nothing about the plan that large inputs get
+    texts = base.join(families.hint("merge"), F.col("id") == F.col("node")).select("id", "text", "family", "set_key")
     members = materialize(texts.mapInArrow(sets_function(shingle), "id long, family long, members binary"), "members")
     links = dealt(members, "family").groupBy("family", "i", "j").applyInArrow(link_function(percent), "a long, b long")
     found = components(links, "a", "b")
@@ -351,7 +353,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that ``link_documents`` keeps, all columns; of rows that repeat both id and text one stays."""
     kept = link_documents(docs, id_col, text_col, **options).where("kept").select(F.col(id_col).alias("_id")).distinct()
-    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+    rows = docs.join(kept.hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
     same = docs.groupBy(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash")).agg(F.count("*").alias("n")).where("n > 1")
     same = materialize(same.select("_id", "_hash"), "repeated")
     if same.isEmpty():

@@ -98,5 +98,5 @@ def draw(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id", text_col: str
     copies = (mix.groupBy(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"))
               .agg(F.max(F.col("epochs") + (F.col("extra") > 0).cast("int")).alias("_copies")).where("_copies > 0"))
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_hash"))
-    once = docs.join(copies, same)
+    once = docs.join(copies.hint("merge"), same)  # copies grow with the documents: the same plan at every size
     return once.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies").cast("long")))).select(*docs.columns)
