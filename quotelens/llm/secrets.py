@@ -122,7 +122,7 @@ def redact(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col:
     cuts = (found.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), F.transform(live, lambda s: F.struct(s["value_start"].alias("a"), s["end"].alias("b"))).alias("_cuts"))
             .where(F.size("_cuts") > 0).dropDuplicates(["_id", "_hash"])
             .withColumn("_cuts", F.sort_array("_cuts")))
-    joined = docs.join(cuts, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_hash")), "left")
+    joined = docs.join(cuts.hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_hash")), "left")
     text = F.col(text_col)
 
     def step(seen: Column, cut: Column) -> Column:
