@@ -24,14 +24,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@register("op1_substring_dedup")
+#: Words of whole texts, one row each; documents that have none are left to the outer joins.
+WORDS_SQL = r"""WITH w AS (SELECT doc_id, regexp_extract_all({text}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+pos AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+win AS (SELECT doc_id, p, word, string_agg(word, ' ') OVER around AS k, count(*) OVER around AS size FROM pos
+        WINDOW around AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND {last} FOLLOWING)),"""
+
+SUBSTRING_SQL = WORDS_SQL.format(text="coalesce(text, '')", last=34) + """
+rep AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY k) AS n FROM win WHERE size = 35) WHERE n > 1),
+cov AS (SELECT DISTINCT doc_id, p + o AS p FROM rep, (SELECT unnest(range(35)) AS o)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM pos ANTI JOIN cov USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
+NEAR_SQL = WORDS_SQL.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')", last=4).replace("WITH w", "WITH RECURSIVE w") + """
+sh AS (SELECT DISTINCT doc_id, k FROM win WHERE size = 5 OR (p = 1 AND size < 5)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, y FROM reach JOIN both_ways ON r = x),
+least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, component_id = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN least USING (doc_id)"""
+
+
+@register("op1_substring_dedup", SUBSTRING_SQL)
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quotelens.llm.substring_dedup import remove_repeats
     out = remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
-@register("op3_near_dedup")
+@register("op3_near_dedup", NEAR_SQL)
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quotelens.llm.hyperminhash import link_documents
     return link_documents(table(spark, sf_dir, "documents"))
