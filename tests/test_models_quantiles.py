@@ -58,10 +58,9 @@ def test_missing_features_raise(spark):
         predict(m, df.select("id", "driver_age"))
 
 
-def test_order_statistics_exact_when_direct_reads_are_capped(spark, monkeypatch):
+def test_order_statistics_exact_over_many_passes(spark, monkeypatch):
     import quotelens.functions.quantiles as Qm
-    monkeypatch.setattr(Qm, "DIRECT_READ_ROWS", 50)
-    monkeypatch.setattr(Qm, "DIRECT_READ_TOTAL", 60)
+    monkeypatch.setattr(Qm, "SORTED_ROWS", 50)
     monkeypatch.setattr(Qm, "DEFAULT_BUCKETS", 8)
     rnd = random.Random(3)
     vals = [float(rnd.randint(0, 400)) / 7 for _ in range(5000)]
