@@ -54,6 +54,7 @@ def regression_metrics(df: DataFrame, actual: str, pred: str, weight: str | None
         F.sum(w * F.pow(F.log1p(F.greatest(p, F.lit(0.0))) - F.log1p(F.greatest(y, F.lit(0.0))), 2)).alias("__swle2"),
         F.sum(w * y).alias("__swy"),
         F.sum(w * y * y).alias("__swy2"),
+        F.var_pop(y).alias("__vy"),
         F.count_if(y <= 0).alias("__nonpos"),
         F.sum(F.when(y > 0, F.log(y))).alias("__sly"),
         F.sum(y).alias("__sy"),
@@ -62,7 +63,8 @@ def regression_metrics(df: DataFrame, actual: str, pred: str, weight: str | None
     n = F.col("n").cast("double")
     mean_y = F.col("__sy") / n
     dev_null = 2 * (n * F.log(mean_y) - F.col("__sly"))
-    sst = F.col("__swy2") - F.col("__swy") * F.col("__swy") / F.col("__sw")
+    # unweighted: the merged central moment, which keeps its digits where a difference of huge sums does not
+    sst = F.col("__vy") * n if weight is None else F.col("__swy2") - F.col("__swy") * F.col("__swy") / F.col("__sw")
     sse = F.col("__swe2")
     out = agg.select(
         *by,
