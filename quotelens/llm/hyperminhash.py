@@ -48,7 +48,7 @@ BANDS = REGISTERS // BAND
 BLOCK = 1024
 #: Pairs of sketches or bit rows that are compared at once.
 AT_ONCE = 50_000
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 3_000_000
 
 
 def slices(batch: pa.RecordBatch, column: str):

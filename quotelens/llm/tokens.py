@@ -19,7 +19,7 @@ import numpy as np
 from quotelens.llm.words import byte_table, per_process, units, utf8_buffer
 
 #: Units remembered by a Python worker; beyond it the memory starts afresh.
-REMEMBERED = 250_000
+REMEMBERED = 120_000
 #: UTF-8 of white space beyond ASCII, and the information separators.
 ODD = rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 

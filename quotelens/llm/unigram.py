@@ -26,7 +26,7 @@ from quotelens.llm.words import per_process, units, utf8_buffer
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Units remembered by a Python worker; beyond it the memory starts afresh.
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 
 
 def zipf_vocabulary(model_path: str) -> list[tuple[str, float]]:
