@@ -77,3 +77,18 @@ def test_stage_keeps_columns_and_clean_rows(spark):
     assert kept.columns == docs.columns
     gone = {r.doc_id for r in docs.collect()} - {r.doc_id for r in kept.collect()}
     assert {200, 201, 202, 203} <= gone and len(gone) <= 6
+
+
+def test_no_count_is_dropped(spark):
+    """More order-3 contexts than any fixed table of eight languages held: bits per byte equal those of whole trees."""
+    import random
+    rng = random.Random(12)
+    rows = [(8 * i + k, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz "[k % 2:], k=4000)), f"l{k}", "s") for i in range(15) for k in range(8)]
+    learned = [(t, x) for d, t, x, _ in rows if zlib.crc32(str(d).encode()) % 3 != 1]
+    batch = pa.RecordBatch.from_arrays([pa.array([t for t, _ in learned]), pa.array([x for _, x in learned])], names=["text", "lang"])
+    grams = pa.Table.from_batches(list(L.count_grams([batch])))
+    mask = lambda o: pa.array(grams.column("gram").to_numpy() & ((1 << (8 * (o + 1))) - 1), pa.int64())
+    trees = L.compile_trees([f"l{k}" for k in range(8)], [grams.set_column(1, "gram", mask(o)) for o in range(L.ORDER + 1)])
+    bits = L.code_lengths(pa.array([t for _, t, _, _ in rows]), trees).min(1) / 4000
+    got = {r.doc_id: r.bits_per_byte for r in L.identify(frame(spark, rows)).collect()}
+    assert [got[d] for d, *_ in rows] == pytest.approx(bits.tolist(), rel=1e-4)
