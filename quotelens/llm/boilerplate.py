@@ -11,8 +11,9 @@
    copies and quotations, not boilerplate, and stay.
 4. A page without a container keeps the unique runs of all its blocks but furniture.
 
-A host's pages are dealt to parts of about ``PART_CHARS`` characters by a hash, so a host with a
-third of all pages is many groups; repetition is looked for within a part (thousands of pages).
+A host of more than ``PART_CHARS`` characters is dealt to parts by a hash, so a host with a third of
+all pages is many groups. Repetition is decided over the whole host: parts send the hashes of their
+runs with the pages that hold them to the host's shards, and get back those on ``PAGES`` pages.
 
 Defined results: null or empty html gives empty text; a null or unparsable url counts to the host
 ``''``; repeated rows are one distinct page but one result each; other columns are ignored.
@@ -22,15 +23,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelens.llm.html_blocks import blocks
+from quotelens.llm.words import BASES, rolling
 from quotelens.session import materialize
 
 RUN = 16
 PAGES = 3
 PART_CHARS = 8_000_000
+#: Key of a run: two rolling hashes of its tokens, 64 bits of one and 32 of the other.
+KEY = np.dtype([("a", "<u8"), ("b", "<u4")])
+LISTS = "host string, part long, shard long, runs binary, at binary, pages binary, marks binary"
 HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/@]*@)?(?:www\.)?([^/:?#]+)"
 
 
@@ -48,54 +55,180 @@ def suffix_ranks(token: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
-def boilerplate(token: np.ndarray, page: np.ndarray, left: np.ndarray, outside: np.ndarray, loose: np.ndarray) -> np.ndarray:
-    """Which tokens are covered by a boilerplate substring."""
-    covered = np.zeros(len(token) + 1, np.int64)
-    long = np.flatnonzero(left >= RUN)
+def cover(at: np.ndarray, n: int) -> np.ndarray:
+    """Which of n tokens lie in a run that begins at one of ``at``."""
+    step = np.zeros(n + RUN + 1, np.int64)
+    np.add.at(step, at, 1)
+    np.add.at(step, at + RUN, -1)
+    return np.cumsum(step[:n]) > 0
+
+
+def boilerplate(s: Streams) -> np.ndarray:
+    """Which tokens are covered by a boilerplate substring, by the pages at hand."""
+    long = np.flatnonzero(s.left >= RUN)
     if not len(long):
-        return covered[:-1] > 0
-    rank = suffix_ranks(token, left, RUN)[long]
-    order = np.lexsort((page[long], rank))  # the suffix array, equal suffixes by page
+        return np.zeros(len(s.left), bool)
+    code: dict[str, int] = {}
+    token = np.array([code.setdefault(w, len(code)) for w in s.words], np.int64)
+    rank = suffix_ranks(token, s.left, RUN)[long]
+    order = np.lexsort((s.page[long], rank))  # the suffix array, equal suffixes by page
     rank, at = rank[order], long[order]
     first = np.ones(len(rank), bool)
     first[1:] = rank[1:] != rank[:-1]
     new_page = first.copy()
-    new_page[1:] |= page[at[1:]] != page[at[:-1]]
+    new_page[1:] |= s.page[at[1:]] != s.page[at[:-1]]
     group = np.cumsum(first) - 1
     repeated = np.bincount(group, weights=new_page) >= PAGES
-    beyond = np.bincount(group, weights=outside[at]) > 0
-    hit = at[repeated[group] & (beyond[group] | loose[at])]
-    np.add.at(covered, hit, 1)
-    np.add.at(covered, hit + RUN, -1)
-    return np.cumsum(covered[:-1]) > 0
+    beyond = np.bincount(group, weights=s.furniture[at]) > 0
+    return cover(at[repeated[group] & (beyond[group] | s.loose[at])], len(token))
+
+
+class Streams:
+    """Token streams of pages end to end, from each row's (text, inside, furniture) blocks.
+
+    For each token: ``page`` (an index into ``pages``), ``wanted`` (may be main text), ``loose`` (on a
+    page without a container), ``furniture`` (outside the article of a page with one) and ``left``
+    (tokens to the end of its region; no substring spans two). ``first``: each row's first token."""
+
+    def __init__(self, rows, keys):
+        self.words, page, outside, wanted, loose, self.first = [], [], [], [], [], [0]
+        index: dict = {}
+        for found, key in zip(rows, keys):
+            own = index.setdefault(key, len(index))
+            contained = any(inside and not furniture for _, inside, furniture in found)
+            for text, inside, furniture in found:
+                tokens = text.split(" ")
+                self.words += tokens
+                n = len(tokens)
+                page += [own] * n
+                outside += [furniture or not inside] * n
+                wanted += [not furniture and (inside or not contained)] * n
+                loose += [not contained] * n
+            self.first.append(len(self.words))
+        self.pages = list(index)
+        self.page, self.wanted, self.loose = np.array(page, np.int64), np.array(wanted, bool), np.array(loose, bool)
+        self.furniture = np.array(outside, bool) & ~self.loose
+        ends = np.union1d(self.first[1:], np.flatnonzero(np.diff(self.wanted)) + 1).astype(np.int64)
+        at = np.arange(len(self.words))
+        self.left = (ends[np.searchsorted(ends, at, "right")] if len(at) else at) - at
+
+    def texts(self, covered: np.ndarray) -> pa.Array:
+        keep = (self.wanted & ~covered).tolist()
+        return pa.array([" ".join(w for w, k in zip(self.words[a:b], keep[a:b]) if k) for a, b in zip(self.first[:-1], self.first[1:])], pa.string())
+
+    def runs(self) -> tuple[np.ndarray, np.ndarray]:
+        """First token and 96-bit key of every run."""
+        at = np.flatnonzero(self.left >= RUN)
+        out = np.zeros(len(at), KEY)
+        if len(at):
+            code: dict[str, int] = {}
+            token = np.array([code.setdefault(w, len(code)) for w in self.words], np.int64)
+            digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w.encode("utf-8", "surrogatepass")) for w in code), np.uint64).reshape(-1, 2)[token]
+            out["a"], out["b"] = (rolling(np.ascontiguousarray(digest[:, i]), at, RUN, BASES[i]) for i in range(2))
+        return at, out
 
 
 def extract(table: pa.Table) -> pa.Table:
-    words, page, outside, wanted, loose, first = [], [], [], [], [], [0]
-    code: dict[str, int] = {}
-    pages: dict = {}
-    for i, (url, source) in enumerate(zip(table.column("url").to_pylist(), table.column("html").to_pylist())):
-        own = pages.setdefault(url if url is not None else ("row", i), len(pages))
-        found = blocks(source) if source else []
-        contained = any(inside and not furniture for _, inside, furniture in found)
-        for text, inside, furniture in found:
-            tokens = text.split(" ")
-            words += tokens
-            n = len(tokens)
-            page += [own] * n
-            outside += [furniture or not inside] * n
-            wanted += [not furniture and (inside or not contained)] * n
-            loose += [not contained] * n
-        first.append(len(words))
-    ids = np.array([code.setdefault(w, len(code)) for w in words], np.int64)
-    wanted, loose = np.array(wanted, bool), np.array(loose, bool)
-    if len(ids):
-        ends = np.union1d(first[1:], np.flatnonzero(np.diff(wanted)) + 1)  # of stretches of one region: no substring spans two
-        left = ends[np.searchsorted(ends, np.arange(len(ids)), "right")] - np.arange(len(ids))
-        wanted &= ~boilerplate(ids, np.array(page, np.int64), left, np.array(outside, bool) & ~loose, loose)
-    keep = wanted.tolist()
-    texts = [" ".join(w for w, k in zip(words[a:b], keep[a:b]) if k) for a, b in zip(first[:-1], first[1:])]
-    return pa.table({"id": table.column("id"), "url": table.column("url"), "text": pa.array(texts, pa.string())})
+    urls = table.column("url").to_pylist()
+    s = Streams([blocks(x) if x else [] for x in table.column("html").to_pylist()], [u if u is not None else ("row", i) for i, u in enumerate(urls)])
+    return pa.table({"id": table.column("id"), "url": table.column("url"), "text": s.texts(boilerplate(s))})
+
+
+def read_pages(batches):
+    """Blocks of each page: texts by line (a text holds no line break), and a byte of flags for each."""
+    for batch in batches:
+        found = [blocks(x) if x else [] for x in batch.column("html").to_pylist()]
+        names = [x for x in batch.schema.names if x != "html"]
+        yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(["\n".join(t for t, _, _ in f) for f in found], pa.string()),
+                                          pa.array([bytes(i + 2 * u for _, i, u in f) for f in found], pa.binary())], names=[*names, "lines", "flags"])
+
+
+def streams(table: pa.Table) -> Streams:
+    rows = [[(t, bool(f & 1), bool(f & 2)) for t, f in zip(lines.split("\n"), flags)] for lines, flags in zip(table.column("lines").to_pylist(), table.column("flags").to_pylist())]
+    return Streams(rows, table.column("page").to_pylist())
+
+
+def lists(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows)) if rows else [()] * 7
+    kinds = (pa.string(), pa.int64(), pa.int64(), *[pa.binary()] * 4)
+    return pa.table({name: pa.array(c, k) for name, c, k in zip(("host", "part", "shard", "runs", "at", "pages", "marks"), columns, kinds)})
+
+
+def entries(table: pa.Table, s: Streams, at: np.ndarray, key: np.ndarray) -> pa.Table:
+    """A part's distinct (run, page) by shard, at most PAGES pages a run, and whether the run is furniture on one."""
+    if not len(at):
+        return lists([])
+    host, part, shards = (table.column(c)[0].as_py() for c in ("host", "part", "parts"))
+    page = s.page[at]
+    order = np.lexsort((page, key["b"], key["a"]))
+    key, page, mark = key[order], page[order], s.furniture[at][order]
+    first = np.append(True, key[1:] != key[:-1])
+    new = first | np.append(True, page[1:] != page[:-1])
+    run = np.cumsum(first) - 1
+    mark = (np.bincount(run, weights=mark) > 0)[run]
+    so_far = np.cumsum(new)
+    keep = new & (so_far - so_far[np.flatnonzero(first)][run] < PAGES)
+    key, page, mark = key[keep], page[keep], mark[keep]
+    shard = (key["a"] % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    ids, rows = np.array(s.pages, np.int64), []
+    for chosen in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+        own, where = np.unique(page[chosen], return_inverse=True)
+        pressed = zstandard.ZstdCompressor(level=1).compress(where.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+        rows.append((host, part, int(shard[chosen[0]]), key[chosen].tobytes(), pressed, ids[own].tobytes(), mark[chosen].tobytes()))
+    return lists(rows)
+
+
+def send(table: pa.Table) -> pa.Table:
+    s = streams(table)
+    return entries(table, s, *s.runs())
+
+
+def repeated_runs(table: pa.Table) -> pa.Table:
+    """Of one shard of a host: each part gets its runs that are on PAGES pages of the host, and whether they are furniture."""
+    host, shard = table.column("host")[0].as_py(), table.column("shard")[0].as_py()
+    parts = table.column("part").to_pylist()
+    keys = [np.frombuffer(x, KEY) for x in table.column("runs").to_pylist()]
+    pages = []
+    for at, own in zip(table.column("at").to_pylist(), table.column("pages").to_pylist()):
+        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(at), np.uint8).reshape(4, -1)
+        pages.append(np.frombuffer(own, np.int64)[np.ascontiguousarray(planes.T).view("<u4").ravel()])
+    mark = np.concatenate([np.frombuffer(x, bool) for x in table.column("marks").to_pylist()])
+    owner = np.repeat(np.arange(len(parts)), [len(k) for k in keys])
+    key, page = np.concatenate(keys), np.concatenate(pages)
+    order = np.lexsort((page, key["b"], key["a"]))
+    key, page, mark, owner = key[order], page[order], mark[order], owner[order]
+    first = np.append(True, key[1:] != key[:-1])
+    run = np.cumsum(first) - 1
+    often = np.bincount(run, weights=first | np.append(True, page[1:] != page[:-1])) >= PAGES
+    mark = np.bincount(run, weights=mark) > 0
+    rows, sent = [], np.unique((owner * len(often) + run)[often[run]])
+    for chosen in np.split(sent, np.flatnonzero(np.diff(sent // len(often))) + 1) if len(sent) else ():
+        own = chosen % len(often)
+        rows.append((host, parts[chosen[0] // len(often)], shard, key[first][own].tobytes(), b"", b"", mark[own].tobytes()))
+    return lists(rows)
+
+
+def answers(back: pa.Table, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each run is repeated on the host, and whether it is furniture there."""
+    known = np.frombuffer(b"".join(back.column("runs").to_pylist()), KEY)
+    mark = np.frombuffer(b"".join(back.column("marks").to_pylist()), bool)
+    if not len(known) or not len(key):
+        return np.zeros(len(key), bool), np.zeros(len(key), bool)
+    both = np.concatenate([known, key])
+    order = np.lexsort((both["b"], both["a"]))
+    where = np.zeros(len(both), np.int64)
+    where[order] = np.append(0, np.cumsum(both[order][1:] != both[order][:-1]))
+    found, furniture = np.zeros(len(both), bool), np.zeros(len(both), bool)
+    found[where[:len(known)]], furniture[where[:len(known)]] = True, mark
+    return found[where[len(known):]], furniture[where[len(known):]]
+
+
+def extract_part(table: pa.Table, back: pa.Table) -> pa.Table:
+    s = streams(table)
+    at, key = s.runs()
+    repeated, beyond = answers(back, key)
+    return pa.table({"id": table.column("id"), "url": table.column("url"), "text": s.texts(cover(at[repeated & (beyond | s.loose[at])], len(s.words)))})
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -104,7 +237,16 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     host = F.coalesce(F.regexp_extract(F.lower("url"), HOST, 1), F.lit(""))
     sizes = base.groupBy(host.alias("name")).agg((F.sum(F.coalesce(F.length("html"), F.lit(0))) / PART_CHARS).cast("long").alias("parts"))
     large = materialize(sizes.where("parts > 0"), "hosts")  # written, so that the join is planned by its real size
-    dealt = (base.withColumn("host", host).join(large, F.col("host") == F.col("name"), "left")
-             .withColumn("part", F.pmod(F.xxhash64("id", "url"), F.coalesce("parts", F.lit(0)) + 1)).select("id", "url", "html", "host", "part"))
+    hosted = base.withColumn("host", host)
     kind = base.schema["id"].dataType.simpleString()
-    return dealt.groupBy("host", "part").applyInArrow(extract, f"id {kind}, url string, text string").withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)
+    fields = f"id {kind}, url string, text string"
+    out = hosted.join(large, F.col("host") == F.col("name"), "left_anti").groupBy("host").applyInArrow(extract, fields)
+    if not large.isEmpty():
+        dealt = (hosted.join(large, F.col("host") == F.col("name")).withColumn("part", F.pmod(F.xxhash64("id", "url"), F.col("parts") + 1))
+                 .withColumn("page", F.when(F.col("url").isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64("url")))
+                 .select("id", "url", "host", "part", "parts", "page", "html"))
+        read = f"id {kind}, url string, host string, part long, parts long, page long, lines string, flags binary"
+        by_part = materialize(dealt.mapInArrow(read_pages, read), "blocks").groupBy("host", "part")
+        found = by_part.applyInArrow(send, LISTS).groupBy("host", "shard").applyInArrow(repeated_runs, LISTS)
+        out = out.unionByName(by_part.cogroup(found.groupBy("host", "part")).applyInArrow(extract_part, fields))
+    return out.withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)

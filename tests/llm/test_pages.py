@@ -82,3 +82,21 @@ def test_suffix_ranks_group_equal_prefixes():
     for i in range(400):
         for j in range(i):
             assert (rank[i] == rank[j]) == (text[i] == text[j])
+
+
+def test_hot_host_repetition_is_host_wide(spark, monkeypatch):
+    """Many parts of about ten pages: a notice that is furniture on three pages goes on every page, a passage of articles stays."""
+    rng = random.Random(11)
+    notice, quote = sentence(rng, 30), sentence(rng, 30)
+    body = {i: sentence(rng, 60) for i in range(80)}
+    rows = []
+    for i in range(80):
+        spot = f"<div>{notice}</div>" if i in (3, 40, 77) else ""
+        inside = notice if i in (5, 60) else quote if i % 2 else ""
+        rows.append((i, f"https://hot.example.com/{i}", f"{spot}<article><p>{body[i]}</p><p>{inside}</p></article>"))
+    rows += [(100, "https://hot.example.com/x", f"<div>{notice}</div>"), (101, "https://hot.example.com/y", "<p>" + body[0][:20])]
+    whole = run(spark, rows)
+    monkeypatch.setattr(B, "PART_CHARS", 4000)
+    got = run(spark, rows)
+    assert got == whole and got[100] == ""
+    assert all(got[i] == body[i] + (" " + quote if i % 2 and i != 5 else "") for i in range(80))
