@@ -9,7 +9,10 @@
    container (furniture on one page is furniture on the others). What boilerplate covers is removed from
    the articles, and the unique runs are kept. Substrings that repeat only within articles are
    copies and quotations, not boilerplate, and stay.
-4. A page without a container keeps the unique runs of all its blocks but furniture.
+4. A page without a container keeps all its blocks but furniture, without the substrings that are
+   furniture by 3 or that repeat on ``PAGES`` such pages with text of their own. Pages that repeats
+   cover to more than 1 - 1/``OWN`` are copies of one another: they don't count, so copies keep
+   their text whatever their number.
 
 A host of more than ``PART_CHARS`` characters is dealt to parts by a hash, so a host with a third of
 all pages is many groups. Repetition is decided over the whole host: parts send the hashes of their
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -35,6 +39,8 @@ from quotelens.session import materialize
 RUN = 16
 PAGES = 3
 PART_CHARS = 8_000_000
+#: A page without a container has text of its own if no repeat covers a part of 1 / OWN of it.
+OWN = 4
 #: Key of a run: two rolling hashes of its tokens, 64 bits of one and 32 of the other.
 KEY = np.dtype([("a", "<u8"), ("b", "<u4")])
 LISTS = "host string, part long, shard long, runs binary, at binary, pages binary, marks binary"
@@ -80,7 +86,10 @@ def boilerplate(s: Streams) -> np.ndarray:
     group = np.cumsum(first) - 1
     repeated = np.bincount(group, weights=new_page) >= PAGES
     beyond = np.bincount(group, weights=s.furniture[at]) > 0
-    return cover(at[repeated[group] & (beyond[group] | s.loose[at])], len(token))
+    counted = np.flatnonzero(s.apart(cover(at[repeated[group]], len(token)))[at])
+    pair = np.unique(group[counted] * len(s.pages) + s.page[at[counted]])
+    apart = np.bincount(pair // max(len(s.pages), 1), minlength=len(repeated)) >= PAGES
+    return cover(at[repeated[group] & (beyond[group] | (s.loose[at] & apart[group]))], len(token))
 
 
 class Streams:
@@ -112,6 +121,13 @@ class Streams:
         at = np.arange(len(self.words))
         self.left = (ends[np.searchsorted(ends, at, "right")] if len(at) else at) - at
 
+    def apart(self, covered: np.ndarray) -> np.ndarray:
+        """Which tokens lie on a page without a container that has text of its own, beside the repeats that cover the rest."""
+        row = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+        mine, n = self.loose & self.wanted, len(self.first) - 1
+        size, own = np.bincount(row[mine], minlength=n), np.bincount(row[mine & ~covered], minlength=n)
+        return self.loose & ((own > 0) & (own * OWN >= size))[row]
+
     def texts(self, covered: np.ndarray) -> pa.Array:
         keep = (self.wanted & ~covered).tolist()
         return pa.array([" ".join(w for w, k in zip(self.words[a:b], keep[a:b]) if k) for a, b in zip(self.first[:-1], self.first[1:])], pa.string())
@@ -140,7 +156,8 @@ def read_pages(batches):
         found = [blocks(x) if x else [] for x in batch.column("html").to_pylist()]
         names = [x for x in batch.schema.names if x != "html"]
         yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(["\n".join(t for t, _, _ in f) for f in found], pa.string()),
-                                          pa.array([bytes(i + 2 * u for _, i, u in f) for f in found], pa.binary())], names=[*names, "lines", "flags"])
+                                          pa.array([bytes(i + 2 * u for _, i, u in f) for f in found], pa.binary()),
+                                          pa.array([bool(f) and not any(i and not u for _, i, u in f) for f in found], pa.bool_())], names=[*names, "lines", "flags", "loose"])
 
 
 def streams(table: pa.Table) -> Streams:
@@ -224,11 +241,36 @@ def answers(back: pa.Table, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found[where[len(known):]], furniture[where[len(known):]]
 
 
+def send_apart(table: pa.Table, back: pa.Table) -> pa.Table:
+    """The repeated runs of a part's pages without a container that have text of their own."""
+    if not table.num_rows:
+        return lists([])
+    s = streams(table)
+    at, key = s.runs()
+    repeated, _ = answers(back, key)
+    chosen = repeated & s.apart(cover(at[repeated], len(s.words)))[at]
+    return entries(table, s, at[chosen], key[chosen])
+
+
+def repeated_apart(sent: pa.Table, found: pa.Table) -> pa.Table:
+    """Of one shard of a host: each part gets those of its repeated runs that are on PAGES of the pages with text of their own."""
+    if not sent.num_rows:
+        return lists([])
+    apart, rows = repeated_runs(sent), []
+    for host, part, shard, runs in zip(*(found.column(c).to_pylist() for c in ("host", "part", "shard", "runs"))):
+        key = np.frombuffer(runs, KEY)
+        key = key[answers(apart, key)[0]]
+        if len(key):
+            rows.append((host, part, shard, key.tobytes(), b"", b"", bytes(len(key))))
+    return lists(rows)
+
+
 def extract_part(table: pa.Table, back: pa.Table) -> pa.Table:
     s = streams(table)
     at, key = s.runs()
-    repeated, beyond = answers(back, key)
-    return pa.table({"id": table.column("id"), "url": table.column("url"), "text": s.texts(cover(at[repeated & (beyond | s.loose[at])], len(s.words)))})
+    repeated, beyond = answers(back.filter(pc.invert(back.column("apart"))), key)
+    apart, _ = answers(back.filter(back.column("apart")), key)
+    return pa.table({"id": table.column("id"), "url": table.column("url"), "text": s.texts(cover(at[repeated & (beyond | (s.loose[at] & apart))], len(s.words)))})
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -245,8 +287,12 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         dealt = (hosted.join(large, F.col("host") == F.col("name")).withColumn("part", F.pmod(F.xxhash64("id", "url"), F.col("parts") + 1))
                  .withColumn("page", F.when(F.col("url").isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64("url")))
                  .select("id", "url", "host", "part", "parts", "page", "html"))
-        read = f"id {kind}, url string, host string, part long, parts long, page long, lines string, flags binary"
-        by_part = materialize(dealt.mapInArrow(read_pages, read), "blocks").groupBy("host", "part")
-        found = by_part.applyInArrow(send, LISTS).groupBy("host", "shard").applyInArrow(repeated_runs, LISTS)
-        out = out.unionByName(by_part.cogroup(found.groupBy("host", "part")).applyInArrow(extract_part, fields))
+        read = f"id {kind}, url string, host string, part long, parts long, page long, lines string, flags binary, loose boolean"
+        read_blocks = materialize(dealt.mapInArrow(read_pages, read), "blocks")
+        by_part = read_blocks.groupBy("host", "part")
+        found = materialize(by_part.applyInArrow(send, LISTS).groupBy("host", "shard").applyInArrow(repeated_runs, LISTS), "runs")
+        loose = read_blocks.where("loose").groupBy("host", "part").cogroup(found.groupBy("host", "part")).applyInArrow(send_apart, LISTS)
+        apart = loose.groupBy("host", "shard").cogroup(found.groupBy("host", "shard")).applyInArrow(repeated_apart, LISTS)
+        back = found.withColumn("apart", F.lit(False)).unionByName(apart.withColumn("apart", F.lit(True)))
+        out = out.unionByName(by_part.cogroup(back.groupBy("host", "part")).applyInArrow(extract_part, fields))
     return out.withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)

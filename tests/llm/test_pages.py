@@ -100,3 +100,17 @@ def test_hot_host_repetition_is_host_wide(spark, monkeypatch):
     got = run(spark, rows)
     assert got == whole and got[100] == ""
     assert all(got[i] == body[i] + (" " + quote if i % 2 and i != 5 else "") for i in range(80))
+
+
+def test_copies_without_containers_keep_their_text(spark, monkeypatch):
+    rng = random.Random(13)
+    menu, article, near = sentence(rng, 25), sentence(rng, 120), sentence(rng, 120).split(" ")
+    body = {i: sentence(rng, 60) for i in range(6)} | {10 + i: article for i in range(4)}
+    body |= {20 + i: " ".join([*near[:30 * i], f"changed{i}", *near[30 * i + 1:]]) for i in range(4)}
+    rows = [(i, f"https://copies.example.com/{i}", f"<div>{menu}</div><p>{t}</p>") for i, t in body.items()]
+    rows += [(30 + i, f"https://alone.example.com/{i}", f"<p>{article}</p>") for i in range(3)]
+    whole = run(spark, rows)
+    assert {i: t for i, t in whole.items() if i < 30} == body
+    assert all(whole[30 + i] == article for i in range(3))
+    monkeypatch.setattr(B, "PART_CHARS", 1500)
+    assert run(spark, rows) == whole
