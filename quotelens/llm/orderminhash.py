@@ -1,15 +1,17 @@
 """Document fingerprints by Order MinHash, in DataFrame functions only.
 
-A text's k-mers are runs of ``K`` words (split at spaces, so line breaks count). Each is numbered
-by its occurrence, and the pair is hashed. The hash's high bits deal the numbered k-mers to
+A text's k-mers are runs of ``K`` pieces. Pieces end at a space or after another white-space
+character, which stays (so line breaks count). In place of a piece of more than ``LONG`` bytes (a
+line of a language without spaces, minified code, base64) stand its runs of ``CHARS`` characters,
+one from each character. Each k-mer is numbered by its occurrence, and the pair is hashed. The hash's high bits deal the numbered k-mers to
 ``1 << BUCKET_BITS`` buckets; of each bucket the ``TUPLE`` least are selected, put back into text
 order and hashed as a tuple. So a tuple survives only if the same k-mers are least and still come
 in the same order: the likeness of two fingerprints (equal tuples among the buckets that either
 uses) follows edit distance, not only shared words.
 
-Positions take ``POSITION_BITS`` bits of a packed long; in texts of more words they wrap, alike for
+Positions take ``POSITION_BITS`` bits of a packed long; in texts of more pieces they wrap, alike for
 equal texts. Defined results: null is the empty text, whose fingerprint is empty; two empty
-fingerprints have likeness 1; equal texts have equal fingerprints; texts of fewer than K words
+fingerprints have likeness 1; equal texts have equal fingerprints; texts of fewer than K pieces
 have one k-mer.
 """
 
@@ -23,6 +25,8 @@ from quotelens.llm.ordering import ranged
 from quotelens.session import materialize
 
 K = 2
+LONG = 32
+CHARS = 8
 TUPLE = 2
 BUCKET_BITS = 5
 POSITION_BITS = 24
@@ -47,6 +51,13 @@ def _packed(hashed: Column, position: Column) -> Column:
     return F.shiftleft(hashed, POSITION_BITS).bitwiseOR(position.bitwiseAND(F.lit(LOW)))
 
 
+def _pieces(text: Column) -> Column:
+    long = lambda w: F.octet_length(w) > LONG
+    runs = lambda chars: F.transform(chars, lambda c, i: F.concat_ws("", c, *(F.get(chars, i + j) for j in range(1, CHARS))))
+    cut = lambda w: F.when(long(w), let(F.regexp_extract_all(w, F.lit("(?s)."), F.lit(0)), runs)).otherwise(F.array(w))
+    return let(F.split(text, r" |(?<=[\t-\r])"), lambda words: F.when(F.exists(words, long), F.flatten(F.transform(words, cut))).otherwise(words))
+
+
 def _kmers(words: Column) -> Column:
     """Sorted longs: k-mer hash above, position below."""
     return F.sort_array(F.transform(words, lambda w, i: _packed(F.xxhash64(w, *(F.get(words, i + j) for j in range(1, K))), i.cast("long"))))
@@ -87,7 +98,7 @@ def _tuples(least: Column) -> Column:
 def fingerprint(text: Column) -> Column:
     """Array of longs below 2**32, one for each bucket in use; empty for a null or empty text."""
     none = F.expr("cast(array() as array<bigint>)")
-    steps = let(F.split(text, " "), lambda words: let(_kmers(words), lambda k: let(_numbered(k), lambda n: let(_least(n), _tuples))))
+    steps = let(_pieces(text), lambda words: let(_kmers(words), lambda k: let(_numbered(k), lambda n: let(_least(n), _tuples))))
     return F.when(F.coalesce(text, F.lit("")) == "", none).otherwise(steps)
 
 

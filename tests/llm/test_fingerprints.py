@@ -78,3 +78,16 @@ def test_empty_table_and_texts(spark):
     df = frame(spark, [(1, None, "en", "s"), (2, "", "en", "s"), (3, "word", "en", "s")])
     got = {r.doc_id: r for r in df.select("doc_id", O.fingerprint(F.col("text")).alias("p")).collect()}
     assert got[1].p == got[2].p == [] and len(got[3].p) == 1
+
+
+def test_texts_without_spaces_follow_edits(spark):
+    import random
+    rng = random.Random(21)
+    draw = lambda letters, n: "".join(rng.choices(letters, k=n))
+    texts = {"lines": "\n".join(draw("abcdefgh", 9) for _ in range(200)), "tabs": "\t".join(draw("abcdefgh", 9) for _ in range(200)),
+             "prose": draw([chr(c) for c in range(0x4E00, 0x4F00)], 800), "base64": draw("ABCDEFGHabcdefgh0123+/", 1500), "pairs": draw("\U0001F600\U0001F601\U0001F602", 900)}
+    rows = [(name, t, t[:300] + "#" + t[301:], t[len(t) // 2:] + t[:len(t) // 2], "".join(reversed(t))) for name, t in texts.items()]
+    a = O.fingerprint(F.col("t"))
+    df = spark.createDataFrame(rows, "name string, t string, edited string, turned string, other string")
+    for r in df.select("name", *(O.likeness(a, O.fingerprint(F.col(c))).alias(c) for c in ("t", "edited", "turned", "other"))).collect():
+        assert r.t == 1 and r.edited > 0.7 and r.turned < r.edited and r.other < 0.3, r
