@@ -126,3 +126,53 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quotelens.llm.boilerplate import main_texts
     out = main_texts(table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@register("op11_token_id_files")
+def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quotelens.llm.idfiles import read_token_files, write_token_files
+    return read_token_files(spark, write_token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")))
+
+
+MIDDLE_SQL = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(x, i, 8) AS BIGINT)) AS h FROM d),
+c AS (SELECT doc_id, t, n, h, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b FROM h),
+f AS (SELECT *, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                     WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+             substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f"""
+
+
+@register("op12_fill_in_middle", MIDDLE_SQL)
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quotelens.llm import fim
+    return fim.digests(fim.fill_in_middle(fim.write_store(table(spark, sf_dir, "documents"))))
+
+
+#: The checksum by its polynomial; near words by exact keys: a word less its i-th code point, for the same i or as a word.
+VARIANTS_SQL = r"""WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+sums AS (SELECT d, run, count(*) AS n, hex(encode(d || ':' || run)) AS x FROM runs WHERE length(run) >= 7 GROUP BY d, run),
+hashed AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM sums, crc),
+found AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM found WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS k FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (SELECT a.word, b.word AS near, b.n AS m FROM less a JOIN less b ON a.i = b.i AND a.k = b.k AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.k = b.word
+    UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.k = b.word),
+best AS (SELECT word, near, m, count(*) OVER (PARTITION BY word) AS n_near FROM pairs QUALIFY row_number() OVER (PARTITION BY word ORDER BY m DESC, near) = 1),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN near END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n FROM words LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS root, form FROM forms UNION ALL SELECT walk.word, walk.form, forms.form FROM walk JOIN forms ON walk.form = forms.word)
+SELECT forms.word, forms.form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM forms JOIN walk ON walk.word = forms.word AND walk.form IS NULL"""
+
+
+@register("op13_spelling_variants", VARIANTS_SQL)
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quotelens.llm.spelling import spelling_variants
+    return spelling_variants(table(spark, sf_dir, "documents"))
