@@ -25,7 +25,8 @@ def _cell(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "∅"
-        return repr(round(v, 6) + 0.0)
+        v = round(v, 6) + 0.0
+        return str(int(v)) if v.is_integer() else repr(v)  # a long column with nulls comes as floats
     return str(v)
 
 
