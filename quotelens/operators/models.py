@@ -1,15 +1,17 @@
-"""Price models on Spark ML.
+"""Price models.
 
 Preprocessing (M1): exact-median and mode imputation (a ``SQLTransformer`` with the
 values found at fit time; of equally frequent levels the smallest), string
-indexing with unseen/missing-at-score-time levels kept in an extra bucket,
-one-hot for the GLM, ``VectorAssembler``.
+indexing with unseen/missing-at-score-time levels kept in an extra bucket and
+one-hot for the GLM, ordered target statistics for trees, ``VectorAssembler``.
 
-Estimators (M2/M4): ``glm_gamma`` (gamma GLM, log link: the exact gamma loss),
+Estimators (M2/M4): ``gamma_boost`` and ``tweedie_boost`` (boosted trees on the gamma and
+Tweedie deviance, see ``boosting``), ``glm_gamma`` (gamma GLM, log link: the exact gamma loss),
 ``gbt_log`` (boosted trees on ln(target), back-transformed with the weighted
 mean of exp(residual)), ``gbt_log1p`` (squared error on ln(1 + target)), ``rf`` (random forest on the raw target), and
 ``segment_mean`` (recency-weighted mean per risk cell, a closed-form stand-in
-whose results can be checked in SQL). All take a weight column.
+whose results can be checked in SQL). All take a weight column; boosting stops by held-out rows if the
+training frame marks some.
 """
 
 from __future__ import annotations
@@ -26,15 +28,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelens.functions.quantiles import grouped_quantiles
+from quotelens.operators import boosting, target_stats
 from quotelens.operators.joins import attach_group_values
 
-ESTIMATORS = ("glm_gamma", "gbt_log", "gbt_log1p", "rf", "segment_mean")
+BOOSTED = {"gamma_boost": 2.0, "tweedie_boost": 1.5}  # variance power
+TREES = ("gbt_log", "gbt_log1p", "rf")
+ESTIMATORS = ("glm_gamma", *TREES, *BOOSTED, "segment_mean")
+#: Estimators that end by the rows held out for that.
+STOPS_EARLY = ("gbt_log", "gbt_log1p", *BOOSTED)
+TREE_BINS = 64
 
 DEFAULT_PARAMS = {
     "glm_gamma": {"maxIter": 50, "regParam": 1e-4},  # tiny ridge: one-hot + calendar columns are collinear
     "gbt_log": {"maxIter": 60, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 1.0},
     "gbt_log1p": {"maxIter": 60, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 1.0},
     "rf": {"numTrees": 60, "maxDepth": 8},
+    "gamma_boost": {},
+    "tweedie_boost": {},
     "segment_mean": {},
 }
 
@@ -54,9 +64,12 @@ class PriceModel:
     pipeline: PipelineModel | None = None
     cells: DataFrame | None = None  # segment_mean: cell means
     global_mean: float | None = None
+    levels: DataFrame | None = None  # trees: target statistics of the levels
+    prior: float | None = None
+    boosted: dict | None = None
 
     def meta(self) -> dict:
-        return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("pipeline", "cells")}
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("pipeline", "cells", "levels")}
 
 
 def category_levels(df: DataFrame, categorical: list[str]) -> dict[str, tuple[str | None, int]]:
@@ -110,22 +123,37 @@ def build_pipeline(kind: str, train: DataFrame, categorical: list[str], numeric:
     common = {"featuresCol": "__features", "labelCol": label, "predictionCol": "__raw_prediction"}
     if weight:
         common["weightCol"] = weight
-    # a tree needs a bin for each level and one for unseen ones
-    bins = max([64, *(n + 2 for _, n in levels.values())])
     if kind == "glm_gamma":
         est = GeneralizedLinearRegression(family="gamma", link="log", **common, **params)
     elif kind in ("gbt_log", "gbt_log1p"):
-        est = GBTRegressor(seed=42, maxBins=bins, **common, **params)
+        est = GBTRegressor(seed=42, maxBins=TREE_BINS, **common, **params)
         if validation_indicator:
             est = est.setValidationIndicatorCol(validation_indicator)  # stops when the held-out error no longer falls
     elif kind == "rf":
-        est = RandomForestRegressor(seed=42, maxBins=bins, **common, **params)
+        est = RandomForestRegressor(seed=42, maxBins=TREE_BINS, **common, **params)
     else:
         raise ValueError(f"Unknown estimator kind {kind!r}; one of {ESTIMATORS}")
     stages.append(est)
     return Pipeline(stages=stages)
 
 
+def encode_categories(data: DataFrame, model: PriceModel, weight: str | None, held_out: str | None) -> DataFrame:
+    """Rows with ordered target statistics of the categorical features; held-out rows get those of whole levels."""
+    from quotelens.session import materialize
+    rows = materialize(data.withColumn("__row", F.monotonically_increasing_id()), "fit-rows")
+    train = rows.where(~F.coalesce(F.col(held_out), F.lit(False))) if held_out else rows
+    model.levels = target_stats.level_statistics(train, model.categorical, model.target, weight)
+    model.prior = target_stats.prior_mean(model.levels)
+    if not model.categorical:
+        return rows
+    ordered = target_stats.ordered_statistics(train, "__row", model.categorical, model.target, weight, model.prior)
+    encoded = train.join(ordered, "__row")
+    if held_out:
+        rest = rows.where(F.coalesce(F.col(held_out), F.lit(False)))
+        encoded = encoded.unionByName(target_stats.encode(rest, model.levels, model.categorical, model.prior))
+    return encoded
+
+
 def fit_price_model(train: DataFrame, target: str, features: list[str], categorical: list[str],
                     numeric: list[str], kind: str = "glm_gamma", weight: str | None = None,
                     params: dict | None = None, cells: list[str] | None = None,
@@ -133,14 +161,17 @@ def fit_price_model(train: DataFrame, target: str, features: list[str], categori
     """Fit on rows with a non-null target (positive for the gamma/log models).
 
     ``validation_indicator``: boolean column of rows that only decide when boosting stops."""
-    from quotelens.session import checkpoint_dir
+    from quotelens.session import checkpoint_dir, materialize
     checkpoint_dir(train.sparkSession)
     data = train.where(F.col(target).isNotNull())
-    if kind in ("glm_gamma", "gbt_log"):
+    if kind in ("glm_gamma", "gbt_log", "gamma_boost"):
         data = data.where(F.col(target) > 0)
+    if kind not in STOPS_EARLY:
+        validation_indicator = None
+    own = data.where(~F.coalesce(F.col(validation_indicator), F.lit(False))) if validation_indicator else data
     cut = start = None
     if date_column:
-        r = data.agg(F.max(date_column).alias("mx"), F.min(date_column).alias("mn"), F.count("*").alias("n")).first()
+        r = own.agg(F.max(date_column).alias("mx"), F.min(date_column).alias("mn"), F.count("*").alias("n")).first()
         cut, start, n = (str(r.mx) if r.mx else None), (str(r.mn) if r.mn else None), r.n
     else:
         n = None
@@ -152,11 +183,16 @@ def fit_price_model(train: DataFrame, target: str, features: list[str], categori
         keys = list(cells if cells is not None else categorical)
         model.params["cells"] = keys
         model.global_mean = data.agg((F.sum(w * F.col(target)) / F.sum(w)).alias("m")).first().m
-        from quotelens.session import materialize
         # written, so that the joins of ``predict`` are planned by its real size
         model.cells = (materialize(data.groupBy(*keys).agg((F.sum(w * F.col(target)) / F.sum(w)).alias("__cell_mean")), "cells")
                        if keys else None)
         return model
+    if kind in BOOSTED:
+        numbers = [*numeric, *map(target_stats.prefix, categorical)]
+        settings = boosting.BoostParams(**{"power": BOOSTED[kind], **DEFAULT_PARAMS[kind], **(params or {})})
+        rows = encode_categories(data, model, weight, validation_indicator)
+        model.boosted = boosting.fit_boosted(rows, numbers, target, weight, validation_indicator, settings).meta()
+        return model
     label = target
     fit_df = data
     if kind == "gbt_log":
@@ -165,11 +201,16 @@ def fit_price_model(train: DataFrame, target: str, features: list[str], categori
     elif kind == "gbt_log1p":  # squared error on ln(1 + target), predictions floored at 0
         fit_df = data.withColumn("__log_label", F.log1p(F.greatest(F.col(target), F.lit(0.0))))
         label = "__log_label"
+    plain = list(categorical)
+    if kind in TREES:
+        fit_df = encode_categories(fit_df, model, weight, validation_indicator)
+        numeric, plain = [*numeric, *map(target_stats.prefix, categorical)], []
     fit_df = fit_df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model.pipeline = build_pipeline(kind, fit_df, categorical, numeric, label, weight, params, validation_indicator).fit(fit_df)
+        model.pipeline = build_pipeline(kind, fit_df, plain, numeric, label, weight, params, validation_indicator).fit(fit_df)
         if kind == "gbt_log":
-            scored = model.pipeline.transform(fit_df)
+            own = fit_df.where(~F.coalesce(F.col(validation_indicator), F.lit(False))) if validation_indicator else fit_df
+            scored = model.pipeline.transform(own)
             r = scored.agg((F.sum(w * F.exp(F.col("__log_label") - F.col("__raw_prediction"))) / F.sum(w))
                            .alias("s")).first()
             model.scale = float(r.s) if r.s else 1.0
@@ -195,6 +236,11 @@ def predict(model: PriceModel, df: DataFrame, out: str = "prediction") -> DataFr
         joined = attach_group_values(df, model.cells, keys)
         return joined.withColumn(out, F.coalesce(F.col("__cell_mean"), gm)).drop("__cell_mean")
     cols = df.columns
+    if model.levels is not None:
+        df = target_stats.encode(df, model.levels, model.categorical, model.prior)
+    if model.boosted is not None:
+        scored = boosting.margins(boosting.Boosted(**model.boosted), df, "__margin")
+        return scored.select(*cols, F.exp("__margin").alias(out))
     scored = model.pipeline.transform(df)
     pred = F.col("__raw_prediction")
     if model.kind == "gbt_log":
@@ -212,6 +258,9 @@ def save_model(model: PriceModel, path: str) -> None:
     if model.cells is not None:
         model.cells.write.mode("overwrite").parquet(os.path.join(path, "cells"))
         spark = model.cells.sparkSession
+    if model.levels is not None:
+        model.levels.write.mode("overwrite").parquet(os.path.join(path, "levels"))
+        spark = model.levels.sparkSession
     meta = json.dumps(model.meta(), sort_keys=True, default=str)
     if spark is None:
         from pyspark.sql import SparkSession
@@ -223,10 +272,12 @@ def save_model(model: PriceModel, path: str) -> None:
 def load_model(spark, path: str) -> PriceModel:
     meta = json.loads(spark.read.text(os.path.join(path, "meta")).first().value)
     model = PriceModel(**meta)
+    if model.kind in BOOSTED or model.kind in TREES:
+        model.levels = spark.read.parquet(os.path.join(path, "levels"))
     if model.kind == "segment_mean":
         if model.params.get("cells"):
             model.cells = spark.read.parquet(os.path.join(path, "cells"))
-    else:
+    elif model.kind not in BOOSTED:
         model.pipeline = PipelineModel.load(os.path.join(path, "pipeline"))
     return model
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quotelens.operators.components import FeatureMeta, engineer_market_features
 from quotelens.operators.features import select_model_features
-from quotelens.operators.models import PriceModel, fit_price_model, predict
+from quotelens.operators.models import STOPS_EARLY, PriceModel, fit_price_model, predict
 from quotelens.operators.splits import SPLIT, recency_weight, time_split, train_lookback
 from quotelens.spec import PanelSpec
 
@@ -47,8 +47,13 @@ def evaluate_engineered(eng: DataFrame, meta: FeatureMeta, spec: PanelSpec, kind
     train = split.where(F.col(SPLIT) == "train")
     cutoff = train.agg(F.max(spec.date_column).alias("c")).first().c
     train_w = recency_weight(train, spec, as_of=cutoff)
+    held_out = None
+    if kind in STOPS_EARLY:  # the validation part decides when boosting ends
+        held_out = "__held_out"
+        watched = split.where(F.col(SPLIT) == "validation").withColumn("training_weight", F.lit(1.0))
+        train_w = train_w.withColumn(held_out, F.lit(False)).unionByName(watched.withColumn(held_out, F.lit(True)))
     model = fit_price_model(train_w, spec.target_column, feats, cat, num, kind=kind,
                             weight="training_weight", params=params, cells=list(cells),
-                            date_column=spec.date_column)
+                            date_column=spec.date_column, validation_indicator=held_out)
     scored = predict(model, split)
     return Evaluation(eng, meta, split, feats, cat, num, model, scored)

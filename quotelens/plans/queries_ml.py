@@ -202,6 +202,92 @@ def train_anchor_gbt(spark, sf_dir):
     return M.regression_metrics(ev.scored, T, "prediction", by=["_split"], tiebreak="quote_id")
 
 
+@register("train_anchor_gamma_boost")
+def train_anchor_gamma_boost(spark, sf_dir):
+    """Boosted trees on the gamma deviance, stopped by the validation part, metrics on all parts (M2)."""
+    ev = _glm(spark, sf_dir, "gamma_boost")
+    return M.regression_metrics(ev.scored, T, "prediction", by=["_split"], tiebreak="quote_id")
+
+
+@register("train_anchor_tweedie_boost")
+def train_anchor_tweedie_boost(spark, sf_dir):
+    """Boosted trees on the Tweedie deviance of power 1.5 (M4)."""
+    ev = _glm(spark, sf_dir, "tweedie_boost")
+    return M.regression_metrics(ev.scored, T, "prediction", by=["_split"], tiebreak="quote_id")
+
+
+TS_SQL = EVAL_SQL + """,
+tsr AS (SELECT *, md5('7|' || CAST(quote_id AS VARCHAR)) AS o FROM trw_n),
+tsp AS (SELECT sum(training_weight * tgt) / sum(training_weight) AS prior FROM trw_n)"""
+_TS = ", ".join(f"""(coalesce(sum(training_weight * tgt) OVER (PARTITION BY {c} ORDER BY o, quote_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + prior)
+  / (coalesce(sum(training_weight) OVER (PARTITION BY {c} ORDER BY o, quote_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1) AS ts_{c}""" for c in CAT_F)
+
+
+@register("ordered_target_statistics", wrap(f"SELECT quote_id, {_TS} FROM tsr, tsp", "quote_id:i, " + ", ".join(f"ts_{c}:d" for c in CAT_F), TS_SQL))
+def ordered_target_statistics(spark, sf_dir):
+    """Leakage-free encodings of the categorical features over the train part: prefix means in a hashed order (M4)."""
+    from quotelens.operators import target_stats
+    train = _weighted_train(spark, sf_dir)
+    found = target_stats.ordered_statistics(train, "quote_id", CAT_F, T, "training_weight")
+    return found.select("quote_id", *[F.col(target_stats.prefix(c)).alias(f"ts_{c}") for c in CAT_F])
+
+
+def _weighted_train(spark, sf_dir):
+    from quotelens.operators.splits import recency_weight
+    ev = evaluation(spark, sf_dir)
+    train = ev.split.where(F.col("_split") == "train")
+    return recency_weight(train, SPEC, as_of=train.agg(F.max("quote_date").alias("c")).first().c)
+
+
+BOOST_F = ["driver_age", "vehicle_age", "claim_count_3y", "sum_insured"]
+BOOST_BINS, BOOST_RATE = 16, 0.2
+_EDGES = "[" + ", ".join(f"{i}/{BOOST_BINS}.0" for i in range(1, BOOST_BINS)) + "]"
+
+
+def _round_sql(r: int) -> str:
+    """One tree of one split on the margins of round r - 1 (all features present): gradient sums by bin, gains, leaf values."""
+    return f""",
+hist{r} AS (SELECT f, b, sum(w * (1 - y * exp(-m{r - 1}))) AS g, sum(w * y * exp(-m{r - 1})) AS h, count(*) AS n
+  FROM (SELECT w, y, m{r - 1}, unnest(generate_series(0, {len(BOOST_F) - 1})) AS f, unnest([{', '.join(f'b{i}' for i in range(len(BOOST_F)))}]) AS b FROM mar{r - 1}) GROUP BY f, b),
+acc{r} AS (SELECT f, b, sum(g) OVER up AS gl, sum(h) OVER up AS hl, sum(n) OVER up AS nl, sum(g) OVER al AS gt, sum(h) OVER al AS ht, sum(n) OVER al AS nt
+  FROM hist{r} WINDOW up AS (PARTITION BY f ORDER BY b ROWS UNBOUNDED PRECEDING), al AS (PARTITION BY f)),
+split{r} AS (SELECT f, b, gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1) AS gain,
+    -{BOOST_RATE} * gl / (hl + 1) AS lv, -{BOOST_RATE} * (gt - gl) / (ht - hl + 1) AS rv FROM acc{r} WHERE nl >= 20 AND nt - nl >= 20
+    QUALIFY row_number() OVER (ORDER BY round(gain, 4) DESC, f, b) = 1),
+mar{r} AS (SELECT mar{r - 1}.*, m{r - 1} + CASE WHEN [{', '.join(f'b{i}' for i in range(len(BOOST_F)))}][split{r}.f + 1] <= split{r}.b THEN lv ELSE rv END AS m{r} FROM mar{r - 1}, split{r})"""
+
+
+BOOST_SQL = EVAL_SQL + f""",
+btr AS (SELECT quote_id, tgt AS y, training_weight AS w, {', '.join(BOOST_F)} FROM trw_n WHERE tgt > 0),
+edg AS (SELECT {', '.join(f'list_distinct(quantile_cont({f}, {_EDGES})) AS e{i}' for i, f in enumerate(BOOST_F))} FROM btr),
+mar0 AS (SELECT quote_id, y, w, {', '.join(f'1 + len(list_filter(e{i}, lambda e: e < {f})) AS b{i}' for i, f in enumerate(BOOST_F))},
+  (SELECT ln(sum(w * y) / sum(w)) FROM btr) AS m0 FROM btr, edg)""" + _round_sql(1) + _round_sql(2)
+
+
+def _stumps(spark, sf_dir, rounds):
+    from quotelens.operators import boosting as BO
+    train = _weighted_train(spark, sf_dir).where(F.col(T) > 0)
+    return train, BO.fit_boosted(train, BOOST_F, T, "training_weight", params=BO.BoostParams(rounds=rounds, depth=1, rate=BOOST_RATE, bins=BOOST_BINS))
+
+
+@register("boost_first_split", wrap("SELECT f AS feature, b AS bin, round(gain, 4) AS gain, lv AS left_value, rv AS right_value FROM split1",
+                                    "feature:i, bin:i, gain:d, left_value:d, right_value:d", BOOST_SQL))
+def boost_first_split(spark, sf_dir):
+    """The first tree of one split: feature, bin, gain and leaf values on the gamma deviance (M2)."""
+    _, model = _stumps(spark, sf_dir, 1)
+    t = model.trees[0]
+    return spark.createDataFrame([(t["feature"], t["bin"], round(t["gain"], 4), t["left"]["leaf"], t["right"]["leaf"])],
+                                 "feature long, bin long, gain double, left_value double, right_value double")
+
+
+@register("boost_two_rounds", wrap("SELECT quote_id, m2 AS margin FROM mar2", "quote_id:i, margin:d", BOOST_SQL))
+def boost_two_rounds(spark, sf_dir):
+    """Margins of all train rows after two rounds of one split (M2)."""
+    from quotelens.operators import boosting as BO
+    train, model = _stumps(spark, sf_dir, 2)
+    return BO.margins(model, train, "margin").select("quote_id", "margin")
+
+
 IMP_SQL = EVAL_SQL + """,
 val AS (SELECT quote_id, tgt, vehicle_segment, coverage_type FROM pred WHERE _split = 'validation' AND tgt IS NOT NULL),
 rep AS (SELECT unnest(range(5)) AS r),

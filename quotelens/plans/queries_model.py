@@ -499,23 +499,23 @@ cp AS (SELECT f.*, coalesce(c.cell_mean, (SELECT gm FROM gmean)) AS prediction F
        WHERE f.quote_date >= TIMESTAMP '{CURRENT_FROM}'),
 mb AS (SELECT * FROM {metrics_sql("(SELECT * FROM pred WHERE _split = 'test')", [])}),
 mc AS (SELECT * FROM {metrics_sql("cp", [])}),
+measured AS (
+  SELECT 'drift' AS "trigger", 'features' AS subject, CAST(count(*) AS DOUBLE) AS worsening FROM dt WHERE psi >= 0.2
+  UNION ALL SELECT 'horizon', 'newest quote', CAST(h AS DOUBLE) FROM hz
+  UNION ALL SELECT 'coverage', competitor, d FROM drops
+  UNION ALL SELECT 'd2', 'accuracy', mb.d2 - mc.d2 FROM mb, mc
+  UNION ALL SELECT 'rmse', 'accuracy', mc.rmse - mb.rmse FROM mb, mc
+  UNION ALL SELECT 'gini', 'accuracy', mb.gini - mc.gini FROM mb, mc
+  UNION ALL SELECT 'mape', 'accuracy', mc.mape - mb.mape FROM mb, mc),
+limits AS (SELECT * FROM (VALUES ('drift', 0.0), ('horizon', 90.0), ('coverage', {SPEC.coverage_drop_threshold}), ('d2', {SPEC.d2_drop_threshold}),
+  ('rmse', {SPEC.rmse_increase_threshold}), ('gini', {SPEC.gini_drop_threshold}), ('mape', {SPEC.mape_increase_threshold})) v("trigger", "limit")),
 reasons AS (
-  SELECT 'drift' AS "trigger", printf('%d features exceed drift thresholds or are missing', n) AS reason
-  FROM (SELECT count(*) AS n FROM dt WHERE psi >= 0.2) WHERE n > 0
-  UNION ALL SELECT 'horizon', printf('Prediction horizon is %d days; maximum is 90', h) FROM hz WHERE h > 90
-  UNION ALL SELECT 'coverage', 'Competitor quote coverage dropped materially: '
-      || string_agg(printf('%s (%.1f%%)', competitor, d * 100), ', ' ORDER BY competitor)
-    FROM drops WHERE d >= 0.1 HAVING count(*) > 0
-  UNION ALL SELECT 'd2', CASE WHEN mb.d2 IS NULL OR mc.d2 IS NULL
-      THEN 'D² unavailable in baseline or current metrics; cannot evaluate drift'
-      ELSE printf('D² dropped by %.4f', mb.d2 - mc.d2) END FROM mb, mc
-    WHERE mb.d2 IS NULL OR mc.d2 IS NULL OR mb.d2 - mc.d2 >= 0.05
-  UNION ALL SELECT 'rmse', printf('RMSE increased by %.2f', mc.rmse - mb.rmse) FROM mb, mc WHERE mc.rmse - mb.rmse >= 15
-  UNION ALL SELECT 'gini', printf('Gini dropped by %.4f', mb.gini - mc.gini) FROM mb, mc WHERE mb.gini - mc.gini >= 0.05
-  UNION ALL SELECT 'mape', printf('MAPE increased by %.2f%%', mc.mape - mb.mape) FROM mb, mc WHERE mc.mape - mb.mape >= 3)"""
-
-
-@register("refresh_reasons", wrap("SELECT * FROM reasons", "trigger:s, reason:s", _refresh_sql()))
+  SELECT "trigger", subject, worsening, "limit" FROM measured JOIN limits USING ("trigger")
+  WHERE CASE WHEN "trigger" IN ('drift', 'horizon') THEN worsening > "limit" ELSE worsening >= "limit" END
+     OR ("trigger" = 'd2' AND worsening IS NULL))"""
+
+
+@register("refresh_reasons", wrap("SELECT * FROM reasons", "trigger:s, subject:s, worsening:d, limit:d", _refresh_sql()))
 def refresh_reasons(spark, sf_dir):
     """Retraining triggers: drift, horizon, coverage drops, D2/RMSE/Gini/MAPE changes."""
     from quotelens.operators.models import predict
