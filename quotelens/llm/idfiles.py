@@ -40,18 +40,13 @@ BLOCK, RUN = 1024, 1 << 16
 COUNTS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0])
 WIDTHS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 60])
 ESCAPE = 15
-#: Units remembered by a Python worker; beyond it the memory starts afresh.
-REMEMBERED = 250_000
+#: Units remembered by a Python worker; beyond it the memory turns: what is met again before the next turn stays.
+REMEMBERED = 150_000
 
 
 def bits(values: np.ndarray) -> np.ndarray:
-    """Bits of each value, 1 at least."""
-    out = np.ones(len(values), np.int64)
-    for shift in (32, 16, 8, 4, 2, 1):
-        high = values >> np.uint64(shift) != 0
-        values = np.where(high, values >> np.uint64(shift), values)
-        out += shift * high
-    return out
+    """Bits of each value, 1 at least (beyond 53 bits one more where the value is next to a power of two)."""
+    return np.maximum(np.frexp(values.astype(np.float64))[1], 1)
 
 
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,7 +61,7 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     need = bits(padded)
     escaped = need > 60
     need[escaped] = 60
-    at = np.arange(len(padded))
+    at = np.arange(len(padded), dtype=np.int32)
     left = BLOCK - at % BLOCK
     choice = np.full(len(at), 14, np.int8)
     for s in range(13, 0, -1):  # the selector of most values whose values all fit
@@ -84,13 +79,14 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((starts, owner))
     starts, owner = starts[order], owner[order]
     selector = choice[starts].astype(np.int64)
-    # values beyond the block's end belong to the next block and are left out of the word
     words = selector.astype(np.uint64) << np.uint64(60)
-    for j in range(int(COUNTS.max())):
-        held = np.flatnonzero((COUNTS[selector] > j) & (starts + j < end[owner]))
-        if not len(held):
-            break
-        words[held] |= (padded[starts[held] + j] & np.uint64((1 << 60) - 1)) << (WIDTHS[selector[held]] * j).astype(np.uint64)
+    for s in np.unique(selector).tolist():
+        rows = np.flatnonzero(selector == s)
+        place = np.arange(COUNTS[s])
+        grid = starts[rows, None] + place
+        held = padded[grid] & np.uint64((1 << 60) - 1)
+        held[grid >= end[owner[rows], None]] = 0  # beyond the block's end
+        words[rows] |= np.bitwise_or.reduce(held << (WIDTHS[s] * place).astype(np.uint64), axis=1)
     first = np.searchsorted(owner, np.arange(blocks))
     if escaped.any():  # one value a word there: the escape goes before it
         high = np.flatnonzero(escaped[starts])
@@ -150,31 +146,46 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.odd = re.compile(b"|".join(re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values()) or rb"(?!)")
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in the file
         rest = [b for b in range(256) if b not in plain]
         self.shown = {b: chr(256 + i) for i, b in enumerate(rest)}
         self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def places(self, data: bytes) -> list[int]:
+        """Where the strings of added tokens begin."""
+        out = []
+        for content in self.added:
+            at = data.find(content)
+            while at >= 0:
+                out.append(at)
+                at = data.find(content, at + 1)
+        return out
 
     def whole(self, text: bytes) -> np.ndarray:
         return np.array(self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids, np.uint32)
 
     def of_units(self, distinct: list[bytes]) -> list[bytes]:
-        """Ids of each unit, as 32-bit numbers end to end."""
-        known = self.known
-        new = [u for u in distinct if u not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = distinct
-        tokenize, simple, shown = self.model.tokenize, self.SIMPLE.fullmatch, self.shown
+        """Ids of each unit, as 32-bit numbers end to end. Units met since the memory last turned stay known."""
+        known, old, tokenize, simple, shown = self.known, self.old, self.model.tokenize, self.SIMPLE.fullmatch, self.shown
         rest = []
-        for u in new:
-            if simple(u):
+        for u in distinct:
+            if u in known:
+                continue
+            before = old.get(u)
+            if before is not None:
+                known[u] = before
+            elif u.isalpha():  # lower-case ASCII letters
+                known[u] = array("I", [t.id for t in tokenize(u.decode("ascii"))]).tobytes()
+            elif simple(u):
                 known[u] = array("I", [t.id for t in tokenize(u.decode("latin-1").translate(shown))]).tobytes()
             else:
                 rest.append(u)
         found = self.tokenizer.encode_batch_fast([u.decode("utf-8") for u in rest], add_special_tokens=False)
         known.update((u, array("I", e.ids).tobytes()) for u, e in zip(rest, found))
+        if len(known) > REMEMBERED:
+            self.known, self.old = {}, known
         return [known[u] for u in distinct]
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
@@ -191,13 +202,13 @@ class Encoder:
         kept = np.concatenate([[0], np.cumsum(~white)])
         codes, distinct = units(self.LOWER[raw[~white]], np.diff(np.append(kept[at], kept[-1])))
         found = self.of_units(distinct.to_pylist())
-        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        size = np.fromiter(map(len, found), np.int32, len(found)) // 4
         flat = np.frombuffer(b"".join(found), np.uint32)
         n = size[codes]
-        ends = np.cumsum(n)
-        ids = flat[np.repeat((np.cumsum(size) - size)[codes] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.cumsum(n, dtype=np.int32)  # a slice of some MB
+        ids = flat[np.repeat((np.cumsum(size, dtype=np.int32) - size)[codes] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
         rows = np.concatenate([[0], ends])[np.searchsorted(at, off)]
-        odd = np.unique(np.searchsorted(off, [m.start() for m in self.odd.finditer(raw.tobytes())], "right") - 1)
+        odd = np.unique(np.searchsorted(off, self.places(raw.tobytes()), "right") - 1)
         if not len(odd):
             return ids, rows
         parts = [ids[a:b] for a, b in zip(rows[:-1], rows[1:])]
