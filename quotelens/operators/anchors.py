@@ -10,8 +10,9 @@ unscored (warm-up).
   contains it (months trunc(d)+1 .. trunc(d)+k), then ``groupBy(month, cell)``
   with map-side partial sums; no range join, no per-month loop, and a hot
   month or cell is pre-aggregated before the shuffle.
-* ``rolling_model_anchor``: any Spark ML estimator, one pruned fit per month
-  (months are few; every fit is itself distributed).
+* ``rolling_glm_anchor``: the gamma GLM of every month in one batched fit (``batched_glm``): a row counts in each
+  window that contains it without being copied, and an iteration is one job for all months.
+* ``rolling_model_anchor``: any other estimator, one pruned fit per month.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from quotelens.functions.nullsafe import elapsed_days, floor_at
 from quotelens.functions.temporal import temporal_columns
+from quotelens.operators import batched_glm
 from quotelens.operators.joins import attach_group_values, maybe_broadcast
 from quotelens.operators.models import PriceModel, check_features, fit_price_model, predict
 from quotelens.operators.splits import recency_weight, ts_lit
@@ -78,6 +80,41 @@ def rolling_segment_anchor(df: DataFrame, spec: PanelSpec, cells: list[str]) ->
     return scored.withColumn("market_anchor", anchor).drop("__gm", "__cm", PERIOD)
 
 
+def _window_months(month, k: int):
+    """The k months whose windows contain rows of a month."""
+    step = F.make_ym_interval(F.lit(0), F.lit(1))
+    return F.sequence(month + step, month + F.make_ym_interval(F.lit(0), F.lit(k)), step)
+
+
+def _month_number(month):
+    return F.year(month) * 12 + F.month(month)
+
+
+def rolling_glm_anchor(df: DataFrame, spec: PanelSpec, categorical: list[str], numeric: list[str],
+                       power: float = 2.0, ridge: float = 0.0) -> DataFrame:
+    """Rows with market_anchor, anchor_training_start/cutoff/rows by a GLM for each month (log link, recency weights as of it)."""
+    d, t = F.col(spec.date_column), F.col(spec.target_column)
+    rows = _periodize(df, spec)
+    fit_rows = rows.where(t > 0 if power == 2.0 else t >= 0)
+    windows = (fit_rows.select(d.alias("__d"), F.explode(_window_months(F.col(PERIOD), spec.lookback_months)).alias(PERIOD))
+               .groupBy(PERIOD).agg(F.count("*").cast("double").alias("anchor_training_rows"), F.min("__d").alias("anchor_training_start"),
+                                    F.max("__d").alias("anchor_training_cutoff")).where(F.col("anchor_training_rows") >= spec.min_train_rows))
+    windows = materialize(windows.join(rows.select(PERIOD).distinct(), PERIOD, "left_semi"), "anchor-months")
+    months = [r[0] for r in windows.select(_month_number(F.col(PERIOD))).collect()]  # one number a month
+    base = F.col(spec.weight_column).try_cast("double") if spec.weight_column else F.lit(1.0)
+
+    def in_window(month):
+        w = F.coalesce(base, F.lit(0.0))
+        if spec.recency_half_life_days is not None:
+            w = w * F.pow(F.lit(0.5), F.greatest(elapsed_days(month, d), F.lit(0)) / F.lit(float(spec.recency_half_life_days)))
+        return batched_glm.member(_month_number(month), t, w)
+
+    design = batched_glm.learn_design(fit_rows, categorical, numeric)
+    betas = batched_glm.fit_groups(fit_rows, design, F.transform(_window_months(F.col(PERIOD), spec.lookback_months), in_window), sorted(months), power, ridge)
+    scored = batched_glm.predict_groups(rows, _month_number(F.col(PERIOD)), design, betas, "market_anchor")
+    return scored.join(maybe_broadcast(windows), PERIOD, "left").drop(PERIOD)
+
+
 def rolling_model_anchor(df: DataFrame, spec: PanelSpec, features: list[str], categorical: list[str],
                          numeric: list[str], kind: str = "glm_gamma", params: dict | None = None,
                          workers: int = 8) -> DataFrame:
@@ -164,6 +201,8 @@ def historical_features(df: DataFrame, spec: PanelSpec, cells: list[str] | None
     """H1-H4: rolling anchors, relative price, hand-off projection."""
     if kind == "segment_mean":
         scored = rolling_segment_anchor(df, spec, list(cells or spec.categorical_columns))
+    elif kind == "glm_gamma":
+        scored = rolling_glm_anchor(df, spec, list(categorical or []), list(numeric or []), **(params or {}))
     else:
         scored = rolling_model_anchor(df, spec, features, categorical, numeric, kind, params)
     if spec.own_premium_column and spec.own_premium_column in df.columns:

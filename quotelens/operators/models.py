@@ -24,11 +24,11 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelens.functions.quantiles import grouped_quantiles
-from quotelens.operators import boosting, target_stats
+from quotelens.operators import batched_glm, boosting, target_stats
 from quotelens.operators.joins import attach_group_values
 
 BOOSTED = {"gamma_boost": 2.0, "tweedie_boost": 1.5}  # variance power
@@ -67,6 +67,8 @@ class PriceModel:
     levels: DataFrame | None = None  # trees: target statistics of the levels
     prior: float | None = None
     boosted: dict | None = None
+    design: dict | None = None  # batched GLM
+    beta: list | None = None
 
     def meta(self) -> dict:
         return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("pipeline", "cells", "levels")}
@@ -236,6 +238,8 @@ def predict(model: PriceModel, df: DataFrame, out: str = "prediction") -> DataFr
         joined = attach_group_values(df, model.cells, keys)
         return joined.withColumn(out, F.coalesce(F.col("__cell_mean"), gm)).drop("__cell_mean")
     cols = df.columns
+    if model.beta is not None:
+        return df.withColumn(out, mean_of(model))
     if model.levels is not None:
         df = target_stats.encode(df, model.levels, model.categorical, model.prior)
     if model.boosted is not None:
@@ -277,7 +281,7 @@ def load_model(spark, path: str) -> PriceModel:
     if model.kind == "segment_mean":
         if model.params.get("cells"):
             model.cells = spark.read.parquet(os.path.join(path, "cells"))
-    elif model.kind not in BOOSTED:
+    elif model.kind not in BOOSTED and model.beta is None:
         model.pipeline = PipelineModel.load(os.path.join(path, "pipeline"))
     return model
 
@@ -346,32 +350,81 @@ def competitor_eligibility(split: DataFrame, comps: list[str], skip_missing: flo
     return stacked.withColumn("eligible", ok)
 
 
+def fit_competitors(split: DataFrame, comps: list[str], categorical: list[str], numeric: list[str], spec, power: float = 2.0,
+                    ridge: float = 0.0) -> dict[str, PriceModel]:
+    """A GLM for each competitor on the train rows where it quoted, weighted by recency as of its last one; all in one batched fit."""
+    date = F.col(spec.date_column)
+    train = split.where(F.col("_split") == "train")
+    quoted = {c: F.col(c) > 0 for c in comps}
+    facts = train.agg(*[f(F.when(q, date)).alias(f"{n}_{i}") for i, q in enumerate(quoted.values()) for n, f in (("mx", F.max), ("mn", F.min), ("n", F.count))]).first()
+
+    def weight(i: int) -> Column:
+        if spec.recency_half_life_days is None:
+            return F.lit(1.0)
+        from quotelens.functions.nullsafe import elapsed_days
+        from quotelens.operators.splits import ts_lit
+        return F.pow(F.lit(0.5), F.greatest(elapsed_days(ts_lit(facts[f"mx_{i}"]), date), F.lit(0)) / F.lit(float(spec.recency_half_life_days)))
+
+    design = batched_glm.learn_design(train, categorical, numeric)
+    members = F.filter(F.array(*[F.when(quoted[c], batched_glm.member(F.lit(i), F.col(c), weight(i))) for i, c in enumerate(comps) if facts[f"n_{i}"]]),
+                       lambda m: m.isNotNull())
+    betas = batched_glm.fit_groups(train, design, members, [i for i in range(len(comps)) if facts[f"n_{i}"]], power, ridge)
+    return {comps[i]: PriceModel("glm_gamma", [*categorical, *numeric], categorical, numeric, comps[i], training_cutoff=str(facts[f"mx_{i}"]),
+                                 training_start=str(facts[f"mn_{i}"]), training_rows=facts[f"n_{i}"], design=design.__dict__, beta=[float(x) for x in beta])
+            for i, beta in betas.items()}
+
+
+def competitor_predictions(split: DataFrame, models: dict[str, PriceModel], kept: list[str]) -> DataFrame:
+    """Long frame (kept columns, competitor, actual, prediction) of every row and competitor that quoted."""
+    each = F.explode(F.filter(F.array(*[F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("competitor"), F.col(c).cast("double").alias("actual"), mean_of(m).alias("prediction")))
+                                        for c, m in models.items()]), lambda x: x.isNotNull()))
+    return split.select(*kept, each.alias("e")).select(*kept, "e.*")
+
+
+def mean_of(model: PriceModel) -> Column:
+    """The mean by a batched GLM, in generated code."""
+    design = batched_glm.Design(**model.design)
+    return F.exp(batched_glm.linear(design, F.array(*[F.lit(float(b)) for b in model.beta])))
+
+
 def competitor_models(split: DataFrame, comps: list[str], features, categorical, numeric, spec,
                       kind: str = "glm_gamma", params: dict | None = None, save_to: str | None = None) -> DataFrame:
     """One model per eligible competitor on the rows where it quoted; unweighted metrics per part.
 
-    ``save_to``: folder that gets each competitor's model and its predictions of all parts."""
+    The gamma GLM fits all competitors at once; other kinds one after the other. ``save_to``: folder that gets each
+    competitor's model and the predictions of all parts, by competitor."""
     from quotelens.operators.metrics import regression_metrics
     from quotelens.operators.splits import recency_weight
     date_column, key = spec.date_column, spec.id_columns[0]
     elig = [r.competitor for r in competitor_eligibility(split, comps, spec.competitor_skip_missing_threshold).where("eligible").collect()]
-    out = None
-    for c in elig:
-        rows = split.where(F.col(c).isNotNull())
-        train = rows.where(F.col("_split") == "train")
-        cutoff = train.agg(F.max(date_column).alias("m")).first().m
-        train_w = recency_weight(train, spec, as_of=cutoff)
-        m = fit_price_model(train_w, c, features, categorical, numeric, kind=kind, weight="training_weight",
-                            params=params, date_column=date_column)
-        scored = predict(m, rows, "__pc")
-        if save_to:
-            save_model(m, f"{save_to}/{c}/model")
-            scored.select(key, date_column, "_split", F.col(c).alias("actual"), F.col("__pc").alias("prediction")).write.mode("overwrite").parquet(f"{save_to}/{c}/predictions")
-        met = regression_metrics(scored, c, "__pc", by=["_split"], tiebreak=key).withColumn("competitor", F.lit(c))
-        out = met if out is None else out.unionByName(met)
-    if out is None:
+    if not elig:
         return split.sparkSession.createDataFrame([], "competitor string")
-    return out
+    kept, long = [key, date_column, "_split"], None
+    if kind == "glm_gamma":
+        models = fit_competitors(split, sorted(elig), categorical, numeric, spec, **(params or {}))
+        long = competitor_predictions(split, models, kept)
+    else:
+        models = {}
+        for c in sorted(elig):
+            rows = split.where(F.col(c).isNotNull())
+            train = rows.where(F.col("_split") == "train")
+            cutoff = train.agg(F.max(date_column).alias("m")).first().m
+            train_w = recency_weight(train, spec, as_of=cutoff)
+            held_out = None
+            if kind in STOPS_EARLY:
+                held_out = "__held_out"
+                watched = rows.where(F.col("_split") == "validation").withColumn("training_weight", F.lit(1.0))
+                train_w = train_w.withColumn(held_out, F.lit(False)).unionByName(watched.withColumn(held_out, F.lit(True)))
+            models[c] = fit_price_model(train_w, c, features, categorical, numeric, kind=kind, weight="training_weight",
+                                        params=params, date_column=date_column, validation_indicator=held_out)
+            own = predict(models[c], rows, "__pc").select(*kept, F.lit(c).alias("competitor"), F.col(c).cast("double").alias("actual"), F.col("__pc").alias("prediction"))
+            long = own if long is None else long.unionByName(own)
+    if save_to:
+        for c, m in models.items():
+            save_model(m, f"{save_to}/{c}/model")
+        long.write.mode("overwrite").partitionBy("competitor").parquet(f"{save_to}/predictions")
+        long = split.sparkSession.read.parquet(f"{save_to}/predictions")
+    return regression_metrics(long, "actual", "prediction", by=["competitor", "_split"], tiebreak=key)
 
 
 def production_window(df: DataFrame, target: str, date_column: str, lookback_months: int) -> DataFrame:

@@ -245,9 +245,22 @@ def historical_summary(spark, sf_dir):
     return A.historical_summary(historical(spark, sf_dir), SPEC.date_column)
 
 
+@register("historical_anchor_glm_segment", wrap(
+    "SELECT r.quote_id, gs.cm AS market_anchor, pp.st AS anchor_training_start, pp.cu AS anchor_training_cutoff, pp.n AS anchor_training_rows "
+    "FROM rows r LEFT JOIN pp ON pp.period = r.period LEFT JOIN gs ON gs.period = pp.period AND gs.vehicle_segment = r.vehicle_segment",
+    "quote_id:i, market_anchor:d, anchor_training_start:ts, anchor_training_cutoff:ts, anchor_training_rows:d",
+    HIST_SQL + """,
+gs AS (SELECT period, vehicle_segment, sum(w * tgt) / sum(w) AS cm FROM contrib GROUP BY ALL)"""))
+def historical_anchor_glm_segment(spark, sf_dir):
+    """The batched monthly GLM with one categorical feature: its means are the weighted means by month and level (H1)."""
+    eng, _ = engineered(spark, sf_dir)
+    return A.rolling_glm_anchor(eng, SPEC, ["vehicle_segment"], []).select(
+        "quote_id", "market_anchor", "anchor_training_start", "anchor_training_cutoff", "anchor_training_rows")
+
+
 @register("historical_anchor_glm")
 def historical_anchor_glm(spark, sf_dir):
-    """Rolling-origin anchors with a gamma GLM refit per month (H1 with Spark ML)."""
+    """Rolling-origin anchors with a gamma GLM of all features for each month, all months in one batched fit (H1)."""
     eng, meta = engineered(spark, sf_dir)
     from quotelens.operators.features import select_model_features
     feats, cat, num = select_model_features(eng, SPEC, meta)
