@@ -35,13 +35,13 @@ from quotelens.session import stage_path
 
 END_ID = 1
 #: Values of a block, and of a run of documents.
-BLOCK, RUN = 1024, 1 << 16
+BLOCK, RUN = 1024, 1 << 18
 #: Fixed values of the coding: values in a word and their width in bits, by selector from 1 to 14.
 COUNTS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0])
 WIDTHS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 60])
 ESCAPE = 15
 #: Units remembered by a Python worker; beyond it the memory turns: what is met again before the next turn stays.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 
 
 def bits(values: np.ndarray) -> np.ndarray:
@@ -49,6 +49,22 @@ def bits(values: np.ndarray) -> np.ndarray:
     return np.maximum(np.frexp(values.astype(np.float64))[1], 1)
 
 
+def widest(need: np.ndarray) -> dict[int, np.ndarray]:
+    """For each selector but the last, the bits of the widest of the values that a word would hold, from each place of each block on.
+
+    ``need``: a row for each block, with room for a whole word after its end."""
+    spans = {1: need}
+
+    def span(n: int) -> np.ndarray:
+        if n not in spans:
+            half = next(c for c in sorted({*COUNTS.tolist(), 1}, reverse=True) if n / 2 <= c < n)
+            known = span(half)
+            spans[n] = known.copy()
+            np.maximum(known[:, :half - n], known[:, n - half:], out=spans[n][:, :half - n])
+        return spans[n]
+    return {s: span(int(COUNTS[s])) for s in range(13, 0, -1)}
+
+
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words, first word of each block) of unsigned 64-bit values; all blocks are packed side by side."""
     values = np.ascontiguousarray(values, np.uint64)
@@ -56,28 +72,28 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blocks = -(-n // BLOCK)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int32)
-    padded = np.zeros(blocks * BLOCK + int(COUNTS.max()), np.uint64)  # a block's last word may hold zeros beyond its end
+    room = int(COUNTS.max())
+    padded = np.zeros(blocks * BLOCK + room, np.uint64)  # a block's last word may reach beyond its end
     padded[:n] = values
-    need = bits(padded)
+    need = bits(padded[:blocks * BLOCK]).astype(np.uint8)
     escaped = need > 60
-    need[escaped] = 60
-    at = np.arange(len(padded), dtype=np.int32)
-    left = BLOCK - at % BLOCK
-    choice = np.full(len(at), 14, np.int8)
-    for s in range(13, 0, -1):  # the selector of most values whose values all fit
-        next_wide = np.minimum.accumulate(np.where(need > WIDTHS[s], at, len(at))[::-1])[::-1]
-        choice[next_wide - at >= np.minimum(COUNTS[s], left)] = s
+    need[escaped], need[n:] = 60, 0
+    grid = np.zeros((blocks, BLOCK + room), np.uint8)
+    grid[:, :BLOCK] = need.reshape(blocks, BLOCK)
+    choice = np.full((blocks, BLOCK), 14, np.int8)
+    for s, top in widest(grid).items():  # the selector of most values whose values all fit
+        choice[top[:, :BLOCK] <= WIDTHS[s]] = s
+    choice = choice.ravel()
+    step = COUNTS.astype(np.int8)[choice]
     pos, end = np.arange(blocks) * BLOCK, np.minimum(np.arange(1, blocks + 1) * BLOCK, n)
-    step = COUNTS[choice]
-    starts, owner, live = [], [], np.arange(blocks)
+    starts, live, stop = [], pos, end
     while len(live):
-        starts.append(pos[live])
-        owner.append(live)
-        pos[live] += step[pos[live]]
-        live = live[pos[live] < end[live]]
-    starts, owner = np.concatenate(starts), np.concatenate(owner)
-    order = np.lexsort((starts, owner))
-    starts, owner = starts[order], owner[order]
+        starts.append(live)
+        live = live + step[live]
+        on = live < stop
+        live, stop = live[on], stop[on]
+    starts = np.sort(np.concatenate(starts))
+    owner = starts // BLOCK
     selector = choice[starts].astype(np.int64)
     words = selector.astype(np.uint64) << np.uint64(60)
     for s in np.unique(selector).tolist():
@@ -134,9 +150,12 @@ class Encoder:
     encoded once. A unit of lower-case Latin-1 letters is one pre-token, which the library's model takes
     directly. Texts that hold the string of an added token are encoded whole."""
 
-    WHITE = byte_table([0x20, *range(0x09, 0x0E)])
-    LETTER = byte_table([*range(65, 91), *range(97, 123)])
-    MARK = byte_table(set(range(33, 127)) - {*range(48, 58), *range(65, 91), *range(97, 123)})
+    WHITE, LETTER, MARK = 1, 2, 3
+    KIND = np.zeros(256, np.uint8)
+    KIND[[0x20, *range(0x09, 0x0E)]] = WHITE
+    KIND[33:127] = MARK
+    KIND[48:58] = 0
+    KIND[[*range(65, 91), *range(97, 123)]] = LETTER
     LOWER = np.arange(256, dtype=np.uint8) + 32 * byte_table(range(65, 91)).astype(np.uint8)
     SIMPLE = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
@@ -193,14 +212,16 @@ class Encoder:
         raw, off = utf8_buffer(texts)
         if not len(raw):
             return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
-        white = self.WHITE[raw]
-        begin = ~white
-        begin[1:] &= white[:-1] | (self.MARK[raw[1:]] & self.LETTER[raw[:-1]])
+        kind = self.KIND[raw]
+        plain = kind != self.WHITE
+        begin = plain.copy()
+        begin[1:] &= (kind[:-1] == self.WHITE) | ((kind[1:] == self.MARK) & (kind[:-1] == self.LETTER))
         rows = off[:-1][off[:-1] < len(raw)]
-        begin[rows] = ~white[rows]
+        begin[rows] = plain[rows]
+        last = plain.copy()
+        last[:-1] &= ~plain[1:] | begin[1:]
         at = np.flatnonzero(begin)
-        kept = np.concatenate([[0], np.cumsum(~white)])
-        codes, distinct = units(self.LOWER[raw[~white]], np.diff(np.append(kept[at], kept[-1])))
+        codes, distinct = units(self.LOWER[raw[plain]], np.flatnonzero(last) + 1 - at)
         found = self.of_units(distinct.to_pylist())
         size = np.fromiter(map(len, found), np.int32, len(found)) // 4
         flat = np.frombuffer(b"".join(found), np.uint32)
