@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotelens.functions.nullsafe import floor_at
-from quotelens.functions.quantiles import group_quantile, grouped_quantiles
+from quotelens.functions.quantiles import group_quantile, grouped_quantiles, quantile_table
 from quotelens.functions.temporal import temporal_columns
 from quotelens.operators.models import PriceModel, predict
 from quotelens.session import materialize
@@ -71,9 +71,14 @@ def basket_index(basket: DataFrame, model: PriceModel, dated: DataFrame, date_co
     months = F.sequence(lo_m, hi_m, F.make_ym_interval(F.lit(0), F.lit(1)))
     monthly = basket.withColumn(date_column, F.explode(months))
     monthly = monthly.withColumns(temporal_columns(F.col(date_column)))
-    scored = predict(model, monthly, "__p").withColumn("__p", floor_at("__p", 0.0))
-    return scored.groupBy(F.to_date(date_column).alias("quote_month")).agg(
-        F.avg("__p").alias("mean_prediction"),
-        group_quantile(F.col("__p"), 0.25, mode).alias("p25_prediction"),
-        group_quantile(F.col("__p"), 0.75, mode).alias("p75_prediction"),
-        F.count("*").alias("n_profiles"))
+    scored = predict(model, monthly, "__p").select(F.to_date(date_column).alias("quote_month"), floor_at("__p", 0.0).alias("__p"))
+    if mode == "approx":
+        return scored.groupBy("quote_month").agg(
+            F.avg("__p").alias("mean_prediction"), group_quantile(F.col("__p"), 0.25, mode).alias("p25_prediction"),
+            group_quantile(F.col("__p"), 0.75, mode).alias("p75_prediction"), F.count("*").alias("n_profiles"))
+    # profiles of equal predictions are one row from here on, with sums before the exchange
+    counted = materialize(scored.groupBy("quote_month", "__p").agg(F.count("*").alias("__n")), "basket")
+    means = counted.groupBy("quote_month").agg((F.sum(F.col("__p") * F.col("__n")) / F.sum(F.when(F.col("__p").isNotNull(), F.col("__n")))).alias("mean_prediction"), F.sum("__n").alias("n_profiles"))
+    q = quantile_table(counted, ["quote_month"], "__p", [0.25, 0.75], "__n")
+    return means.join(q.select("quote_month", F.get("q", F.lit(0)).alias("p25_prediction"), F.get("q", F.lit(1)).alias("p75_prediction")), "quote_month").select(
+        "quote_month", "mean_prediction", "p25_prediction", "p75_prediction", "n_profiles")

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotelens.functions.quantiles import group_quantile, quantiles
+from quotelens.functions.quantiles import group_quantile, quantile_table, quantiles
 
 MONTH = "quote_month"
 
@@ -125,20 +125,9 @@ def quantile_bands(df: DataFrame, col: str, q: int, extra: dict[str, Column], mi
 
 
 def box_stats(df: DataFrame, keys: list[str], value: str, mode: str = "exact") -> DataFrame:
-    """V8: min, quartiles, max per group. Exact quartiles come from keyed histogram narrowing
-    (bounded memory per task however many distinct values a group holds); the result has one
-    row per group, so its quartiles are built from (groups x 3) numbers."""
-    v = F.col(value)
-    data = df.where(v.isNotNull())
-    ext = data.groupBy(*keys).agg(F.min(v).alias("min"), F.max(v).alias("max"))
+    """V8: min, quartiles, max per group, for any number of groups (``quantile_table``)."""
     if mode == "approx":
-        q = data.groupBy(*keys).agg(*[group_quantile(v, p, mode).alias(n)
-                                      for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
-        return ext.join(q, keys)
-    from quotelens.functions.quantiles import grouped_quantiles
-    keyed = data.withColumn("__key", F.to_json(F.struct(*[F.col(k) for k in keys])))
-    qs = grouped_quantiles(keyed, "__key", value, [0.25, 0.5, 0.75])
-    spark = df.sparkSession
-    qdf = spark.createDataFrame([(k, *v3) for k, v3 in qs.items()], "__key string, q1 double, median double, q3 double")
-    ext = ext.withColumn("__key", F.to_json(F.struct(*[F.col(k) for k in keys])))
-    return ext.join(qdf, "__key").select(*keys, "min", "q1", "median", "q3", "max")
+        v = F.col(value)
+        return df.where(v.isNotNull()).groupBy(*keys).agg(F.min(v).alias("min"), *[group_quantile(v, p, mode).alias(n) for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))], F.max(v).alias("max"))
+    q = quantile_table(df, keys, value, [0.25, 0.5, 0.75])
+    return q.select(*keys, F.col("lo").alias("min"), F.get("q", F.lit(0)).alias("q1"), F.get("q", F.lit(1)).alias("median"), F.get("q", F.lit(2)).alias("q3"), F.col("hi").alias("max"))

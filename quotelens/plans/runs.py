@@ -30,7 +30,7 @@ from quotelens.sources import io as IO
 from quotelens.sources import manifest as G
 from quotelens.spec import PanelSpec
 
-TABLES = ("market_data", "predictions", "metrics", "importance", "reference_features", "historical", "basket_index", "competitor_metrics", "qa")
+TABLES = ("market_data", "predictions", "metrics", "importance", "reference_features", "reference_profile", "historical", "basket_index", "competitor_metrics", "qa")
 MODELS = ("evaluation_model", "production_model")
 
 
@@ -52,8 +52,9 @@ def production_model(eng: DataFrame, spec: PanelSpec, ev, kind: str, cells) -> M
     row = window.agg(F.count("*").alias("n"), F.max(spec.date_column).alias("cutoff")).first()
     if row.n < spec.min_train_rows:
         raise ValueError(f"The production window has {row.n} rows; min_train_rows is {spec.min_train_rows}")
+    params = {"rounds": len(ev.model.boosted["trees"])} if ev.model.boosted else None  # as many as the validation part found best
     return ML.fit_price_model(S.recency_weight(window, spec, as_of=row.cutoff), spec.target_column, ev.features, ev.categorical, ev.numeric,
-                              kind=kind, weight="training_weight", cells=list(cells), date_column=spec.date_column)
+                              kind=kind, weight="training_weight", params=params, cells=list(cells), date_column=spec.date_column)
 
 
 def train(spark: SparkSession, quotes: DataFrame, spec: PanelSpec, run: str, kind: str = "glm_gamma", cells=ANCHOR_CELLS) -> DataFrame:
@@ -73,6 +74,7 @@ def train(spark: SparkSession, quotes: DataFrame, spec: PanelSpec, run: str, kin
     validation = ev.split.where(F.col(S.SPLIT) == "validation")
     IO.write_table(ML.permutation_importance(ev.model, validation, key, spec.importance_repeats), at["importance"])
     IO.write_table(reference_features(ev, spec), at["reference_features"])
+    IO.write_table(D.reference_profile(spark.read.parquet(at["reference_features"]), ev.numeric, ev.categorical), at["reference_profile"])
     if kind != "segment_mean":
         each = ML.competitor_models(ev.split, meta.competitor_columns, ev.features, ev.categorical, ev.numeric, spec, kind, save_to=f"{run}/competitors")
     else:
@@ -116,11 +118,10 @@ def score(spark: SparkSession, quotes: DataFrame, spec: PanelSpec, run: str) ->
 
 def monitor(spark: SparkSession, quotes: DataFrame, spec: PanelSpec, run: str, baseline_quotes: DataFrame) -> dict[str, DataFrame]:
     """Drift, coverage, health and refresh reasons of current quotes against a verified run."""
-    at = _verified(spark, run, "reference_features", "metrics", "production_model")
+    at = _verified(spark, run, "reference_profile", "metrics", "production_model")
     settings = json.loads(spark.read.text(f"{run}/settings").first().value)
     eng, meta = engineer_market_features(C.coerce_types(quotes, spec), spec)
-    reference = spark.read.parquet(at["reference_features"])
-    drift = D.drift_table(reference, eng, settings["features"], set(settings["categorical"]), spec.psi_threshold)
+    drift = D.profile_drift_table(spark.read.parquet(at["reference_profile"]), eng, settings["features"], spec.psi_threshold)
     drops = D.coverage_drops(C.competitor_quote_rates(baseline_quotes, spec), C.competitor_quote_rates(quotes, spec))
     model = ML.load_model(spark, at["production_model"])
     priced = ML.predict(model, eng.where(F.col(spec.target_column).isNotNull()))
