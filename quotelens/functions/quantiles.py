@@ -197,33 +197,47 @@ def group_quantile(expr: Column, p, mode: str = "exact", accuracy: int = 100_000
     return F.percentile(expr, p)
 
 
-def quantile_table(long: DataFrame, keys: list[str], value: str, probs: list[float], weight: str | None = None) -> DataFrame:
+def sql_double(v: float) -> str:
+    return f"{float(v)!r}D"
+
+
+def count_below(x: str, edges: list[float]) -> str:
+    """SQL text: how many of the sorted edges lie below x, by bisection, as one expression of generated code. (Text, since
+    an expression of many parts costs a driver call for each.)"""
+    def between(lo: int, hi: int) -> str:
+        if lo == hi:
+            return str(lo)
+        mid = (lo + hi) // 2
+        return f"CASE WHEN {x} > {sql_double(edges[mid])} THEN {between(mid + 1, hi)} ELSE {between(lo, mid)} END"
+    return between(0, len(edges))
+
+
+def quantile_table(long: DataFrame, keys: list[str], value: str, probs: list[float], weight: str | None = None,
+                   counted: bool = False) -> DataFrame:
     """keys, n, lo, hi, distinct, q (exact linear quantiles, one for each prob) of every group, for any number of groups.
 
     Equal values of a group are counted first, with map-side sums, so a value that a third of the rows share
     is one row. The counted values are dealt to partitions by ranges of (group, value); a group's ranks start, in
     each partition, from the sums of the partitions before it - one row for each partition and group. So a large
     group is spread over partitions, small ones share one, and nothing comes to the driver. Groups without a value have no
-    row; ``weight`` is a whole number of occurrences."""
+    row; ``weight`` is a whole number of occurrences. ``counted``: each (group, value) is one row already."""
     from quotelens.session import materialize
     x, k = F.col(value).cast("double"), F.struct(*[F.col(c) for c in keys]).alias("k")
-    counted = (long.select(k, x.alias("x"), (F.col(weight) if weight else F.lit(1)).cast("long").alias("c"))
-               .where(F.col("x").isNotNull() & ~F.isnan("x")).groupBy("k", "x").agg(F.sum("c").alias("c")))
-    ranked = materialize(counted.repartitionByRange("k", "x").withColumn("part", F.spark_partition_id()), "ranked")
+    rows = (long.select(k, x.alias("x"), (F.col(weight) if weight else F.lit(1)).cast("long").alias("c"))
+            .where(F.col("x").isNotNull() & ~F.isnan("x")))
+    rows = rows if counted else rows.groupBy("k", "x").agg(F.sum("c").alias("c"))
+    ranked = materialize(rows.repartitionByRange("k", "x").withColumn("part", F.spark_partition_id()), "ranked")
     sums = ranked.groupBy("part", "k").agg(F.sum("c").alias("s"), F.count("*").alias("d"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     group, earlier = Window.partitionBy("k"), Window.partitionBy("k").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("part", "k", F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("before"), F.sum("s").over(group).alias("n"),
                          F.sum("d").over(group).alias("distinct"), F.min("lo").over(group).alias("lo"), F.max("hi").over(group).alias("hi"))
     upto = F.sum("c").over(Window.partitionBy("part", "k").orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
     placed = ranked.withColumn("upto", upto).join(starts, ["part", "k"]).withColumn("upto", F.col("upto") + F.col("before"))
-    below = [F.floor(F.lit(p) * (F.col("n") - 1)) for p in probs]
-    ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.least(at + 1 + side, F.col("n")).cast("long").alias("rank"), F.lit(side).alias("side"))
-                      for i, at in enumerate(below) for side in (0, 1)])
-    mine = F.filter(ranks, lambda r: (r["rank"] <= F.col("upto")) & (r["rank"] > F.col("upto") - F.col("c")))
-    hits = placed.select("k", "x", "n", "distinct", "lo", "hi", F.explode(mine).alias("r"))
-    pick = lambda i, side: F.max(F.when((F.col("r.i") == i) & (F.col("r.side") == side), F.col("x")))
+    below = [f"CAST(floor({sql_double(p)} * (n - 1)) AS BIGINT)" for p in probs]
+    ranks = ", ".join(f"struct({i} AS i, least({at} + {1 + side}, n) AS rank, {side} AS side)" for i, at in enumerate(below) for side in (0, 1))
+    hits = placed.select("k", "x", "n", "distinct", "lo", "hi", F.expr(f"explode(filter(array({ranks}), r -> r.rank <= upto AND r.rank > upto - c)) AS r"))
     wide = hits.groupBy("k").agg(*[F.max(c).alias(c) for c in ("n", "distinct", "lo", "hi")],
-                                 *[pick(i, side).alias(f"v{i}_{side}") for i in range(len(probs)) for side in (0, 1)])
-    frac = [F.lit(p) * (F.col("n") - 1) - at for p, at in zip(probs, below)]
-    between = [F.when(f > 0, F.col(f"v{i}_0") + (F.col(f"v{i}_1") - F.col(f"v{i}_0")) * f).otherwise(F.col(f"v{i}_0")) for i, f in enumerate(frac)]
-    return wide.select(*[F.col(f"k.{c}").alias(c) for c in keys], "n", "lo", "hi", "distinct", F.array(*between).alias("q"))
+                                 *[F.expr(f"max(CASE WHEN r.i = {i} AND r.side = {side} THEN x END) AS v{i}_{side}") for i in range(len(probs)) for side in (0, 1)])
+    frac = [f"({sql_double(p)} * (n - 1) - {at})" for p, at in zip(probs, below)]
+    between = F.expr("array(" + ", ".join(f"CASE WHEN {f} > 0 THEN v{i}_0 + (v{i}_1 - v{i}_0) * {f} ELSE v{i}_0 END" for i, f in enumerate(frac)) + ")")
+    return wide.select(*[F.col(f"k.{c}").alias(c) for c in keys], "n", "lo", "hi", "distinct", between.alias("q"))

@@ -79,6 +79,6 @@ def basket_index(basket: DataFrame, model: PriceModel, dated: DataFrame, date_co
     # profiles of equal predictions are one row from here on, with sums before the exchange
     counted = materialize(scored.groupBy("quote_month", "__p").agg(F.count("*").alias("__n")), "basket")
     means = counted.groupBy("quote_month").agg((F.sum(F.col("__p") * F.col("__n")) / F.sum(F.when(F.col("__p").isNotNull(), F.col("__n")))).alias("mean_prediction"), F.sum("__n").alias("n_profiles"))
-    q = quantile_table(counted, ["quote_month"], "__p", [0.25, 0.75], "__n")
+    q = quantile_table(counted, ["quote_month"], "__p", [0.25, 0.75], "__n", counted=True)
     return means.join(q.select("quote_month", F.get("q", F.lit(0)).alias("p25_prediction"), F.get("q", F.lit(1)).alias("p75_prediction")), "quote_month").select(
         "quote_month", "mean_prediction", "p25_prediction", "p75_prediction", "n_profiles")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelens.functions.quantiles import grouped_quantiles
+from quotelens.functions.quantiles import count_below, grouped_quantiles
 from quotelens.session import materialize
 
 #: Rounds whose trees are evaluated in each pass before the margins are written.
@@ -61,18 +61,10 @@ def bin_edges(train: DataFrame, features: list[str], bins: int) -> list[list[flo
     return [sorted(set(found.get(f, []))) for f in features]
 
 
-def _between(x: Column, edges: list[float], lo: int, hi: int) -> Column:
-    """1 + number of edges[lo:hi] below x, by bisection, counted from lo."""
-    if lo == hi:
-        return F.lit(lo + 1)
-    mid = (lo + hi) // 2
-    return F.when(x > F.lit(edges[mid]), _between(x, edges, mid + 1, hi)).otherwise(_between(x, edges, lo, mid))
-
-
-def bin_of(x: Column, edges: list[float]) -> Column:
+def bin_of(feature: str, edges: list[float]) -> Column:
     """0 for a missing value, else 1 + the number of edges below it."""
-    x = x.cast("double")
-    return F.when(x.isNull() | F.isnan(x), 0).otherwise(_between(x, edges, 0, len(edges))).cast("smallint")
+    x = f"CAST(`{feature}` AS DOUBLE)"
+    return F.expr(f"CAST(CASE WHEN {x} IS NULL OR isnan({x}) THEN 0 ELSE 1 + {count_below(x, edges)} END AS SMALLINT)")
 
 
 def gradient(power: float, y: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,7 +211,7 @@ def fit_boosted(train: DataFrame, features: list[str], target: str, weight: str
     rows = rows.withColumn("held_out", out) if held_out != "held_out" else rows
     edges = bin_edges(rows.where(~F.col("held_out")), features, params.bins)
     binned = rows.select(y.alias("y"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"), "held_out",
-                         *[bin_of(F.col(f), e).alias(f"b{i}") for i, (f, e) in enumerate(zip(features, edges))])
+                         *[bin_of(f, e).alias(f"b{i}") for i, (f, e) in enumerate(zip(features, edges))])
     state = materialize(binned, "bins")
     first = state.groupBy("held_out").agg(F.sum(F.col("w") * F.col("y")).alias("wy"), F.sum("w").alias("w")).collect()
     sums = {r.held_out: r for r in first}

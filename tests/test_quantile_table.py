@@ -68,8 +68,8 @@ def test_profile_gives_the_drift_without_the_reference(spark, tmp_path):
 def test_profiles_of_equal_edges_merge(spark):
     old, new = frames(spark)
     profile = D.reference_profile(old, ["x"], ["c"])
-    rules = profile.select("feature", "type", "edges").distinct()
-    count = lambda df: D._labelled(D._long(df, ["x"], ["c"]), rules, F.lit(1))
+    rules = D.profile_rules(profile)
+    count = lambda df: D.label_counts(df, rules)
     merged = count(old).unionByName(count(new)).groupBy("feature", "label").agg(F.sum("n").alias("n"))
     whole = count(old.unionByName(new)).select("feature", "label", "n")
     assert merged.exceptAll(whole).count() == 0 and whole.exceptAll(merged).count() == 0
