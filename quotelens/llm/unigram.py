@@ -14,6 +14,7 @@ are ignored.
 from __future__ import annotations
 
 import math
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,8 @@ from quotelens.llm.words import per_process, units, utf8_buffer
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Units remembered by a Python worker; beyond it the memory starts afresh.
-REMEMBERED = 200_000
+#: Units remembered by a Python worker; beyond it the memory turns: what is met again before the next turn stays.
+REMEMBERED = 600_000
 
 
 def zipf_vocabulary(model_path: str) -> list[tuple[str, float]]:
@@ -48,29 +49,36 @@ class Counter:
         self.automaton.make_automaton()
         self.unknown = min(score for _, score in vocabulary) - UNKNOWN_PENALTY
         self.known: dict[bytes, int] = {}
+        self.old: dict[bytes, int] = {}
 
     def pieces(self, text: str) -> int:
         """Pieces of the best path through one unit."""
-        n = len(text)
-        score, count, unknown = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
-        ends: list[list] = [[] for _ in range(n)]
-        for end, match in self.automaton.iter(text):
-            ends[end].append(match)
-        for i, matches in enumerate(ends):
-            best, start, odd, single = -math.inf, 0, False, False
-            for length, value in sorted(matches, reverse=True) if len(matches) > 1 else matches:
-                found = value + score[i + 1 - length]
+        n, worst = len(text), self.unknown
+        score, count, unknown = [0.0], [0], [False]  # at the end of each character
+        at, best, start, single = 0, -math.inf, 0, False  # of the character whose matches are being read
+        for end, (length, value) in chain(self.automaton.iter(text), ((n, (0, 0.0)),)):  # of one end the longest first
+            while at < end:
+                if single or worst + score[at] <= best:
+                    score.append(best)
+                    count.append(count[start] + 1)
+                    unknown.append(False)
+                else:
+                    score.append(worst + score[at])
+                    count.append(count[at] + (not unknown[at]))
+                    unknown.append(True)
+                at, best, single = at + 1, -math.inf, False
+            if length:
+                found = value + score[end + 1 - length]
                 if found > best:
-                    best, start = found, i + 1 - length
-                single = single or length == 1
-            if not single and self.unknown + score[i] > best:
-                best, start, odd = self.unknown + score[i], i, True
-            score[i + 1], unknown[i + 1] = best, odd
-            count[i + 1] = count[start] + (not (odd and unknown[start]))
+                    best, start = found, end + 1 - length
+                if length == 1:
+                    single = True
         return count[n]
 
     def unit(self, raw: bytes) -> int:
         found = self.known.get(raw)
+        if found is None and raw in self.old:
+            found = self.known[raw] = self.old[raw]
         if found is None:
             text = raw.decode("utf-8", "replace").replace(" ", SPACE)
             if not text.startswith(SPACE):
@@ -88,7 +96,7 @@ def count_function(vocabulary):
                 total = np.zeros(batch.num_rows, np.int64)
                 if len(data):
                     if len(counter.known) > REMEMBERED:
-                        counter.known.clear()
+                        counter.known, counter.old = {}, counter.known
                     begin = data == 0x20
                     begin[off[:-1][off[1:] > off[:-1]]] = True
                     begin = np.flatnonzero(begin)
