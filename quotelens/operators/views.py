@@ -131,3 +131,13 @@ def box_stats(df: DataFrame, keys: list[str], value: str, mode: str = "exact") -
         return df.where(v.isNotNull()).groupBy(*keys).agg(F.min(v).alias("min"), *[group_quantile(v, p, mode).alias(n) for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))], F.max(v).alias("max"))
     q = quantile_table(df, keys, value, [0.25, 0.5, 0.75])
     return q.select(*keys, F.col("lo").alias("min"), F.get("q", F.lit(0)).alias("q1"), F.get("q", F.lit(1)).alias("median"), F.get("q", F.lit(2)).alias("q3"), F.col("hi").alias("max"))
+
+
+def scatter_points(df: DataFrame, key: str, columns: list[str], by: list[str], points: int = 500) -> DataFrame:
+    """At most ``points`` rows of each group, those of the smallest hash of the key (ties by the key): a fixed random sample.
+
+    How many points a plot shows is a display parameter. Each task keeps its own smallest ones before the exchange, so a
+    group's task reads ``points`` rows of each."""
+    order = [F.md5(F.col(key).cast("string")), F.col(key)]
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return df.select(key, *by, *columns).withColumn("__place", place).where(F.col("__place") <= points).drop("__place")

@@ -168,6 +168,25 @@ def demand_models(spark, sf_dir):
     return metrics
 
 
+@register("demand_improvement_given", wrap("""
+SELECT 'diagnostic_only' AS status, b.log_loss - a.log_loss AS incremental_log_loss_improvement,
+  b.brier - a.brier AS incremental_brier_improvement, a.log_loss < b.log_loss AS passes_incremental_signal_check FROM gm b, gm a WHERE b.model = 'baseline' AND a.model = 'with_market_anchor'""",
+    "status:s, incremental_log_loss_improvement:d, incremental_brier_improvement:d, passes_incremental_signal_check:b", BIN_SQL + """,
+gm AS (SELECT model, -avg(y * ln(p) + (1 - y) * ln(1 - p)) AS log_loss, avg(pow(p - y, 2)) AS brier FROM
+  (SELECT 'baseline' AS model, y, (SELECT avg(converted) FROM dc WHERE _demand_part = 'train') AS p FROM sc
+   UNION ALL SELECT 'with_market_anchor', y, least(greatest(p, 2.220446049250313e-16), 1 - 2.220446049250313e-16) FROM sc) GROUP BY model)"""))
+def demand_improvement_given(spark, sf_dir):
+    """Improvement over a metrics table of two closed-form scores: the overall rate, and the rate by region and channel (Q4)."""
+    cut = Q.chronological_cut(Q.usable_rows(historical(spark, sf_dir), SPEC), SPEC)
+    train, test = cut.where(F.col(Q.PART) == "train"), cut.where(F.col(Q.PART) == "test")
+    out = None
+    for name, cells in (("baseline", []), ("with_market_anchor", ["region", "channel"])):
+        model = ML.fit_price_model(train, "__conv", [], cells, [], kind="segment_mean", cells=cells)
+        m = M.binary_metrics(ML.predict(model, test, "p_convert").select("__conv", "p_convert"), "__conv", "p_convert").withColumn("model", F.lit(name))
+        out = m if out is None else out.unionByName(m)
+    return Q.improvement_of(out)
+
+
 @register("demand_improvement")
 def demand_improvement(spark, sf_dir):
     """Log-loss and Brier improvement from the anchor; passes if log loss falls (Q4)."""
@@ -426,6 +445,41 @@ def time_validated_search(spark, sf_dir):
     return ML.best_trial(trials)
 
 
+TRIAL_SQL = EVAL_SQL + """,
+tri AS (SELECT row_number() OVER (ORDER BY region, channel) - 1 AS trial, avg(abs(tgt - prediction) / tgt) * 100 AS value FROM pred WHERE tgt > 0 GROUP BY region, channel),
+run AS (SELECT trial, value, min(value) OVER (ORDER BY trial) AS running_best, row_number() OVER (ORDER BY value, trial) = 1 AS is_best FROM tri)"""
+
+
+def _trial_table(spark, sf_dir):
+    """A trial table of the panel: one trial for each region and channel, its value the error there."""
+    from pyspark.sql import Window
+    scored = evaluation(spark, sf_dir).scored.where(F.col(T) > 0)
+    errors = scored.groupBy("region", "channel").agg((F.avg(F.abs(F.col(T) - F.col("prediction")) / F.col(T)) * 100).alias("value"))
+    place = (F.row_number().over(Window.orderBy("region", "channel")) - 1).alias("trial")  # a row for each region and channel
+    return errors.select(place, "value", F.lit("minimize").alias("direction"))
+
+
+@register("search_running_best", wrap("SELECT * FROM run", "trial:i, value:d, running_best:d, is_best:b", TRIAL_SQL))
+def search_running_best(spark, sf_dir):
+    """Running best over a trial table."""
+    return ML.best_trial(_trial_table(spark, sf_dir)).select("trial", "value", "running_best", "is_best")
+
+
+@register("search_best", wrap("SELECT trial, value FROM run WHERE is_best", "trial:i, value:d", TRIAL_SQL))
+def search_best(spark, sf_dir):
+    """Best trial of a trial table."""
+    return ML.best_trial(_trial_table(spark, sf_dir)).where("is_best").select("trial", "value")
+
+
+@register("halving_search")
+def halving_search(spark, sf_dir):
+    """Random search of the gamma GLM's ridge by successive halving on the time-ordered validation part."""
+    from quotelens.operators.search import halving_search as search
+    ev = evaluation(spark, sf_dir)
+    return search(_weighted_train(spark, sf_dir), ev.split.where(F.col("_split") == "validation").withColumn("training_weight", F.lit(1.0)), T,
+                  ev.features, ev.categorical, ev.numeric, "glm_gamma", SPEC.date_column, trials=6, rungs=2, weight="training_weight", key="quote_id")
+
+
 # ---------------------------------------------------------------- sources, sinks, artifacts (S*, G*)
 import uuid  # noqa: E402
 

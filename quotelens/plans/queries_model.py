@@ -87,12 +87,19 @@ MD_COLS = ("quote_id:i, quote_date:ts, channel:s, region:s, vehicle_segment:s, c
            "rank_own_premium:d, _split:s")
 
 
-@register("market_data", wrap("SELECT * FROM lb", MD_COLS, EVAL_SQL))
+_CALENDAR = ("quote_year:i, quote_month:i, quote_quarter:i, quote_weekofyear:i, quote_dayofweek:i, quote_time_days:i, quote_month_sin:d, "
+             "quote_month_cos:d, quote_dayofweek_sin:d, quote_dayofweek_cos:d")
+
+
+@register("market_data", wrap(
+    "SELECT *, quote_month_num AS quote_month, sin(2 * pi() * quote_month_num / 12) AS quote_month_sin, cos(2 * pi() * quote_month_num / 12) AS quote_month_cos, "
+    "sin(2 * pi() * quote_dayofweek / 7) AS quote_dayofweek_sin, cos(2 * pi() * quote_dayofweek / 7) AS quote_dayofweek_cos FROM lb",
+    f"{MD_COLS}, {_CALENDAR}", EVAL_SQL))
 def market_data(spark, sf_dir):
     """Role and market columns of all parts labelled by split."""
     ev = evaluation(spark, sf_dir)
     md = S.market_data(ev.split, SPEC, ev.meta)
-    return md.select(*[c.split(":")[0] for c in MD_COLS.split(", ")])
+    return md.select(*[c.split(":")[0] for c in f"{MD_COLS}, {_CALENDAR}".split(", ")])
 
 
 # ---------------------------------------------------------------- metrics (E*)

@@ -267,6 +267,16 @@ def scatter_bounds(spark, sf_dir):
                                    F.min("prediction").alias("min_predicted"), F.max("prediction").alias("max_predicted"))
 
 
+@register("scatter_points", wrap(
+    "SELECT quote_id, _split, tgt AS actual, prediction FROM mk WHERE tgt IS NOT NULL AND prediction IS NOT NULL "
+    "QUALIFY row_number() OVER (PARTITION BY _split ORDER BY md5(CAST(quote_id AS VARCHAR)), quote_id) <= 500",
+    "quote_id:i, _split:s, actual:d, prediction:d", MK_SQL))
+def scatter_points(spark, sf_dir):
+    """Actual-vs-predicted points: 500 of each split by hash order."""
+    m = market(spark, sf_dir).where(F.col(T).isNotNull() & F.col("prediction").isNotNull()).withColumn("actual", F.col(T))
+    return V.scatter_points(m, "quote_id", ["actual", "prediction"], ["_split"])
+
+
 # ---------------------------------------------------------------- positioning
 POS = ("region:s, channel:s, mean_own:d, mean_target:d, mean_ratio:d, mean_rank:d, mean_gap:d, action:s")
 

@@ -1,8 +1,10 @@
 """Artifact manifest and verification.
 
-Hashing is a Spark job over the artifact files (``binaryFile`` source +
-``sha2``), so a run folder with many part files is hashed in parallel; only
-(path, sha256, bytes) rows come back.
+A file's digest is a hash tree: sha-256 of its length and of the digests of its records of ``RECORD`` bytes, in
+order. Files of at most ``WHOLE`` bytes come through the ``binaryFile`` source, many in parallel, and are cut into
+records there. Larger ones, which that source refuses, are read by ranges: a task for some records of a
+file, through the file system of its address (``pyarrow.fs``), so one file is hashed by many tasks. Both give the same
+digest; only (path, sha256, bytes) rows come back.
 """
 
 from __future__ import annotations
@@ -10,17 +12,50 @@ from __future__ import annotations
 import hashlib
 import json
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def file_hashes(spark: SparkSession, root: str) -> DataFrame:
-    """(name, sha256, bytes) of every file at or below ``root``; name: the path after the root."""
+#: Bytes of a record, and of a file that is read whole.
+RECORD, WHOLE = 16 * 1024 * 1024, 1024 * 1024 * 1024
+
+
+def _record_hashes(record: int):
+    """sha-256 of one record for each row (path, length, i)."""
+    def hashes(batches):
+        import pyarrow.fs
+        for batch in batches:
+            out = []
+            for path, length, i in zip(*(batch.column(c).to_pylist() for c in ("path", "length", "i"))):
+                uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file:///") else path
+                system, inner = pyarrow.fs.FileSystem.from_uri(uri)
+                with system.open_input_file(inner) as f:
+                    f.seek(i * record)
+                    out.append(hashlib.sha256(f.read(min(record, length - i * record))).hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), batch.column("i"), pa.array(out)], names=["path", "length", "i", "h"])
+    return hashes
+
+
+def file_hashes(spark: SparkSession, root: str, record: int = RECORD, whole: int = WHOLE) -> DataFrame:
+    """(name, sha256, bytes) of every file at or below ``root`` that has content; name: the path after the root."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
              .where(~F.col("path").rlike(r"/(_SUCCESS|\.[^/]*\.crc)$")))
     last = root.rstrip("/").rsplit("/", 1)[-1]
     name = F.element_at(F.split("path", F.lit("/\\Q" + last + "\\E"), 2), -1)
-    return files.select(name.alias("name"), F.sha2(F.col("content"), 256).alias("sha256"), F.col("length").alias("bytes"))
+    tree = lambda records: F.sha2(F.concat_ws(":", F.col("length").cast("string"), records), 256)
+    starts = F.when(F.col("length") > 0, F.expr(f"sequence(0L, (length - 1) div {record})")).otherwise(F.array().cast("array<bigint>"))
+    small = files.where(F.col("length") <= whole)
+    parts = F.transform(starts, lambda i: F.sha2(F.substring(F.col("content"), (i * record + 1).cast("int"), F.lit(record)), 256))
+    out = small.select("path", "length", tree(F.array_join(parts, ":")).alias("sha256"))
+    large = files.where(F.col("length") > whole).select("path", "length")  # the content isn't read
+    if not large.isEmpty():
+        each = large.select("path", "length", F.explode(starts).alias("i"))
+        tasks = int(each.count()) // 8 + 1
+        hashed = each.repartition(tasks, "path", "i").mapInArrow(_record_hashes(record), "path string, length long, i long, h string")
+        ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "h"))), lambda r: r["h"]), ":")
+        out = out.unionByName(hashed.groupBy("path", "length").agg(ordered.alias("records")).select("path", "length", tree(F.col("records")).alias("sha256")))
+    return out.select(name.alias("name"), "sha256", F.col("length").alias("bytes"))
 
 
 def folder_digest(spark: SparkSession, root: str) -> DataFrame:
