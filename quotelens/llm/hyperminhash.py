@@ -6,8 +6,10 @@ registers; a register keeps, of the least hash in its bucket, the count of leadi
 
 1. Documents with equal sets form one class, whose smallest id stands for it (a class may hold a
    third of all rows: it is a partial aggregate, never a pair).
-2. Bands of ``BAND`` compressed registers; documents that agree on a band meet there. At
-   similarity 0.75 all 42 bands miss with probability (1 - 0.75**3)**42 < 1e-9.
+2. Bands of ``BAND`` compressed registers, the last one shorter; documents that agree on a band meet there. At
+   similarity 0.75 all bands of a full sketch miss with probability (1 - 0.75**3)**42 < 1e-9. Sets of fewer
+   than ``SMALL`` shingles leave registers empty, so these also meet by shingles: near sets share one of the
+   first n - ceil(0.75 n) + 1 by hash value, of both, for certain.
 3. Sketches that meet are compared as arrays, all bands of a batch at once. Two documents may be
    near if the collision-corrected Jaccard estimate of their sketches lies no more than 5 standard
    errors below the threshold. No pair comes out of this step: each document only names the
@@ -22,7 +24,7 @@ Large bands and families are cut into blocks of ``BLOCK`` members, and every two
 task of their own, so no group is unbounded and none is skipped; rows and shuffles grow with
 documents, not with pairs.
 
-Defined results: null, empty or blank texts have the empty set and are linked with nothing; texts
+Ids are whole numbers. Defined results: null, empty or blank texts have the empty set and are linked with nothing; texts
 of fewer words than a shingle are one shingle; a row with a null id has no component and is kept;
 rows that repeat an id share its component when their texts do. Other columns are ignored.
 """
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelens.llm.components import components
-from quotelens.llm.words import BASES, Words, mix, rolling
+from quotelens.llm.words import BASES, Words, mix, rolling, unused
 from quotelens.session import materialize
 
 BUCKET_BITS = 7
@@ -44,7 +46,9 @@ REGISTERS = 1 << BUCKET_BITS
 MANTISSA = 10
 EMPTY = 0xFFFF
 BAND = 3
-BANDS = REGISTERS // BAND
+BANDS = -(-REGISTERS // BAND)
+#: Sets of fewer shingles also meet by these.
+SMALL = 16
 BLOCK = 1024
 #: Pairs of sketches or bit rows that are compared at once.
 AT_ONCE = 50_000
@@ -94,7 +98,14 @@ def registers(row: np.ndarray, h: np.ndarray, n_rows: int) -> np.ndarray:
     return out
 
 
-def signature_function(k: int):
+def prefixes(n: int, percent: int) -> int:
+    """How many of a small set's least hashes stand for it: two sets at the threshold share one of both their prefixes.
+
+    Sets that can be near a small one have them too."""
+    return n + (-percent * n) // 100 + 1 if 0 < percent * n < 100 * SMALL else 0
+
+
+def signature_function(k: int, percent: int):
     def signatures(batches):
         for whole in batches:
             for batch in slices(whole, "text"):
@@ -106,8 +117,9 @@ def signature_function(k: int):
                 yield pa.RecordBatch.from_arrays([
                     batch.column("id"), pa.array(n, pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(raw[8 * (e - c):8 * e]) if c else None for c, e in zip(n.tolist(), end.tolist())], pa.binary()),
-                    pa.array([r.tobytes() if c else None for r, c in zip(regs, n.tolist())], pa.binary())],
-                    names=["id", "n_shingles", "set_key", "regs"])
+                    pa.array([r.tobytes() if c else None for r, c in zip(regs, n.tolist())], pa.binary()),
+                    pa.array([raw[8 * (e - c):8 * (e - c + prefixes(c, percent))] for c, e in zip(n.tolist(), end.tolist())], pa.binary())],
+                    names=["id", "n_shingles", "set_key", "regs", "least"])
     return signatures
 
 
@@ -130,18 +142,24 @@ def matrix(column) -> np.ndarray:
 
 
 def band_keys(batches):
-    """(id, n_shingles, band): one row for each band that holds a register."""
+    """(id, n_shingles, band): one row for each band that holds a register, and for each prefix of a small set."""
     for batch in batches:
         regs = matrix(batch.column("regs"))
-        used = regs[:, :BANDS * BAND].reshape(-1, BANDS, BAND)
+        filler = np.full((len(regs), BANDS * BAND - REGISTERS), EMPTY, np.uint16)
+        used = np.hstack([regs, filler]).reshape(-1, BANDS, BAND)
         packed = np.zeros(used.shape[:2], np.uint64)
         for i in range(BAND):
             packed = packed * np.uint64(1 << 16) + used[:, :, i]
         key = mix(packed + np.arange(BANDS, dtype=np.uint64) * np.uint64(1 << 48)).view(np.int64)
         which, band = np.nonzero((used != EMPTY).any(axis=2))
+        own = key[which, band]
+        least = batch.column("least").to_pylist()
+        first = np.frombuffer(b"".join(least), np.uint64)
+        which = np.concatenate([which, np.repeat(np.arange(len(least)), [len(x) // 8 for x in least])])
+        keys = np.concatenate([own, mix(first + np.uint64(BANDS)).view(np.int64)])
         take = pa.array(which)
-        yield pa.RecordBatch.from_arrays([batch.column("id").take(take), batch.column("n_shingles").take(take),
-                                          pa.array(key[which, band])], names=["id", "n_shingles", "band"])
+        yield pa.RecordBatch.from_arrays([batch.column("id").take(take), batch.column("n_shingles").take(take), pa.array(keys)],
+                                         names=["id", "n_shingles", "band"])
 
 
 class Sketches:
@@ -324,10 +342,10 @@ def dealt(members: DataFrame, group: str) -> DataFrame:
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 75) -> DataFrame:
     """id, n_shingles, component_id, kept for every row of ``docs``."""
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sig = materialize(base.mapInArrow(signature_function(shingle), "id long, n_shingles long, set_key binary, regs binary"), "sketches")
+    sig = materialize(base.mapInArrow(signature_function(shingle, percent), "id long, n_shingles long, set_key binary, regs binary, least binary"), "sketches")
     class_of = materialize(sig.where("set_key is not null and id is not null").groupBy("set_key").agg(F.min("id").alias("rep")), "classes")
     reps = (sig.join(class_of, (sig.set_key == class_of.set_key) & (sig.id == class_of.rep), "left_semi")
-            .select("id", "n_shingles", "regs"))
+            .select("id", "n_shingles", "regs", "least"))
     reps = materialize(reps, "representatives")
     bands = reps.mapInArrow(band_keys, "id long, n_shingles long, band long")
     shared = materialize(bands.repartition("band").sortWithinPartitions("band").mapInArrow(shared_bands, "id long, n_shingles long, band long"), "bands")
@@ -352,11 +370,12 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that ``link_documents`` keeps, all columns; of rows that repeat both id and text one stays."""
-    kept = link_documents(docs, id_col, text_col, **options).where("kept").select(F.col(id_col).alias("_id")).distinct()
-    rows = docs.join(kept.hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
-    same = docs.groupBy(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash")).agg(F.count("*").alias("n")).where("n > 1")
-    same = materialize(same.select("_id", "_hash"), "repeated")
+    key, digest, n = unused(docs, "_id", "_hash", "_n")
+    kept = link_documents(docs, id_col, text_col, **options).where("kept").select(F.col(id_col).alias(key)).distinct()
+    rows = docs.join(kept.hint("merge"), F.col(id_col).eqNullSafe(F.col(key)), "left_semi")
+    same = docs.groupBy(F.col(id_col).alias(key), F.xxhash64(text_col).alias(digest)).agg(F.count("*").alias(n)).where(F.col(n) > 1)
+    same = materialize(same.select(key, digest), "repeated")
     if same.isEmpty():
         return rows
-    again = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash"))
+    again = F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text_col) == F.col(digest))
     return rows.join(same, again, "left_anti").unionByName(rows.join(same, again, "left_semi").dropDuplicates([id_col, text_col]))

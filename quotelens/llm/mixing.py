@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quotelens.llm.ordering import with_rank
+from quotelens.llm.words import unused
 from quotelens.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -95,8 +96,9 @@ def draw(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id", text_col: str
 
     Documents are never cut here, so a source may exceed its budget by a part of one document.
     Rows that share id and text get the same number of copies."""
-    copies = (mix.groupBy(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"))
-              .agg(F.max(F.col("epochs") + (F.col("extra") > 0).cast("int")).alias("_copies")).where("_copies > 0"))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_hash"))
+    key, digest, n, one = unused(docs, "_id", "_hash", "_copies", "_copy")
+    copies = (mix.groupBy(F.col(id_col).alias(key), F.col("text_hash").alias(digest))
+              .agg(F.max(F.col("epochs") + (F.col("extra") > 0).cast("int")).alias(n)).where(F.col(n) > 0))
+    same = F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(digest))
     once = docs.join(copies.hint("merge"), same)  # copies grow with the documents: the same plan at every size
-    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies").cast("long")))).select(*docs.columns)
+    return once.withColumn(one, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n).cast("long")))).select(*docs.columns)

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotelens.llm.words import unused
 from quotelens.session import materialize
 
 KINDS = ("assign", "access", "hex", "key")
@@ -119,10 +120,11 @@ def digest(spans: Column) -> Column:
 def redact(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text", replacement: str = "[SECRET]") -> DataFrame:
     """``docs`` with the owner-specific values of ``found`` (of ``scan_secrets``) replaced; rows and columns stay."""
     live = F.filter("spans", lambda s: s["verdict"] == "owner_specific")
-    cuts = (found.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), F.transform(live, lambda s: F.struct(s["value_start"].alias("a"), s["end"].alias("b"))).alias("_cuts"))
-            .where(F.size("_cuts") > 0).dropDuplicates(["_id", "_hash"])
-            .withColumn("_cuts", F.sort_array("_cuts")))
-    joined = docs.join(cuts.hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_hash")), "left")
+    key, digest, cut_list = unused(docs, "_id", "_hash", "_cuts")
+    cuts = (found.select(F.col(id_col).alias(key), F.col("text_hash").alias(digest), F.transform(live, lambda s: F.struct(s["value_start"].alias("a"), s["end"].alias("b"))).alias(cut_list))
+            .where(F.size(cut_list) > 0).dropDuplicates([key, digest])
+            .withColumn(cut_list, F.sort_array(cut_list)))
+    joined = docs.join(cuts.hint("merge"), F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(digest)), "left")
     text = F.col(text_col)
 
     def step(seen: Column, cut: Column) -> Column:
@@ -131,6 +133,6 @@ def redact(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col:
         piece = F.concat(seen["out"], F.substr(text, (seen["at"] + 1).cast("int"), F.greatest(cut["a"] - seen["at"], F.lit(0)).cast("int")), F.lit(replacement))
         return F.struct(F.greatest(seen["at"], cut["b"]).alias("at"), F.when(new, piece).otherwise(seen["out"]).alias("out"))
 
-    cleaned = F.aggregate("_cuts", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), step,
+    cleaned = F.aggregate(cut_list, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), step,
                           lambda seen: F.concat(seen["out"], F.substr(text, (seen["at"] + 1).cast("int"))))
-    return joined.select(*(F.when(F.col("_cuts").isNotNull(), cleaned).otherwise(text).alias(c) if c == text_col else F.col(c) for c in docs.columns))
+    return joined.select(*(F.when(F.col(cut_list).isNotNull(), cleaned).otherwise(text).alias(c) if c == text_col else F.col(c) for c in docs.columns))

@@ -116,6 +116,16 @@ def rolling(values: np.ndarray, starts: np.ndarray, k: int, base: int) -> np.nda
     return mix((prefix[starts + k] - prefix[starts]) * inverse[starts])
 
 
+def unused(df, *names: str) -> list[str]:
+    """Names for helper columns that the frame doesn't have (Spark compares names without case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def per_process(key, make):
     """What ``make`` returns, once for each Python worker (task functions are unpickled for each task)."""
     import sys

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 
 from quotelens.llm import hyperminhash as H
@@ -84,3 +86,34 @@ def test_components_of_a_long_path(spark):
     got = {r.node: r.component for r in components(links, "x", "y").collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
     assert components(links.limit(0), "x", "y").count() == 0
+
+
+def test_tiny_sets_lose_no_link(spark):
+    """Sets of one to a few shingles around one text: every pair at the threshold is found (all pairs by brute force)."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(1500):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(rng.randint(5, 12))]
+        rows.append((2 * i, " ".join(words)))
+        rows.append((2 * i + 1, " ".join([*words, "more"]) if rng.random() < .5 else " ".join([*words[:-1], "other"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in H.link_documents(docs).collect()}
+    assert got == brute_force(rows)
+
+
+def test_prefixes_of_near_sets_meet():
+    """Over the same order, sets of similarity 0.75 share one of their prefixes."""
+    rng = random.Random(12)
+    for _ in range(4000):
+        union = rng.sample(range(1000), rng.randint(1, 21))
+        a, b = ({x for x in union if rng.random() < .92} for _ in range(2))
+        if a and b and min(len(a), len(b)) < H.SMALL and 100 * len(a & b) >= 75 * len(a | b):
+            first = lambda s: set(sorted(s)[:H.prefixes(len(s), 75)])
+            assert first(a) & first(b)
+
+
+def test_helper_names_may_be_taken(spark):
+    rows = [(1, "a b c d e f", 7, 7, 7), (1, "a b c d e f", 7, 7, 7), (2, "a b c d e f", 7, 7, 7), (3, "other words here", 7, 7, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id int, _HASH int, _n int")
+    got = H.keep_representatives(docs)
+    assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == [1, 3]
