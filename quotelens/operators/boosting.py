@@ -261,27 +261,39 @@ def fit_boosted(train: DataFrame, features: list[str], target: str, weight: str
     return model
 
 
+def scorer(model: Boosted):
+    """A function that gives the margins of rows from a dict of their features' values (NaN: missing)."""
+    trees, edges, base, features = model.trees, model.edges, model.base, model.features
+
+    def score(values: dict[str, np.ndarray]) -> np.ndarray:
+        def goes_left(node: dict, rows: np.ndarray) -> np.ndarray:
+            x, own = values[features[node["feature"]]][rows], edges[node["feature"]]
+            below = x <= own[node["bin"] - 1] if node["bin"] <= len(own) else np.ones(len(x), bool)
+            return np.where(np.isnan(x), node["missing_left"], below)
+        n = len(next(iter(values.values())))
+        total = np.full(n, base)
+        for t in trees:
+            total = total + tree_values(t, goes_left, n)
+        return total
+    return score
+
+
 def margins(model: Boosted, df: DataFrame, out: str) -> DataFrame:
     """Adds the log of the predicted mean, from the features' own values; only these go through Python, in Arrow batches."""
-    used = sorted({n["feature"] for t in model.trees for n in _splits(t)})
+    used = used_features(model)
     if not used:
         return df.withColumn(out, F.lit(model.base))
-    trees, edges, base, place = model.trees, model.edges, model.base, {f: i for i, f in enumerate(used)}
+    score_rows = scorer(model)
 
     def score(*columns: pd.Series) -> pd.Series:
-        values = [c.to_numpy(np.float64) for c in columns]
-
-        def goes_left(node: dict, rows: np.ndarray) -> np.ndarray:
-            x, own = values[place[node["feature"]]][rows], edges[node["feature"]]
-            below = x <= own[node["bin"] - 1] if node["bin"] <= len(own) else np.ones(len(x), bool)
-            return np.where(np.isnan(x), node["missing_left"], below)
-        total = np.full(len(values[0]), base)
-        for t in trees:
-            total = total + tree_values(t, goes_left, len(total))
-        return pd.Series(total)
+        return pd.Series(score_rows({f: c.to_numpy(np.float64) for f, c in zip(used, columns)}))
 
     udf = F.pandas_udf(score, "double")
-    return df.withColumn(out, udf(*[F.col(model.features[f]).cast("double") for f in used]))
+    return df.withColumn(out, udf(*[F.col(f).cast("double") for f in used]))
+
+
+def used_features(model: Boosted) -> list[str]:
+    return [model.features[i] for i in sorted({n["feature"] for t in model.trees for n in _splits(t)})]
 
 
 def _splits(tree: dict) -> list[dict]:

@@ -20,6 +20,7 @@ import json
 import os
 from dataclasses import dataclass, field, fields
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -286,26 +287,37 @@ def load_model(spark, path: str) -> PriceModel:
     return model
 
 
-IMPORTANCE_BLOCK = 50_000
-
-
 def permutation_importance(model: PriceModel, validation: DataFrame, key: str, repeats: int = 5) -> DataFrame:
     """Mean and population std of the drop in R2 when one feature is permuted, over all rows with a target.
 
-    Rows fall into blocks of about IMPORTANCE_BLOCK by a hash of the key, so a block is a random part of
-    the table. Within a block a row takes the feature value of the row that has its place in another order:
-    rows are ordered by md5(repeat|key), values by md5(repeat|feature|key). All (feature, repeat) cases
-    are one plan: one explode, one join on (feature, repeat, block, place), one transform.
+    The segment mean and boosted trees take one pass over blocks (``importance``). Spark ML's models can't be evaluated
+    inside a task: for these, with the same blocks and orders, all (feature, repeat) cases are one plan of one explode, one
+    join on (feature, repeat, block, place) and one transform.
     """
     from pyspark.sql import Window
 
+    from quotelens.operators import importance
     from quotelens.session import materialize
     target = model.target
     rows = validation.where(F.col(target).isNotNull())
     need = list(dict.fromkeys([key, target, *model.features]))
     rows = materialize(rows.select(*need), "importance")
     n = rows.count()
-    blocks = max(1, -(-n // IMPORTANCE_BLOCK))
+    if model.kind == "segment_mean":
+        cells = [c for c in model.params.get("cells", []) if c in rows.columns]
+        if cells and len(cells) == len(model.params["cells"]):
+            errors = importance.cell_errors(rows, key, target, cells, model.cells, model.global_mean, repeats, n)
+            return importance.importances(errors, rows, target, model.features)
+    if model.boosted is not None:
+        trees = boosting.Boosted(**model.boosted)
+        margin, used = boosting.scorer(trees), set(boosting.used_features(trees))
+        inputs = {f: target_stats.prefix(f) if f in model.categorical else f for f in model.features}
+        inputs = {f: c for f, c in inputs.items() if c in used}
+        encoded = target_stats.encode(rows, model.levels, model.categorical, model.prior).withColumns({c: F.col(c).cast("double") for c in inputs.values()})
+        if inputs:
+            errors = importance.squared_errors(encoded, key, target, inputs, lambda v: np.exp(margin({inputs[f]: x for f, x in v.items()})), repeats, n)
+            return importance.importances(errors, rows, target, model.features)
+    blocks = max(1, -(-n // importance.BLOCK))
     text = F.col(key).cast("string")
     rows = rows.withColumn("__block", F.pmod(F.xxhash64(text), F.lit(blocks)))
     base = predict(model, rows, "__p").agg(_r2(F.col(target), F.col("__p")).alias("r2")).first().r2
