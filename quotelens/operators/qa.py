@@ -17,20 +17,19 @@ from quotelens.spec import PanelSpec
 
 def thresholds(spec: PanelSpec) -> list[tuple[str, str, float, bool]]:
     """(check, comparison, threshold, blocking)."""
-    t = spec.target
     return [
         ("data_contract_valid", ">", 0.0, True),
         ("time_based_split", "==", 1.0, True),
-        ("validation_d2_threshold", ">=", spec.d2_min, True),
-        ("validation_rmse_threshold", "<=", spec.rmse_max, True),
-        ("test_d2_threshold", ">=", spec.d2_min, True),
-        ("test_rmse_threshold", "<=", spec.rmse_max, True),
-        ("validation_mape_threshold", "<=", spec.mape_max, False),
-        ("validation_gini_threshold", ">=", spec.gini_min, False),
-        ("validation_bias_threshold", "abs<=", spec.mean_bias_pct_max, False),
-        ("monthly_competitor_coverage", ">=", t.minimum_monthly_competitor_coverage, True),
-        ("monthly_target_eligibility", ">=", t.minimum_monthly_target_eligibility, True),
-        ("incomplete_panel_target_bias", "abs<=", spec.mean_bias_pct_max, False),
+        ("validation_d2_threshold", ">=", spec.gate("d2"), True),
+        ("validation_rmse_threshold", "<=", spec.gate("rmse"), True),
+        ("test_d2_threshold", ">=", spec.gate("d2"), True),
+        ("test_rmse_threshold", "<=", spec.gate("rmse"), True),
+        ("validation_mape_threshold", "<=", spec.gate("mape"), False),
+        ("validation_gini_threshold", ">=", spec.gate("gini"), False),
+        ("validation_bias_threshold", "abs<=", spec.gate("bias_pct"), False),
+        ("monthly_competitor_coverage", ">=", spec.gate("monthly_coverage"), True),
+        ("monthly_target_eligibility", ">=", spec.gate("monthly_eligibility"), True),
+        ("incomplete_panel_target_bias", "abs<=", spec.gate("bias_pct"), False),
         ("premium_comparability_fields_complete", "==", 0.0, True),
         ("rolling_origin_historical_anchors", ">", 0.0, True),
         ("model_export_available", ">", 0.0, True),

@@ -416,7 +416,7 @@ dt AS (SELECT names.feature, names.type, coalesce(psi.psi, 0.0) AS psi FROM name
 def drift_table(spark, sf_dir):
     """PSI of every model feature, reference (pre-2000) vs current quotes, with review status."""
     ref, cur = sides(spark, sf_dir)
-    return D.drift_table(ref, cur, CAT_F + NUM_F, set(CAT_F), SPEC.psi_threshold)
+    return D.drift_table(ref, cur, CAT_F + NUM_F, set(CAT_F), SPEC.limit("psi"))
 
 
 @register("psi_categorical", wrap("SELECT feature, psi FROM dt", "feature:s, psi:d", _drift_sql(CAT_F, [])))
@@ -527,8 +527,8 @@ measured AS (
   UNION ALL SELECT 'rmse', 'accuracy', mc.rmse - mb.rmse FROM mb, mc
   UNION ALL SELECT 'gini', 'accuracy', mb.gini - mc.gini FROM mb, mc
   UNION ALL SELECT 'mape', 'accuracy', mc.mape - mb.mape FROM mb, mc),
-limits AS (SELECT * FROM (VALUES ('drift', 0.0), ('horizon', 90.0), ('coverage', {SPEC.coverage_drop_threshold}), ('d2', {SPEC.d2_drop_threshold}),
-  ('rmse', {SPEC.rmse_increase_threshold}), ('gini', {SPEC.gini_drop_threshold}), ('mape', {SPEC.mape_increase_threshold})) v("trigger", "limit")),
+limits AS (SELECT * FROM (VALUES ('drift', 0.0), ('horizon', 90.0), ('coverage', {SPEC.limit('coverage')}), ('d2', {SPEC.limit('d2')}),
+  ('rmse', {SPEC.limit('rmse')}), ('gini', {SPEC.limit('gini')}), ('mape', {SPEC.limit('mape')})) v("trigger", "limit")),
 reasons AS (
   SELECT "trigger", subject, worsening, "limit" FROM measured JOIN limits USING ("trigger")
   WHERE CASE WHEN "trigger" IN ('drift', 'horizon') THEN worsening > "limit" ELSE worsening >= "limit" END
@@ -541,7 +541,7 @@ def refresh_reasons(spark, sf_dir):
     from quotelens.operators.models import predict
     ev = evaluation(spark, sf_dir)
     ref, cur = sides(spark, sf_dir)
-    drift = D.drift_table(ref, cur, CAT_F + NUM_F, set(CAT_F), SPEC.psi_threshold)
+    drift = D.drift_table(ref, cur, CAT_F + NUM_F, set(CAT_F), SPEC.limit("psi"))
     q = panel(spark, sf_dir)
     cut = S.ts_lit(CURRENT_FROM)
     drops = D.coverage_drops(C.competitor_quote_rates(q.where(F.col("quote_date") < cut), SPEC),

@@ -94,7 +94,7 @@ def train(spark: SparkSession, quotes: DataFrame, spec: PanelSpec, run: str, kin
     measured = qa.measures(
         metrics, P.panel_summary(eng, spec, meta.competitor_columns), C.quality_profile(quotes, spec), C.comparability_missing(quotes, spec),
         A.historical_summary(hist, spec.date_column), S.split_metadata(ev.split, spec), leakage_findings(eng, spec, meta.competitor_columns),
-        exported=len(MODELS), runtime_seconds=time.time() - began, max_runtime_seconds=spec.max_runtime_seconds, improvement=improvement)
+        exported=len(MODELS), runtime_seconds=time.time() - began, max_runtime_seconds=spec.gate("seconds"), improvement=improvement)
     IO.write_table(qa.checklist(measured, spec), at["qa"])
     settings = {"spec": repr(spec), "features": ev.features, "categorical": ev.categorical, "leakage_warnings": meta.leakage_warnings}
     G.write_manifest(G.artifact_manifest(spark, at, settings), f"{run}/manifest")
@@ -121,7 +121,7 @@ def monitor(spark: SparkSession, quotes: DataFrame, spec: PanelSpec, run: str, b
     at = _verified(spark, run, "reference_profile", "metrics", "production_model")
     settings = json.loads(spark.read.text(f"{run}/settings").first().value)
     eng, meta = engineer_market_features(C.coerce_types(quotes, spec), spec)
-    drift = D.profile_drift_table(spark.read.parquet(at["reference_profile"]), eng, settings["features"], spec.psi_threshold)
+    drift = D.profile_drift_table(spark.read.parquet(at["reference_profile"]), eng, settings["features"], spec.limit("psi"))
     drops = D.coverage_drops(C.competitor_quote_rates(baseline_quotes, spec), C.competitor_quote_rates(quotes, spec))
     model = ML.load_model(spark, at["production_model"])
     priced = ML.predict(model, eng.where(F.col(spec.target_column).isNotNull()))
