@@ -10,6 +10,9 @@ by md5(repeat|feature|key).
   number of its rows and the sums of target and squared target. These meet the table of cell means by a
   join on the cell, after a second, small exchange.
 
+* Spark ML's models are evaluated by Spark: a block gives each of its rows once, with the values that the row takes in
+  all repeats as one array a feature, and the cases are unfolded on the way to the model, after the exchange.
+
 A feature that the model doesn't use has importance 0.
 """
 
@@ -63,6 +66,29 @@ def squared_errors(rows: DataFrame, key: str, target: str, inputs: dict[str, str
     return in_blocks(need, key, n).applyInArrow(block, "feature string, repeat int, sse double").groupBy("feature", "repeat").agg(F.sum("sse").alias("sse"))
 
 
+def with_permuted(rows: DataFrame, key: str, features: list[str], repeats: int, n: int) -> DataFrame:
+    """Rows with an array ``__v<i>`` for the i-th feature: the value that the row takes in each repeat."""
+    def block(table: pa.Table) -> pa.Table:
+        ends, size = [b"" if t is None else b"|" + t.encode() for t in table["__text"].to_pylist()], table.num_rows
+
+        def order(*prefix) -> np.ndarray:
+            begin = "|".join(prefix).encode()
+            marks = np.frombuffer(b"".join(hashlib.md5(begin + e).digest() for e in ends), ">u8").reshape(-1, 2)
+            return np.lexsort((marks[:, 1], marks[:, 0]))
+        places = [order(str(r)) for r in range(repeats)]
+        offsets = pa.array(np.arange(0, size * repeats + 1, repeats, dtype=np.int32))
+        out = table.drop_columns(["__block", "__text"])
+        for i, f in enumerate(features):
+            source = np.empty((size, repeats), np.int64)
+            for r in range(repeats):
+                source[places[r], r] = order(str(r), f)
+            out = out.append_column(f"__v{i}", pa.ListArray.from_arrays(offsets, table[f].combine_chunks().take(pa.array(source.ravel()))))
+        return out
+    kinds = {f: rows.schema[f].dataType.simpleString() for f in features}
+    schema = ", ".join([*(f"`{c.name}` {c.dataType.simpleString()}" for c in rows.schema), *(f"`__v{i}` array<{kinds[f]}>" for i, f in enumerate(features))])
+    return in_blocks(rows, key, n).applyInArrow(block, schema)
+
+
 def cell_errors(rows: DataFrame, key: str, target: str, cells: list[str], means: DataFrame, overall: float, repeats: int, n: int) -> DataFrame:
     """(feature, repeat, sse) of a model that gives each cell its mean, and ``overall`` to a cell without one."""
     schema = pa.schema([("feature", pa.string()), ("repeat", pa.int32()), *((f"c{i}", pa.string()) for i in range(len(cells))),

@@ -291,11 +291,9 @@ def permutation_importance(model: PriceModel, validation: DataFrame, key: str, r
     """Mean and population std of the drop in R2 when one feature is permuted, over all rows with a target.
 
     The segment mean and boosted trees take one pass over blocks (``importance``). Spark ML's models can't be evaluated
-    inside a task: for these, with the same blocks and orders, all (feature, repeat) cases are one plan of one explode, one
-    join on (feature, repeat, block, place) and one transform.
+    inside a task: for these, with the same blocks and orders, a block's rows are exchanged once, get the values they
+    take as arrays and are dealt to all tasks; the (feature, repeat) cases are one explode of them and one transform, without a join.
     """
-    from pyspark.sql import Window
-
     from quotelens.operators import importance
     from quotelens.session import materialize
     target = model.target
@@ -317,21 +315,14 @@ def permutation_importance(model: PriceModel, validation: DataFrame, key: str, r
         if inputs:
             errors = importance.squared_errors(encoded, key, target, inputs, lambda v: np.exp(margin({inputs[f]: x for f, x in v.items()})), repeats, n)
             return importance.importances(errors, rows, target, model.features)
-    blocks = max(1, -(-n // importance.BLOCK))
-    text = F.col(key).cast("string")
-    rows = rows.withColumn("__block", F.pmod(F.xxhash64(text), F.lit(blocks)))
     base = predict(model, rows, "__p").agg(_r2(F.col(target), F.col("__p")).alias("r2")).first().r2
-    each = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("__repeat")
-    placed = (rows.select("*", each).withColumn("__place", F.row_number().over(Window.partitionBy("__repeat", "__block").orderBy(
-        F.md5(F.concat_ws("|", "__repeat", text)), F.col(key)))))
-    numeric = {f: rows.schema[f].dataType.simpleString() for f in model.features}
-    values = (rows.select(F.col(key).alias("__key"), text.alias("__text"), "__block", *[F.col(f).cast("string").alias(f) for f in model.features])
-              .unpivot(["__key", "__text", "__block"], list(model.features), "__feature", "__value").select("*", each)
-              .withColumn("__place", F.row_number().over(Window.partitionBy("__feature", "__repeat", "__block").orderBy(
-                  F.md5(F.concat_ws("|", "__repeat", "__feature", "__text")), F.col("__key"))))
-              .drop("__key", "__text"))
-    cases = placed.join(values, ["__repeat", "__block", "__place"])
-    changed = cases.withColumns({f: F.when(F.col("__feature") == f, F.col("__value").cast(t)).otherwise(F.col(f)) for f, t in numeric.items()})
+    names = list(model.features)
+    each = F.explode(F.sequence(F.lit(0), F.lit(len(names) * repeats - 1))).alias("__case")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the models' work by rows, not by the few blocks
+    cases = importance.with_permuted(rows, key, names, repeats, n).repartition(tasks, key).select("*", each)
+    cases = cases.withColumns({"__at": F.floor(F.col("__case") / repeats).cast("int"), "__repeat": F.col("__case") % repeats})
+    changed = cases.select("__repeat", F.get(F.array(*map(F.lit, names)), F.col("__at")).alias("__feature"), *[
+        (F.when(F.col("__at") == names.index(c), F.get(f"__v{names.index(c)}", F.col("__repeat"))).otherwise(F.col(c)) if c in names else F.col(c)).alias(c) for c in need])
     per = predict(model, changed, "__p").groupBy("__feature", "__repeat").agg(_r2(F.col(target), F.col("__p")).alias("r2"))
     drop = F.lit(base) - F.col("r2")
     return (per.groupBy(F.col("__feature").alias("feature"))

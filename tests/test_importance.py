@@ -59,3 +59,36 @@ def test_validation_rows_cross_one_exchange(spark):
     df = panel(spark)
     plan = I.squared_errors(df, "id", "y", {"a": "a"}, lambda v: v["a"], 5, 400)._jdf.queryExecution().toString()
     assert "Generate" not in plan and "Join" not in plan
+
+
+def test_spark_ml_rows_cross_one_exchange_with_the_values_of_all_cases(spark, monkeypatch):
+    monkeypatch.setattr(I, "BLOCK", 90)
+    df = panel(spark).withColumn("id", F.when(F.col("id") != 7, F.col("id")))
+    got = I.with_permuted(df, "id", ["c", "a"], 3, 400)
+    plan = got._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    p = df.withColumn("b", F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(5))).toPandas()
+    found = {r.id: r for r in got.collect()}
+    assert len(found) == 400 and None in found
+    for _, part in p.groupby("b"):
+        part = part[["id", "c", "a"]].astype(object).where(part.notna(), None).sort_values("id", na_position="first", key=lambda s: s.astype(float))
+        if part.id.isna().any():
+            continue  # a missing key has its own order
+        ids = [int(i) for i in part.id]
+        for f, r, source in I.permutations([str(i) for i in ids], ids, ["c", "a"], 3):
+            for i, s in zip(ids, source):
+                assert found[i][f"__v{['c', 'a'].index(f)}"][r] == part[f].iloc[s]
+
+
+def test_spark_ml_importance_equals_predictions_of_permuted_rows(spark):
+    df = panel(spark)
+    model = ML.fit_price_model(df, "y", ["c", "a"], ["c"], ["a"], "glm_gamma")
+    got = {r.feature: r.importance_mean for r in ML.permutation_importance(model, df, "id", 2).collect()}
+    p = df.toPandas()
+    r2 = lambda rows: (lambda s: 1 - ((s.y - s.prediction) ** 2).sum() / ((s.y - s.y.mean()) ** 2).sum())(ML.predict(model, rows).toPandas())
+    base, drops = r2(df), {}
+    for f, _, source in I.permutations([str(i) for i in p.id], list(p.id), ["c", "a"], 2):
+        q = p[["id", "a", "c", "e", "y"]].copy()
+        q[f] = p[f].to_numpy()[source]
+        drops.setdefault(f, []).append(base - r2(spark.createDataFrame([(int(i), None if a != a else float(a), c if isinstance(c, str) else None, e, float(y)) for i, a, c, e, y in q.itertuples(index=False)], df.schema)))
+    assert all(np.isclose(got[f], np.mean(d)) for f, d in drops.items()) and set(got) == set(drops)
