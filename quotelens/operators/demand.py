@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from quotelens.functions.nullsafe import ntz_micros
 from quotelens.functions.quantiles import kth_smallest, order_statistics
 from quotelens.operators.metrics import binary_metrics
 from quotelens.operators.models import category_levels, fill_statement
+from quotelens.session import materialize
 from quotelens.spec import PanelSpec
 
 PART = "_demand_part"
@@ -68,46 +69,63 @@ def chronological_cut(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return df.withColumn(PART, F.when(train, "train").otherwise("test"))
 
 
-def _pipeline(numeric: list[str], categorical: list[str], train: DataFrame, total_weight: float) -> Pipeline:
+def _preparation(numeric: list[str], categorical: list[str], train: DataFrame) -> Pipeline:
+    """Filled, scaled numbers (``__num_std``) and one-hot categories; each column's values depend on that column alone."""
     modes = {c: mode for c, (mode, _) in category_levels(train, categorical).items()}
     stages = [SQLTransformer(statement=fill_statement(train, categorical, numeric, modes, "__c_", "__i_"))]
-    imp = [f"__i_{c}" for c in numeric]
-    stages.append(VectorAssembler(inputCols=imp, outputCol="__num_vec"))
+    stages.append(VectorAssembler(inputCols=[f"__i_{c}" for c in numeric], outputCol="__num_vec"))
     stages.append(StandardScaler(inputCol="__num_vec", outputCol="__num_std", withMean=True, withStd=True))
-    vec = ["__num_std"]
     if categorical:
         idx = [f"__x_{c}" for c in categorical]
         stages.append(StringIndexer(inputCols=[f"__c_{c}" for c in categorical], outputCols=idx, handleInvalid="keep"))
-        ohe = [f"__o_{c}" for c in categorical]
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=False, handleInvalid="keep"))
-        vec += ohe
-    stages.append(VectorAssembler(inputCols=vec, outputCol="__features"))
-    # L2 with C = 1 on the summed weighted log loss == regParam 1/sum(w) on its weighted mean
-    stages.append(LogisticRegression(featuresCol="__features", labelCol="__conv", maxIter=1000,
-                                     regParam=1.0 / max(total_weight, 1e-12), elasticNetParam=0.0, standardization=False,
-                                     probabilityCol="__prob", rawPredictionCol="__raw", predictionCol="__pred"))
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=[f"__o_{c}" for c in categorical], dropLast=False, handleInvalid="keep"))
     return Pipeline(stages=stages)
 
 
+def _logistic(at: int, places: list[int], categorical: list[str], total_weight: float, weight: str | None) -> Pipeline:
+    """The model over the numbers at some places of ``__num_std`` and all categories; its columns end in ``at``."""
+    stages = [VectorSlicer(inputCol="__num_std", outputCol=f"__num_{at}", indices=places),
+              VectorAssembler(inputCols=[f"__num_{at}", *[f"__o_{c}" for c in categorical]], outputCol=f"__features_{at}")]
+    # L2 with C = 1 on the summed weighted log loss == regParam 1/sum(w) on its weighted mean
+    fit = LogisticRegression(featuresCol=f"__features_{at}", labelCol="__conv", maxIter=1000,
+                             regParam=1.0 / max(total_weight, 1e-12), elasticNetParam=0.0, standardization=False,
+                             probabilityCol=f"__prob_{at}", rawPredictionCol=f"__raw_{at}", predictionCol=f"__pred_{at}")
+    return Pipeline(stages=[*stages, fit.setWeightCol(weight) if weight else fit])
+
+
+def fit_and_score_all(train: DataFrame, test: DataFrame, numeric: dict[str, list[str]], categorical: list[str],
+                      weight: str | None = None) -> DataFrame:
+    """Fit one logistic model for each list of numbers, and return test rows with a probability column for each name.
+
+    Filling, scaling and indexing are learned once, over the columns of all models."""
+    columns = list(dict.fromkeys(c for own in numeric.values() for c in own))
+    total = train.agg(F.sum(F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w")).first().w
+    prepared = _preparation(columns, categorical, train).fit(train)
+    ready, scored = prepared.transform(train), prepared.transform(test)
+    for at, (name, own) in enumerate(numeric.items()):
+        model = _logistic(at, [columns.index(c) for c in own], categorical, float(total or 0.0), weight).fit(ready)
+        scored = model.transform(scored).withColumn(name, vector_to_array(f"__prob_{at}")[1])
+    return scored
+
+
 def fit_and_score(train: DataFrame, test: DataFrame, numeric: list[str], categorical: list[str],
                   weight: str | None = None) -> DataFrame:
     """Fit one logistic model and return test rows with ``p_convert``."""
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        total = train.agg(F.sum(F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w")).first().w
-        pipe = _pipeline(numeric, categorical, train, float(total or 0.0))
-        if weight:
-            pipe.getStages()[-1].setWeightCol(weight)
-        model = pipe.fit(train)
+        return fit_and_score_all(train, test, {"p_convert": numeric}, categorical, weight)
     finally:
         train.unpersist()
-    scored = model.transform(test)
-    return scored.withColumn("p_convert", vector_to_array("__prob")[1])
 
 
 def demand_diagnostic(hist: DataFrame, spec: PanelSpec) -> tuple[DataFrame, DataFrame]:
     """(metrics per model, improvement row)."""
-    rows = usable_rows(hist, spec)
+    cats = [c for c in spec.categorical_columns if c in hist.columns]
+    risk = [c for c in spec.numeric_columns if c in hist.columns]
+    w = spec.weight_column if spec.weight_column and spec.weight_column in hist.columns else None
+    need = [spec.date_column, spec.id_columns[0], *cats, *risk, *([w] if w else []), "__conv", "log_own_premium", "log_market_anchor"]
+    # written with the columns that the steps below read, so that none of them repeats the anchors' joins
+    rows = materialize(usable_rows(hist, spec).select(*dict.fromkeys(need)), "demand-rows")
     ready = readiness(rows, spec).first()
     spark = hist.sparkSession
     if ready.status != "ready":
@@ -117,13 +135,13 @@ def demand_diagnostic(hist: DataFrame, spec: PanelSpec) -> tuple[DataFrame, Data
     cut = chronological_cut(rows, spec)
     train = cut.where(F.col(PART) == "train")
     test = cut.where(F.col(PART) == "test")
-    cats = [c for c in spec.categorical_columns if c in hist.columns]
-    risk = [c for c in spec.numeric_columns if c in hist.columns]
-    w = spec.weight_column if spec.weight_column and spec.weight_column in hist.columns else None
+    both = {"baseline": [*risk, "log_own_premium"], "with_market_anchor": [*risk, "log_own_premium", "log_market_anchor"]}
+    names = {name: f"__p_{name}" for name in both}
+    scored = fit_and_score_all(train, test, {names[name]: own for name, own in both.items()}, cats, w)
+    scored = materialize(scored.select("__conv", *names.values()), "demand-scores")  # metrics read it several times
     out = None
-    for name, extra in (("baseline", []), ("with_market_anchor", ["log_market_anchor"])):
-        scored = fit_and_score(train, test, risk + ["log_own_premium"] + extra, cats, w)
-        m = binary_metrics(scored.select("__conv", "p_convert"), "__conv", "p_convert").withColumn("model", F.lit(name))
+    for name, column in names.items():
+        m = binary_metrics(scored.select("__conv", F.col(column).alias("p_convert")), "__conv", "p_convert").withColumn("model", F.lit(name))
         out = m if out is None else out.unionByName(m)
     out = out.persist()
     return out, improvement_of(out)
