@@ -4,8 +4,9 @@ Targets are positive (gamma) or non-negative (Tweedie, 1 < power < 2) and the li
 are numbers, cut once into bins by exact quantiles of the training rows; bin 0 is a missing value. A level of a
 tree is one pass over the rows: each task adds up gradients and Hessians by (node, feature, bin) in numpy and emits
 its sums, which one small exchange adds. What reaches the driver is that histogram, of at most
-``2 ** depth * features * (bins + 1)`` rows whatever the input. Held-out rows ride along in the passes and give the
-deviance after each round; boosting stops when it no longer falls, and the trees end with the best round.
+``2 ** depth * features * (bins + 1)`` rows whatever the input. Held-out rows stay out of these passes: every ``CUT``
+rounds one pass over them gives the deviance after each of these rounds. Boosting stops at the first round where it
+no longer falls, and the trees end with the best round; the rounds begun after that one are dropped.
 
 The rows are read from a written table of bins; every ``CUT`` rounds the margins are written with it, so a pass
 evaluates a few trees only and a lost executor costs a reread.
@@ -134,24 +135,21 @@ def best_split(g: np.ndarray, h: np.ndarray, n: np.ndarray, params: BoostParams)
 
 def _read(batch: pa.RecordBatch, n_features: int):
     column = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
-    return column("y"), column("w"), column("held_out").astype(bool), column("margin"), [column(f"b{i}") for i in range(n_features)]
+    return column("y"), column("w"), column("margin"), [column(f"b{i}") for i in range(n_features)]
 
 
 def _partial_histograms(recent: list[dict], tree: dict, params: BoostParams, n_features: int, nodes: int):
-    """One row for each (node, feature, bin) of a task; node -1 holds the held-out rows' deviance and weight."""
+    """One row for each (node, feature, bin) of a task."""
     def partial(batches):
         cells = params.bins + 1
         sums = np.zeros((3, nodes, n_features, cells))
-        watched = np.zeros(2)
         for batch in batches:
-            y, w, held_out, margin, bins = _read(batch, n_features)
+            y, w, margin, bins = _read(batch, n_features)
             goes_left = _by_bin(bins)
             for t in recent:
                 margin = margin + tree_values(t, goes_left, len(y))
-            if held_out.any():
-                watched += (w[held_out] * deviance(params.power, y[held_out], margin[held_out])).sum(), w[held_out].sum()
             node = tree_values(tree, goes_left, len(y), "node").astype(np.int64)
-            use = np.flatnonzero((node >= 0) & ~held_out)
+            use = np.flatnonzero(node >= 0)
             node, w = node[use], w[use]
             g, h = gradient(params.power, y[use], margin[use])
             for f in range(n_features):
@@ -161,23 +159,19 @@ def _partial_histograms(recent: list[dict], tree: dict, params: BoostParams, n_f
         node, f, b = np.nonzero(sums[2])
         g, h, n = sums[:, node, f, b]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(node, -1), pa.int32()), pa.array(np.append(f, 0), pa.int32()), pa.array(np.append(b, 0), pa.int32()),
-             pa.array(np.append(g, watched[0])), pa.array(np.append(h, watched[1])), pa.array(np.append(n, 0).astype(np.int64))],
+            [pa.array(node, pa.int32()), pa.array(f, pa.int32()), pa.array(b, pa.int32()), pa.array(g), pa.array(h), pa.array(n.astype(np.int64))],
             names=["node", "f", "b", "g", "h", "n"])
     return partial
 
 
 def _histogram(rows: DataFrame, recent: list[dict], tree: dict, params: BoostParams, n_features: int, nodes: int) -> dict:
-    """node -> (G, H, n) by (feature, bin); under -1 the held-out rows' deviance and weight."""
+    """node -> (G, H, n) by (feature, bin)."""
     parts = rows.mapInArrow(_partial_histograms(recent, tree, params, n_features, nodes), "node int, f int, b int, g double, h double, n long")
     sums = parts.groupBy("node", "f", "b").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n")).toArrow()
     node, f, b, g, h, n = (sums.column(c).to_numpy() for c in ("node", "f", "b", "g", "h", "n"))
     out: dict = {}
     for k in np.unique(node).tolist():
         own = node == k
-        if k < 0:
-            out[k] = (float(g[own][0]), float(h[own][0]))
-            continue
         out[k] = tuple(np.zeros((n_features, params.bins + 1)) for _ in range(3))
         for array, values in zip(out[k], (g, h, n)):
             array[f[own], b[own]] = values[own]
@@ -195,6 +189,33 @@ def _grown(recent: list[dict], n_features: int):
     return grow
 
 
+def _partial_deviances(recent: list[dict], power: float, n_features: int):
+    """A task's summed deviance and weight before the recent trees and after each of them."""
+    def partial(batches):
+        sums = np.zeros((len(recent) + 1, 2))
+        for batch in batches:
+            y, w, margin, bins = _read(batch, n_features)
+            for i, t in enumerate([None, *recent]):
+                if t is not None:
+                    margin = margin + tree_values(t, _by_bin(bins), len(y))
+                sums[i] += (w * deviance(power, y, margin)).sum(), w.sum()
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(sums)), pa.int32()), pa.array(sums[:, 0]), pa.array(sums[:, 1])], names=["i", "d", "w"])
+    return partial
+
+
+def _watch(model: Boosted, held: DataFrame, recent: list[dict], params: BoostParams) -> int | None:
+    """Adds the mean deviance after each round that has none yet; the best round, if one of them ends the boosting."""
+    parts = held.mapInArrow(_partial_deviances(recent, params.power, len(model.features)), "i int, d double, w double")
+    found = {r.i: r.d / r.w for r in parts.groupBy("i").agg(F.sum("d").alias("d"), F.sum("w").alias("w")).collect()}
+    first = len(model.trees) - len(recent)
+    for r in range(len(model.validation), len(model.trees) + 1):
+        model.validation.append(found[r - first])
+        best = model.validation.index(min(model.validation))
+        if r == params.rounds or r - best >= params.patience:
+            return best
+    return None
+
+
 def _leaves(tree: dict) -> list[dict]:
     return [tree] if "feature" not in tree else _leaves(tree["left"]) + _leaves(tree["right"])
 
@@ -209,9 +230,12 @@ def fit_boosted(train: DataFrame, features: list[str], target: str, weight: str
     rows = train.where(y > 0 if params.power == 2.0 else y >= 0)
     out = F.coalesce(F.col(held_out), F.lit(False)) if held_out else F.lit(False)
     rows = rows.withColumn("held_out", out) if held_out != "held_out" else rows
-    edges = bin_edges(rows.where(~F.col("held_out")), features, params.bins)
-    binned = rows.select(y.alias("y"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"), "held_out",
-                         *[bin_of(f, e).alias(f"b{i}") for i, (f, e) in enumerate(zip(features, edges))])
+    # written with the columns that follow, since bins are counted and then set from them
+    x = [f"x{i}" for i in range(len(features))]
+    rows = materialize(rows.select(y.alias("y"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"), "held_out",
+                                   *[F.col(f).cast("double").alias(c) for f, c in zip(features, x)]), "boost-rows")
+    edges = bin_edges(rows.where(~F.col("held_out")), x, params.bins)
+    binned = rows.select("y", "w", "held_out", *[bin_of(c, e).alias(f"b{i}") for i, (c, e) in enumerate(zip(x, edges))])
     state = materialize(binned, "bins")
     first = state.groupBy("held_out").agg(F.sum(F.col("w") * F.col("y")).alias("wy"), F.sum("w").alias("w")).collect()
     sums = {r.held_out: r for r in first}
@@ -220,12 +244,10 @@ def fit_boosted(train: DataFrame, features: list[str], target: str, weight: str
     base = math.log(sums[False].wy / sums[False].w)
     model = Boosted(list(features), edges, base, params.power)
     watched = True in sums
-    state, recent, best = state.withColumn("margin", F.lit(base)), [], 0
-    for r in range(params.rounds + 1):
-        if r == params.rounds and not watched:
-            break
-        tree: dict = {"leaf": 0.0}
-        for depth in range(params.depth):
+    state, recent, best = state.withColumn("margin", F.lit(base)), [], None
+    for _ in range(params.rounds):
+        tree, own = {"leaf": 0.0}, state.where(~F.col("held_out"))
+        for _ in range(params.depth):
             open_leaves = [leaf for leaf in _leaves(tree) if not leaf.get("done")]
             for leaf in _leaves(tree):
                 leaf["node"] = -1
@@ -233,12 +255,7 @@ def fit_boosted(train: DataFrame, features: list[str], target: str, weight: str
                 leaf["node"] = i
             if not open_leaves:
                 break
-            sums = _histogram(state, recent, tree, params, len(features), len(open_leaves))
-            if depth == 0 and watched:
-                model.validation.append(sums[-1][0] / sums[-1][1])
-                best = r if model.validation[r] < model.validation[best] else best
-                if r == params.rounds or r - best >= params.patience:
-                    break
+            sums = _histogram(own, recent, tree, params, len(features), len(open_leaves))
             for i, leaf in enumerate(open_leaves):
                 found = best_split(*sums[i], params) if i in sums else None
                 if found:
@@ -246,7 +263,7 @@ def fit_boosted(train: DataFrame, features: list[str], target: str, weight: str
                     leaf.update(found)
                 else:
                     leaf["done"] = True
-        if "feature" not in tree:  # the end, or nothing left to split
+        if "feature" not in tree:  # nothing left to split
             break
         for leaf in _leaves(tree):
             for mark in ("node", "done"):
@@ -254,10 +271,15 @@ def fit_boosted(train: DataFrame, features: list[str], target: str, weight: str
         model.trees.append(tree)
         recent.append(tree)
         if len(recent) == CUT:
+            best = _watch(model, state.where("held_out"), recent, params) if watched else None
+            if best is not None:
+                break
             kinds = ", ".join(f"{c.name} {c.dataType.simpleString()}" for c in state.schema)
             state, recent = materialize(state.mapInArrow(_grown(recent, len(features)), kinds), "margins"), []
     if watched:
-        model.trees = model.trees[:best]
+        if best is None and len(model.validation) <= len(model.trees):
+            best = _watch(model, state.where("held_out"), recent, params)
+        model.trees = model.trees[:model.validation.index(min(model.validation))]
     return model
 
 

@@ -182,6 +182,7 @@ def fit_price_model(train: DataFrame, target: str, features: list[str], categori
                        numeric=list(numeric), target=target, params=dict(params or {}),
                        training_cutoff=cut, training_start=start, training_rows=n)
     w = F.col(weight) if weight else F.lit(1.0)
+    used = list(dict.fromkeys([*numeric, *categorical, target, *([weight] if weight else []), *([validation_indicator] if validation_indicator else [])]))
     if kind == "segment_mean":
         keys = list(cells if cells is not None else categorical)
         model.params["cells"] = keys
@@ -193,7 +194,7 @@ def fit_price_model(train: DataFrame, target: str, features: list[str], categori
     if kind in BOOSTED:
         numbers = [*numeric, *map(target_stats.prefix, categorical)]
         settings = boosting.BoostParams(**{"power": BOOSTED[kind], **DEFAULT_PARAMS[kind], **(params or {})})
-        rows = encode_categories(data, model, weight, validation_indicator)
+        rows = encode_categories(data.select(*used), model, weight, validation_indicator)
         model.boosted = boosting.fit_boosted(rows, numbers, target, weight, validation_indicator, settings).meta()
         return model
     label = target
@@ -206,7 +207,7 @@ def fit_price_model(train: DataFrame, target: str, features: list[str], categori
         label = "__log_label"
     plain = list(categorical)
     if kind in TREES:
-        fit_df = encode_categories(fit_df, model, weight, validation_indicator)
+        fit_df = encode_categories(fit_df.select(*dict.fromkeys([*used, label])), model, weight, validation_indicator)
         numeric, plain = [*numeric, *map(target_stats.prefix, categorical)], []
     fit_df = fit_df.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -140,3 +140,17 @@ def test_a_column_of_many_levels(spark):
     m = fit_price_model(df, "y", ["c", "a"], ["c"], ["a"], "gamma_boost", params={"rounds": 2, "depth": 2, "bins": 32})
     assert m.levels.count() == 100_001 and len(str(m.meta())) < 20_000
     assert predict(m, df).where("prediction is null").count() == 0
+
+
+def test_held_out_rows_stay_out_of_the_histograms(spark, monkeypatch):
+    held, plain = [], B._histogram
+    monkeypatch.setattr(B, "_histogram", lambda rows, *a: held.append(rows.where("held_out").count()) or plain(rows, *a))
+    params = B.BoostParams(rounds=10, depth=1, bins=8, patience=20)
+    model = B.fit_boosted(panel(spark, 300), ["a", "b"], "y", held_out="held", params=params)
+    assert held and not any(held)
+    assert len(model.validation) == 11  # rounds 0 to 10, over two cuts of the margins
+    rest = panel(spark, 300).where("held")
+    for r in (0, 7, 8, 9, 10):
+        trees = B.fit_boosted(panel(spark, 300).where("not held"), ["a", "b"], "y", params=B.BoostParams(rounds=r, depth=1, bins=8))
+        got = B.margins(trees, rest, "m").toPandas()
+        assert np.isclose(B.deviance(2.0, got.y.to_numpy(), got.m.to_numpy()).mean(), model.validation[r])
