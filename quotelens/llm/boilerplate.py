@@ -15,8 +15,12 @@
    their text whatever their number.
 
 A host of more than ``PART_CHARS`` characters is dealt to parts by a hash, so a host with a third of
-all pages is many groups. Repetition is decided over the whole host: parts send the hashes of their
-runs with the pages that hold them to the host's shards, and get back those on ``PAGES`` pages.
+all pages is many groups. Repetition is decided over the whole host, by a sketch and then exactly.
+Parts send the cells of their runs' hashes, with the number of pages that hold them, to the host's
+shards, and get back the cells on ``PAGES`` pages of all parts together; counts are never too small,
+so no repeated run is lost. Cells with nothing but articles of pages with a container stay, as their
+runs can't be boilerplate. Of the runs in the other cells parts send the full hashes with the pages,
+and get back those on ``PAGES`` distinct pages. Texts are exchanged once, compressed, for all passes.
 
 Defined results: null or empty html gives empty text; a null or unparsable url counts to the host
 ``''``; repeated rows are one distinct page but one result each; other columns are ignored.
@@ -26,14 +30,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelens.llm.html_blocks import blocks
-from quotelens.llm.words import BASES, rolling
+from quotelens.llm.substring_dedup import cut, joined, pack, unpack
+from quotelens.llm.words import BASES, Words, rolling, utf8_buffer
 from quotelens.session import materialize
 
 RUN = 16
@@ -43,7 +46,12 @@ PART_CHARS = 8_000_000
 OWN = 4
 #: Key of a run: two rolling hashes of its tokens, 64 bits of one and 32 of the other.
 KEY = np.dtype([("a", "<u8"), ("b", "<u4")])
-LISTS = "host string, part long, shard long, runs binary, at binary, pages binary, marks binary"
+LISTS = "host string, part long, shard long, loose boolean, runs binary, at binary, pages binary, marks binary"
+#: Marks of a run: outside an article somewhere, repeated on pages with text of their own, on a page without a container in this part.
+FURNITURE, APART, LOOSE = 1, 2, 4
+#: A shard of a host's sketch has 2 ** CELL_BITS cells, for the runs of PART_CHARS characters of html.
+CELL_BITS = 24
+CELLS = "host string, part long, shard long, cells binary"
 HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/@]*@)?(?:www\.)?([^/:?#]+)"
 
 
@@ -74,8 +82,7 @@ def boilerplate(s: Streams) -> np.ndarray:
     long = np.flatnonzero(s.left >= RUN)
     if not len(long):
         return np.zeros(len(s.left), bool)
-    code: dict[str, int] = {}
-    token = np.array([code.setdefault(w, len(code)) for w in s.words], np.int64)
+    token = s.words.codes
     rank = suffix_ranks(token, s.left, RUN)[long]
     order = np.lexsort((s.page[long], rank))  # the suffix array, equal suffixes by page
     rank, at = rank[order], long[order]
@@ -93,32 +100,31 @@ def boilerplate(s: Streams) -> np.ndarray:
 
 
 class Streams:
-    """Token streams of pages end to end, from each row's (text, inside, furniture) blocks.
+    """Token streams of pages end to end, from each row's blocks: texts by line, and a byte of flags for each
+    (1: inside the container, 2: furniture).
 
     For each token: ``page`` (an index into ``pages``), ``wanted`` (may be main text), ``loose`` (on a
     page without a container), ``furniture`` (outside the article of a page with one) and ``left``
     (tokens to the end of its region; no substring spans two). ``first``: each row's first token."""
 
-    def __init__(self, rows, keys):
-        self.words, page, outside, wanted, loose, self.first = [], [], [], [], [], [0]
+    def __init__(self, lines: pa.Array, flags: list[bytes], keys):
+        self.words = Words(lines)
+        self.first, n = self.words.first, self.words.n_rows
+        data, off = utf8_buffer(lines)
+        begin = np.union1d(off[:-1][np.diff(off) > 0], np.flatnonzero(data == 10) + 1)  # first byte of each block
+        sizes = np.diff(np.append(np.searchsorted(self.words.starts, begin), len(self.words.codes)))
+        flag = np.frombuffer(b"".join(flags), np.uint8)
+        inside, furniture = (flag & 1) > 0, (flag & 2) > 0
+        row = np.repeat(np.arange(n), [len(f) for f in flags])
+        contained = (np.bincount(row, weights=inside & ~furniture, minlength=n) > 0)[row]
+        self.wanted = np.repeat(~furniture & (inside | ~contained), sizes)
+        self.loose = np.repeat(~contained, sizes)
+        self.furniture = np.repeat((furniture | ~inside) & contained, sizes)
         index: dict = {}
-        for found, key in zip(rows, keys):
-            own = index.setdefault(key, len(index))
-            contained = any(inside and not furniture for _, inside, furniture in found)
-            for text, inside, furniture in found:
-                tokens = text.split(" ")
-                self.words += tokens
-                n = len(tokens)
-                page += [own] * n
-                outside += [furniture or not inside] * n
-                wanted += [not furniture and (inside or not contained)] * n
-                loose += [not contained] * n
-            self.first.append(len(self.words))
-        self.pages = list(index)
-        self.page, self.wanted, self.loose = np.array(page, np.int64), np.array(wanted, bool), np.array(loose, bool)
-        self.furniture = np.array(outside, bool) & ~self.loose
+        own = np.array([index.setdefault(key, len(index)) for key in keys], np.int64)
+        self.pages, self.page = list(index), np.repeat(own, np.diff(self.first))
         ends = np.union1d(self.first[1:], np.flatnonzero(np.diff(self.wanted)) + 1).astype(np.int64)
-        at = np.arange(len(self.words))
+        at = np.arange(len(self.page))
         self.left = (ends[np.searchsorted(ends, at, "right")] if len(at) else at) - at
 
     def apart(self, covered: np.ndarray) -> np.ndarray:
@@ -129,60 +135,100 @@ class Streams:
         return self.loose & ((own > 0) & (own * OWN >= size))[row]
 
     def texts(self, covered: np.ndarray) -> pa.Array:
-        keep = (self.wanted & ~covered).tolist()
-        return pa.array([" ".join(w for w, k in zip(self.words[a:b], keep[a:b]) if k) for a, b in zip(self.first[:-1], self.first[1:])], pa.string())
+        return joined(self.words, self.wanted & ~covered)
 
     def runs(self) -> tuple[np.ndarray, np.ndarray]:
         """First token and 96-bit key of every run."""
         at = np.flatnonzero(self.left >= RUN)
         out = np.zeros(len(at), KEY)
         if len(at):
-            code: dict[str, int] = {}
-            token = np.array([code.setdefault(w, len(code)) for w in self.words], np.int64)
-            digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w.encode("utf-8", "surrogatepass")) for w in code), np.uint64).reshape(-1, 2)[token]
-            out["a"], out["b"] = (rolling(np.ascontiguousarray(digest[:, i]), at, RUN, BASES[i]) for i in range(2))
+            out["a"], out["b"] = (rolling(h, at, RUN, base) for h, base in zip(self.words.hashes(), BASES))
         return at, out
 
 
-def extract(table: pa.Table) -> pa.Table:
-    urls = table.column("url").to_pylist()
-    s = Streams([blocks(x) if x else [] for x in table.column("html").to_pylist()], [u if u is not None else ("row", i) for i, u in enumerate(urls)])
-    return pa.table({"id": table.column("id"), "url": table.column("url"), "text": s.texts(boilerplate(s))})
-
-
 def read_pages(batches):
-    """Blocks of each page: texts by line (a text holds no line break), and a byte of flags for each."""
+    """Blocks of each page: texts by line (a text holds no line break), compressed, and a byte of flags for each."""
     for batch in batches:
         found = [blocks(x) if x else [] for x in batch.column("html").to_pylist()]
-        names = [x for x in batch.schema.names if x != "html"]
-        yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(["\n".join(t for t, _, _ in f) for f in found], pa.string()),
+        names, press = [x for x in batch.schema.names if x != "html"], zstandard.ZstdCompressor(level=1).compress
+        yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array([press("\n".join(t for t, _, _ in f).encode()) if f else b"" for f in found], pa.binary()),
                                           pa.array([bytes(i + 2 * u for _, i, u in f) for f in found], pa.binary()),
                                           pa.array([bool(f) and not any(i and not u for _, i, u in f) for f in found], pa.bool_())], names=[*names, "lines", "flags", "loose"])
 
 
-def streams(table: pa.Table) -> Streams:
-    rows = [[(t, bool(f & 1), bool(f & 2)) for t, f in zip(lines.split("\n"), flags)] for lines, flags in zip(table.column("lines").to_pylist(), table.column("flags").to_pylist())]
-    return Streams(rows, table.column("page").to_pylist())
+def streams(table: pa.Table, keys=None) -> Streams:
+    unpress = zstandard.ZstdDecompressor().decompress
+    lines = pa.array([unpress(x) if x else b"" for x in table.column("lines").to_pylist()], pa.large_binary()).cast(pa.large_string())
+    return Streams(lines, table.column("flags").to_pylist(), table.column("page").to_pylist() if keys is None else keys)
+
+
+def extract(table: pa.Table) -> pa.Table:
+    s = streams(table, [u if u is not None else ("row", i) for i, u in enumerate(table.column("url").to_pylist())])
+    return pa.table({"id": table.column("id"), "url": table.column("url"), "text": s.texts(boilerplate(s))})
+
+
+def cell_lists(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows)) if rows else [()] * 4
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary())
+    return pa.table({name: pa.array(c, k) for name, c, k in zip(("host", "part", "shard", "cells"), columns, kinds)})
+
+
+def cells_of(key: np.ndarray, shards: int) -> np.ndarray:
+    """Each run's shard and, in the low bits, its cell there."""
+    return ((key["a"] % np.uint64(shards)).astype(np.int64) << CELL_BITS) + (key["a"] >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
+def sketch(table: pa.Table) -> pa.Table:
+    """A part's cells by shard, each with its number of distinct pages (at most PAGES) and whether a run in it
+    is anywhere but in an article: (cell * PAGES + pages - 1) * 2 + elsewhere."""
+    s = streams(table)
+    at, key = s.runs()
+    host, part, shards = (table.column(c)[0].as_py() for c in ("host", "part", "parts"))
+    cell = cells_of(key, shards)
+    elsewhere = np.unique(cell[(s.furniture | s.loose)[at]])
+    cell = np.unique(cell * len(s.pages) + s.page[at]) // len(s.pages)
+    cell, pages = np.unique(cell, return_counts=True)
+    inside = ((cell & ((1 << CELL_BITS) - 1)) * PAGES + np.minimum(pages, PAGES) - 1) * 2 + np.isin(cell, elsewhere)
+    return cell_lists([(host, part, shard, pack(inside[i:j])) for shard, i, j in cut(cell, CELL_BITS)])
+
+
+def hot_cells(table: pa.Table) -> pa.Table:
+    """Of one shard of a host: each part gets its cells whose pages, added over the parts, are PAGES or more, if one isn't an article."""
+    host, shard = table.column("host")[0].as_py(), table.column("shard")[0].as_py()
+    parts, bodies = table.column("part").to_pylist(), table.column("cells").to_pylist()
+    count, elsewhere = np.zeros(1 << CELL_BITS, np.uint8), np.zeros(1 << CELL_BITS, bool)
+    for body in bodies:
+        v = unpack(body)
+        cell = v // (2 * PAGES)
+        count[cell] = np.minimum(count[cell] + (v // 2 % PAGES + 1).astype(np.uint8), PAGES)
+        elsewhere[cell] |= (v & 1) > 0
+    hot, rows = (count >= PAGES) & elsewhere, []
+    for part, body in zip(parts, bodies):
+        cell = unpack(body) // (2 * PAGES)
+        cell = cell[hot[cell]]
+        if len(cell):
+            rows.append((host, part, shard, pack(cell)))
+    return cell_lists(rows)
 
 
 def lists(rows: list[tuple]) -> pa.Table:
-    columns = list(zip(*rows)) if rows else [()] * 7
-    kinds = (pa.string(), pa.int64(), pa.int64(), *[pa.binary()] * 4)
-    return pa.table({name: pa.array(c, k) for name, c, k in zip(("host", "part", "shard", "runs", "at", "pages", "marks"), columns, kinds)})
+    columns = list(zip(*rows)) if rows else [()] * 8
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), *[pa.binary()] * 4)
+    return pa.table({name: pa.array(c, k) for name, c, k in zip(("host", "part", "shard", "loose", "runs", "at", "pages", "marks"), columns, kinds)})
 
 
 def entries(table: pa.Table, s: Streams, at: np.ndarray, key: np.ndarray) -> pa.Table:
-    """A part's distinct (run, page) by shard, at most PAGES pages a run, and whether the run is furniture on one."""
+    """A part's distinct (run, page) by shard, at most PAGES pages a run, and the run's marks (FURNITURE, LOOSE) over all of them."""
     if not len(at):
         return lists([])
     host, part, shards = (table.column(c)[0].as_py() for c in ("host", "part", "parts"))
     page = s.page[at]
     order = np.lexsort((page, key["b"], key["a"]))
-    key, page, mark = key[order], page[order], s.furniture[at][order]
+    key, page, furniture, loose = key[order], page[order], s.furniture[at][order], s.loose[at][order]
     first = np.append(True, key[1:] != key[:-1])
     new = first | np.append(True, page[1:] != page[:-1])
     run = np.cumsum(first) - 1
-    mark = (np.bincount(run, weights=mark) > 0)[run]
+    mark = (FURNITURE * (np.bincount(run, weights=furniture) > 0) + LOOSE * (np.bincount(run, weights=loose) > 0)).astype(np.uint8)[run]
     so_far = np.cumsum(new)
     keep = new & (so_far - so_far[np.flatnonzero(first)][run] < PAGES)
     key, page, mark = key[keep], page[keep], mark[keep]
@@ -192,17 +238,24 @@ def entries(table: pa.Table, s: Streams, at: np.ndarray, key: np.ndarray) -> pa.
     for chosen in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
         own, where = np.unique(page[chosen], return_inverse=True)
         pressed = zstandard.ZstdCompressor(level=1).compress(where.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
-        rows.append((host, part, int(shard[chosen[0]]), key[chosen].tobytes(), pressed, ids[own].tobytes(), mark[chosen].tobytes()))
+        rows.append((host, part, int(shard[chosen[0]]), False, key[chosen].tobytes(), pressed, ids[own].tobytes(), mark[chosen].tobytes()))
     return lists(rows)
 
 
-def send(table: pa.Table) -> pa.Table:
+def send(table: pa.Table, hot: pa.Table) -> pa.Table:
+    """The runs of a part that lie in hot cells of the host."""
+    if not table.num_rows or not hot.num_rows:
+        return lists([])
     s = streams(table)
-    return entries(table, s, *s.runs())
+    at, key = s.runs()
+    known = np.concatenate([(shard << CELL_BITS) + unpack(x) for shard, x in zip(hot.column("shard").to_pylist(), hot.column("cells").to_pylist())])
+    likely = np.isin(cells_of(key, table.column("parts")[0].as_py()), known)
+    return entries(table, s, at[likely], key[likely])
 
 
 def repeated_runs(table: pa.Table) -> pa.Table:
-    """Of one shard of a host: each part gets its runs that are on PAGES pages of the host, and whether they are furniture."""
+    """Of one shard of a host: each part gets its runs that are on PAGES pages of the host, with their marks: those that
+    it has on pages without a container, and those of the others that are furniture."""
     host, shard = table.column("host")[0].as_py(), table.column("shard")[0].as_py()
     parts = table.column("part").to_pylist()
     keys = [np.frombuffer(x, KEY) for x in table.column("runs").to_pylist()]
@@ -210,7 +263,7 @@ def repeated_runs(table: pa.Table) -> pa.Table:
     for at, own in zip(table.column("at").to_pylist(), table.column("pages").to_pylist()):
         planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(at), np.uint8).reshape(4, -1)
         pages.append(np.frombuffer(own, np.int64)[np.ascontiguousarray(planes.T).view("<u4").ravel()])
-    mark = np.concatenate([np.frombuffer(x, bool) for x in table.column("marks").to_pylist()])
+    mark = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("marks").to_pylist()])
     owner = np.repeat(np.arange(len(parts)), [len(k) for k in keys])
     key, page = np.concatenate(keys), np.concatenate(pages)
     order = np.lexsort((page, key["b"], key["a"]))
@@ -218,59 +271,62 @@ def repeated_runs(table: pa.Table) -> pa.Table:
     first = np.append(True, key[1:] != key[:-1])
     run = np.cumsum(first) - 1
     often = np.bincount(run, weights=first | np.append(True, page[1:] != page[:-1])) >= PAGES
-    mark = np.bincount(run, weights=mark) > 0
-    rows, sent = [], np.unique((owner * len(often) + run)[often[run]])
-    for chosen in np.split(sent, np.flatnonzero(np.diff(sent // len(often))) + 1) if len(sent) else ():
-        own = chosen % len(often)
-        rows.append((host, parts[chosen[0] // len(often)], shard, key[first][own].tobytes(), b"", b"", mark[own].tobytes()))
+    furniture = np.bincount(run, weights=mark & FURNITURE) > 0
+    _, at = np.unique(owner * len(often) + run, return_index=True)
+    owner, run, mark = owner[at], run[at], FURNITURE * furniture[run[at]] + (mark[at] & LOOSE)
+    key, rows = key[first], []
+    for loose in (True, False):
+        sent = np.flatnonzero(often[run] & ((mark >= LOOSE) == loose) & (mark > 0))
+        for chosen in np.split(sent, np.flatnonzero(np.diff(owner[sent])) + 1) if len(sent) else ():
+            rows.append((host, parts[owner[chosen[0]]], shard, loose, key[run[chosen]].tobytes(), b"", b"", mark[chosen].astype(np.uint8).tobytes()))
     return lists(rows)
 
 
 def answers(back: pa.Table, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each run is repeated on the host, and whether it is furniture there."""
+    """Whether each run is in the lists, and its marks there."""
     known = np.frombuffer(b"".join(back.column("runs").to_pylist()), KEY)
-    mark = np.frombuffer(b"".join(back.column("marks").to_pylist()), bool)
+    mark = np.frombuffer(b"".join(back.column("marks").to_pylist()), np.uint8)
     if not len(known) or not len(key):
-        return np.zeros(len(key), bool), np.zeros(len(key), bool)
+        return np.zeros(len(key), bool), np.zeros(len(key), np.uint8)
     both = np.concatenate([known, key])
     order = np.lexsort((both["b"], both["a"]))
     where = np.zeros(len(both), np.int64)
     where[order] = np.append(0, np.cumsum(both[order][1:] != both[order][:-1]))
-    found, furniture = np.zeros(len(both), bool), np.zeros(len(both), bool)
-    found[where[:len(known)]], furniture[where[:len(known)]] = True, mark
-    return found[where[len(known):]], furniture[where[len(known):]]
+    found, marks = np.zeros(len(both), bool), np.zeros(len(both), np.uint8)
+    found[where[:len(known)]], marks[where[:len(known)]] = True, mark
+    return found[where[len(known):]], marks[where[len(known):]]
 
 
 def send_apart(table: pa.Table, back: pa.Table) -> pa.Table:
     """The repeated runs of a part's pages without a container that have text of their own."""
-    if not table.num_rows:
+    table = table.filter(table.column("loose"))
+    if not table.num_rows or not back.num_rows:
         return lists([])
     s = streams(table)
     at, key = s.runs()
     repeated, _ = answers(back, key)
-    chosen = repeated & s.apart(cover(at[repeated], len(s.words)))[at]
+    chosen = repeated & s.apart(cover(at[repeated], len(s.page)))[at]
     return entries(table, s, at[chosen], key[chosen])
 
 
-def repeated_apart(sent: pa.Table, found: pa.Table) -> pa.Table:
-    """Of one shard of a host: each part gets those of its repeated runs that are on PAGES of the pages with text of their own."""
-    if not sent.num_rows:
-        return lists([])
-    apart, rows = repeated_runs(sent), []
-    for host, part, shard, runs in zip(*(found.column(c).to_pylist() for c in ("host", "part", "shard", "runs"))):
-        key = np.frombuffer(runs, KEY)
-        key = key[answers(apart, key)[0]]
-        if len(key):
-            rows.append((host, part, shard, key.tobytes(), b"", b"", bytes(len(key))))
+def mark_apart(sent: pa.Table, found: pa.Table) -> pa.Table:
+    """Of one shard of a host: the parts' repeated runs that are furniture or on PAGES of the pages with text of their own, so marked."""
+    apart, rows = repeated_runs(sent) if sent.num_rows else lists([]), []
+    for host, part, shard, loose, runs, marks in zip(*(found.column(c).to_pylist() for c in ("host", "part", "shard", "loose", "runs", "marks"))):
+        key, mark = np.frombuffer(runs, KEY), np.frombuffer(marks, np.uint8) & FURNITURE
+        if loose:
+            mark = (mark + APART * answers(apart, key)[0]).astype(np.uint8)
+        if mark.any():
+            rows.append((host, part, shard, loose, key[mark > 0].tobytes(), b"", b"", mark[mark > 0].tobytes()))
     return lists(rows)
 
 
 def extract_part(table: pa.Table, back: pa.Table) -> pa.Table:
     s = streams(table)
     at, key = s.runs()
-    repeated, beyond = answers(back.filter(pc.invert(back.column("apart"))), key)
-    apart, _ = answers(back.filter(back.column("apart")), key)
-    return pa.table({"id": table.column("id"), "url": table.column("url"), "text": s.texts(cover(at[repeated & (beyond | (s.loose[at] & apart))], len(s.words)))})
+    _, marks = answers(back, key)
+    gone = (marks & FURNITURE > 0) | (s.loose[at] & (marks & APART > 0))
+    return pa.table({"id": table.column("id"), "url": table.column("url"), "text": s.texts(cover(at[gone], len(s.page)))})
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -282,17 +338,18 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     hosted = base.withColumn("host", host)
     kind = base.schema["id"].dataType.simpleString()
     fields = f"id {kind}, url string, text string"
-    out = hosted.join(large, F.col("host") == F.col("name"), "left_anti").groupBy("host").applyInArrow(extract, fields)
+    small = hosted.join(large, F.col("host") == F.col("name"), "left_anti").select("id", "url", "host", "html")
+    read = "lines binary, flags binary, loose boolean"
+    out = small.mapInArrow(read_pages, f"id {kind}, url string, host string, {read}").groupBy("host").applyInArrow(extract, fields)
     if not large.isEmpty():
         dealt = (hosted.join(large, F.col("host") == F.col("name")).withColumn("part", F.pmod(F.xxhash64("id", "url"), F.col("parts") + 1))
                  .withColumn("page", F.when(F.col("url").isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64("url")))
                  .select("id", "url", "host", "part", "parts", "page", "html"))
-        read = f"id {kind}, url string, host string, part long, parts long, page long, lines string, flags binary, loose boolean"
-        read_blocks = materialize(dealt.mapInArrow(read_pages, read), "blocks")
-        by_part = read_blocks.groupBy("host", "part")
-        found = materialize(by_part.applyInArrow(send, LISTS).groupBy("host", "shard").applyInArrow(repeated_runs, LISTS), "runs")
-        loose = read_blocks.where("loose").groupBy("host", "part").cogroup(found.groupBy("host", "part")).applyInArrow(send_apart, LISTS)
-        apart = loose.groupBy("host", "shard").cogroup(found.groupBy("host", "shard")).applyInArrow(repeated_apart, LISTS)
-        back = found.withColumn("apart", F.lit(False)).unionByName(apart.withColumn("apart", F.lit(True)))
+        # one plan, so that all passes over the parts read the same exchange
+        by_part = dealt.mapInArrow(read_pages, f"id {kind}, url string, host string, part long, parts long, page long, {read}").groupBy("host", "part")
+        hot = by_part.applyInArrow(sketch, CELLS).groupBy("host", "shard").applyInArrow(hot_cells, CELLS)
+        found = by_part.cogroup(hot.groupBy("host", "part")).applyInArrow(send, LISTS).groupBy("host", "shard").applyInArrow(repeated_runs, LISTS)
+        loose = by_part.cogroup(found.where("loose").groupBy("host", "part")).applyInArrow(send_apart, LISTS)
+        back = loose.groupBy("host", "shard").cogroup(found.groupBy("host", "shard")).applyInArrow(mark_apart, LISTS)
         out = out.unionByName(by_part.cogroup(back.groupBy("host", "part")).applyInArrow(extract_part, fields))
     return out.withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)

@@ -114,3 +114,60 @@ def test_copies_without_containers_keep_their_text(spark, monkeypatch):
     assert all(whole[30 + i] == article for i in range(3))
     monkeypatch.setattr(B, "PART_CHARS", 1500)
     assert run(spark, rows) == whole
+
+
+def test_texts_of_a_hot_host_are_exchanged_once(spark, monkeypatch):
+    monkeypatch.setattr(B, "PART_CHARS", 3000)
+    rows = rows_of(40, 21, lambda t, i: f"<nav>menu {i}</nav><article>{t}</article>")
+    out = B.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert out.count() == len(out.collect()) == 40
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    dealt = [below for line, below in zip(plan, plan[1:]) if " Exchange hashpartitioning(host#" in line and ", part#" in line]
+    assert sum("lines#" in below for below in dealt) == 1
+
+
+def test_only_runs_of_hot_cells_are_sent_in_full():
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    rng = random.Random(22)
+    notice, pair, copied = (sentence(rng, 40) for _ in range(3))  # on three pages, once as furniture; on two; in four articles
+    held = {0: [], 1: [notice, pair], 2: [notice, pair], 5: [copied], 6: [copied], 7: [copied], 8: [copied]}
+    texts = [f"<div>{notice if i == 0 else ''}</div><article>{' '.join([sentence(rng, 1500), *held.get(i, [])])}</article>" for i in range(10)]
+    tables = []
+    for part in range(2):
+        ids = list(range(part, 10, 2))
+        batch = pa.RecordBatch.from_pydict({"id": ids, "url": [str(i) for i in ids], "host": ["h"] * len(ids), "part": [part] * len(ids), "parts": [3] * len(ids),
+                                            "page": ids, "html": [texts[i] for i in ids]})
+        tables.append(pa.Table.from_batches(B.read_pages([batch])))
+    pages: dict = {}
+    beyond = set()
+    for table in tables:
+        s = B.streams(table)
+        for at, key in zip(*s.runs()):
+            run = int(key["a"]), int(key["b"])
+            pages.setdefault(run, set()).add(s.pages[s.page[at]])
+            beyond |= {run} if s.furniture[at] else set()
+    repeated = {k for k, p in pages.items() if len(p) >= B.PAGES}
+    assert len(repeated) == 50 and len(repeated & beyond) == 25
+    cells = [B.sketch(t) for t in tables]
+    assert sum(len(x) for c in cells for x in c.column("cells").to_pylist()) < 4 * len(pages)
+    everything = pa.concat_tables(cells)
+    hot = pa.concat_tables([B.hot_cells(everything.filter(pc.equal(everything.column("shard"), k))) for k in range(3)])
+    sent = set()
+    for part, table in enumerate(tables):
+        for runs in B.send(table, hot.filter(pc.equal(hot.column("part"), part))).column("runs").to_pylist():
+            sent |= {(int(k["a"]), int(k["b"])) for k in np.frombuffer(runs, B.KEY)}
+    assert repeated & beyond <= sent and len(sent) < 40
+
+
+def test_rows_of_one_page_in_many_parts_are_one_page(spark, monkeypatch):
+    rng = random.Random(23)
+    notice = {n: sentence(rng, 30) for n in (2, 3)}
+    body = {i: sentence(rng, 60) for i in range(30)}
+    url = {i: f"https://twice.example.com/{i if i > 11 else 0}" for i in body}  # rows 0 to 11 are one page
+    rows = [(i, url[i], f"<div>{notice[2] if i == 20 else ''}</div><div>{notice[3] if i in (20, 25) else ''}</div><article><p>{body[i]}</p>"
+                        + (f"<p>{notice[2]}</p><p>{notice[3]}</p>" if i < 12 else "") + "</article>") for i in body]
+    whole = run(spark, rows)
+    monkeypatch.setattr(B, "PART_CHARS", 2000)
+    assert run(spark, rows) == whole == {i: body[i] + (" " + notice[2] if i < 12 else "") for i in body}
